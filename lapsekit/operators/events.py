@@ -26,7 +26,8 @@ def channel_events(coupons: DataFrame, cashback: DataFrame, spec: ChurnSpec = DE
         F.col("event_date").alias("activity_date"), "merchant_id",
         F.col("event_type").alias("event_or_status"), F.lit(None).cast(dec).alias("amount_sar"),
         *[F.col("is_eligible_event").alias(activity_col(d)) for d in spec.definitions],
-        "was_duplicated_in_raw", "has_conflicting_duplicate")
+        "was_duplicated_in_raw", "has_conflicting_duplicate",
+        F.lit(None).cast("date").alias("status_updated_date"))
     b = cashback.select(
         F.lit(CASHBACK).alias("channel"), F.col("source").alias("source_feed"),
         F.col("transaction_id").alias("source_event_id"),
@@ -35,7 +36,7 @@ def channel_events(coupons: DataFrame, cashback: DataFrame, spec: ChurnSpec = DE
         F.col("status").alias("event_or_status"), F.col("amount_sar").cast(dec).alias("amount_sar"),
         *[F.coalesce(F.col("status").isin(*d.cashback_statuses), F.lit(False)).alias(activity_col(d))
           for d in spec.definitions],
-        "was_duplicated_in_raw", "has_conflicting_duplicate")
+        "was_duplicated_in_raw", "has_conflicting_duplicate", "status_updated_date")
     return c.unionByName(b)
 
 
@@ -50,7 +51,9 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
     sizes and splits a skewed id), add period columns and scope flags.
 
     Exclusions are carried as flags, never applied: ``is_in_scope`` is what the
-    fact layer filters on. A NULL activity date is out of period (not NULL)."""
+    fact layer filters on. A NULL activity date is out of period (not NULL).
+    ``status_updated_date`` (cashback decision date, NULL for coupons) is carried
+    for the as-of restatement only; it never dates activity."""
     ev = channel_events(coupons, cashback, spec)
     m = identity.filter(F.col("source_system").isNotNull() & F.col("source_user_id").isNotNull()).select(
         F.col("source_system").alias("_m_system"), F.col("source_user_id").alias("_m_id"),
@@ -72,4 +75,5 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
         ambiguous.alias("has_ambiguous_mapping"),
         inp.alias("is_in_analysis_period"),
         (~unmapped & ~ambiguous & inp).alias("is_in_scope"),
+        "status_updated_date",
     )

@@ -115,3 +115,56 @@ class Layers:
     def cohort_summary(self) -> DataFrame:
         from lapsekit.operators.cohort import cohort_summary
         return cohort_summary(self.cohort_users, self.spec)
+
+    # ---- layer 6/7 -------------------------------------------------------
+    @cached_property
+    def source_profile(self) -> DataFrame:
+        from lapsekit.operators.profile import source_profile
+        return source_profile(self.stg_cashback, self.stg_identity, self.spec)
+
+    @cached_property
+    def cross_source_duplicates(self) -> DataFrame:
+        from lapsekit.operators.profile import cross_source_duplicates
+        return cross_source_duplicates(self.stg_cashback)
+
+    @cached_property
+    def cross_source_members(self) -> DataFrame:
+        from lapsekit.operators.profile import cross_source_duplicate_members
+        return cross_source_duplicate_members(self.stg_cashback)
+
+    def dq_checks(self, with_checked_at: bool = True, tolerance: dict | None = None) -> DataFrame:
+        from lapsekit.operators.quality import dq_checks
+        return dq_checks(self, self.spec, tolerance=tolerance, with_checked_at=with_checked_at)
+
+    @cached_property
+    def excluded_events(self) -> DataFrame:
+        from lapsekit.operators.quality import excluded_events
+        return excluded_events(self.events, self.spec)
+
+    def publish_gate(self, raise_on_block: bool = False) -> DataFrame:
+        from lapsekit.operators.quality import publish_gate
+        return publish_gate(self.dq_checks(with_checked_at=False), raise_on_block)
+
+    @cached_property
+    def pending_exposure(self) -> DataFrame:
+        from lapsekit.operators.pending import pending_exposure
+        return pending_exposure(self.fact, self.events, self.spec)
+
+    @cached_property
+    def approval_maturity(self) -> DataFrame:
+        from lapsekit.operators.pending import approval_maturity
+        return approval_maturity(self.stg_cashback, self.spec)
+
+    def activity_as_of(self, as_of) -> DataFrame:
+        from lapsekit.operators.asof import activity_as_of
+        return activity_as_of(self.events, as_of, self.spec)
+
+    @cached_property
+    def transition_by_vintage(self) -> DataFrame:
+        from lapsekit.operators.asof import transition_by_vintage
+        return transition_by_vintage(self.events, self.spec)
+
+    @cached_property
+    def active_base_by_vintage(self) -> DataFrame:
+        from lapsekit.operators.asof import active_base_by_vintage
+        return active_base_by_vintage(self.events, self.spec)

@@ -5,6 +5,7 @@ Each entry is ``fn(spark, sf_dir) -> DataFrame`` and reads the whole tables.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,3 +43,15 @@ register("m10_definition_sensitivity", "sensitivity")
 register("m11_definition_disagreements", "disagreements")
 register("m12_cohort_users", "cohort_users")
 register("m13_cohort_summary", "cohort_summary")
+register("m14_source_profile", "source_profile")
+register("m15_cross_source_duplicates", "cross_source_duplicates")
+register("m15_cross_source_members", "cross_source_members")
+register("k_dq_checks")(lambda spark, sf_dir: layers(spark, sf_dir).dq_checks(with_checked_at=False))
+register("m17_excluded_events", "excluded_events")
+register("m18_pending_exposure", "pending_exposure")
+register("m19_approval_maturity", "approval_maturity")
+register("m20_activity_as_of")(
+    lambda spark, sf_dir: layers(spark, sf_dir).activity_as_of(_dt.date(1996, 9, 30)))
+register("m21_transition_by_vintage", "transition_by_vintage")
+register("m22_active_base_by_vintage", "active_base_by_vintage")
+register("m30_publish_gate")(lambda spark, sf_dir: layers(spark, sf_dir).publish_gate())
