@@ -168,3 +168,44 @@ class Layers:
     def active_base_by_vintage(self) -> DataFrame:
         from lapsekit.operators.asof import active_base_by_vintage
         return active_base_by_vintage(self.events, self.spec)
+
+    # ---- layer 8-10 ------------------------------------------------------
+    def trace(self, user: str, step: int) -> DataFrame:
+        from lapsekit.operators import trace as t
+        if step == 1:
+            return t.trace_identity(self.stg_identity, user)
+        if step == 2:
+            return t.trace_raw(self.raw.coupons, self.raw.cashback, self.stg_identity, user)
+        if step == 3:
+            return t.trace_events(self.events, user, self.spec)
+        if step == 4:
+            return t.trace_fact(self.fact, user, self.spec)
+        if step == 5:
+            return t.trace_cohort(self.cohort_users, user)
+        return t.trace_contribution(self.long, user)
+
+    @cached_property
+    def report_summary(self) -> DataFrame:
+        from lapsekit.operators.reporting import report_summary
+        return report_summary(self.active_base, self.transitions, self.cohort_summary, self.pending_exposure,
+                              self.spec)
+
+    @cached_property
+    def headline(self) -> DataFrame:
+        from lapsekit.operators.reporting import headline
+        return headline(self.transitions, self.sensitivity, self.pending_exposure, self.spec)
+
+    @cached_property
+    def cohort_funnel(self) -> DataFrame:
+        from lapsekit.operators.reporting import cohort_funnel
+        return cohort_funnel(self.cohort_summary, self.spec)
+
+    @cached_property
+    def maturity_curve(self) -> DataFrame:
+        from lapsekit.operators.reporting import maturity_curve
+        return maturity_curve(self.approval_maturity, self.spec)
+
+    @cached_property
+    def cardinality_ledger(self) -> DataFrame:
+        from lapsekit.operators.monitoring import cardinality_ledger
+        return cardinality_ledger(self)

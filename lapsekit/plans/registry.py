@@ -55,3 +55,13 @@ register("m20_activity_as_of")(
 register("m21_transition_by_vintage", "transition_by_vintage")
 register("m22_active_base_by_vintage", "active_base_by_vintage")
 register("m30_publish_gate")(lambda spark, sf_dir: layers(spark, sf_dir).publish_gate())
+
+TRACE_USER = "U55"  # the person walked through by the single-person trace queries
+for _i, _n in enumerate(["identity", "raw", "events", "fact", "cohort", "contribution"], start=1):
+    register(f"m23{'abcdef'[_i - 1]}_trace_{_n}")(
+        (lambda i: lambda spark, sf_dir: layers(spark, sf_dir).trace(TRACE_USER, i))(_i))
+register("m24_report_summary", "report_summary")
+register("m25_headline", "headline")
+register("m26_cohort_funnel", "cohort_funnel")
+register("m27_maturity_curve", "maturity_curve")
+register("m29_cardinality_ledger", "cardinality_ledger")
