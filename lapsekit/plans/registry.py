@@ -65,3 +65,43 @@ register("m25_headline", "headline")
 register("m26_cohort_funnel", "cohort_funnel")
 register("m27_maturity_curve", "maturity_curve")
 register("m29_cardinality_ledger", "cardinality_ledger")
+
+
+# ---- analyses beyond the model's SQL (E01-E16) ----------------------------------
+def _tbl(spark, sf_dir, name):
+    import os
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def _e(fn):
+    def run(spark, sf_dir):
+        from lapsekit.operators import extensions as X
+        return fn(X, layers(spark, sf_dir), spark, sf_dir)
+    return run
+
+
+QUERIES.update({
+    "e01_hazard_curve": _e(lambda X, L, s, d: X.hazard_curve(L.long)),
+    "e02_revenue_backtest": _e(lambda X, L, s, d: X.revenue_backtest(L.fact, L.transitions, L.spec)),
+    "e03_restatement_magnitude": _e(lambda X, L, s, d: X.restatement_magnitude(L.active_base_by_vintage)),
+    "e04_reconcile_active_base": _e(lambda X, L, s, d: X.reconcile_active_base(
+        L.active_base, __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_external_counts(
+            _tbl(s, d, "orders")), L.spec)),
+    "e05_rolling_activity": _e(lambda X, L, s, d: X.rolling_activity(L.long, 4)),
+    "e06_reporting_lag": _e(lambda X, L, s, d: X.reporting_lag(L.maturity_curve, 0.95)),
+    "e07_feed_continuity": _e(lambda X, L, s, d: X.feed_continuity(L.source_profile, 4, 0.5)),
+    "e08_status_vocabulary": _e(lambda X, L, s, d: X.status_vocabulary(L.stg_cashback, L.spec)),
+    "e09_identity_coverage": _e(lambda X, L, s, d: X.identity_coverage(L.events)),
+    "e10_late_arrival": _e(lambda X, L, s, d: X.late_arrival(L.stg_cashback, L.spec)),
+    "e12_identity_scd2": _e(lambda X, L, s, d: X.resolve_identity_scd2(
+        __import__("lapsekit.operators.events", fromlist=["x"]).channel_events(L.stg_coupons, L.stg_cashback, L.spec),
+        __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_identity_scd2(
+            _tbl(s, d, "customer"), _tbl(s, d, "part"), _dt.date(1996, 7, 1)))),
+    "e13_financial_reconciliation": _e(lambda X, L, s, d: X.financial_reconciliation(
+        L.stg_cashback, __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_network_reports(
+            _tbl(s, d, "orders")), L.spec)),
+    "e14_expected_approvals": _e(lambda X, L, s, d: X.expected_approvals(L.stg_cashback, _dt.date(1996, 12, 31), L.spec)),
+    "e15_cohort_anchor_q2": lambda spark, sf_dir: layers(
+        spark, sf_dir, ADAPTER_SPEC.with_(cohort_anchor=2)).cohort_summary,
+    "e16_boundary_exposure": _e(lambda X, L, s, d: X.boundary_exposure(L.stg_cashback, 7, L.spec)),
+})

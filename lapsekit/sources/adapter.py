@@ -9,6 +9,7 @@ Every table is read in full; each derivation is one scan and a projection.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass
 
@@ -105,3 +106,43 @@ def adapter_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
         adapter_coupons(rd("lineitem")),
         adapter_cashback(rd("orders")),
     )
+
+
+# ---- external inputs for the reconciliation / type-2 analyses (derived from the same tables) ----
+def adapter_external_counts(orders: DataFrame) -> DataFrame:
+    """Customers with an order per quarter, as an independent count to reconcile against."""
+    d = F.col("o_orderdate").cast("date")
+    return (orders.groupBy(F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string"))
+                           .alias("quarter_label"))
+            .agg(F.count_distinct("o_custkey").alias("external_count"))
+            .select("quarter_label", F.lit("order_customers").alias("external_source"), "external_count"))
+
+
+def adapter_network_reports(orders: DataFrame) -> DataFrame:
+    """Each network's own report: transactions and amount per purchase quarter, straight from the orders."""
+    d = F.col("o_orderdate").cast("date")
+    return (orders.groupBy(F.col("o_orderpriority").alias("source"),
+                           F.concat(F.year(d).cast("string"), F.lit("Q"), F.quarter(d).cast("string"))
+                           .alias("quarter_label"))
+            .agg(F.count(F.lit(1)).alias("reported_transactions"),
+                 F.sum(F.col("o_totalprice").cast("decimal(38,9)")).alias("reported_amount_sar")))
+
+
+def adapter_identity_scd2(customer: DataFrame, part: DataFrame, switch: "dt.date") -> DataFrame:
+    """Type-2 identity map: ids that move to a second person do so on ``switch``."""
+    c = F.col("c_custkey")
+    none = F.lit(None).cast("date")
+    moved = c % 97 == 3
+    cust = customer.filter(c % 50 != 7).select(F.inline(F.filter(F.array(
+        F.struct(F.lit("cashback").alias("source_system"), _s("B", c).alias("source_user_id"),
+                 _s("U", c).alias("unified_user_id"), none.alias("valid_from"),
+                 F.when(moved, F.date_sub(F.lit(switch), 1)).alias("valid_to")),
+        F.when(moved, F.struct(F.lit("cashback").alias("source_system"), _s("B", c).alias("source_user_id"),
+                               _s("U", c + 1).alias("unified_user_id"), F.lit(switch).alias("valid_from"),
+                               none.alias("valid_to")))), lambda x: x.isNotNull())))
+    n_customers = customer.select(F.count(F.lit(1))).scalar()
+    p = F.col("p_partkey")
+    parts = part.filter(p % 60 != 11).select(
+        F.lit("coupon").alias("source_system"), _s("C", p).alias("source_user_id"),
+        _s("U", p % n_customers).alias("unified_user_id"), none.alias("valid_from"), none.alias("valid_to"))
+    return cust.unionByName(parts)
