@@ -3,14 +3,19 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode-aware trim: Spark's trim() only strips U+0020, a warehouse TRIM strips
-# all whitespace (tabs, newlines, no-break spaces).
-_TRIM_RE = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
+# --- fixed values: characters a warehouse TRIM removes --------------------------
+# Spark's one-argument trim() strips only U+0020; these are the ASCII controls
+# \t \n \v \f \r, the space, and the Unicode space separators (category Zs/Zl/Zp).
+WHITESPACE = ("\t\n\u000b\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+              "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+# ---------------------------------------------------------------------------------
 
 
 def trim_ws(c) -> Column:
+    """Strip leading/trailing whitespace of any kind (``btrim`` with a character
+    set: a codegen'd scan of the ends, no regular expression per row)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, _TRIM_RE, "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def norm_key(c) -> Column:

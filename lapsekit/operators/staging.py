@@ -10,8 +10,8 @@ rows is combined inside the map tasks before it is shuffled):
 
 The struct holds every payload column after the ordering columns, so the kept
 row is deterministic even when conflicting copies tie on the ordering columns.
-Rows whose key is NULL are passed through uncollapsed (they cannot be told
-apart, and none of them is a duplicate of another).
+Rows whose key is NULL are kept uncollapsed (they cannot be told apart, and
+none of them is a duplicate of another).
 """
 
 from __future__ import annotations
@@ -34,25 +34,22 @@ def collapse_duplicates(df: DataFrame, key: str, order: list[str], keep: str = "
         aggs, lo, hi = [F.min(row).alias("_kept"), F.max(row).alias("_other")], "_kept", "_other"
     else:
         aggs, lo, hi = [F.max(row).alias("_kept"), F.min(row).alias("_other")], "_other", "_kept"
+    # A NULL key cannot be matched to anything: each such row is its own group.
+    # It gets a unique surrogate in the grouping key, so NULL-key rows are neither
+    # collapsed nor gathered into one (possibly huge) group, and the whole table
+    # is still one scan and one aggregate.
+    nk = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     collapsed = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        df.groupBy(F.col(key), nk.alias("_nk"))
         .agg(F.count(F.lit(1)).alias("raw_row_count"), *aggs)
     )
-    collapsed = collapsed.select(
+    out = collapsed.select(
         F.col(key), *[F.col(f"_kept.{c}").alias(c) for c in payload],
         F.col("raw_row_count"),
         (F.col("raw_row_count") > 1).alias("was_duplicated_in_raw"),
         (~F.col(lo).eqNullSafe(F.col(hi))).alias("has_conflicting_duplicate"),
     )
-    null_keys = df.filter(F.col(key).isNull()).select(
-        F.col(key), *[F.col(c) for c in payload],
-        F.lit(1).cast("long").alias("raw_row_count"),
-        F.lit(False).alias("was_duplicated_in_raw"),
-        F.lit(False).alias("has_conflicting_duplicate"),
-    )
-    return collapsed.unionByName(null_keys).select(
-        *df.columns, "raw_row_count", "was_duplicated_in_raw", "has_conflicting_duplicate")
+    return out.select(*df.columns, "raw_row_count", "was_duplicated_in_raw", "has_conflicting_duplicate")
 
 
 def stage_identity(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
@@ -64,13 +61,12 @@ def stage_identity(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
                    norm_key("source_user_id").alias("source_user_id"),
                    norm_key("unified_user_id").alias("unified_user_id"))
     has_key = F.col("source_system").isNotNull() & F.col("source_user_id").isNotNull()
-    keyed = (n.filter(has_key)
-             .groupBy("source_system", "source_user_id")
-             .agg(F.min("unified_user_id").alias("unified_user_id"),
-                  F.coalesce(F.min("unified_user_id") < F.max("unified_user_id"), F.lit(False))
-                  .alias("has_ambiguous_mapping")))
-    null_keys = n.filter(~has_key).withColumn("has_ambiguous_mapping", F.lit(False))
-    return keyed.unionByName(null_keys)
+    nk = F.when(~has_key, F.monotonically_increasing_id())   # NULL-key rows stay one row each
+    return (n.groupBy("source_system", "source_user_id", nk.alias("_nk"))
+            .agg(F.min("unified_user_id").alias("unified_user_id"),
+                 F.coalesce(F.min("unified_user_id") < F.max("unified_user_id"), F.lit(False))
+                 .alias("has_ambiguous_mapping"))
+            .drop("_nk"))
 
 
 def stage_coupons(raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:

@@ -33,7 +33,7 @@ def new_location(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
                 cluster: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False) -> DataFrame:
+                dynamic: bool = False, max_records_per_file: int = 5_000_000) -> DataFrame:
     """Write a model as Parquet and return a DataFrame reading it back.
 
     ``partition_month``: a DATE column; rows are written into ``activity_month``
@@ -44,28 +44,28 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
     """
     spark = df.sparkSession
     out = df
-    writer_parts = []
     if partition_month:
         out = out.withColumn("activity_month", F.trunc(F.col(partition_month), "month"))
-        writer_parts = ["activity_month"]
-        # one shuffle so each month is written by a bounded set of tasks
-        out = out.repartition(*( [F.col("activity_month")] + [F.col(c) for c in (cluster or [])] ))
-    if cluster:
+        # range partitioning on (month, cluster keys): a month holding a large share of
+        # the rows is split over several tasks, and each task writes few month folders
+        out = out.repartitionByRange(F.col("activity_month"), *[F.col(c) for c in (cluster or [])])
+        out = out.sortWithinPartitions("activity_month", *(cluster or []))
+    elif cluster:
         out = out.sortWithinPartitions(*cluster)
-    w = out.write.mode(mode)
-    if writer_parts:
-        w = w.partitionBy(*writer_parts)
+    w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    if partition_month:
+        w = w.partitionBy("activity_month")
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     if dynamic:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         w.parquet(path)
     finally:
-        if dynamic:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     back = spark.read.parquet(path)
     if partition_month:
         back = back.drop("activity_month")
-    return back
+    return back.select(*df.columns)
 
 
 def export_summary(df: DataFrame, path: str, order: list[str] | None = None) -> None:
