@@ -24,7 +24,8 @@ def table_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
                                              "_metadata.file_modification_time")
         per_file = df.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.max("file_size").alias("b"),
                                                F.max("file_modification_time").alias("t"))
-        parts.append(per_file.agg(F.sum("n").cast("long").alias("row_count"), F.sum("b").cast("long").alias("size_bytes"),
+        parts.append(per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
+                                  F.coalesce(F.sum("b"), F.lit(0)).cast("long").alias("size_bytes"),
                                   F.max("t").alias("last_built_at"))
                      .select(F.lit(name).alias("object_name"), "row_count", "size_bytes", "last_built_at"))
     if not parts:
@@ -51,7 +52,7 @@ def row_count_monitor(audit: DataFrame, expected: DataFrame) -> DataFrame:
         layer = F.when(name.startswith(p), lab) if layer is None else layer.when(name.startswith(p), lab)
     layer = layer.otherwise("other")
     rc, ex = F.col("a.row_count"), F.col("e.expected_rows").cast("long")
-    status = (F.when(rc.isNull(), "MISSING").when(ex.isNull(), "NOT TRACKED")
+    status = (F.when(F.col("a.object_name").isNull(), "MISSING").when(ex.isNull(), "NOT TRACKED")
               .when(rc == ex, "OK").otherwise("DRIFT"))
     return j.select(layer.alias("layer"), name.alias("object_name"), rc.alias("row_count"), ex.alias("expected_rows"),
                     (rc - ex).alias("row_count_drift"), status.alias("row_count_status"),
