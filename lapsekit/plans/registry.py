@@ -9,6 +9,7 @@ import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lapsekit.plans.layers import Layers
 from lapsekit.sources.adapter import adapter_inputs
@@ -132,3 +133,26 @@ QUERIES.update({
     "e15_cohort_anchor_q2": _e(lambda X, L, s, d: _cohort(L, L.spec.with_(cohort_anchor=2, n_silent=2))),
     "e16_boundary_exposure": _e(lambda X, L, s, d: X.boundary_exposure(L.stg_cashback, 7, L.spec)),
 })
+
+
+def _combine(spark, sf_dir):
+    from lapsekit.sources.adapter import adapter_network_feeds
+    from lapsekit.sources.feeds import combine_feeds
+    return combine_feeds(adapter_network_feeds(_tbl(spark, sf_dir, "orders")))
+
+
+def _incremental(spark, sf_dir):
+    """E11 over the adapter's cashback feed, delivered in three arrival batches
+    (by purchase year); returns the incrementally staged table."""
+    from lapsekit.sources.sinks import new_location
+    from lapsekit.streaming.incremental import IncrementalStaging
+    raw = adapter_inputs(spark, sf_dir).cashback
+    inc = IncrementalStaging(spark, new_location(spark, "incremental"), "cashback", ADAPTER_SPEC)
+    y = F.year("purchase_date")
+    for epoch, cond in enumerate([y < 1997, (y >= 1997) & (y < 1999), (y >= 1999) | y.isNull()]):
+        inc.apply(raw.filter(cond), epoch)
+    return inc.staged()
+
+
+QUERIES["s4_combine_feeds"] = _combine
+QUERIES["e11_incremental_staging"] = _incremental

@@ -146,3 +146,33 @@ def adapter_identity_scd2(customer: DataFrame, part: DataFrame, switch: "dt.date
         F.lit("coupon").alias("source_system"), _s("C", p).alias("source_user_id"),
         _s("U", p % n_customers).alias("unified_user_id"), none.alias("valid_from"), none.alias("valid_to"))
     return cust.unionByName(parts)
+
+
+def adapter_network_feeds(orders: DataFrame) -> dict:
+    """Two affiliate networks with their own shapes, vocabularies and clocks (for S4):
+    'alpha' carries the urgent / high-priority orders as UTC sale timestamps and its own
+    status words; 'beta' the others with a purchase day. Together they cover every order."""
+    from lapsekit.sources.feeds import FeedSpec
+    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
+    hot = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    alpha = orders.filter(hot).select(
+        _s("T", k).alias("txn_ref"), _s("B", F.col("o_custkey")).alias("member_id"),
+        (F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))).alias("sale_ts"),
+        _s("M", k % 20).alias("shop"),
+        F.when(st == "F", " Validated").when(st == "P", "waiting").otherwise("DECLINED").alias("state"),
+        F.col("o_totalprice").alias("value"))
+    beta = orders.filter(~hot).select(
+        _s("T", k).alias("id"), _s("B", F.col("o_custkey")).alias("user_ref"),
+        F.col("o_orderdate").cast("date").alias("purchase_day"), _s("M", k % 20).alias("merchant_id"),
+        F.when(st == "F", "paid").when(st == "P", "open").otherwise("void").alias("status"),
+        F.col("o_totalprice").alias("amount_sar"))
+    return {
+        "alpha": (alpha, FeedSpec("Alpha Network", {"transaction_id": "txn_ref", "cashback_user_id": "member_id",
+                                                    "purchase_date": "sale_ts", "merchant_id": "shop",
+                                                    "status": "state", "amount_sar": "value"},
+                                  {"validated": "approved", "waiting": "pending", "declined": "rejected"},
+                                  timezone="Asia/Riyadh")),
+        "beta": (beta, FeedSpec("Beta Network", {"transaction_id": "id", "cashback_user_id": "user_ref",
+                                                 "purchase_date": "purchase_day"},
+                                {"paid": "approved", "open": "pending", "void": "cancelled"})),
+    }

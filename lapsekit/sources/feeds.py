@@ -84,7 +84,7 @@ class FeedSpec:
     contract vocabulary; words not in the map pass through unchanged so that the
     unknown-status check counts them instead of silently dropping them.
     ``timezone``: when set, ``purchase_date``/``status_updated_date`` source
-    columns are UTC timestamps converted to the local calendar date.
+    columns are UTC timestamps, converted to the calendar date in that zone.
     """
 
     source: str
@@ -121,7 +121,8 @@ def combine_feeds(feeds: dict) -> DataFrame:
             c = F.col(src) if isinstance(src, str) else src
             if target in ("purchase_date", "status_updated_date"):
                 if spec.timezone:
-                    c = F.to_date(F.from_utc_timestamp(c.cast("timestamp"), spec.timezone))
+                    # UTC wall-clock -> the network's local calendar date (session-time-zone independent)
+                    c = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(spec.timezone), c.cast("timestamp_ntz")))
                 else:
                     c = c.cast("date")
             elif target == "status":
