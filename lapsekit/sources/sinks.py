@@ -46,9 +46,10 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
     out = df
     if partition_month:
         out = out.withColumn("activity_month", F.trunc(F.col(partition_month), "month"))
-        # range partitioning on (month, cluster keys): a month holding a large share of
-        # the rows is split over several tasks, and each task writes few month folders
-        out = out.repartitionByRange(F.col("activity_month"), *[F.col(c) for c in (cluster or [])])
+        # REBALANCE on the month: AQE groups each month into few tasks (few files per
+        # folder) and splits a month that holds a large share of the rows over several
+        # tasks (no hot writer), without a sampling pass over the data
+        out = out.hint("rebalance", "activity_month")
         out = out.sortWithinPartitions("activity_month", *(cluster or []))
     elif cluster:
         out = out.sortWithinPartitions(*cluster)

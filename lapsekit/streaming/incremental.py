@@ -75,7 +75,7 @@ class IncrementalStaging:
         months = touched.select(MONTH).distinct()
         affected = raw.join(months, raw[MONTH].eqNullSafe(months[MONTH]), "left_semi")
         staged = self._stage(affected.select(*cols)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        staged = staged.repartitionByRange(F.col(MONTH), F.col(self.key)).sortWithinPartitions(MONTH, self.key)
+        staged = staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key)
         self._write(staged, self.stg_path, [MONTH])
         # an affected month whose rows all moved to another month must not keep stale rows
         written = {r[0] for r in staged.select(MONTH).distinct().collect()}
