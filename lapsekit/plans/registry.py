@@ -156,3 +156,15 @@ def _incremental(spark, sf_dir):
 
 QUERIES["s4_combine_feeds"] = _combine
 QUERIES["e11_incremental_staging"] = _incremental
+
+
+def _many(spark, sf_dir):
+    """Every period at its own close + each lag, one pass over the events."""
+    from lapsekit.operators.asof import activity_as_of_many, period_vintages
+    L = layers(spark, sf_dir)
+    out = activity_as_of_many(L.events, period_vintages(L.spec), L.spec)
+    return out.withColumn("vintage_days", F.col("vintage_days").cast("long"))
+
+
+QUERIES["m20b_activity_as_of_many"] = _many
+QUERIES["e01_confirmation_horizon"] = _e(lambda X, L, s, d: X.confirmation_horizon(X.hazard_curve(L.long), 0.25))
