@@ -132,8 +132,18 @@ class Layers:
         from lapsekit.operators.profile import cross_source_duplicate_members
         return cross_source_duplicate_members(self.stg_cashback)
 
+    @cached_property
+    def dq_check_results(self) -> DataFrame:
+        """M16 with default tolerances, stored once when layers are materialised
+        (the gate and the reports read the stored table)."""
+        from lapsekit.operators.quality import dq_checks
+        return self._store("dq_check_results", dq_checks(self, self.spec))
+
     def dq_checks(self, with_checked_at: bool = True, tolerance: dict | None = None) -> DataFrame:
         from lapsekit.operators.quality import dq_checks
+        if tolerance is None and self.materialise:
+            out = self.dq_check_results
+            return out if with_checked_at else out.drop("checked_at")
         return dq_checks(self, self.spec, tolerance=tolerance, with_checked_at=with_checked_at)
 
     @cached_property

@@ -68,18 +68,26 @@ class IncrementalStaging:
         cols = self.schema.fieldNames()
         b = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch_id)).cast("long")) \
                  .withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        self._write(b, self.raw_path, ["_epoch", MONTH])
+        self._write(b.hint("rebalance", MONTH), self.raw_path, ["_epoch", MONTH])
         raw = self.raw()
         keys = batch.select(norm_key(self.key).alias("_k")).distinct()
         touched = raw.join(keys, norm_key(F.col(self.key)).eqNullSafe(F.col("_k")), "left_semi")
-        months = touched.select(MONTH).distinct()
-        affected = raw.join(months, raw[MONTH].eqNullSafe(months[MONTH]), "left_semi")
+        # the affected months: a list bounded by the calendar, used as a literal partition filter
+        months = [r[0] for r in touched.select(MONTH).distinct().collect()]
+        known = [m for m in months if m is not None]
+        cond = F.col(MONTH).isin(*known) if known else F.lit(False)
+        if len(known) < len(months):
+            cond = cond | F.col(MONTH).isNull()
+        affected = raw.filter(cond)
         staged = self._stage(affected.select(*cols)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        staged = staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key)
-        self._write(staged, self.stg_path, [MONTH])
+        staged = staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key).persist()
+        try:
+            self._write(staged, self.stg_path, [MONTH])
+            written = {r[0] for r in staged.select(MONTH).distinct().collect()}
+        finally:
+            staged.unpersist()
         # an affected month whose rows all moved to another month must not keep stale rows
-        written = {r[0] for r in staged.select(MONTH).distinct().collect()}
-        for (m,) in months.collect():   # bounded by the number of calendar months
+        for m in months:
             if m not in written:
                 self._clear(m)
 
