@@ -20,10 +20,11 @@ from lapsekit.spec import ChurnSpec, DEFAULT_SPEC
 
 class Layers:
     def __init__(self, raw: RawInputs, spec: ChurnSpec = DEFAULT_SPEC, *, materialise: bool = False,
-                 location: str | None = None):
+                 location: str | None = None, buckets: int | None = None):
         self.raw = raw
         self.spec = spec
         self.materialise = materialise
+        self.buckets = buckets        # person buckets of the stored fact (default: shuffle partitions)
         self._location = location
 
     @property
@@ -31,14 +32,19 @@ class Layers:
         return self.raw.identity.sparkSession
 
     def _store(self, name: str, df: DataFrame, partition_month: str | None = None,
-               cluster: list[str] | None = None) -> DataFrame:
+               cluster: list[str] | None = None, bucket_col: str | None = None) -> DataFrame:
         if not self.materialise:
             return df
         import os
         from lapsekit.sources.sinks import materialise, new_location
         loc = self._location or new_location(self.spark, "build")
         self._location = loc
-        return materialise(df, os.path.join(loc, name), partition_month=partition_month, cluster=cluster)
+        bucket = None
+        if bucket_col:
+            n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            bucket = (n, bucket_col)
+        return materialise(df, os.path.join(loc, name), partition_month=partition_month, cluster=cluster,
+                           bucket_by=bucket)
 
     # ---- layer 1 ---------------------------------------------------------
     @cached_property
@@ -71,9 +77,11 @@ class Layers:
     @cached_property
     def fact(self) -> DataFrame:
         from lapsekit.operators.fact import user_period_activity
+        # stored bucketed by person: every later window / aggregate keyed by person
+        # (transitions, cohorts, hazard, rolling windows, grain check) reads it co-partitioned
         return self._store("fct_user_quarter_activity",
                            user_period_activity(self.events, self.stg_identity, self.spec),
-                           cluster=["unified_user_id", "quarter_label"])
+                           cluster=["unified_user_id", "quarter_index"], bucket_col="unified_user_id")
 
     @cached_property
     def long(self) -> DataFrame:

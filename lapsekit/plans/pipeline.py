@@ -57,7 +57,7 @@ def run_pipeline(spark: SparkSession, inputs: RawInputs | None, target: str, *,
     }
     for name, attr in MARTS:
         out[name] = materialise(getattr(L, attr), p(name))
-    out["dq_check_results"] = materialise(L.dq_checks(), p("dq_check_results"))
+    out["dq_check_results"] = L.dq_check_results            # stored by the layers at target/dq_check_results
     from lapsekit.operators.monitoring import row_count_monitor, table_audit
     audit = table_audit(spark, {n: p(n) for n in out})
     out["build_audit"] = audit

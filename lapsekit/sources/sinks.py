@@ -33,16 +33,27 @@ def new_location(spark: SparkSession, name: str) -> str:
 
 def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
                 cluster: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False, max_records_per_file: int = 5_000_000) -> DataFrame:
+                dynamic: bool = False, max_records_per_file: int = 5_000_000,
+                bucket_by: tuple[int, str] | None = None) -> DataFrame:
     """Write a model as Parquet and return a DataFrame reading it back.
 
     ``partition_month``: a DATE column; rows are written into ``activity_month``
     folders (partition pruning on later date filters). ``cluster``: columns to
     sort within each output file so Parquet min/max statistics skip row groups on
     point lookups. ``dynamic``: only the months present in ``df`` are replaced
-    (incremental rebuilds).
+    (incremental rebuilds). ``bucket_by=(n, column)``: the table is written in
+    ``n`` buckets by ``column`` (an external table at ``path``, registered in the
+    session catalog), so later aggregates and windows keyed by that column read
+    it already partitioned and need no shuffle.
     """
     spark = df.sparkSession
+    if bucket_by is not None:
+        n, col = bucket_by
+        name = "lapsekit_" + "".join(ch if ch.isalnum() else "_" for ch in os.path.basename(path)) + \
+            "_" + uuid.uuid4().hex[:10]
+        (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+         .bucketBy(n, col).sortBy(*(cluster or [col])).option("path", path).saveAsTable(name))
+        return spark.table(name).select(*df.columns)
     out = df
     if partition_month:
         out = out.withColumn("activity_month", F.trunc(F.col(partition_month), "month"))
