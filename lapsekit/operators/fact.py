@@ -31,31 +31,27 @@ def period_spine(spark: SparkSession, spec: ChurnSpec = DEFAULT_SPEC) -> DataFra
         (F.col("pos") + 1).cast("long").alias("quarter_index"))
 
 
-def _spine_array(spec: ChurnSpec):
-    return F.array(*[
-        F.struct(F.lit(p.label).alias("quarter_label"), F.lit(p.start).alias("quarter_start_date"),
-                 F.lit(p.end).alias("quarter_end_date"), F.lit(p.index).cast("long").alias("quarter_index"))
-        for p in periods_of(spec.period_start, spec.period_end, spec.grain)])
-
-
 def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """Exactly one row per (person, analysis period), active or not.
 
     Persons come from the identity map (unambiguous, non-NULL), periods from the
-    parameters. Spine rows (identity row x period, generated in place) and
-    in-scope events go through ONE aggregate on (person, period): a single
-    shuffle with map-side combine, no join and no separate distinct.
+    parameters. Spine rows (identity row x period index, generated in place) and
+    in-scope events go through ONE aggregate on (person, period index): a single
+    shuffle with map-side combine, no join and no separate distinct. Period
+    label and dates are looked up from the index after the aggregate, so the
+    shuffle carries the narrowest key.
     """
-    first = periods_of(spec.period_start, spec.period_end, spec.grain)[0].start
+    periods = periods_of(spec.period_start, spec.period_end, spec.grain)
+    first = periods[0].start
     prim, strict = spec.primary, spec.strict
+    # the shuffle key is (person, period index); label and dates are looked up after the aggregate
     spine = (identity
              .filter(~F.col("has_ambiguous_mapping") & F.col("unified_user_id").isNotNull())
-             .select("unified_user_id", F.inline(_spine_array(spec)))
-             .select("unified_user_id", "quarter_label", "quarter_start_date", "quarter_end_date",
-                     "quarter_index", F.lit(True).alias("_spine")))
+             .select("unified_user_id",
+                     F.explode(F.array(*[F.lit(p.index).cast("long") for p in periods])).alias("quarter_index"),
+                     F.lit(True).alias("_spine")))
     ev = (events.filter(F.col("is_in_scope"))
-          .select("unified_user_id", "quarter_label", "quarter_start_date",
-                  period_end("quarter_start_date", spec.grain).alias("quarter_end_date"),
+          .select("unified_user_id",
                   period_index("activity_date", first, spec.grain).alias("quarter_index"),
                   F.lit(False).alias("_spine"),
                   "channel", "source_feed", "event_or_status", "amount_sar", "activity_date",
@@ -65,8 +61,7 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
     counts_p = F.col(activity_col(prim))
     is_coupon, is_cash = ch == COUPON, ch == CASHBACK
     dec0 = F.lit(0).cast("decimal(38,9)")
-    agg = rows.groupBy("unified_user_id", "quarter_label", "quarter_start_date",
-                       "quarter_end_date", "quarter_index").agg(
+    agg = rows.groupBy("unified_user_id", "quarter_index").agg(
         F.bool_or("_spine").alias("_in_spine"),
         F.count_if(is_coupon & counts_p).alias("eligible_coupon_events"),
         F.count_if(is_cash).alias("cashback_transactions_total"),
@@ -84,8 +79,11 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
         F.max(F.when(counts_p, F.col("activity_date"))).alias("last_activity_date"),
     )
     cpn, csh = F.col("is_active_coupon"), F.col("is_active_cashback")
+    at = lambda vals: F.element_at(F.array(*[F.lit(v) for v in vals]), F.col("quarter_index").cast("int"))
     return agg.filter("_in_spine").select(
-        "unified_user_id", "quarter_label", "quarter_start_date", "quarter_end_date", "quarter_index",
+        "unified_user_id", at([p.label for p in periods]).alias("quarter_label"),
+        at([p.start for p in periods]).alias("quarter_start_date"),
+        at([p.end for p in periods]).alias("quarter_end_date"), "quarter_index",
         "eligible_coupon_events", "cashback_transactions_total", "cashback_approved_transactions",
         "cashback_pending_transactions", "cashback_excluded_transactions", "distinct_affiliate_sources",
         F.coalesce("approved_amount_sar", dec0).alias("approved_amount_sar"),

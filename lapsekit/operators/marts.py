@@ -52,23 +52,28 @@ def transitions(long: DataFrame) -> DataFrame:
 
 
 def definition_sensitivity(trans: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
-    """Base vs strict definition side by side; deltas of rounded rates."""
+    """Broad vs strict definition side by side; deltas of the rounded rates.
+
+    One conditional aggregate over the transitions (keyed by transition), so
+    the transitions are computed once instead of being joined to themselves."""
     b_name, a_name = spec.primary.name, spec.strict.name
-    b = trans.filter(F.col("definition_name") == b_name).alias("b")
-    a = trans.filter(F.col("definition_name") == a_name).alias("a")
-    j = b.join(a, F.col("a.from_quarter") == F.col("b.from_quarter"), "inner")
-    return j.select(
-        F.col("b.from_quarter").alias("from_quarter"), F.col("b.to_quarter").alias("to_quarter"),
-        F.col("b.active_base").alias(f"{b_name}_active_base"),
-        F.col("a.active_base").alias(f"{a_name}_active_base"),
-        (F.col("a.active_base") - F.col("b.active_base")).alias("active_base_delta"),
-        F.col("b.churned_users").alias(f"{b_name}_churned"),
-        F.col("a.churned_users").alias(f"{a_name}_churned"),
-        (F.col("a.churned_users") - F.col("b.churned_users")).alias("churned_delta"),
-        F.col("b.next_quarter_churn_rate").alias(f"{b_name}_churn_rate"),
-        F.col("a.next_quarter_churn_rate").alias(f"{a_name}_churn_rate"),
-        F.round(F.col("a.next_quarter_churn_rate") - F.col("b.next_quarter_churn_rate"), 4)
-        .alias("churn_rate_delta_pp"),
+    d = F.col("definition_name")
+    pick = lambda name, c: F.max(F.when(d == name, F.col(c)))
+    g = trans.groupBy("from_quarter", "to_quarter").agg(
+        pick(b_name, "active_base").alias(f"{b_name}_active_base"),
+        pick(a_name, "active_base").alias(f"{a_name}_active_base"),
+        pick(b_name, "churned_users").alias(f"{b_name}_churned"),
+        pick(a_name, "churned_users").alias(f"{a_name}_churned"),
+        pick(b_name, "next_quarter_churn_rate").alias(f"{b_name}_churn_rate"),
+        pick(a_name, "next_quarter_churn_rate").alias(f"{a_name}_churn_rate"))
+    g = g.filter(F.col(f"{b_name}_active_base").isNotNull() & F.col(f"{a_name}_active_base").isNotNull())
+    return g.select(
+        "from_quarter", "to_quarter", f"{b_name}_active_base", f"{a_name}_active_base",
+        (F.col(f"{a_name}_active_base") - F.col(f"{b_name}_active_base")).alias("active_base_delta"),
+        f"{b_name}_churned", f"{a_name}_churned",
+        (F.col(f"{a_name}_churned") - F.col(f"{b_name}_churned")).alias("churned_delta"),
+        f"{b_name}_churn_rate", f"{a_name}_churn_rate",
+        F.round(F.col(f"{a_name}_churn_rate") - F.col(f"{b_name}_churn_rate"), 4).alias("churn_rate_delta_pp"),
     )
 
 

@@ -62,16 +62,17 @@ def row_count_monitor(audit: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def cardinality_ledger(layers) -> DataFrame:
-    """Rows in / out of each pipeline step, computed live. One global count
-    per table; the other tables' counts enter as scalar subqueries."""
+    """Rows in / out of each pipeline step, computed live: one count per
+    table, unioned and folded into one row (a single job), then stacked."""
     raw, L = layers.raw, layers
-    cnt = lambda df: df.select(F.count(F.lit(1))).scalar()
-    base = raw.coupons.agg(F.count(F.lit(1)).alias("raw_c")).select(
-        "raw_c", cnt(L.stg_coupons).alias("stg_c"), cnt(raw.cashback).alias("raw_b"),
-        cnt(L.stg_cashback).alias("stg_b"), cnt(raw.identity).alias("raw_i"), cnt(L.stg_identity).alias("stg_i"),
-        L.events.agg(F.count(F.lit(1))).scalar().alias("ev"),
-        L.events.agg(F.count_if(F.col("is_in_scope"))).scalar().alias("scope"),
-        cnt(L.fact).alias("fct"))
+    tables = {"raw_c": raw.coupons, "stg_c": L.stg_coupons, "raw_b": raw.cashback, "stg_b": L.stg_cashback,
+              "raw_i": raw.identity, "stg_i": L.stg_identity, "fct": L.fact}
+    counts = [df.agg(F.lit(k).alias("k"), F.count(F.lit(1)).alias("n")) for k, df in tables.items()]
+    counts.append(L.events.agg(F.lit("ev").alias("k"), F.count(F.lit(1)).alias("n")))
+    counts.append(L.events.agg(F.lit("scope").alias("k"), F.count_if(F.col("is_in_scope")).alias("n")))
+    allc = reduce(DataFrame.unionByName, counts)
+    base = allc.agg(*[F.max(F.when(F.col("k") == k, F.col("n"))).alias(k)
+                      for k in list(tables) + ["ev", "scope"]])
     steps = [
         (1, "Coupon: raw -> staging", F.col("raw_c"), F.col("stg_c"), "Duplicate coupon_event_id rows collapsed"),
         (2, "Cashback: raw -> staging", F.col("raw_b"), F.col("stg_b"), "Duplicate transaction_id rows collapsed"),

@@ -47,23 +47,26 @@ def report_summary(active_base: DataFrame, transitions: DataFrame, cohort_summar
     return reduce(DataFrame.unionByName, [s1, s2, s3, s4])
 
 
-def headline(transitions: DataFrame, sensitivity: DataFrame, pending: DataFrame,
-             spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+def headline(transitions: DataFrame, pending: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """Primary-definition transitions with the strict rate, the delta and
-    the pending risk of the from-period."""
+    the pending risk of the from-period (one conditional aggregate over the
+    transitions, then a left join to the per-period exposure)."""
     p, s = spec.primary.name, spec.strict.name
-    t = transitions.filter(F.col("definition_name") == p).alias("t")
-    sn = sensitivity.alias("s")
-    e = pending.select(F.col("quarter_label").alias("_q"), "share_of_active_base_at_risk").alias("e")
-    j = t.join(sn, F.col("s.from_quarter") == F.col("t.from_quarter")).join(
-        e, F.col("e._q") == F.col("t.from_quarter"), "left")
+    d = F.col("definition_name")
+    pick = lambda name, c: F.max(F.when(d == name, F.col(c)))
+    t = transitions.groupBy("from_quarter", "to_quarter").agg(
+        pick(p, "active_base").alias("active_base"), pick(p, "retained_users").alias("retained_users"),
+        pick(p, "churned_users").alias("churned_users"),
+        pick(p, "next_quarter_churn_rate").alias(f"churn_rate_{p}"),
+        pick(s, "next_quarter_churn_rate").alias(f"churn_rate_{s}"),
+        pick(s, "active_base").alias("_strict_base"))
+    t = t.filter(F.col("active_base").isNotNull() & F.col("_strict_base").isNotNull())
+    e = pending.select(F.col("quarter_label").alias("_q"), "share_of_active_base_at_risk")
+    j = t.join(e, F.col("_q") == F.col("from_quarter"), "left")
     return j.select(
-        F.col("t.from_quarter").alias("from_quarter"), F.col("t.to_quarter").alias("to_quarter"),
-        F.col("t.active_base").alias("active_base"), F.col("t.retained_users").alias("retained_users"),
-        F.col("t.churned_users").alias("churned_users"),
-        F.col("t.next_quarter_churn_rate").alias(f"churn_rate_{p}"),
-        F.col(f"s.{s}_churn_rate").alias(f"churn_rate_{s}"), F.col("s.churn_rate_delta_pp").alias("churn_rate_delta_pp"),
-        F.col("e.share_of_active_base_at_risk").alias("from_quarter_pending_risk"))
+        "from_quarter", "to_quarter", "active_base", "retained_users", "churned_users", f"churn_rate_{p}",
+        f"churn_rate_{s}", F.round(F.col(f"churn_rate_{s}") - F.col(f"churn_rate_{p}"), 4).alias("churn_rate_delta_pp"),
+        F.col("share_of_active_base_at_risk").alias("from_quarter_pending_risk"))
 
 
 def cohort_funnel(cohort_summary: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:

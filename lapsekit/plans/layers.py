@@ -211,7 +211,7 @@ class Layers:
     @cached_property
     def headline(self) -> DataFrame:
         from lapsekit.operators.reporting import headline
-        return headline(self.transitions, self.sensitivity, self.pending_exposure, self.spec)
+        return headline(self.transitions, self.pending_exposure, self.spec)
 
     @cached_property
     def cohort_funnel(self) -> DataFrame:
