@@ -22,17 +22,22 @@ _BUILDS: dict = {}
 MATERIALISE = True  # build staging / events / fact once per session and input folder
 
 
-def layers(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC) -> Layers:
+def layers(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC, source: str = "feeds") -> Layers:
     """The model over the driver tables. With ``MATERIALISE`` the staging, event
     and fact layers are written once (per session, input folder and spec) under
     the session's checkpoint folder and every query reads them back, as a
     warehouse reads its stored tables; otherwise every query is one lazy plan
     from the raw tables."""
+    def inputs():
+        if source == "events":
+            from lapsekit.sources.adapter import adapter_event_stream_inputs
+            return adapter_event_stream_inputs(_tbl(spark, sf_dir, "events"))
+        return adapter_inputs(spark, sf_dir)
     if not MATERIALISE:
-        return Layers(adapter_inputs(spark, sf_dir), spec)
-    key = (spark.sparkContext.applicationId, sf_dir, spec)
+        return Layers(inputs(), spec)
+    key = (spark.sparkContext.applicationId, sf_dir, spec, source)
     if key not in _BUILDS:
-        _BUILDS[key] = Layers(adapter_inputs(spark, sf_dir), spec, materialise=True)
+        _BUILDS[key] = Layers(inputs(), spec, materialise=True)
     return _BUILDS[key]
 
 
@@ -168,3 +173,13 @@ def _many(spark, sf_dir):
 
 QUERIES["m20b_activity_as_of_many"] = _many
 QUERIES["e01_confirmation_horizon"] = _e(lambda X, L, s, d: X.confirmation_horizon(X.hazard_curve(L.long), 0.25))
+
+
+# ---- the same model at weekly grain over the driver's events table -------------------
+def _weekly(attr):
+    from lapsekit.spec import WEEKLY_SPEC
+    return lambda spark, sf_dir: getattr(layers(spark, sf_dir, WEEKLY_SPEC, source="events"), attr)
+
+
+QUERIES["w08_weekly_active_base"] = _weekly("active_base")
+QUERIES["w09_weekly_transitions"] = _weekly("transitions")

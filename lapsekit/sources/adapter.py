@@ -176,3 +176,19 @@ def adapter_network_feeds(orders: DataFrame) -> dict:
                                                  "purchase_date": "purchase_day"},
                                 {"paid": "approved", "open": "pending", "void": "cancelled"})),
     }
+
+
+def adapter_event_stream_inputs(events: DataFrame) -> RawInputs:
+    """The ``events`` table as a single-channel activity feed for a weekly-grain
+    model: every user is a person (identity map = the distinct users), every
+    event a coupon-channel event, and a purchase is the eligible activity."""
+    from lapsekit.sources.feeds import CASHBACK_SCHEMA
+    spark = events.sparkSession
+    u = F.col("user_id")
+    identity = events.select(u).distinct().select(
+        F.lit("coupon").alias("source_system"), _s("E", u).alias("source_user_id"), _s("U", u).alias("unified_user_id"))
+    coupons = events.select(
+        _s("EV", F.col("event_id")).alias("coupon_event_id"), _s("E", u).alias("coupon_user_id"),
+        F.col("ts").cast("date").alias("event_date"), F.col("event_type").alias("merchant_id"),
+        F.when(F.col("event_type") == "purchase", "coupon_copy").otherwise(F.col("event_type")).alias("event_type"))
+    return RawInputs(identity, coupons, spark.createDataFrame([], CASHBACK_SCHEMA))

@@ -74,7 +74,7 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
         w.parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    back = spark.read.parquet(path)
+    back = spark.read.schema(out.schema).parquet(path)     # schema given: an empty table reads back empty
     if partition_month:
         back = back.drop("activity_month")
     return back.select(*df.columns)

@@ -86,3 +86,6 @@ DEFAULT_SPEC = ChurnSpec()
 
 # The spec used for the driver tables (TPC-H-like dates): calendar 1996.
 ADAPTER_SPEC = ChurnSpec(period_start=dt.date(1996, 1, 1), period_end=dt.date(1996, 12, 31))
+
+# The spec used for the driver's ``events`` table: weekly periods over January 2024.
+WEEKLY_SPEC = ChurnSpec(period_start=dt.date(2024, 1, 1), period_end=dt.date(2024, 1, 31), grain="week")
