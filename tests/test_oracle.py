@@ -14,7 +14,7 @@ def con():
     if not os.path.exists(SF_SMALL):
         pytest.skip("driver tables not present")
     c = duckdb.connect()
-    for t in ["customer", "part", "orders", "lineitem"]:
+    for t in ["customer", "part", "orders", "lineitem", "events"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 
