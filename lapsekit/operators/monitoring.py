@@ -20,8 +20,9 @@ def table_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     last write time, read from the files' own metadata (``_metadata``)."""
     parts = []
     for name, path in tables.items():
-        df = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size",
-                                             "_metadata.file_modification_time")
+        # only the files' metadata is read; the schema is given so an empty table audits as 0 rows
+        df = spark.read.schema("_audit_unused int").parquet(path).select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
         per_file = df.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.max("file_size").alias("b"),
                                                F.max("file_modification_time").alias("t"))
         parts.append(per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
@@ -86,3 +87,52 @@ def cardinality_ledger(layers) -> DataFrame:
     long = base.select(F.stack(F.lit(len(steps)), *parts).alias("step_order", "step", "rows_in", "rows_out", "explanation"))
     return long.select("step_order", "step", "rows_in", "rows_out", (F.col("rows_out") - F.col("rows_in")).alias("row_delta"),
                        "explanation")
+
+
+def expected_row_counts(layers) -> DataFrame:
+    """The model's own arithmetic for its stored objects, computed from the inputs:
+    staging = one row per distinct business key (+ one per NULL-key row), events =
+    staged coupons + staged cashback, fact = unambiguous persons x periods,
+    checks = the size of the check catalogue."""
+    from lapsekit.functions.periods import periods_of
+    from lapsekit.functions.text import norm_code, norm_key
+    from lapsekit.operators.quality import CHECKS
+    raw, spec = layers.raw, layers.spec
+
+    def keyed(df, *cols):
+        ks = [norm_code(cols[0]) if cols[0] == "source_system" else norm_key(cols[0])] + [norm_key(c) for c in cols[1:]]
+        has = ks[0].isNotNull()
+        for k in ks[1:]:
+            has = has & k.isNotNull()
+        return df.agg(F.count_distinct(F.when(has, F.struct(*ks))) + F.count_if(~has))
+
+    n_periods = len(periods_of(spec.period_start, spec.period_end, spec.grain))
+    persons = layers.stg_identity.filter(~F.col("has_ambiguous_mapping")).select(
+        F.count_distinct("unified_user_id"))
+    rows = [("stg_identity_map", keyed(raw.identity, "source_system", "source_user_id")),
+            ("stg_coupon_events", keyed(raw.coupons, "coupon_event_id")),
+            ("stg_cashback_transactions", keyed(raw.cashback, "transaction_id")),
+            ("fct_user_quarter_activity", persons.select((F.col(persons.columns[0]) * n_periods)))]
+    parts = [df.select(F.lit(n).alias("object_name"), F.col(df.columns[0]).cast("long").alias("expected_rows"))
+             for n, df in rows]
+    ev = (layers.stg_coupons.agg(F.count(F.lit(1)).alias("a"))
+          .select(F.lit("int_unified_activity_events").alias("object_name"),
+                  (F.col("a") + layers.stg_cashback.select(F.count(F.lit(1))).scalar()).cast("long").alias("expected_rows")))
+    spark = layers.spark
+    dq = spark.range(1).select(F.lit("dq_check_results").alias("object_name"), F.lit(len(CHECKS)).cast("long").alias("expected_rows"))
+    return reduce(DataFrame.unionByName, parts + [ev, dq])
+
+
+def model_audit(layers) -> DataFrame:
+    """Row counts of the model's stored objects: from the written files' metadata
+    when the layers are stored, else by counting the (lazy) objects."""
+    objs = {"stg_identity_map": layers.stg_identity, "stg_coupon_events": layers.stg_coupons,
+            "stg_cashback_transactions": layers.stg_cashback, "int_unified_activity_events": layers.events,
+            "fct_user_quarter_activity": layers.fact, "dq_check_results": layers.dq_checks(with_checked_at=False)}
+    if layers.materialise and layers._location:
+        import os
+        return table_audit(layers.spark, {n: os.path.join(layers._location, n) for n in objs})
+    parts = [df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
+        F.lit(n).alias("object_name"), "row_count", F.lit(None).cast("long").alias("size_bytes"),
+        F.lit(None).cast("timestamp").alias("last_built_at")) for n, df in objs.items()]
+    return reduce(DataFrame.unionByName, parts)

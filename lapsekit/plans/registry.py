@@ -183,3 +183,16 @@ def _weekly(attr):
 
 QUERIES["w08_weekly_active_base"] = _weekly("active_base")
 QUERIES["w09_weekly_transitions"] = _weekly("transitions")
+
+
+
+def _monitor(spark, sf_dir):
+    """M28 over the stored build: counts from the files against the model's arithmetic
+    (the wall-clock columns -- build time, hours since, bytes -- are left out)."""
+    from lapsekit.operators.monitoring import expected_row_counts, model_audit, row_count_monitor
+    L = layers(spark, sf_dir)
+    return row_count_monitor(model_audit(L), expected_row_counts(L)).select(
+        "layer", "object_name", "row_count", "expected_rows", "row_count_drift", "row_count_status")
+
+
+QUERIES["m28_row_count_monitor"] = _monitor
