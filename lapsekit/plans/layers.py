@@ -27,6 +27,29 @@ class Layers:
         self.buckets = buckets        # person buckets of the stored fact (default: shuffle partitions)
         self._location = location
 
+    def build(self, parallel: bool = True) -> "Layers":
+        """Write the stored layers now (when ``materialise``). The three staging
+        tables do not depend on each other, so they are submitted as concurrent
+        Spark jobs from separate threads (the scheduler interleaves their tasks);
+        events, fact and the check results follow in dependency order."""
+        if not self.materialise:
+            return self
+        if self._location is None:
+            from lapsekit.sources.sinks import new_location
+            self._location = new_location(self.spark, "build")
+        first = ["stg_identity", "stg_coupons", "stg_cashback"]
+        if parallel:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=len(first)) as pool:
+                for f in [pool.submit(getattr, self, n) for n in first]:
+                    f.result()
+        else:
+            for n in first:
+                getattr(self, n)
+        for n in ("events", "fact", "dq_check_results"):
+            getattr(self, n)
+        return self
+
     @property
     def spark(self) -> SparkSession:
         return self.raw.identity.sparkSession

@@ -43,10 +43,7 @@ def layers(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC, source: str = "f
 
 def use_materialised(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC) -> Layers:
     """Build (write) the stored layers now and return them."""
-    L = layers(spark, sf_dir, spec)
-    for name in ("stg_identity", "stg_coupons", "stg_cashback", "events", "fact"):
-        getattr(L, name)
-    return L
+    return layers(spark, sf_dir, spec).build(parallel=True)
 
 
 def register(name: str, attr: str | None = None):
