@@ -83,3 +83,37 @@ def definition_disagreements(fact: DataFrame) -> DataFrame:
         "unified_user_id", "quarter_label", "quarter_index", "cashback_pending_transactions",
         "pending_amount_sar",
         F.lit("active under baseline, inactive under approved_only").alias("disagreement"))
+
+
+def transitions_by_bitmap(fact: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """M09 without a window: one hash aggregate per person folds the activity of
+    every period into a bit mask per definition (``bit_or`` of ``1 << (index-1)``,
+    a fixed-width buffer, so map-side combine applies), then each transition is a
+    bit test and the counts are a tiny second aggregate. Same result as
+    :func:`transitions`; suited to a fact that is not stored by person. Periods <= 63."""
+    from lapsekit.functions.periods import periods_of
+    from lapsekit.operators.fact import active_col
+    ps = periods_of(spec.period_start, spec.period_end, spec.grain)
+    if len(ps) > 63:
+        raise ValueError("bit masks hold at most 63 periods; use transitions()")
+    one = F.lit(1).cast("long")
+    bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(quarter_index - 1 AS INT))")
+    masks = fact.groupBy("unified_user_id").agg(*[
+        F.bit_or(F.when(F.col(active_col(d)), bit).otherwise(F.lit(0).cast("long"))).alias(d.name)
+        for d in spec.definitions])
+    per_def = masks.select(F.inline(F.array(*[
+        F.struct(F.lit(d.name).alias("definition_name"), F.col(d.name).alias("bits")) for d in spec.definitions])))
+    steps = per_def.select("definition_name", "bits",
+                           F.explode(F.array(*[F.lit(p.index) for p in ps[:-1]])).alias("i"))
+    on = lambda k: F.expr(f"shiftright(bits, CAST(i - 1 + {k} AS INT))").bitwiseAND(one) == 1
+    a, n = on(0), on(1)
+    agg = steps.groupBy("definition_name", "i").agg(
+        F.count_if(a).alias("active_base"), F.count_if(a & n).alias("retained_users"),
+        F.count_if(a & ~n).alias("churned_users"), F.count_if(~a & n).alias("new_or_returning_users"))
+    lab = F.create_map(*[F.lit(x) for p in ps for x in (p.index, p.label)])
+    return agg.select(
+        "definition_name", lab[F.col("i")].alias("from_quarter"), lab[F.col("i") + 1].alias("to_quarter"),
+        "active_base", "retained_users", "churned_users",
+        rate("churned_users", "active_base").alias("next_quarter_churn_rate"),
+        rate("retained_users", "active_base").alias("next_quarter_retention_rate"),
+        "new_or_returning_users")

@@ -193,3 +193,12 @@ def _monitor(spark, sf_dir):
 
 
 QUERIES["m28_row_count_monitor"] = _monitor
+
+
+def _bitmap(spark, sf_dir):
+    from lapsekit.operators.marts import transitions_by_bitmap
+    L = layers(spark, sf_dir)
+    return transitions_by_bitmap(L.fact, L.spec)
+
+
+QUERIES["m09b_transitions_bitmap"] = _bitmap

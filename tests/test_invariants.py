@@ -102,3 +102,12 @@ def test_plan_shapes(spark, layers):
     assert _exchanges(fact) <= 7
     top = fact._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
     assert "Join" not in top
+
+
+def test_bitmap_path_equals_window_path(layers, golden):
+    from lapsekit.operators.marts import transitions_by_bitmap
+    for L in (layers, golden):
+        a, b = L.transitions, transitions_by_bitmap(L.fact, L.spec)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = transitions_by_bitmap(layers.fact, layers.spec)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
