@@ -26,6 +26,10 @@ class Layers:
         self.materialise = materialise
         self.buckets = buckets        # person buckets of the stored fact (default: shuffle partitions)
         self._location = location
+        import threading
+        self._lock = threading.Lock()
+        self._stored: dict[str, DataFrame] = {}
+        self._name_locks: dict[str, threading.Lock] = {}
 
     def build(self, parallel: bool = True) -> "Layers":
         """Write the stored layers now (when ``materialise``). The three staging
@@ -59,15 +63,26 @@ class Layers:
         if not self.materialise:
             return df
         import os
-        from lapsekit.sources.sinks import materialise, new_location
-        loc = self._location or new_location(self.spark, "build")
-        self._location = loc
+        import threading
+        from lapsekit.sources.sinks import new_location
+        with self._lock:                       # one writer per stored object, even across threads
+            if self._location is None:
+                self._location = new_location(self.spark, "build")
+            loc = self._location
+            name_lock = self._name_locks.setdefault(name, threading.Lock())
+        with name_lock:
+            if name in self._stored:
+                return self._stored[name]
+            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col)
+            return self._stored[name]
+
+    def _write(self, df, path, partition_month, cluster, bucket_col):
+        from lapsekit.sources.sinks import materialise
         bucket = None
         if bucket_col:
             n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             bucket = (n, bucket_col)
-        return materialise(df, os.path.join(loc, name), partition_month=partition_month, cluster=cluster,
-                           bucket_by=bucket)
+        return materialise(df, path, partition_month=partition_month, cluster=cluster, bucket_by=bucket)
 
     # ---- layer 1 ---------------------------------------------------------
     @cached_property
