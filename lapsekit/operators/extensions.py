@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lapsekit.functions.periods import period_end, period_label, period_start, periods_of
 from lapsekit.functions.rates import rate
-from lapsekit.spec import ALL_SOURCES_LABEL, APPROVED, CASHBACK, ChurnSpec, DEFAULT_SPEC
+from lapsekit.spec import ALL_SOURCES_LABEL, APPROVED, ChurnSpec, DEFAULT_SPEC
 
 ALL_COHORTS = "ALL COHORTS"
 

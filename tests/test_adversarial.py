@@ -4,7 +4,6 @@ and stale duplicates, impossible dates, ...) added to a tiny clean extract."""
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 
 from lapsekit.plans.layers import Layers
 from lapsekit.sources.adapter import RawInputs
