@@ -35,65 +35,83 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
     """Exactly one row per (person, analysis period), active or not.
 
     Persons come from the identity map (unambiguous, non-NULL), periods from the
-    parameters. Spine rows (identity row x period index, generated in place) and
-    in-scope events go through ONE aggregate on (person, period index): a single
-    shuffle with map-side combine, no join and no separate distinct. Period
-    label and dates are looked up from the index after the aggregate, so the
-    shuffle carries the narrowest key.
+    parameters. The dense rows are never shuffled:
+
+    1. in-scope events are aggregated per (person, period index) -- the sparse
+       activity, combined in the map tasks, so a person holding a large share of
+       the events reaches the shuffle as at most one partial row per period;
+    2. persons and their sparse periods meet in ONE aggregate keyed by person
+       (at most one entry per period per person, a bound set by the parameters);
+    3. each person row is expanded in place to every period, inactive ones
+       included (a Generate after the shuffle).
+
+    The result is hash-partitioned by person, so windows and aggregates keyed by
+    person downstream (transitions, cohorts, ...) need no further shuffle, and a
+    bucketed write by person has one writer per bucket. No join, no cross join,
+    no distinct.
     """
     periods = periods_of(spec.period_start, spec.period_end, spec.grain)
     first = periods[0].start
     prim, strict = spec.primary, spec.strict
-    # the shuffle key is (person, period index); label and dates are looked up after the aggregate
-    spine = (identity
-             .filter(~F.col("has_ambiguous_mapping") & F.col("unified_user_id").isNotNull())
-             .select("unified_user_id",
-                     F.explode(F.array(*[F.lit(p.index).cast("long") for p in periods])).alias("quarter_index"),
-                     F.lit(True).alias("_spine")))
     ev = (events.filter(F.col("is_in_scope"))
           .select("unified_user_id",
                   period_index("activity_date", first, spec.grain).alias("quarter_index"),
-                  F.lit(False).alias("_spine"),
                   "channel", "source_feed", "event_or_status", "amount_sar", "activity_date",
                   *[activity_col(d) for d in spec.definitions]))
-    rows = spine.unionByName(ev, allowMissingColumns=True)
     ch, st = F.col("channel"), F.col("event_or_status")
     counts_p = F.col(activity_col(prim))
     is_coupon, is_cash = ch == COUPON, ch == CASHBACK
     dec0 = F.lit(0).cast("decimal(38,9)")
-    agg = rows.groupBy("unified_user_id", "quarter_index").agg(
-        F.bool_or("_spine").alias("_in_spine"),
-        F.count_if(is_coupon & counts_p).alias("eligible_coupon_events"),
-        F.count_if(is_cash).alias("cashback_transactions_total"),
-        F.count_if(is_cash & (st == APPROVED)).alias("cashback_approved_transactions"),
-        F.count_if(is_cash & (st == PENDING)).alias("cashback_pending_transactions"),
-        F.count_if(is_cash & st.isin(*EXCLUDED_STATUSES)).alias("cashback_excluded_transactions"),
-        F.size(F.collect_set(F.when(is_cash & counts_p, F.col("source_feed")))).cast("long")
-        .alias("distinct_affiliate_sources"),
-        F.sum(F.when(is_cash & (st == APPROVED), F.col("amount_sar")).otherwise(dec0)).alias("approved_amount_sar"),
-        F.sum(F.when(is_cash & (st == PENDING), F.col("amount_sar")).otherwise(dec0)).alias("pending_amount_sar"),
-        *[F.coalesce(F.bool_or(activity_col(d)), F.lit(False)).alias(active_col(d)) for d in spec.definitions],
-        F.coalesce(F.bool_or(is_coupon & counts_p), F.lit(False)).alias("is_active_coupon"),
-        F.coalesce(F.bool_or(is_cash & counts_p), F.lit(False)).alias("is_active_cashback"),
-        F.min(F.when(counts_p, F.col("activity_date"))).alias("first_activity_date"),
-        F.max(F.when(counts_p, F.col("activity_date"))).alias("last_activity_date"),
-    )
-    cpn, csh = F.col("is_active_coupon"), F.col("is_active_cashback")
+    metrics = {
+        "eligible_coupon_events": F.count_if(is_coupon & counts_p),
+        "cashback_transactions_total": F.count_if(is_cash),
+        "cashback_approved_transactions": F.count_if(is_cash & (st == APPROVED)),
+        "cashback_pending_transactions": F.count_if(is_cash & (st == PENDING)),
+        "cashback_excluded_transactions": F.count_if(is_cash & st.isin(*EXCLUDED_STATUSES)),
+        "distinct_affiliate_sources": F.size(F.collect_set(F.when(is_cash & counts_p, F.col("source_feed"))))
+        .cast("long"),
+        "approved_amount_sar": F.sum(F.when(is_cash & (st == APPROVED), F.col("amount_sar")).otherwise(dec0)),
+        "pending_amount_sar": F.sum(F.when(is_cash & (st == PENDING), F.col("amount_sar")).otherwise(dec0)),
+        **{active_col(d): F.bool_or(activity_col(d)) for d in spec.definitions},
+        "is_active_coupon": F.bool_or(is_coupon & counts_p),
+        "is_active_cashback": F.bool_or(is_cash & counts_p),
+        "first_activity_date": F.min(F.when(counts_p, F.col("activity_date"))),
+        "last_activity_date": F.max(F.when(counts_p, F.col("activity_date"))),
+    }
+    sparse = ev.groupBy("unified_user_id", "quarter_index").agg(*[c.alias(n) for n, c in metrics.items()])
+    packed = sparse.select("unified_user_id", F.lit(False).alias("_person"),
+                           F.struct("quarter_index", *metrics).alias("_m"))
+    persons = (identity.filter(~F.col("has_ambiguous_mapping") & F.col("unified_user_id").isNotNull())
+               .select("unified_user_id", F.lit(True).alias("_person"),
+                       F.lit(None).cast(packed.schema["_m"].dataType).alias("_m")))
+    per_person = (persons.unionByName(packed).groupBy("unified_user_id")
+                  .agg(F.bool_or("_person").alias("_in_spine"), F.collect_list("_m").alias("_ms"))
+                  .filter("_in_spine"))
+    by_index = F.map_from_entries(F.transform("_ms", lambda m: F.struct(m["quarter_index"], m)))
+    dense = per_person.select(
+        "unified_user_id",
+        F.explode(F.array(*[F.lit(p.index).cast("long") for p in periods])).alias("quarter_index"),
+        by_index.alias("_by_index"))
+    r = F.try_element_at(F.col("_by_index"), F.col("quarter_index"))
+    got = lambda n, default: F.coalesce(r[n], default)
+    f0 = F.lit(False)
+    cpn, csh = got("is_active_coupon", f0), got("is_active_cashback", f0)
     at = lambda vals: F.element_at(F.array(*[F.lit(v) for v in vals]), F.col("quarter_index").cast("int"))
-    return agg.filter("_in_spine").select(
+    return dense.select(
         "unified_user_id", at([p.label for p in periods]).alias("quarter_label"),
         at([p.start for p in periods]).alias("quarter_start_date"),
         at([p.end for p in periods]).alias("quarter_end_date"), "quarter_index",
-        "eligible_coupon_events", "cashback_transactions_total", "cashback_approved_transactions",
-        "cashback_pending_transactions", "cashback_excluded_transactions", "distinct_affiliate_sources",
-        F.coalesce("approved_amount_sar", dec0).alias("approved_amount_sar"),
-        F.coalesce("pending_amount_sar", dec0).alias("pending_amount_sar"),
-        *[active_col(d) for d in spec.definitions],
-        "is_active_coupon", "is_active_cashback",
+        *[got(n, F.lit(0).cast("long")).alias(n) for n in
+          ["eligible_coupon_events", "cashback_transactions_total", "cashback_approved_transactions",
+           "cashback_pending_transactions", "cashback_excluded_transactions", "distinct_affiliate_sources"]],
+        got("approved_amount_sar", dec0).alias("approved_amount_sar"),
+        got("pending_amount_sar", dec0).alias("pending_amount_sar"),
+        *[got(active_col(d), f0).alias(active_col(d)) for d in spec.definitions],
+        cpn.alias("is_active_coupon"), csh.alias("is_active_cashback"),
         F.when(cpn & csh, "both").when(cpn, "coupon_only").when(csh, "cashback_only")
         .otherwise("inactive").alias("activity_mix"),
-        (F.col(active_col(prim)) & ~F.col(active_col(strict))).alias("is_active_on_pending_only"),
-        "first_activity_date", "last_activity_date",
+        (got(active_col(prim), f0) & ~got(active_col(strict), f0)).alias("is_active_on_pending_only"),
+        r["first_activity_date"].alias("first_activity_date"), r["last_activity_date"].alias("last_activity_date"),
     )
 
 

@@ -95,11 +95,18 @@ def test_plan_shapes(spark, layers):
     # staging: one shuffle per table (one aggregate on the key, no join, no window)
     assert _exchanges(stage_coupons(layers.raw.coupons)) == 1
     # the dense fact adds exactly one shuffle on top of its inputs (no join to a spine)
-    from lapsekit.operators.fact import user_period_activity
+    from lapsekit.operators.fact import by_definition, user_period_activity
+    from lapsekit.operators.marts import transitions
+    from lapsekit.operators.cohort import cohort_users
     fact = user_period_activity(layers.events, layers.stg_identity)
-    # staging of coupons, cashback and identity (3), identity once more for the spine (1),
-    # the identity-resolution join (2 sides) and the fact's own aggregate (1)
-    assert _exchanges(fact) <= 7
+    # staging of coupons, cashback and identity (3), identity once more for the persons (1),
+    # the identity-resolution join (2 sides), the sparse person-period aggregate (1) and the
+    # per-person aggregate that densifies after the shuffle (1)
+    assert _exchanges(fact) <= 8
+    # the fact comes out partitioned by person: the transition window and the cohort pivot
+    # add no shuffle of their own (only the final, tiny per-transition aggregate)
+    assert _exchanges(transitions(by_definition(fact))) == _exchanges(fact) + 1
+    assert _exchanges(cohort_users(by_definition(fact))) == _exchanges(fact)
     top = fact._jdf.queryExecution().optimizedPlan().toString().split("Union")[0]
     assert "Join" not in top
 
