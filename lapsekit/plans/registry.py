@@ -144,20 +144,22 @@ def _combine(spark, sf_dir):
 
 
 def _incremental(spark, sf_dir):
-    """E11 over the adapter's cashback feed, delivered in three arrival batches
-    (by purchase year); returns the incrementally staged table."""
+    """E11 over the adapter feeds: the coupon feed arrives as one batch, the cashback
+    feed in three arrival batches (by purchase year); each batch re-stages and
+    re-resolves only the months it touches. Returns the incrementally kept event stream."""
     from lapsekit.sources.sinks import new_location
-    from lapsekit.streaming.incremental import IncrementalStaging
-    raw = adapter_inputs(spark, sf_dir).cashback
-    inc = IncrementalStaging(spark, new_location(spark, "incremental"), "cashback", ADAPTER_SPEC)
+    from lapsekit.streaming.incremental import IncrementalEvents
+    raw = adapter_inputs(spark, sf_dir)
+    model = IncrementalEvents(spark, new_location(spark, "incremental"), raw.identity, ADAPTER_SPEC)
+    model.apply("coupon", raw.coupons, 0)
     y = F.year("purchase_date")
     for epoch, cond in enumerate([y < 1997, (y >= 1997) & (y < 1999), (y >= 1999) | y.isNull()]):
-        inc.apply(raw.filter(cond), epoch)
-    return inc.staged()
+        model.apply("cashback", raw.cashback.filter(cond), epoch)
+    return model.events()
 
 
 QUERIES["s4_combine_feeds"] = _combine
-QUERIES["e11_incremental_staging"] = _incremental
+QUERIES["e11_incremental_events"] = _incremental
 
 
 def _many(spark, sf_dir):

@@ -64,7 +64,8 @@ class IncrementalStaging:
         finally:
             conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
-    def apply(self, batch: DataFrame, epoch_id: int) -> None:
+    def apply(self, batch: DataFrame, epoch_id: int) -> list:
+        """Land one batch and re-stage the months it touches; returns those months."""
         cols = self.schema.fieldNames()
         b = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch_id)).cast("long")) \
                  .withColumn(MONTH, F.trunc(F.col(self.date), "month"))
@@ -89,20 +90,76 @@ class IncrementalStaging:
         # an affected month whose rows all moved to another month must not keep stale rows
         for m in months:
             if m not in written:
-                self._clear(m)
-
-    def _clear(self, month) -> None:
-        name = f"{MONTH}={month.isoformat()}" if month is not None else f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(os.path.join(self.stg_path, name))
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            fs.delete(path, True)
+                clear_partition(self.spark, self.stg_path, m)
+        return months
 
     def full_rebuild(self) -> DataFrame:
         return self._stage(self.raw().select(*self.schema.fieldNames()))
 
 
+def clear_partition(spark: SparkSession, table_path: str, month) -> None:
+    """Remove one month folder of a month-partitioned table (a month left with no rows)."""
+    name = f"{MONTH}={month.isoformat()}" if month is not None else f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(table_path, name))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
+class IncrementalEvents:
+    """The unified event stream kept incrementally: both feeds are staged by
+    :class:`IncrementalStaging`, and after each batch only the event months it
+    touched are rebuilt (identity resolution of those months' staged rows, dynamic
+    partition overwrite). The identity map is an input of the build: a change to
+    it calls for a full rebuild."""
+
+    def __init__(self, spark: SparkSession, root: str, identity_raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC):
+        from lapsekit.operators.staging import stage_identity
+        self.spark, self.spec = spark, spec
+        from lapsekit.sources.sinks import materialise
+        self.coupons = IncrementalStaging(spark, root, "coupon", spec)
+        self.cashback = IncrementalStaging(spark, root, "cashback", spec)
+        # staged once and stored: every batch resolves its months against the same map
+        self.identity = materialise(stage_identity(identity_raw, spec), os.path.join(root, "stg_identity_map"),
+                                    cluster=["source_system", "source_user_id"])
+        self.events_path = os.path.join(root, "int_unified_activity_events")
+
+    def _staged_months(self, inc: IncrementalStaging, months: list) -> DataFrame:
+        if not os.path.exists(inc.stg_path):
+            return self.spark.createDataFrame([], inc._stage(self.spark.createDataFrame([], inc.schema)).schema)
+        known = [m for m in months if m is not None]
+        cond = F.col(MONTH).isin(*known) if known else F.lit(False)
+        if len(known) < len(months):
+            cond = cond | F.col(MONTH).isNull()
+        return self.spark.read.parquet(inc.stg_path).filter(cond).drop(MONTH)
+
+    def apply(self, feed: str, batch: DataFrame, epoch_id: int) -> list:
+        from lapsekit.operators.events import unify_events
+        inc = self.coupons if feed == "coupon" else self.cashback
+        months = inc.apply(batch, epoch_id)
+        ev = unify_events(self._staged_months(self.coupons, months), self._staged_months(self.cashback, months),
+                          self.identity, self.spec)
+        ev = ev.withColumn(MONTH, F.trunc("activity_date", "month")).hint("rebalance", MONTH) \
+               .sortWithinPartitions(MONTH, "unified_user_id").persist()
+        try:
+            inc._write(ev, self.events_path, [MONTH])
+            written = {r[0] for r in ev.select(MONTH).distinct().collect()}
+        finally:
+            ev.unpersist()
+        for m in months:
+            if m not in written:
+                clear_partition(self.spark, self.events_path, m)
+        return months
+
+    def events(self) -> DataFrame:
+        return self.spark.read.parquet(self.events_path).drop(MONTH)
+
+    def full_rebuild(self) -> DataFrame:
+        from lapsekit.operators.events import unify_events
+        return unify_events(self.coupons.full_rebuild(), self.cashback.full_rebuild(), self.identity, self.spec)
+
+
 def start_incremental_stream(spark: SparkSession, landing: str, root: str, checkpoint: str,
                              feed: str = "cashback", fmt: str = "csv", spec: ChurnSpec = DEFAULT_SPEC,
                              available_now: bool = True):

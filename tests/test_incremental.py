@@ -49,3 +49,25 @@ def test_streaming_query_over_landing_folder(spark):
     q.awaitTermination(120)
     assert _same(inc.staged(), inc.full_rebuild())
     assert inc.staged().count() == 2
+
+
+def test_incremental_event_stream_equals_full_rebuild(spark):
+    from lapsekit.sources.feeds import COUPON_SCHEMA, IDENTITY_SCHEMA
+    from lapsekit.streaming.incremental import IncrementalEvents
+    root = tempfile.mkdtemp(prefix="lapsekit-incev-")
+    idn = spark.createDataFrame([("coupon", "C1", "U1"), ("cashback", "B1", "U1"), ("cashback", "B2", "U2")],
+                                IDENTITY_SCHEMA)
+    model = IncrementalEvents(spark, root, idn)
+    model.apply("coupon", spark.createDataFrame(
+        [("E1", "C1", D(2025, 2, 1), "M", "coupon_copy"), ("E2", "C9", D(2025, 3, 1), "M", "coupon_copy")],
+        COUPON_SCHEMA), 0)
+    model.apply("cashback", spark.createDataFrame(
+        [("T1", "B1", D(2025, 2, 3), "M", "N", "pending", None, Decimal(5)),
+         ("T2", "B2", D(2025, 5, 3), "M", "N", "approved", D(2025, 5, 9), Decimal(2))], CASHBACK_SCHEMA), 0)
+    model.apply("cashback", spark.createDataFrame(
+        [("T1", "B1", D(2025, 2, 3), "M", "N", "approved", D(2025, 3, 1), Decimal(5)),
+         ("T3", "B2", D(2025, 7, 3), "M", "N", "approved", D(2025, 7, 9), Decimal(2))], CASHBACK_SCHEMA), 1)
+    model.apply("coupon", spark.createDataFrame(
+        [("E1", "C1", D(2025, 2, 1), "M", "coupon_copy")], COUPON_SCHEMA), 1)
+    assert _same(model.events(), model.full_rebuild())
+    assert model.events().count() == 5
