@@ -8,9 +8,10 @@ and then only the months it touches are re-staged:
 
 * touched keys  = the business keys in the batch (a late status update of an
   old transaction is a new raw row with an old key),
-* affected months = every month in which any raw row of a touched key lives
-  (a semi-join of the raw store with the touched keys; the month list is bounded
-  by the calendar, not by the data),
+* affected months = the batch's own months (read from the folders it was
+  written to) plus every month in which an older raw row of a touched key
+  lives (a semi-join of the older raw rows with the touched keys; the month
+  list is bounded by the calendar, not by the data),
 * re-stage = the staging operator over the raw rows of the affected months
   (partition pruning reads only those folders), written with dynamic partition
   overwrite; an affected month left with no staged row is cleared.
@@ -55,6 +56,26 @@ class IncrementalStaging:
     def staged(self) -> DataFrame:
         return self.spark.read.parquet(self.stg_path).drop(MONTH)
 
+    def _fs_list(self, path: str) -> list[str]:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+    def _months_of_epoch(self, epoch: int) -> list:
+        import datetime as dt
+        out = []
+        for name in self._fs_list(os.path.join(self.raw_path, f"_epoch={epoch}")):
+            if name.startswith(MONTH + "="):
+                v = name.split("=", 1)[1]
+                out.append(None if v == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(v))
+        return out
+
+    def _has_other_epochs(self, epoch: int) -> bool:
+        return any(n.startswith("_epoch=") and n != f"_epoch={epoch}" for n in self._fs_list(self.raw_path))
+
     def _write(self, df: DataFrame, path: str, parts: list[str]) -> None:
         conf = self.spark.conf
         prev = conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -70,11 +91,17 @@ class IncrementalStaging:
         b = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch_id)).cast("long")) \
                  .withColumn(MONTH, F.trunc(F.col(self.date), "month"))
         self._write(b.hint("rebalance", MONTH), self.raw_path, ["_epoch", MONTH])
+        # months of this batch: the month folders it was just written to (a listing, no scan)
+        months = set(self._months_of_epoch(int(epoch_id)))
+        # months where older raw rows of the touched keys live (only if older epochs exist)
+        if self._has_other_epochs(int(epoch_id)):
+            raw = self.raw()
+            keys = batch.select(norm_key(self.key).alias("_k")).distinct()
+            older = raw.filter(F.col("_epoch") != int(epoch_id))
+            touched = older.join(keys, norm_key(F.col(self.key)).eqNullSafe(F.col("_k")), "left_semi")
+            months |= {r[0] for r in touched.select(MONTH).distinct().collect()}   # bounded by the calendar
+        months = sorted(months, key=lambda m: (m is not None, m))
         raw = self.raw()
-        keys = batch.select(norm_key(self.key).alias("_k")).distinct()
-        touched = raw.join(keys, norm_key(F.col(self.key)).eqNullSafe(F.col("_k")), "left_semi")
-        # the affected months: a list bounded by the calendar, used as a literal partition filter
-        months = [r[0] for r in touched.select(MONTH).distinct().collect()]
         known = [m for m in months if m is not None]
         cond = F.col(MONTH).isin(*known) if known else F.lit(False)
         if len(known) < len(months):
