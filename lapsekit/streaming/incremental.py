@@ -124,6 +124,13 @@ class IncrementalStaging:
         return self._stage(self.raw().select(*self.schema.fieldNames()))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check on the cluster's file system (not the driver's local disk)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def clear_partition(spark: SparkSession, table_path: str, month) -> None:
     """Remove one month folder of a month-partitioned table (a month left with no rows)."""
     name = f"{MONTH}={month.isoformat()}" if month is not None else f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
@@ -136,10 +143,11 @@ def clear_partition(spark: SparkSession, table_path: str, month) -> None:
 
 class IncrementalEvents:
     """The unified event stream kept incrementally: both feeds are staged by
-    :class:`IncrementalStaging`, and after each batch only the event months it
-    touched are rebuilt (identity resolution of those months' staged rows, dynamic
-    partition overwrite). The identity map is an input of the build: a change to
-    it calls for a full rebuild."""
+    :class:`IncrementalStaging`, the events are stored partitioned by (channel,
+    month), and after each batch only the batch's channel and months are rebuilt
+    (identity resolution of those months' staged rows, dynamic partition
+    overwrite). The identity map is an input of the build: a change to it calls
+    for a full rebuild."""
 
     def __init__(self, spark: SparkSession, root: str, identity_raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC):
         from lapsekit.operators.staging import stage_identity
@@ -152,9 +160,12 @@ class IncrementalEvents:
                                     cluster=["source_system", "source_user_id"])
         self.events_path = os.path.join(root, "int_unified_activity_events")
 
+    def _empty_staged(self, inc: IncrementalStaging) -> DataFrame:
+        return inc._stage(self.spark.createDataFrame([], inc.schema))
+
     def _staged_months(self, inc: IncrementalStaging, months: list) -> DataFrame:
-        if not os.path.exists(inc.stg_path):
-            return self.spark.createDataFrame([], inc._stage(self.spark.createDataFrame([], inc.schema)).schema)
+        if not path_exists(self.spark, inc.stg_path):
+            return self._empty_staged(inc)
         known = [m for m in months if m is not None]
         cond = F.col(MONTH).isin(*known) if known else F.lit(False)
         if len(known) < len(months):
@@ -162,25 +173,32 @@ class IncrementalEvents:
         return self.spark.read.parquet(inc.stg_path).filter(cond).drop(MONTH)
 
     def apply(self, feed: str, batch: DataFrame, epoch_id: int) -> list:
+        """Stage the batch, then rebuild only this feed's event partitions
+        (channel, month) for the months it touched; the other channel's events
+        are not read or rewritten."""
         from lapsekit.operators.events import unify_events
         inc = self.coupons if feed == "coupon" else self.cashback
         months = inc.apply(batch, epoch_id)
-        ev = unify_events(self._staged_months(self.coupons, months), self._staged_months(self.cashback, months),
-                          self.identity, self.spec)
+        staged = self._staged_months(inc, months)
+        if feed == "coupon":
+            ev = unify_events(staged, self._empty_staged(self.cashback), self.identity, self.spec)
+        else:
+            ev = unify_events(self._empty_staged(self.coupons), staged, self.identity, self.spec)
         ev = ev.withColumn(MONTH, F.trunc("activity_date", "month")).hint("rebalance", MONTH) \
                .sortWithinPartitions(MONTH, "unified_user_id").persist()
         try:
-            inc._write(ev, self.events_path, [MONTH])
+            inc._write(ev, self.events_path, ["channel", MONTH])
             written = {r[0] for r in ev.select(MONTH).distinct().collect()}
         finally:
             ev.unpersist()
         for m in months:
             if m not in written:
-                clear_partition(self.spark, self.events_path, m)
+                clear_partition(self.spark, os.path.join(self.events_path, f"channel={feed}"), m)
         return months
 
     def events(self) -> DataFrame:
-        return self.spark.read.parquet(self.events_path).drop(MONTH)
+        cols = self.full_rebuild().columns
+        return self.spark.read.parquet(self.events_path).drop(MONTH).select(*cols)
 
     def full_rebuild(self) -> DataFrame:
         from lapsekit.operators.events import unify_events
