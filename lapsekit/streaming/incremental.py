@@ -51,6 +51,9 @@ class IncrementalStaging:
         return (stage_cashback if self.feed == "cashback" else stage_coupons)(raw, self.spec)
 
     def raw(self) -> DataFrame:
+        if not path_exists(self.spark, self.raw_path):          # nothing landed yet
+            return (self.spark.createDataFrame([], self.schema)
+                    .withColumn("_epoch", F.lit(None).cast("long")).withColumn(MONTH, F.lit(None).cast("date")))
         return self.spark.read.parquet(self.raw_path)
 
     def staged(self) -> DataFrame:
@@ -207,14 +210,18 @@ class IncrementalEvents:
 
 def start_incremental_stream(spark: SparkSession, landing: str, root: str, checkpoint: str,
                              feed: str = "cashback", fmt: str = "csv", spec: ChurnSpec = DEFAULT_SPEC,
-                             available_now: bool = True):
-    """Run the incremental staging as a streaming query over a landing folder.
-    ``checkpoint`` must be a shared folder (it holds the stream's offsets)."""
-    inc = IncrementalStaging(spark, root, feed, spec)
+                             available_now: bool = True, model: IncrementalEvents | None = None):
+    """Run the incremental build as a streaming query over a landing folder of one
+    feed. Without ``model`` each micro-batch re-stages the feed's touched months;
+    with an :class:`IncrementalEvents` model it also rebuilds the feed's touched
+    event months. ``checkpoint`` must be a shared folder (the stream's offsets)."""
+    inc = model.coupons if (model is not None and feed == "coupon") else \
+        model.cashback if model is not None else IncrementalStaging(spark, root, feed, spec)
     reader = spark.readStream.schema(inc.schema)
     if fmt == "csv":
         reader = reader.option("header", True)
     stream = reader.format(fmt).load(landing)
-    w = stream.writeStream.foreachBatch(inc.apply).option("checkpointLocation", checkpoint)
+    sink = inc.apply if model is None else (lambda df, epoch: model.apply(feed, df, epoch))
+    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return inc, w.start()

@@ -71,3 +71,22 @@ def test_incremental_event_stream_equals_full_rebuild(spark):
         [("E1", "C1", D(2025, 2, 1), "M", "coupon_copy")], COUPON_SCHEMA), 1)
     assert _same(model.events(), model.full_rebuild())
     assert model.events().count() == 5
+
+
+def test_streaming_event_model(spark):
+    from lapsekit.sources.feeds import IDENTITY_SCHEMA
+    from lapsekit.streaming.incremental import IncrementalEvents
+    root = tempfile.mkdtemp(prefix="lapsekit-stream-ev-")
+    landing = os.path.join(root, "landing")
+    rows = [("T1", "B1", D(2025, 3, 10), "M", "N", "pending", None, Decimal(5)),
+            ("T1", "B1", D(2025, 3, 10), "M", "N", "approved", D(2025, 4, 25), Decimal(5)),
+            ("T2", "B7", D(2025, 8, 1), "M", "Z", "approved", D(2025, 8, 3), Decimal(3))]
+    spark.createDataFrame(rows, CASHBACK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(landing)
+    idn = spark.createDataFrame([("cashback", "B1", "U1")], IDENTITY_SCHEMA)
+    model = IncrementalEvents(spark, os.path.join(root, "store"), idn)
+    _, q = start_incremental_stream(spark, landing, root, os.path.join(root, "ckpt"), fmt="parquet", model=model)
+    q.awaitTermination(120)
+    ev = model.events()
+    assert _same(ev, model.full_rebuild())
+    got = {r.source_event_id: (r.unified_user_id, r.is_unmapped_user) for r in ev.collect()}
+    assert got == {"T1": ("U1", False), "T2": (None, True)}
