@@ -8,19 +8,19 @@ WITH p AS (
 ), d AS (
     SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest FROM p
 ), g AS (
-    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS leader FROM d
 )
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN first <> page_id THEN first END AS refers_to
+       CASE WHEN leader IS NULL OR leader = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN leader <> page_id THEN leader END AS refers_to
 FROM g
 """
 
 ORACLES["op6_url_filters"] = r"""
 WITH u AS (
-    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS pos FROM pages
 ), rest AS (
-    SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM u
+    SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u
 ), parts AS (
     SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                               'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -65,7 +65,7 @@ WITH t AS (
 ), twice AS (
     SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM triples) WHERE n > 1
 ), r AS (
-    SELECT doc_id, count(DISTINCT at) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY 1
+    SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS pos FROM twice) GROUP BY 1
 ), g AS (
     SELECT f.doc_id, n_words, word_chars, n_symbols,
            CAST(len(full_lines) - len(list_distinct(full_lines)) AS BIGINT) AS n_dup_lines,
@@ -84,21 +84,21 @@ ORACLES["op8_line_dedup"] = r"""
 WITH d AS (
     SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
 ), l AS (
-    SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS at FROM d
+    SELECT doc_id, unnest(lines) AS line, unnest(range(0, len(lines))) AS pos FROM d
 ), seq AS (
     SELECT *, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3,
-           lead(at, 1) OVER o AS at2, lead(at, 2) OVER o AS at3
+           lead(pos, 1) OVER o AS pos2, lead(pos, 2) OVER o AS pos3
     FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
-    WINDOW o AS (PARTITION BY doc_id ORDER BY at)
+    WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
 ), later AS (
-    SELECT doc_id, at, at2, at3,
-           row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, at) AS nth
+    SELECT doc_id, pos, pos2, pos3,
+           row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, pos) AS nth
     FROM seq WHERE line3 IS NOT NULL
 ), gone AS (
-    SELECT DISTINCT doc_id, unnest([at, at2, at3]) AS at FROM later WHERE nth > 1
+    SELECT DISTINCT doc_id, unnest([pos, pos2, pos3]) AS pos FROM later WHERE nth > 1
 ), kept AS (
-    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS text
-    FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.at = l.at WHERE g.at IS NULL GROUP BY l.doc_id
+    SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
+    FROM l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos WHERE g.pos IS NULL GROUP BY l.doc_id
 ), n AS (
     SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
 )
