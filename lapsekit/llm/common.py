@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it (a checkout that is not installed)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in (have := env.get("PYTHONPATH", "")).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, have)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share (``spark.checkpoint.dir``).
 

@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsekit.llm import line_dedup, quality_rules, url_filters, warc
-from lapsekit.llm.common import table
+from lapsekit.llm import edit_fingerprints, html_text, line_dedup, near_dups, packing, piece_codec, quality_rules, secret_scan, url_filters, warc
+from lapsekit.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -25,6 +32,35 @@ def op1_warc(spark, sf_dir):
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+@query
+def op2_near_dups(spark, sf_dir):
+    """Near-duplicate components of all documents."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_piece_codec(spark, sf_dir):
+    """Every document encoded, and whether decoding gives it back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = docs.withColumn("ids", piece_codec.encoded(F.col("text"), path))
+    return (ids.withColumn("back", piece_codec.decoded(F.col("ids"), path))
+            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+                    F.col("back").eqNullSafe(F.col("text")).alias("round_trip")))
+
+
+@query
+def op4_edit_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    return edit_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    """Every document's pieces with their places in the packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op6_url_filters(spark, sf_dir):
     """Host, path, rule and verdict of every page's url."""
@@ -45,3 +81,24 @@ def op8_line_dedup(spark, sf_dir):
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed")
     return done.select("doc_id", F.size("removed").cast("long").alias("n_removed"),
                        F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op9_secret_scan(spark, sf_dir):
+    """Secrets of every document: base spans, and all spans with those of the field."""
+    spans = F.filter(F.split("spans", ","), lambda s: s != "")
+    base = F.filter(spans, lambda s: ~s.startswith("crf:"))
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op10_html_text(spark, sf_dir):
+    """The main text of every page."""
+    return (html_text.extract(table(spark, sf_dir, "pages"))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
