@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from lapsekit.plans.layers import Layers
 from lapsekit.sources.adapter import adapter_inputs
+from lapsekit.sources.sinks import new_location
+from lapsekit.streaming.incremental import IncrementalEvents, start_incremental_stream
 from lapsekit.spec import ADAPTER_SPEC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,17 +146,21 @@ def _combine(spark, sf_dir):
 
 
 def _incremental(spark, sf_dir):
-    """E11 over the adapter feeds: the coupon feed arrives as one batch, the cashback
-    feed in three arrival batches (by purchase year); each batch re-stages and
-    re-resolves only the months it touches. Returns the incrementally kept event stream."""
-    from lapsekit.sources.sinks import new_location
-    from lapsekit.streaming.incremental import IncrementalEvents
+    """E11 over the adapter feeds, as streams: the feeds land as files in the shared
+    folder, the coupon feed in one, the cashback feed in three arrivals (by purchase
+    year); every micro-batch re-stages and re-resolves only the months it touches.
+    Returns the incrementally kept event stream."""
     raw = adapter_inputs(spark, sf_dir)
-    model = IncrementalEvents(spark, new_location(spark, "incremental"), raw.identity, ADAPTER_SPEC)
-    model.apply("coupon", raw.coupons, 0)
+    root = new_location(spark, "incremental")
+    model = IncrementalEvents(spark, f"{root}/store", raw.identity, ADAPTER_SPEC)
     y = F.year("purchase_date")
-    for epoch, cond in enumerate([y < 1997, (y >= 1997) & (y < 1999), (y >= 1999) | y.isNull()]):
-        model.apply("cashback", raw.cashback.filter(cond), epoch)
+    arrivals = [("coupon", raw.coupons)] + [("cashback", raw.cashback.filter(cond)) for cond in
+                                            (y < 1997, (y >= 1997) & (y < 1999), (y >= 1999) | y.isNull())]
+    for feed, rows in arrivals:  # each arrival is streamed before the next one lands
+        rows.write.mode("append").parquet(f"{root}/landing_{feed}")
+        _, stream = start_incremental_stream(spark, f"{root}/landing_{feed}", root, f"{root}/checkpoint_{feed}", feed,
+                                             "parquet", ADAPTER_SPEC, model=model)
+        stream.awaitTermination()
     return model.events()
 
 

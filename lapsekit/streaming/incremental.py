@@ -1,31 +1,41 @@
 """Incremental staging on activity month, driven by Structured Streaming.
 
 New raw rows of a feed arrive as files in a landing folder. Each micro-batch
-(``foreachBatch``) is appended to a raw store partitioned by
-(``_epoch``, ``activity_month``) -- writing a batch again after a retry
-replaces exactly its own folders, so a replayed epoch is not double counted --
-and then only the months it touches are re-staged:
+(``foreachBatch``) is appended to a raw store partitioned by ``_batch`` (the stream's
+id and the epoch: two streams into one store never meet in a folder) and
+``activity_month``. Writing a batch again after a retry replaces exactly its own
+folders, so a replayed epoch is not double counted. Then only the months that the
+batch touches are re-staged:
 
 * touched keys  = the business keys in the batch (a late status update of an
-  old transaction is a new raw row with an old key),
+  old transaction is a new raw row with an old key); rows without a key are
+  never merged with others and so touch only their own month,
 * affected months = the batch's own months (read from the folders it was
-  written to) plus every month in which an older raw row of a touched key
-  lives (a semi-join of the older raw rows with the touched keys; the month
-  list is bounded by the calendar, not by the data),
-* re-stage = the staging operator over the raw rows of the affected months
-  (partition pruning reads only those folders), written with dynamic partition
-  overwrite; an affected month left with no staged row is cleared.
-
-All copies of a key are inside the affected months, so the result equals a full
-rebuild. The staged store is the month-partitioned table every later layer reads.
+  written to) plus every month in which a raw row of a touched key lives (a
+  semi-join of the raw rows with the touched keys). With ``reprocess_months`` --
+  the longest time a decision takes -- only raw months from that long before the
+  batch's first month on are searched, so that a batch costs as much as the window
+  and not as the history; without it all are,
+* re-stage = the staging operator over the affected months' raw rows of touched
+  keys and of no key (partition pruning reads only those folders); staged rows of
+  other keys stay as they are, for their copies may lie in other months. The months
+  are written with dynamic partition overwrite, set on the write itself; an affected
+  month left with no staged row is cleared.
+
+All copies of a touched key are inside the affected months (with a window: of keys
+whose copies are no further apart), so the result equals a full rebuild. The staged
+store is the month-partitioned table every later layer reads.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapsekit.functions.text import norm_key
 from lapsekit.sources.feeds import CASHBACK_SCHEMA, COUPON_SCHEMA
@@ -37,26 +47,32 @@ FEEDS = {
     "coupon": (COUPON_SCHEMA, "coupon_event_id", "event_date"),
 }
 MONTH = "activity_month"
+BATCH = "_batch"
 
 
 class IncrementalStaging:
-    def __init__(self, spark: SparkSession, root: str, feed: str = "cashback", spec: ChurnSpec = DEFAULT_SPEC):
+    def __init__(self, spark: SparkSession, root: str, feed: str = "cashback", spec: ChurnSpec = DEFAULT_SPEC,
+                 reprocess_months: int | None = None):
         self.spark, self.root, self.feed, self.spec = spark, root, feed, spec
         self.schema, self.key, self.date = FEEDS[feed]
         self.raw_path = os.path.join(root, f"raw_{feed}")
         self.stg_path = os.path.join(root, f"stg_{feed}")
+        self.reprocess_months = reprocess_months
 
     def _stage(self, raw: DataFrame) -> DataFrame:
         from lapsekit.operators.staging import stage_cashback, stage_coupons
         return (stage_cashback if self.feed == "cashback" else stage_coupons)(raw, self.spec)
 
     def raw(self) -> DataFrame:
+        schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.StringType()),
+                               T.StructField(MONTH, T.DateType())])
         if not path_exists(self.spark, self.raw_path):          # nothing landed yet
-            return (self.spark.createDataFrame([], self.schema)
-                    .withColumn("_epoch", F.lit(None).cast("long")).withColumn(MONTH, F.lit(None).cast("date")))
-        return self.spark.read.parquet(self.raw_path)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.raw_path)
 
     def staged(self) -> DataFrame:
+        if not path_exists(self.spark, self.stg_path):
+            return self._stage(self.spark.createDataFrame([], self.schema))
         return self.spark.read.parquet(self.stg_path).drop(MONTH)
 
     def _fs_list(self, path: str) -> list[str]:
@@ -67,66 +83,89 @@ class IncrementalStaging:
             return []
         return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
-    def _months_of_epoch(self, epoch: int) -> list:
-        import datetime as dt
-        out = []
-        for name in self._fs_list(os.path.join(self.raw_path, f"_epoch={epoch}")):
+    def _months_of(self, batch: str) -> set:
+        out = set()
+        for name in self._fs_list(os.path.join(self.raw_path, f"{BATCH}={batch}")):
             if name.startswith(MONTH + "="):
                 v = name.split("=", 1)[1]
-                out.append(None if v == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(v))
+                out.add(None if v == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(v))
         return out
 
-    def _has_other_epochs(self, epoch: int) -> bool:
-        return any(n.startswith("_epoch=") and n != f"_epoch={epoch}" for n in self._fs_list(self.raw_path))
-
-    def _write(self, df: DataFrame, path: str, parts: list[str]) -> None:
-        conf = self.spark.conf
-        prev = conf.get("spark.sql.sources.partitionOverwriteMode")
-        conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            df.write.mode("overwrite").partitionBy(*parts).parquet(path)
-        finally:
-            conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-    def apply(self, batch: DataFrame, epoch_id: int) -> list:
-        """Land one batch and re-stage the months it touches; returns those months."""
+    def _key(self):
+        return norm_key(F.col(self.key))
+
+    def _touched_keys(self, batch: DataFrame, name: str) -> DataFrame:
+        """The batch's keys and, where it was landed before, those of the earlier attempt; written out,
+        since that attempt's rows are about to go."""
+        keys = batch.select(self._key().alias("_k"))
+        if self._months_of(name):
+            keys = keys.union(self.raw().filter(F.col(BATCH) == name).select(self._key()))
+        path = os.path.join(self.root, f"touched_{self.feed}", name)
+        keys.filter("_k IS NOT NULL").distinct().write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("_k string").parquet(path)
+
+    def _months_with(self, keys: DataFrame, own: list) -> set:
+        """Months of raw rows that have one of the keys (within the window, where there is one)."""
+        raw = self.raw().filter(F.col(self.key).isNotNull())
+        if self.reprocess_months is not None and (dated := [m for m in own if m is not None]):
+            since = F.add_months(F.lit(min(dated)), -self.reprocess_months)
+            raw = raw.filter((F.col(MONTH) >= since) | F.col(MONTH).isNull())
+        touched = raw.select(MONTH, self._key().alias("_k")).join(keys, "_k", "left_semi")
+        return {r[0] for r in touched.select(MONTH).distinct().collect()}      # bounded by the calendar
+
+    def apply(self, batch: DataFrame, epoch_id: int, stream: str = "direct") -> list:
+        """Land one batch and re-stage the months it touches; returns those months. A batch is
+        known by (``stream``, ``epoch_id``): the same pair again replaces the earlier rows."""
         cols = self.schema.fieldNames()
-        b = batch.select(*cols).withColumn("_epoch", F.lit(int(epoch_id)).cast("long")) \
-                 .withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        self._write(b.hint("rebalance", MONTH), self.raw_path, ["_epoch", MONTH])
-        # months of this batch: the month folders it was just written to (a listing, no scan)
-        months = set(self._months_of_epoch(int(epoch_id)))
-        # months where older raw rows of the touched keys live (only if older epochs exist)
-        if self._has_other_epochs(int(epoch_id)):
-            raw = self.raw()
-            keys = batch.select(norm_key(self.key).alias("_k")).distinct()
-            older = raw.filter(F.col("_epoch") != int(epoch_id))
-            touched = older.join(keys, norm_key(F.col(self.key)).eqNullSafe(F.col("_k")), "left_semi")
-            months |= {r[0] for r in touched.select(MONTH).distinct().collect()}   # bounded by the calendar
-        months = sorted(months, key=lambda m: (m is not None, m))
-        raw = self.raw()
-        known = [m for m in months if m is not None]
-        cond = F.col(MONTH).isin(*known) if known else F.lit(False)
-        if len(known) < len(months):
-            cond = cond | F.col(MONTH).isNull()
-        affected = raw.filter(cond)
-        staged = self._stage(affected.select(*cols)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        staged = staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key).persist()
-        try:
-            self._write(staged, self.stg_path, [MONTH])
-            written = {r[0] for r in staged.select(MONTH).distinct().collect()}
-        finally:
-            staged.unpersist()
-        # an affected month whose rows all moved to another month must not keep stale rows
-        for m in months:
-            if m not in written:
-                clear_partition(self.spark, self.stg_path, m)
+        name = f"{stream}-{int(epoch_id)}"
+        before = self._months_of(name)          # of the same batch before a retry: its rows go
+        keys = self._touched_keys(batch, name)
+        b = batch.select(*cols).withColumn(BATCH, F.lit(name)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
+        if before:
+            clear_folder(self.spark, os.path.join(self.raw_path, f"{BATCH}={name}"))
+        overwrite_partitions(b.hint("rebalance", MONTH), self.raw_path, [BATCH, MONTH])
+        own = before | self._months_of(name)
+        months = sorted(own | self._months_with(keys, list(own)), key=lambda m: (m is not None, m))
+        if not months:
+            return []
+        raw = in_months(self.raw(), months).withColumn("_k", self._key())
+        rows = raw.join(keys, "_k", "left_semi").unionByName(raw.filter("_k IS NULL")).select(*cols)
+        staged = self._stage(rows).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
+        if path_exists(self.spark, self.stg_path):              # rows of other keys stay as they are
+            kept = in_months(self.spark.read.parquet(self.stg_path), months).filter(F.col(self.key).isNotNull())
+            staged = staged.unionByName(kept.join(keys, kept[self.key] == keys["_k"], "left_anti"))
+        replace_months(staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key), self.stg_path, months)
         return months
 
     def full_rebuild(self) -> DataFrame:
         return self._stage(self.raw().select(*self.schema.fieldNames()))
 
 
+def in_months(df: DataFrame, months: list) -> DataFrame:
+    """The rows of the given month folders (None: the folder of rows without a date)."""
+    known = [m for m in months if m is not None]
+    cond = F.col(MONTH).isin(*known) if known else F.lit(False)
+    return df.filter(cond | F.col(MONTH).isNull() if None in months else cond)
+
+
+def overwrite_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
+    """Replace the partitions present in ``df`` and no others. The mode is set on this write: a
+    batch of a stream runs in a session of its own, and other writers keep their settings."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
+
+def replace_months(df: DataFrame, table: str, months: list, parts: tuple[str, ...] = (), folder: str = "") -> None:
+    """Write ``df`` over its month partitions and clear those of ``months`` that it has no row for.
+    The months written come with the write itself, so that ``df`` is computed once."""
+    seen = Observation()
+    df = df.observe(seen, F.collect_set(F.coalesce(F.col(MONTH).cast("string"), F.lit("none"))).alias("months"))
+    overwrite_partitions(df, table, [*parts, MONTH])
+    written = set(seen.get["months"] or ())
+    for m in months:
+        if (m.isoformat() if m is not None else "none") not in written:
+            clear_partition(df.sparkSession, os.path.join(table, folder), m)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check on the cluster's file system (not the driver's local disk)."""
     jvm = spark.sparkContext._jvm
@@ -137,8 +176,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def clear_partition(spark: SparkSession, table_path: str, month) -> None:
     """Remove one month folder of a month-partitioned table (a month left with no rows)."""
     name = f"{MONTH}={month.isoformat()}" if month is not None else f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(os.path.join(table_path, name))
+    clear_folder(spark, os.path.join(table_path, name))
+
+
+def clear_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
@@ -149,79 +191,108 @@ class IncrementalEvents:
     :class:`IncrementalStaging`, the events are stored partitioned by (channel,
     month), and after each batch only the batch's channel and months are rebuilt
     (identity resolution of those months' staged rows, dynamic partition
-    overwrite). The identity map is an input of the build: a change to it calls
-    for a full rebuild."""
+    overwrite). The identity map is an input of the build: the store remembers its
+    fingerprint, and opening it with another map is refused until :meth:`rebuild`
+    has resolved all events anew."""
 
-    def __init__(self, spark: SparkSession, root: str, identity_raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC):
+    def __init__(self, spark: SparkSession, root: str, identity_raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
+                 reprocess_months: int | None = None, accept_new_identity: bool = False):
         from lapsekit.operators.staging import stage_identity
-        self.spark, self.spec = spark, spec
         from lapsekit.sources.sinks import materialise
-        self.coupons = IncrementalStaging(spark, root, "coupon", spec)
-        self.cashback = IncrementalStaging(spark, root, "cashback", spec)
-        # staged once and stored: every batch resolves its months against the same map
-        self.identity = materialise(stage_identity(identity_raw, spec), os.path.join(root, "stg_identity_map"),
-                                    cluster=["source_system", "source_user_id"])
+        self.spark, self.spec = spark, spec
+        self.coupons = IncrementalStaging(spark, root, "coupon", spec, reprocess_months)
+        self.cashback = IncrementalStaging(spark, root, "cashback", spec, reprocess_months)
         self.events_path = os.path.join(root, "int_unified_activity_events")
+        staged, path = stage_identity(identity_raw, spec), os.path.join(root, "stg_identity_map")
+        if path_exists(spark, path):
+            stored = spark.read.schema(staged.schema).parquet(path)
+            if fingerprint(stored) != fingerprint(staged):
+                if not accept_new_identity:
+                    raise ValueError("the identity map differs from the one the stored events were resolved with; "
+                                     "open the store with accept_new_identity=True to resolve them anew")
+                self.identity = materialise(staged, path, cluster=["source_system", "source_user_id"])
+                self.rebuild()
+                return
+            self.identity = stored
+        else:
+            # staged once and stored: every batch resolves its months against the same map
+            self.identity = materialise(staged, path, cluster=["source_system", "source_user_id"])
 
-    def _empty_staged(self, inc: IncrementalStaging) -> DataFrame:
-        return inc._stage(self.spark.createDataFrame([], inc.schema))
-
-    def _staged_months(self, inc: IncrementalStaging, months: list) -> DataFrame:
-        if not path_exists(self.spark, inc.stg_path):
-            return self._empty_staged(inc)
-        known = [m for m in months if m is not None]
-        cond = F.col(MONTH).isin(*known) if known else F.lit(False)
-        if len(known) < len(months):
-            cond = cond | F.col(MONTH).isNull()
-        return self.spark.read.parquet(inc.stg_path).filter(cond).drop(MONTH)
+    def _resolve(self, feed: str, staged: DataFrame) -> DataFrame:
+        from lapsekit.operators.events import unify_events
+        empty = {f: i._stage(self.spark.createDataFrame([], i.schema)) for f, i in (("coupon", self.coupons), ("cashback", self.cashback))}
+        parts = {**empty, feed: staged}
+        return unify_events(parts["coupon"], parts["cashback"], self.identity, self.spec) \
+            .withColumn(MONTH, F.trunc("activity_date", "month"))
 
-    def apply(self, feed: str, batch: DataFrame, epoch_id: int) -> list:
+    def apply(self, feed: str, batch: DataFrame, epoch_id: int, stream: str = "direct") -> list:
         """Stage the batch, then rebuild only this feed's event partitions
         (channel, month) for the months it touched; the other channel's events
         are not read or rewritten."""
-        from lapsekit.operators.events import unify_events
         inc = self.coupons if feed == "coupon" else self.cashback
-        months = inc.apply(batch, epoch_id)
-        staged = self._staged_months(inc, months)
-        if feed == "coupon":
-            ev = unify_events(staged, self._empty_staged(self.cashback), self.identity, self.spec)
-        else:
-            ev = unify_events(self._empty_staged(self.coupons), staged, self.identity, self.spec)
-        ev = ev.withColumn(MONTH, F.trunc("activity_date", "month")).hint("rebalance", MONTH) \
-               .sortWithinPartitions(MONTH, "unified_user_id").persist()
-        try:
-            inc._write(ev, self.events_path, ["channel", MONTH])
-            written = {r[0] for r in ev.select(MONTH).distinct().collect()}
-        finally:
-            ev.unpersist()
-        for m in months:
-            if m not in written:
-                clear_partition(self.spark, os.path.join(self.events_path, f"channel={feed}"), m)
+        months = inc.apply(batch, epoch_id, stream)
+        if not months:
+            return months
+        staged = (in_months(self.spark.read.parquet(inc.stg_path), months).drop(MONTH)
+                  if path_exists(self.spark, inc.stg_path) else inc.staged())
+        ev = self._resolve(feed, staged).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "unified_user_id")
+        replace_months(ev, self.events_path, months, ("channel",), f"channel={feed}")
         return months
 
+    def rebuild(self) -> None:
+        """Resolve all staged events anew (after a change of the identity map)."""
+        for feed, inc in (("coupon", self.coupons), ("cashback", self.cashback)):
+            if path_exists(self.spark, inc.stg_path):
+                overwrite_partitions(self._resolve(feed, inc.staged()).hint("rebalance", MONTH),
+                                     self.events_path, ["channel", MONTH])
+
     def events(self) -> DataFrame:
-        cols = self.full_rebuild().columns
-        return self.spark.read.parquet(self.events_path).drop(MONTH).select(*cols)
+        empty = self._resolve("coupon", self.coupons._stage(self.spark.createDataFrame([], self.coupons.schema)))
+        cols = [c for c in empty.columns if c != MONTH]
+        if not path_exists(self.spark, self.events_path):
+            return empty.select(*cols)
+        return self.spark.read.schema(empty.schema).parquet(self.events_path).select(*cols)
 
     def full_rebuild(self) -> DataFrame:
         from lapsekit.operators.events import unify_events
         return unify_events(self.coupons.full_rebuild(), self.cashback.full_rebuild(), self.identity, self.spec)
 
 
+def fingerprint(df: DataFrame) -> tuple:
+    """Row count and a sum of row hashes: equal for equal tables in any order."""
+    row = F.xxhash64(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}))
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)"))).first())
+
+
+def stream_id(checkpoint: str) -> str:
+    """A stream is known by its checkpoint: a restart keeps the id, another checkpoint gets another."""
+    return "s" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
 def start_incremental_stream(spark: SparkSession, landing: str, root: str, checkpoint: str,
                              feed: str = "cashback", fmt: str = "csv", spec: ChurnSpec = DEFAULT_SPEC,
-                             available_now: bool = True, model: IncrementalEvents | None = None):
+                             available_now: bool = True, model: IncrementalEvents | None = None,
+                             max_files: int | None = None, reprocess_months: int | None = None):
     """Run the incremental build as a streaming query over a landing folder of one
     feed. Without ``model`` each micro-batch re-stages the feed's touched months;
     with an :class:`IncrementalEvents` model it also rebuilds the feed's touched
-    event months. ``checkpoint`` must be a shared folder (the stream's offsets)."""
+    event months. ``checkpoint`` must be a shared folder (the stream's offsets);
+    ``max_files`` bounds the files of a micro-batch."""
     inc = model.coupons if (model is not None and feed == "coupon") else \
-        model.cashback if model is not None else IncrementalStaging(spark, root, feed, spec)
+        model.cashback if model is not None else IncrementalStaging(spark, root, feed, spec, reprocess_months)
     reader = spark.readStream.schema(inc.schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-    stream = reader.format(fmt).load(landing)
-    sink = inc.apply if model is None else (lambda df, epoch: model.apply(feed, df, epoch))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    stream, name = reader.format(fmt).load(landing), stream_id(checkpoint)
+
+    def sink(df: DataFrame, epoch: int) -> None:
+        if model is None:
+            inc.apply(df, epoch, name)
+        else:
+            model.apply(feed, df, epoch, name)
+
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return inc, w.start()

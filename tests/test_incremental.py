@@ -90,3 +90,111 @@ def test_streaming_event_model(spark):
     assert _same(ev, model.full_rebuild())
     got = {r.source_event_id: (r.unified_user_id, r.is_unmapped_user) for r in ev.collect()}
     assert got == {"T1": ("U1", False), "T2": (None, True)}
+
+
+def _land(spark, landing, name, rows):
+    """One file of the landing folder, in the order of names."""
+    spark.createDataFrame(rows, CASHBACK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{landing}-{name}")
+    os.makedirs(landing, exist_ok=True)
+    part = next(f for f in sorted(os.listdir(f"{landing}-{name}")) if f.endswith(".parquet"))
+    import shutil
+    shutil.copy(os.path.join(f"{landing}-{name}", part), os.path.join(landing, f"{name}.parquet"))
+
+
+BATCHES = [
+    [("T1", "B1", D(2025, 1, 10), "M", "N", "pending", None, Decimal(5)),
+     ("T2", "B2", D(2025, 2, 2), "M", "N", "approved", D(2025, 2, 20), Decimal(7)),
+     (None, "B8", D(2025, 2, 5), "M", "N", "approved", None, Decimal(1))],
+    # a late decision, a replayed row, rows without a key or a date
+    [("T1", "B1", D(2025, 1, 10), "M", "N", "approved", D(2025, 3, 25), Decimal(5)),
+     ("T2", "B2", D(2025, 2, 2), "M", "N", "approved", D(2025, 2, 20), Decimal(7)),
+     (None, "B9", D(2025, 6, 1), "M", "N", "approved", None, Decimal(2)),
+     ("T5", "B1", None, "M", "N", "pending", None, Decimal(4))],
+    [("T3", "B2", D(2025, 4, 1), "M", "N", "approved", D(2025, 4, 9), Decimal(2)),
+     ("T1", "B1", D(2025, 5, 1), "M", "N", "approved", D(2025, 5, 9), Decimal(5))],
+]
+
+
+def test_stream_of_several_batches_restart_and_second_stream(spark):
+    root = tempfile.mkdtemp(prefix="lapsekit-stream3-")
+    landing, store = os.path.join(root, "landing"), os.path.join(root, "store")
+    for k, rows in enumerate(BATCHES[:2]):
+        _land(spark, landing, f"f{k}", rows)
+
+    def run(folder, ckpt):
+        inc, q = start_incremental_stream(spark, folder, store, os.path.join(root, ckpt), fmt="parquet", max_files=1)
+        q.awaitTermination(180)
+        assert q.exception() is None
+        return inc
+
+    run(landing, "c1")
+    _land(spark, landing, "f2", BATCHES[2])
+    inc = run(landing, "c1")                                   # restart: goes on with the next epoch
+    assert _same(inc.staged(), inc.full_rebuild())
+    assert inc.raw().count() == sum(map(len, BATCHES))
+    assert {r.transaction_id: r.raw_row_count for r in inc.staged().collect() if r.transaction_id} == \
+        {"T1": 3, "T2": 2, "T3": 1, "T5": 1}
+    assert inc.staged().filter("transaction_id IS NULL").count() == 2
+    other = os.path.join(root, "backfill")
+    _land(spark, other, "g0", [("T9", "B1", D(2025, 1, 3), "M", "N", "approved", None, Decimal(1)),
+                               ("T3", "B2", D(2025, 4, 1), "M", "N", "approved", D(2025, 4, 9), Decimal(2))])
+    inc = run(other, "c2")                                     # another stream, whose epochs start at 0 again
+    assert inc.raw().count() == sum(map(len, BATCHES)) + 2
+    assert _same(inc.staged(), inc.full_rebuild())
+    assert inc.staged().filter("transaction_id = 'T3'").first().raw_row_count == 2
+
+
+def test_writes_leave_the_session_settings_alone(spark):
+    root = tempfile.mkdtemp(prefix="lapsekit-conf-")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    inc = IncrementalStaging(spark, root, "cashback")
+    inc.apply(spark.createDataFrame(BATCHES[0], CASHBACK_SCHEMA), 0)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_keyless_rows_touch_only_their_own_month(spark):
+    inc = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-null-"), "cashback")
+    inc.apply(spark.createDataFrame(BATCHES[0], CASHBACK_SCHEMA), 0)
+    months = inc.apply(spark.createDataFrame([(None, "B9", D(2025, 6, 1), "M", "N", "approved", None, Decimal(2))],
+                                             CASHBACK_SCHEMA), 1)
+    assert months == [D(2025, 6, 1)]
+    assert _same(inc.staged(), inc.full_rebuild())
+
+
+def test_same_epoch_of_two_streams_and_changed_replay(spark):
+    inc = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-epoch-"), "cashback")
+    df = [spark.createDataFrame(b, CASHBACK_SCHEMA) for b in BATCHES]
+    inc.apply(df[0], 0, "a")
+    inc.apply(df[1], 0, "b")
+    assert inc.raw().count() == len(BATCHES[0]) + len(BATCHES[1])
+    inc.apply(df[2], 0, "a")                                   # the same batch again, with other rows
+    assert inc.raw().count() == len(BATCHES[1]) + len(BATCHES[2])
+    assert _same(inc.staged(), inc.full_rebuild())
+
+
+def test_reprocess_window_bounds_the_search(spark):
+    rows = [spark.createDataFrame(b, CASHBACK_SCHEMA) for b in BATCHES]
+    wide = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-w12-"), "cashback", reprocess_months=12)
+    narrow = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-w1-"), "cashback", reprocess_months=1)
+    for k, b in enumerate(rows):
+        wide.apply(b, k)
+        months = narrow.apply(b, k)
+    assert _same(wide.staged(), wide.full_rebuild())
+    assert min(m for m in months if m) == D(2025, 4, 1)        # January lies outside the window
+
+
+def test_changed_identity_map_is_refused(spark):
+    import pytest
+    from lapsekit.sources.feeds import IDENTITY_SCHEMA
+    from lapsekit.streaming.incremental import IncrementalEvents
+    root = tempfile.mkdtemp(prefix="lapsekit-ident-")
+    one = spark.createDataFrame([("cashback", "B1", "U1")], IDENTITY_SCHEMA)
+    two = spark.createDataFrame([("cashback", "B1", "U2")], IDENTITY_SCHEMA)
+    IncrementalEvents(spark, root, one).apply("cashback", spark.createDataFrame(BATCHES[0], CASHBACK_SCHEMA), 0)
+    again = IncrementalEvents(spark, root, one)                # the same map: goes on
+    assert {r.unified_user_id for r in again.events().filter("source_event_id = 'T1'").collect()} == {"U1"}
+    with pytest.raises(ValueError, match="identity map"):
+        IncrementalEvents(spark, root, two)
+    new = IncrementalEvents(spark, root, two, accept_new_identity=True)
+    assert {r.unified_user_id for r in new.events().filter("source_event_id = 'T1'").collect()} == {"U2"}
+    assert _same(new.events(), new.full_rebuild())
