@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +82,10 @@ def n_words(text: Column) -> Column:
 
 def without_space(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
+
+
+def frame(rows: list[tuple], names: list[str], ids: tuple[str, ...] = ()) -> pd.DataFrame:
+    """Rows as a pandas frame; the columns ``ids`` are nullable integers, never floating point."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
+    return pd.DataFrame({n: pd.array([None if x is None else int(x) for x in c], "Int64") if n in ids
+                         else pd.Series(list(c), dtype=None if c else object) for n, c in zip(names, columns, strict=True)})

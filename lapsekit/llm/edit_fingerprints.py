@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapsekit.llm.common import frame
+
 SAMPLES = 128
 GRAM = 4
 LANES = 48  # fewer walks than this at once go on in plain Python
@@ -261,9 +263,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 rows = ([last] if last is not None else []) + list(zip(ids, texts, walk_all(texts), strict=True))
                 out += _rows(rows)
                 last = rows[-1]
-            frame = pd.DataFrame(out, columns=names)
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            yield frame(out, names, ("doc_id",))
 
     # ids as decimals, so that a null does not turn its batch into floating point
     dealt = ranges(docs, doc_id, text).select("range", "follows", F.col("doc_id").cast("decimal(20,0)"), "text")

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapsekit.llm.common import stored
+from lapsekit.llm.common import frame, stored
 from lapsekit.llm.piece_codec import Memory
 
 MAX_TOKENS = 2048
@@ -103,6 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     schema = (f"doc_id {key}, piece int, start long, length long, ids_crc32 long, " + "ids binary, " * with_ids
               + "task int, place long")
     names = [c.split()[0] for c in schema.split(", ")]
+    whole = key in ("tinyint", "smallint", "int", "bigint")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = tokens(tokenizer)
@@ -120,12 +121,11 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
                     rows.append((d, piece, start, size, zlib.crc32(part), *([part] if with_ids else ()), task, seen[size]))
                     seen[size] += 1
                     start, piece, size = start + size, piece + 1, max_tokens
-            out = pd.DataFrame(rows, columns=names)
-            if b["doc_id"].isna().any() and key in ("int", "bigint"):
-                out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield frame(rows, names, ("doc_id",) if whole else ())
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    # whole numbers go as decimals, so that a null does not turn its batch into floating point
+    rows = docs.select((F.col(doc_id).cast("decimal(20,0)") if whole else F.col(doc_id)).alias("doc_id"),
+                       F.col(text).alias("text"))
     return stored(rows.mapInPandas(cut, schema), "pieces")
 
 

@@ -82,7 +82,7 @@ def bloom(keys: DataFrame, level: int, n: int) -> bytes:
               .agg(F.bitmap_construct_agg(F.col("at") % CHUNK).alias("bitmap")).collect())
     out = bytearray(bits // 8)
     for r in chunks:  # at most bits / CHUNK rows
-        out[r["chunk"] * (CHUNK // 8):(r["chunk"] + 1) * (CHUNK // 8)] = r["bitmap"]
+        out[r["chunk"] * (CHUNK // 8):(r["chunk"] + 1) * (CHUNK // 8)] = r["bitmap"][:CHUNK // 8]
     return bytes(out)
 
 

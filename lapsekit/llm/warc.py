@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsekit.llm.common import new_path, stored
+from lapsekit.llm.common import frame, new_path, stored
 
 MIN_REVISIT_BYTES = 100
 DICT_MAGIC = 0x184D2A5D
@@ -252,22 +252,16 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                         rows.append((*row, payload) if with_payload else row)
                         n, held = n + 1, held + (len(payload or b"") if with_payload else 0)
                         if len(rows) >= 10_000 or held >= 8 << 20:
-                            yield _frame(rows, names)
+                            yield frame(rows, names, ("page_id", "refers_to"))
                             rows, held = [], 0
                 except WarcError as e:
                     raise WarcError(f"{path}, record {n}: {e}") from e
             if n != expected:
                 raise WarcError(f"{path}: {n} records, the manifest has {expected}")
             if rows:
-                yield _frame(rows, names)
+                yield frame(rows, names, ("page_id", "refers_to"))
 
     spark = manifest.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return manifest.select("path", "records").repartition(n).mapInPandas(read, schema)
 
-
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=names)
-    for c in ("page_id", "refers_to"):
-        out[c] = out[c].astype("Int64")
-    return out
