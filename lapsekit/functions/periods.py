@@ -78,6 +78,7 @@ class Period:
     start: dt.date
     end: dt.date
     index: int
+    complete: bool = True        # wholly inside the analysis range
 
 
 def _add_months(d: dt.date, n: int) -> dt.date:
@@ -114,6 +115,7 @@ def periods_of(start: dt.date, end: dt.date, grain: str = "quarter") -> list[Per
             nxt = _add_months(s, 1)
         else:
             nxt = s + dt.timedelta(days=7)
-        out.append(Period(_label(s, grain), s, nxt - dt.timedelta(days=1), i))
+        last = nxt - dt.timedelta(days=1)
+        out.append(Period(_label(s, grain), s, last, i, start <= s and last <= end))
         s, i = nxt, i + 1
     return out

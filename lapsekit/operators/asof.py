@@ -2,10 +2,9 @@
 transition churn by vintage (M21) and active base by vintage (M22).
 
 A transaction whose decision had not happened by the as-of date is treated as
-pending, exactly as the extract showed it then. Many dates are handled by
-exploding each event into the (few, parameter-bounded) vintages that measure
-its period, so every vintage costs no extra scan and no join: the events are
-read once and aggregated once per level.
+pending, exactly as the extract showed it then. Many dates are handled by one
+conditional column per date in a single aggregate per person and period, which is
+turned into rows afterwards: the events are read once and never multiplied.
 """
 
 from __future__ import annotations
@@ -61,33 +60,42 @@ def activity_as_of(events: DataFrame, as_of: dt.date, spec: ChurnSpec = DEFAULT_
              *[f"is_active_{d.name}" for d in spec.definitions])
 
 
-def _vstruct(v: Vintage) -> Column:
-    return F.struct(F.lit(v.days).alias("vintage_days"), F.lit(v.as_of).alias("as_of_date"),
-                    F.lit(v.measured).cast("string").alias("measured_quarter"))
-
-
 def activity_as_of_many(events: DataFrame, vintages: list[Vintage], spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
-    """M20 for many dates in one pass. A vintage with ``measured`` set only
-    sees events of that period (each event is multiplied only by the vintages
-    that measure its period, a number fixed by the parameters)."""
-    by_q: dict[str | None, list[Vintage]] = {}
-    for v in vintages:
-        by_q.setdefault(v.measured, []).append(v)
-    every = [_vstruct(v) for v in by_q.get(None, [])]
-    keyed = {q: vs for q, vs in by_q.items() if q is not None}
-    if keyed:
-        vmap = F.create_map(*[x for q, vs in keyed.items()
-                              for x in (F.lit(q), F.array(*[_vstruct(v) for v in vs]))])
-        mine = F.coalesce(F.element_at(vmap, F.col("quarter_label")), F.array().cast(
-            "array<struct<vintage_days:int,as_of_date:date,measured_quarter:string>>"))
-        arr = F.concat(mine, F.array(*every)) if every else mine
-    else:
-        arr = F.array(*every)
-    ev = _scope(events).select("*", F.explode(arr).alias("v")).select("*", "v.*").drop("v")
-    ev = ev.filter(F.col("activity_date") <= F.col("as_of_date"))
-    c = counts_as_of(F.col("as_of_date"), spec)
-    return ev.groupBy("vintage_days", "as_of_date", "measured_quarter", "unified_user_id", "quarter_label").agg(
-        *[F.bool_or(c[d.name]).alias(f"is_active_{d.name}") for d in spec.definitions])
+    """M20 for many dates in one pass. The events are aggregated once per person and
+    period with one conditional column per vintage slot and definition (NULL: no event by
+    that date); the slots become rows only after the aggregate, so no event is multiplied.
+    A vintage with ``measured`` set only sees its period; the vintages of one period share
+    the slots of the others (slot k of every period is its k-th vintage)."""
+    labels = sorted({v.measured for v in vintages if v.measured is not None})
+    every = [v for v in vintages if v.measured is None]
+    own = {q: [v for v in vintages if v.measured == q] for q in labels}
+    q = F.col("quarter_label")
+
+    def of_period(k: int, value, kind: str) -> Column:
+        out = F.lit(None).cast(kind)
+        for label in labels:
+            if k < len(own[label]):
+                out = F.when(q == label, F.lit(value(own[label][k])).cast(kind)).otherwise(out)
+        return out
+
+    slots = [(F.lit(v.days), F.lit(v.as_of), F.lit(None).cast("string")) for v in every]
+    slots += [(of_period(k, lambda v: v.days, "int"), of_period(k, lambda v: v.as_of, "date"),
+               of_period(k, lambda v: v.measured, "string")) for k in range(max(map(len, own.values()), default=0))]
+    aggs = []
+    for k, (_, as_of, _) in enumerate(slots):
+        seen, c = F.col("activity_date") <= as_of, counts_as_of(as_of, spec)
+        aggs += [F.bool_or(F.when(seen, c[d.name])).alias(f"s{k}_{d.name}") for d in spec.definitions]
+    ev = _scope(events)
+    if not every:
+        ev = ev.filter(q.isin(*labels))
+    per = ev.groupBy("unified_user_id", "quarter_label").agg(*aggs)
+    rows = per.select("unified_user_id", "quarter_label", F.inline(F.array(*[
+        F.struct(days.alias("vintage_days"), as_of.alias("as_of_date"), measured.alias("measured_quarter"),
+                 *[F.col(f"s{k}_{d.name}").alias(f"is_active_{d.name}") for d in spec.definitions])
+        for k, (days, as_of, measured) in enumerate(slots)])))
+    return rows.filter(F.col(f"is_active_{spec.definitions[0].name}").isNotNull()).select(
+        "vintage_days", "as_of_date", "measured_quarter", "unified_user_id", "quarter_label",
+        *[f"is_active_{d.name}" for d in spec.definitions])
 
 
 def period_vintages(spec: ChurnSpec = DEFAULT_SPEC) -> list[Vintage]:
@@ -96,17 +104,27 @@ def period_vintages(spec: ChurnSpec = DEFAULT_SPEC) -> list[Vintage]:
             for p in periods_of(spec.period_start, spec.period_end, spec.grain) for lag in spec.vintage_lags]
 
 
-def active_base_by_vintage(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+def active_base_by_vintage(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, dense: bool = False) -> DataFrame:
     """Active users of every period as measured at T+lag from its own close
-    (measured_quarter, vintage_label, vintage_days, as_of_date, definition_name, active_users)."""
-    per = activity_as_of_many(events, period_vintages(spec), spec)
+    (measured_quarter, vintage_label, vintage_days, as_of_date, definition_name, active_users).
+    ``dense``: every period and lag, also those with no active user (M22 itself leaves them out)."""
+    vintages = period_vintages(spec)
+    per = activity_as_of_many(events, vintages, spec)
     per = per.filter(F.col("quarter_label") == F.col("measured_quarter"))
     g = per.groupBy("measured_quarter", "vintage_days", "as_of_date").agg(
         *[F.count_if(F.col(f"is_active_{d.name}")).alias(d.name) for d in spec.definitions])
     long = g.select("measured_quarter", "vintage_days", "as_of_date", F.inline(F.array(*[
         F.struct(F.lit(d.name).alias("definition_name"), F.col(d.name).alias("active_users"))
         for d in spec.definitions])))
-    return long.filter(F.col("active_users") > 0).select(
+    if dense:  # the grid of the parameters as rows of 0 beside the counts
+        grid = events.sparkSession.createDataFrame(
+            [(v.measured, v.days, v.as_of, d.name, 0) for v in vintages for d in spec.definitions],
+            "measured_quarter string, vintage_days int, as_of_date date, definition_name string, active_users long")
+        long = long.unionByName(grid).groupBy("measured_quarter", "vintage_days", "as_of_date", "definition_name").agg(
+            F.sum("active_users").alias("active_users"))
+    else:
+        long = long.filter(F.col("active_users") > 0)
+    return long.select(
         "measured_quarter", F.concat(F.lit("T+"), F.col("vintage_days").cast("string")).alias("vintage_label"),
         F.col("vintage_days").cast("long").alias("vintage_days"), "as_of_date", "definition_name",
         "active_users")

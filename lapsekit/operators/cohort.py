@@ -20,44 +20,55 @@ def _n_periods(spec: ChurnSpec) -> int:
     return len(periods_of(spec.period_start, spec.period_end, spec.grain))
 
 
+def _observed(spec: ChurnSpec):
+    """(flag of period i, NULL where the period lies beyond the range; any later activity; enough silent
+    periods observed to confirm churn)."""
+    P, a, n = _n_periods(spec), spec.cohort_anchor, spec.n_silent
+    act = lambda i: F.col(f"active_q{i}") if 1 <= i <= P else F.lit(None).cast("boolean")
+    later = F.lit(False)
+    for i in range(a + 2, min(a + n, P) + 1):
+        later = later | act(i)
+    return act, later, a + n <= P
+
+
 def cohort_users(long: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """Per definition x person: active flag per period, activity pattern
-    ('1011') and cohort status. One hash aggregate on (definition, person)."""
+    ('1011') and cohort status. One hash aggregate on (definition, person). A status
+    that rests on periods beyond the range is ``not_yet_observed``: what has not
+    happened yet is not silence."""
     P, a, n = _n_periods(spec), spec.cohort_anchor, spec.n_silent
     flags = [F.coalesce(F.bool_or(F.col("is_active") & (F.col("quarter_index") == i)), F.lit(False))
              .alias(f"active_q{i}") for i in range(1, P + 1)]
     piv = long.groupBy("definition_name", "unified_user_id").agg(*flags)
-    act = lambda i: F.col(f"active_q{i}") if 1 <= i <= P else F.lit(False)
+    act, any_later, settled = _observed(spec)
     pattern = F.concat(*[F.when(act(i), "1").otherwise("0") for i in range(1, P + 1)])
-    later = [act(i) for i in range(a + 2, a + n + 1)]
-    any_later = later[0] if later else F.lit(False)
-    for c in later[1:]:
-        any_later = any_later | c
     status = (F.when(~act(a), f"not_in_q{a}_cohort")
               .when(act(a + 1), f"retained_in_q{a + 1}")
+              .when(act(a + 1).isNull(), "not_yet_observed")
               .when(any_later, f"lapsed_q{a + 1}_reactivated_q{a + 2}" if n == 2
                     else f"lapsed_q{a + 1}_reactivated")
-              .otherwise("confirmed_churn"))
+              .otherwise("confirmed_churn" if settled else "not_yet_observed"))
     return piv.select("definition_name", "unified_user_id", *[f"active_q{i}" for i in range(1, P + 1)],
                       pattern.alias("activity_pattern"), status.alias(f"q{a}_cohort_status"))
 
 
 def cohort_summary(users: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
-    """Cohort size, retained, lapsed, confirmed churn, reactivation and rates."""
+    """Cohort size, retained, lapsed, confirmed churn, reactivation and rates. Counts that rest
+    on periods beyond the range are NULL, and so are their rates."""
     P, a, n = _n_periods(spec), spec.cohort_anchor, spec.n_silent
-    act = lambda i: F.col(f"active_q{i}") if 1 <= i <= P else F.lit(False)
-    later = [act(i) for i in range(a + 2, a + n + 1)]
-    any_later = later[0] if later else F.lit(False)
-    for c in later[1:]:
-        any_later = any_later | c
+    act, any_later, settled = _observed(spec)
     coh, nxt = act(a), act(a + 1)
     r = f"q{a + 2}" if n == 2 else "later"
+
+    def count(cond, known: bool):
+        return F.count_if(cond) if known else F.lit(None).cast("long")
+
     agg = users.groupBy("definition_name").agg(
         F.count_if(coh).alias(f"q{a}_cohort_users"),
-        F.count_if(coh & nxt).alias(f"retained_in_q{a + 1}"),
-        F.count_if(coh & ~nxt).alias(f"lapsed_in_q{a + 1}"),
-        F.count_if(coh & ~nxt & ~any_later).alias("confirmed_churn_users"),
-        F.count_if(coh & ~nxt & any_later).alias(f"reactivated_in_{r}_users"),
+        count(coh & nxt, a < P).alias(f"retained_in_q{a + 1}"),
+        count(coh & ~nxt, a < P).alias(f"lapsed_in_q{a + 1}"),
+        count(coh & ~nxt & ~any_later, settled).alias("confirmed_churn_users"),
+        count(coh & ~nxt & any_later, settled).alias(f"reactivated_in_{r}_users"),
     )
     return agg.select(
         "definition_name", f"q{a}_cohort_users", f"retained_in_q{a + 1}", f"lapsed_in_q{a + 1}",

@@ -101,17 +101,20 @@ def revenue_backtest(fact: DataFrame, transitions: DataFrame, spec: ChurnSpec =
 
 # E03 ---------------------------------------------------------------------------------
 def restatement_magnitude(vintage_base: DataFrame) -> DataFrame:
-    """Mean absolute change of a period's active base between T+0 and T+k,
-    over measured periods, per definition and k (in users and as a rate of T+0)."""
-    t0 = vintage_base.filter(F.col("vintage_days") == 0).select(
-        "measured_quarter", "definition_name", F.col("active_users").alias("_t0"))
-    later = vintage_base.filter(F.col("vintage_days") > 0)
-    j = later.join(t0, ["measured_quarter", "definition_name"], "left").withColumn(
-        "_d", F.abs(F.col("active_users") - F.coalesce(F.col("_t0"), F.lit(0))))
-    g = j.groupBy("definition_name", "vintage_days").agg(
+    """Mean absolute change of a period's active base between T+0 and T+k, over
+    measured periods, per definition and k (in users and as a rate of T+0).
+    ``vintage_base`` is the dense grid of periods and lags
+    (``active_base_by_vintage(..., dense=True)``): a base that falls to 0 is the
+    largest restatement of all, not a missing row."""
+    lag0 = F.max(F.when(F.col("vintage_days") == 0, F.col("active_users")))
+    at_lags = F.collect_list(F.struct("vintage_days", "active_users"))   # one entry a lag: bounded by the parameters
+    g = vintage_base.groupBy("measured_quarter", "definition_name").agg(lag0.alias("_t0"), at_lags.alias("_v"))
+    j = g.select("definition_name", "_t0", F.inline("_v")).filter("vintage_days > 0").withColumn(
+        "_d", F.abs(F.col("active_users") - F.col("_t0")))
+    m = j.groupBy("definition_name", "vintage_days").agg(
         F.count(F.lit(1)).alias("measured_quarters"), F.avg("_d").alias("_m"),
         F.avg(F.try_divide(F.col("_d").cast("double"), F.col("_t0").cast("double"))).alias("_r"))
-    return g.select("definition_name", "vintage_days", "measured_quarters",
+    return m.select("definition_name", "vintage_days", "measured_quarters",
                     F.round("_m", 4).alias("mean_abs_restatement_users"),
                     F.round("_r", 4).alias("mean_abs_restatement_rate"))
 
@@ -135,7 +138,9 @@ def reconcile_active_base(active_base: DataFrame, external: DataFrame, spec: Chu
 # E05 ---------------------------------------------------------------------------------
 def rolling_activity(long: DataFrame, n: int = 4) -> DataFrame:
     """Active in any of the last ``n`` periods (a rolling window), per definition
-    and period, next to the point-in-period base."""
+    and period, next to the point-in-period base. ``observed_periods`` tells how many
+    periods of the window lie in the range: with fewer than ``n`` the count is partial
+    (``is_full_window`` false) and not to be compared with full ones."""
     w = (Window.partitionBy("definition_name", "unified_user_id").orderBy("quarter_index")
          .rowsBetween(-(n - 1), Window.currentRow))
     r = long.select("definition_name", "quarter_label", "quarter_index", "is_active",
@@ -143,7 +148,9 @@ def rolling_activity(long: DataFrame, n: int = 4) -> DataFrame:
     return r.groupBy("definition_name", "quarter_label", "quarter_index").agg(
         F.lit(n).cast("long").alias("window_periods"),
         F.count_if("is_active").alias("point_active_users"),
-        F.count_if("_rolling").alias("rolling_active_users"))
+        F.count_if("_rolling").alias("rolling_active_users")).withColumns({
+            "observed_periods": F.least(F.col("quarter_index"), F.lit(n).cast("long")).cast("long"),
+            "is_full_window": F.col("quarter_index") >= n})
 
 
 # E06 ---------------------------------------------------------------------------------
@@ -153,26 +160,31 @@ def reporting_lag(curve: DataFrame, threshold: float = 0.95) -> DataFrame:
     that never reaches the threshold within the horizons is the worst)."""
     g = curve.groupBy("source").agg(
         F.min(F.when(F.col("decided_share") >= threshold, F.col("horizon_days"))).cast("long").alias("lag_days"))
-    big = F.lit(10 ** 9)
-    worst = g.filter(F.col("source") != ALL_SOURCES_LABEL).select(F.max(F.coalesce("lag_days", big))).scalar()
-    return g.select(
+    rank = F.when(F.col("source") != ALL_SOURCES_LABEL, F.coalesce("lag_days", F.lit(10 ** 9)))
+    ranked = g.withColumn("_r", rank).withColumn("_worst", F.max("_r").over(Window.partitionBy()))  # one row a source
+    return ranked.select(
         F.when(F.col("source") == ALL_SOURCES_LABEL, "overall").otherwise("source").alias("scope"),
         "source", "lag_days", F.col("lag_days").isNotNull().alias("reaches_threshold"),
-        ((F.col("source") != ALL_SOURCES_LABEL) & (F.coalesce("lag_days", big) == worst)).alias("is_worst_source"))
+        F.coalesce(F.col("_r") == F.col("_worst"), F.lit(False)).alias("is_worst_source"))
 
 
 # E07 ---------------------------------------------------------------------------------
 def feed_continuity(profile: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:
-    """Each network's volume against its own trailing ``n``-period average;
-    alert when it deviates by more than ``threshold`` (dense series, so a silent
-    period is a 0, not a gap)."""
+    """Each network's volume against its own trailing ``n``-period average (dense
+    series, so a silent period is a 0, not a gap). Alerts: a deviation of more than
+    ``threshold``; any silent period after the feed has once had volume, however long
+    it has been silent; and volume that returns after ``n`` silent periods."""
     p = profile.filter(F.col("quarter_label").isNotNull())
-    w = Window.partitionBy("source").orderBy("quarter_label").rowsBetween(-n, -1)
-    avg = F.avg("transactions").over(w)
-    r = p.select("source", "quarter_label", "transactions", F.round(avg, 4).alias("trailing_avg_transactions"))
-    dev = rate(F.col("transactions") - F.col("trailing_avg_transactions"), F.col("trailing_avg_transactions"))
-    return r.select("*", dev.alias("deviation"),
-                    F.coalesce(F.abs(dev) > threshold, F.lit(False)).alias("is_alert"))
+    by = Window.partitionBy("source").orderBy("quarter_label")
+    r = p.select("source", "quarter_label", "transactions",
+                 F.round(F.avg("transactions").over(by.rowsBetween(-n, -1)), 4).alias("trailing_avg_transactions"),
+                 F.coalesce(F.max("transactions").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                 .alias("_before"))
+    v, avg = F.col("transactions"), F.col("trailing_avg_transactions")
+    dev = rate(v - avg, avg)
+    dead, back = (v == 0) & (F.col("_before") > 0), (v > 0) & (avg == 0) & (F.col("_before") > 0)
+    return r.select("source", "quarter_label", "transactions", "trailing_avg_transactions", dev.alias("deviation"),
+                    F.coalesce((F.abs(dev) > threshold) | dead | back, F.lit(False)).alias("is_alert"))
 
 
 # E08 ---------------------------------------------------------------------------------
@@ -188,11 +200,13 @@ def status_vocabulary(txns: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFr
 # E09 ---------------------------------------------------------------------------------
 def identity_coverage(events: DataFrame) -> DataFrame:
     """Unmapped source-id rate per channel, feed and period."""
-    unm = F.col("is_unmapped_user")
-    g = events.groupBy("channel", "source_feed", "quarter_label").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(unm).alias("unmapped_rows"),
-        F.count_distinct("source_user_id").alias("source_ids"),
-        F.count_distinct(F.when(unm, F.col("source_user_id"))).alias("unmapped_source_ids"))
+    key = ["channel", "source_feed", "quarter_label"]
+    ids = events.groupBy(*key, "source_user_id").agg(           # one row a source id: no distinct counts, no Expand
+        F.count(F.lit(1)).alias("n"), F.count_if("is_unmapped_user").alias("u"))
+    known = F.col("source_user_id").isNotNull()
+    g = ids.groupBy(*key).agg(
+        F.sum("n").alias("rows"), F.sum("u").alias("unmapped_rows"), F.count_if(known).alias("source_ids"),
+        F.count_if(known & (F.col("u") > 0)).alias("unmapped_source_ids"))
     return g.select("*", rate("unmapped_rows", "rows").alias("unmapped_row_rate"),
                     rate("unmapped_source_ids", "source_ids").alias("unmapped_id_rate"))
 
@@ -213,18 +227,48 @@ def late_arrival(txns: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
 
 
 # E12 ---------------------------------------------------------------------------------
+def disjoint_identity(identity_scd2: DataFrame) -> DataFrame:
+    """A type-2 identity map (source_system, source_user_id, unified_user_id,
+    valid_from, valid_to, both inclusive, NULL for open) cut into ranges that do not
+    overlap: (source_system, source_user_id, unified_user_id, valid_from, valid_before,
+    has_ambiguous_mapping), half-open. Where ranges of different persons overlap, the
+    smallest person id is taken and the range is flagged, as in the plain map."""
+    low, high = F.to_date(F.lit("0001-01-01")), F.to_date(F.lit("9999-12-31"))
+    r = identity_scd2.filter("source_system IS NOT NULL AND source_user_id IS NOT NULL").select(
+        "source_system", "source_user_id", "unified_user_id", F.coalesce("valid_from", low).alias("f"),
+        F.coalesce(F.date_add("valid_to", 1), high).alias("b")).filter("f < b")
+    key = ["source_system", "source_user_id"]
+    w = Window.partitionBy(*key).orderBy("at")
+    cuts = (r.select(*key, F.explode(F.array("f", "b")).alias("at")).distinct()
+            .select(*key, F.col("at").alias("valid_from"), F.lead("at").over(w).alias("valid_before"))
+            .filter("valid_before IS NOT NULL"))
+    parts = cuts.join(r, key).filter((F.col("f") <= F.col("valid_from")) & (F.col("b") >= F.col("valid_before")))
+    return parts.groupBy(*key, "valid_from", "valid_before").agg(
+        F.min("unified_user_id").alias("unified_user_id"),
+        (F.min("unified_user_id") != F.max("unified_user_id")).alias("has_ambiguous_mapping"))
+
+
+def identity_overlaps(identity_scd2: DataFrame) -> DataFrame:
+    """Check: days on which a source id maps to several persons, per source system."""
+    d = disjoint_identity(identity_scd2).filter("has_ambiguous_mapping")
+    return d.groupBy("source_system").agg(F.count_distinct("source_user_id").alias("overlapping_ids"),
+                                          F.sum(F.datediff("valid_before", "valid_from")).alias("overlapping_days"))
+
+
 def resolve_identity_scd2(channel_events: DataFrame, identity_scd2: DataFrame) -> DataFrame:
-    """Resolve source ids through a type-2 identity map (source_system,
-    source_user_id, unified_user_id, valid_from, valid_to): the mapping valid on
-    the activity date wins. Equi-join on the key, validity as a join filter."""
-    m = identity_scd2.select(F.col("source_system").alias("_s"), F.col("source_user_id").alias("_id"),
-                             "unified_user_id", "valid_from", "valid_to")
+    """Resolve source ids through a type-2 identity map: the mapping valid on the
+    activity date wins. Equi-join on the key with the map's disjoint ranges, so an event
+    comes out exactly once; an event on a day that overlapping ranges claim for
+    different persons is flagged ambiguous (and so out of scope, as in the model)."""
+    m = disjoint_identity(identity_scd2).select(
+        F.col("source_system").alias("_s"), F.col("source_user_id").alias("_id"), "unified_user_id", "valid_from",
+        "valid_before", "has_ambiguous_mapping")
     cond = ((channel_events["channel"] == m["_s"]) & (channel_events["source_user_id"] == m["_id"])
-            & (F.col("valid_from").isNull() | (F.col("activity_date") >= F.col("valid_from")))
-            & (F.col("valid_to").isNull() | (F.col("activity_date") <= F.col("valid_to"))))
+            & (F.col("activity_date") >= F.col("valid_from")) & (F.col("activity_date") < F.col("valid_before")))
     j = channel_events.join(m, cond, "left")
     return j.select("channel", "source_event_id", "source_user_id", "activity_date", "unified_user_id",
-                    F.col("unified_user_id").isNull().alias("is_unmapped_user"))
+                    F.col("unified_user_id").isNull().alias("is_unmapped_user"),
+                    F.coalesce("has_ambiguous_mapping", F.lit(False)).alias("has_ambiguous_mapping"))
 
 
 # E13 ---------------------------------------------------------------------------------
@@ -267,14 +311,16 @@ def expected_approvals(txns: DataFrame, as_of: dt.date, spec: ChurnSpec = DEFAUL
                      .alias("p_approve")))
     undecided = txns.filter((F.col("purchase_date") <= F.lit(as_of)) & (
         F.col("status_updated_date").isNull() | (F.col("status_updated_date") > F.lit(as_of))))
-    u = undecided.select("source", "amount_sar", band_of(age).alias("band"))
+    u = undecided.groupBy("source", band_of(age).alias("band")).agg(    # a few rows a source before the join
+        F.count(F.lit(1)).alias("n"), F.sum("amount_sar").alias("amount"))
     j = u.join(curve, ["source", "band"], "left")
+    p = F.coalesce("p_approve", F.lit(0.0))
     return j.groupBy("source").agg(
-        F.count(F.lit(1)).alias("undecided_transactions"),
-        F.round(F.sum(F.coalesce("p_approve", F.lit(0.0))), 4).alias("expected_approvals"),
-        F.round(F.sum(F.coalesce("p_approve", F.lit(0.0)) * F.col("amount_sar").cast("double")), 2)
+        F.sum("n").alias("undecided_transactions"),
+        F.round(F.sum(p * F.col("n")), 4).alias("expected_approvals"),
+        F.round(F.sum(p * F.coalesce(F.col("amount").cast("double"), F.lit(0.0))), 2)
         .alias("expected_approved_amount_sar"),
-        F.count_if(F.col("p_approve").isNull()).alias("rows_without_curve"))
+        F.coalesce(F.sum(F.when(F.col("p_approve").isNull(), F.col("n"))), F.lit(0)).alias("rows_without_curve"))
 
 
 # E16 ---------------------------------------------------------------------------------

@@ -34,10 +34,21 @@ def user_timeline(long: DataFrame) -> DataFrame:
     )
 
 
-def transitions(long: DataFrame) -> DataFrame:
-    """Period-to-period base, retained, churned, rates, new-or-returning."""
+def cut_periods(spec: ChurnSpec) -> list[str]:
+    """Labels of periods that lie only partly in the analysis range (the first or the last)."""
+    from lapsekit.functions.periods import periods_of
+    return [p.label for p in periods_of(spec.period_start, spec.period_end, spec.grain) if not p.complete]
+
+
+def transitions(long: DataFrame, spec: ChurnSpec | None = None) -> DataFrame:
+    """Period-to-period base, retained, churned, rates, new-or-returning. With ``spec``,
+    transitions from or to a period that the analysis range cuts off are left out: a
+    shorter period has fewer active people for that reason alone."""
     a, n = F.col("is_active"), F.col("is_active_next_quarter")
-    agg = (user_timeline(long).filter(F.col("next_quarter_label").isNotNull())
+    steps = user_timeline(long).filter(F.col("next_quarter_label").isNotNull())
+    if spec is not None and (cut := cut_periods(spec)):
+        steps = steps.filter(~F.col("quarter_label").isin(*cut) & ~F.col("next_quarter_label").isin(*cut))
+    agg = (steps
            .groupBy("definition_name", F.col("quarter_label").alias("from_quarter"),
                     F.col("next_quarter_label").alias("to_quarter"))
            .agg(F.count_if(a).alias("active_base"),
@@ -85,27 +96,39 @@ def definition_disagreements(fact: DataFrame) -> DataFrame:
         F.lit("active under baseline, inactive under approved_only").alias("disagreement"))
 
 
+MASK = 62  # periods a mask steps over: bit 62 of one mask is bit 0 of the next
+
+
 def transitions_by_bitmap(fact: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """M09 without a window: one hash aggregate per person folds the activity of
-    every period into a bit mask per definition (``bit_or`` of ``1 << (index-1)``,
-    a fixed-width buffer, so map-side combine applies), then each transition is a
+    every period into bit masks per definition (``bit_or`` of ``1 << (index-1)``,
+    fixed-width buffers, so map-side combine applies), then each transition is a
     bit test and the counts are a tiny second aggregate. Same result as
-    :func:`transitions`; suited to a fact that is not stored by person. Periods <= 63."""
+    :func:`transitions`; suited to a fact that is not stored by person. Longer ranges
+    take several masks, which overlap by one period."""
     from lapsekit.functions.periods import periods_of
     from lapsekit.operators.fact import active_col
     ps = periods_of(spec.period_start, spec.period_end, spec.grain)
-    if len(ps) > 63:
-        raise ValueError("bit masks hold at most 63 periods; use transitions()")
-    one = F.lit(1).cast("long")
-    bit = F.expr("shiftleft(CAST(1 AS BIGINT), CAST(quarter_index - 1 AS INT))")
+    n_masks = -(-max(len(ps) - 1, 1) // MASK)
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def bit(m: int):
+        at = F.col("quarter_index") - 1 - m * MASK
+        power = F.call_function("shiftleft", one, at.cast("int"))
+        return F.when((at >= 0) & (at <= MASK), power).otherwise(zero)
+
     masks = fact.groupBy("unified_user_id").agg(*[
-        F.bit_or(F.when(F.col(active_col(d)), bit).otherwise(F.lit(0).cast("long"))).alias(d.name)
-        for d in spec.definitions])
+        F.bit_or(F.when(F.col(active_col(d)), bit(m)).otherwise(zero)).alias(f"{d.name}_{m}")
+        for d in spec.definitions for m in range(n_masks)])
     per_def = masks.select(F.inline(F.array(*[
-        F.struct(F.lit(d.name).alias("definition_name"), F.col(d.name).alias("bits")) for d in spec.definitions])))
-    steps = per_def.select("definition_name", "bits",
-                           F.explode(F.array(*[F.lit(p.index) for p in ps[:-1]])).alias("i"))
-    on = lambda k: F.expr(f"shiftright(bits, CAST(i - 1 + {k} AS INT))").bitwiseAND(one) == 1
+        F.struct(F.lit(d.name).alias("definition_name"), F.array(*[F.col(f"{d.name}_{m}") for m in range(n_masks)])
+                 .alias("masks")) for d in spec.definitions])))
+    cut = set(cut_periods(spec))
+    from_to = [p.index for p, x in zip(ps, ps[1:]) if not {p.label, x.label} & cut]
+    steps = per_def.select("definition_name", "masks",
+                           F.explode(F.array(*[F.lit(i) for i in from_to]).cast("array<int>")).alias("i"))
+    bits = F.get("masks", F.floor((F.col("i") - 1) / MASK).cast("int"))
+    on = lambda k: F.call_function("shiftright", bits, ((F.col("i") - 1) % MASK + k).cast("int")).bitwiseAND(one) == 1
     a, n = on(0), on(1)
     agg = steps.groupBy("definition_name", "i").agg(
         F.count_if(a).alias("active_base"), F.count_if(a & n).alias("retained_users"),

@@ -140,7 +140,7 @@ class Layers:
     @cached_property
     def transitions(self) -> DataFrame:
         from lapsekit.operators.marts import transitions
-        return transitions(self.long)
+        return transitions(self.long, self.spec)
 
     @cached_property
     def sensitivity(self) -> DataFrame:

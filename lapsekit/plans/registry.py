@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsekit.plans.layers import Layers
-from lapsekit.sources.adapter import adapter_inputs
+from lapsekit.operators.asof import active_base_by_vintage
+from lapsekit.operators.events import channel_events
+from lapsekit.operators.marts import cut_periods
+from lapsekit.operators.profile import source_profile
+from lapsekit.sources.adapter import (adapter_external_counts, adapter_identity_scd2, adapter_inputs,
+                                      adapter_network_reports)
 from lapsekit.sources.sinks import new_location
 from lapsekit.streaming.incremental import IncrementalEvents, start_incremental_stream
-from lapsekit.spec import ADAPTER_SPEC
+from lapsekit.spec import ADAPTER_SPEC, WEEKLY_SPEC
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -106,6 +111,17 @@ def _cohort(L: Layers, spec):
     return cohort_summary(cohort_users(L.long, spec), spec)
 
 
+def _scd2_map(spark, sf_dir):
+    return adapter_identity_scd2(_tbl(spark, sf_dir, "customer"), _tbl(spark, sf_dir, "part"), _dt.date(1996, 7, 1))
+
+
+def _with_dead_feed(L: Layers):
+    """The source profile had the urgent network delivered nothing from 1994 to 1995: silent for
+    longer than the trailing window, then back."""
+    gone = (F.col("source") == "1-URGENT") & F.year("purchase_date").isin(1994, 1995)
+    return source_profile(L.stg_cashback.filter(~F.coalesce(gone, F.lit(False))), L.stg_identity, L.spec)
+
+
 def _e(fn):
     def run(spark, sf_dir):
         from lapsekit.operators import extensions as X
@@ -116,25 +132,26 @@ def _e(fn):
 QUERIES.update({
     "e01_hazard_curve": _e(lambda X, L, s, d: X.hazard_curve(L.long)),
     "e02_revenue_backtest": _e(lambda X, L, s, d: X.revenue_backtest(L.fact, L.transitions, L.spec)),
-    "e03_restatement_magnitude": _e(lambda X, L, s, d: X.restatement_magnitude(L.active_base_by_vintage)),
+    "e03_restatement_magnitude": _e(lambda X, L, s, d: X.restatement_magnitude(
+        active_base_by_vintage(L.events, L.spec, dense=True))),
     "e04_reconcile_active_base": _e(lambda X, L, s, d: X.reconcile_active_base(
-        L.active_base, __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_external_counts(
-            _tbl(s, d, "orders")), L.spec)),
+        L.active_base, adapter_external_counts(_tbl(s, d, "orders")), L.spec)),
     "e05_rolling_activity": _e(lambda X, L, s, d: X.rolling_activity(L.long, 4)),
     "e06_reporting_lag": _e(lambda X, L, s, d: X.reporting_lag(L.maturity_curve, 0.95)),
     "e07_feed_continuity": _e(lambda X, L, s, d: X.feed_continuity(L.source_profile, 4, 0.5)),
+    "e07_feed_continuity_dead_feed": _e(lambda X, L, s, d: X.feed_continuity(_with_dead_feed(L), 4, 0.5)),
     "e08_status_vocabulary": _e(lambda X, L, s, d: X.status_vocabulary(L.stg_cashback, L.spec)),
     "e09_identity_coverage": _e(lambda X, L, s, d: X.identity_coverage(L.events)),
     "e10_late_arrival": _e(lambda X, L, s, d: X.late_arrival(L.stg_cashback, L.spec)),
     "e12_identity_scd2": _e(lambda X, L, s, d: X.resolve_identity_scd2(
-        __import__("lapsekit.operators.events", fromlist=["x"]).channel_events(L.stg_coupons, L.stg_cashback, L.spec),
-        __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_identity_scd2(
-            _tbl(s, d, "customer"), _tbl(s, d, "part"), _dt.date(1996, 7, 1)))),
+        channel_events(L.stg_coupons, L.stg_cashback, L.spec), _scd2_map(s, d))),
+    "e12_identity_overlaps": _e(lambda X, L, s, d: X.identity_overlaps(_scd2_map(s, d))),
     "e13_financial_reconciliation": _e(lambda X, L, s, d: X.financial_reconciliation(
-        L.stg_cashback, __import__("lapsekit.sources.adapter", fromlist=["x"]).adapter_network_reports(
-            _tbl(s, d, "orders")), L.spec)),
+        L.stg_cashback, adapter_network_reports(_tbl(s, d, "orders")), L.spec)),
     "e14_expected_approvals": _e(lambda X, L, s, d: X.expected_approvals(L.stg_cashback, _dt.date(1996, 12, 31), L.spec)),
     "e15_cohort_anchor_q2": _e(lambda X, L, s, d: _cohort(L, L.spec.with_(cohort_anchor=2, n_silent=2))),
+    "e15_cohort_anchor_q3": _e(lambda X, L, s, d: _cohort(L, L.spec.with_(cohort_anchor=3, n_silent=2))),
+    "e15_cohort_anchor_q4": _e(lambda X, L, s, d: _cohort(L, L.spec.with_(cohort_anchor=4, n_silent=2))),
     "e16_boundary_exposure": _e(lambda X, L, s, d: X.boundary_exposure(L.stg_cashback, 7, L.spec)),
 })
 
@@ -182,11 +199,16 @@ QUERIES["e01_confirmation_horizon"] = _e(lambda X, L, s, d: X.confirmation_horiz
 
 # ---- the same model at weekly grain over the driver's events table -------------------
 def _weekly(attr):
-    from lapsekit.spec import WEEKLY_SPEC
     return lambda spark, sf_dir: getattr(layers(spark, sf_dir, WEEKLY_SPEC, source="events"), attr)
 
 
-QUERIES["w08_weekly_active_base"] = _weekly("active_base")
+def _weekly_base(spark, sf_dir):
+    """M08 by week, with a mark for weeks that the range cuts off (not comparable with full ones)."""
+    base = _weekly("active_base")(spark, sf_dir)
+    return base.withColumn("is_complete_period", ~F.col("quarter_label").isin(*cut_periods(WEEKLY_SPEC)))
+
+
+QUERIES["w08_weekly_active_base"] = _weekly_base
 QUERIES["w09_weekly_transitions"] = _weekly("transitions")
 
 

@@ -129,14 +129,16 @@ def adapter_network_reports(orders: DataFrame) -> DataFrame:
 
 
 def adapter_identity_scd2(customer: DataFrame, part: DataFrame, switch: "dt.date") -> DataFrame:
-    """Type-2 identity map: ids that move to a second person do so on ``switch``."""
+    """Type-2 identity map: ids that move to a second person do so on ``switch``; for some of
+    them the first range runs on for 30 days beside the second (an overlap in the source)."""
     c = F.col("c_custkey")
     none = F.lit(None).cast("date")
     moved = c % 97 == 3
     cust = customer.filter(c % 50 != 7).select(F.inline(F.filter(F.array(
         F.struct(F.lit("cashback").alias("source_system"), _s("B", c).alias("source_user_id"),
                  _s("U", c).alias("unified_user_id"), none.alias("valid_from"),
-                 F.when(moved, F.date_sub(F.lit(switch), 1)).alias("valid_to")),
+                 F.when(c % 194 == 100, F.date_add(F.lit(switch), 29))
+                 .when(moved, F.date_sub(F.lit(switch), 1)).alias("valid_to")),
         F.when(moved, F.struct(F.lit("cashback").alias("source_system"), _s("B", c).alias("source_user_id"),
                                _s("U", c + 1).alias("unified_user_id"), F.lit(switch).alias("valid_from"),
                                none.alias("valid_to")))), lambda x: x.isNotNull())))
