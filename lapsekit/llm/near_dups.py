@@ -17,16 +17,18 @@ document's whole sequence is its one shingle). Documents are linked where
    Sizes and the estimated similarity, corrected for registers that agree by chance,
    sort out candidates by six standard errors below the threshold; what is left is
    confirmed on the full sets. Links are contracted to components.
-5. Bands that hold more than one component are gone through again, with other first
-   members; then, in small ones, all pairs of different components are compared, and
-   the documents of large ones get longer sketches with longer bands, in which only
-   more similar documents meet. After the last of these, the pairs of different
-   components that are left in large bands are compared block by block. No band or
-   candidate is dropped.
-
-Null or empty texts have an empty set: they are linked with nothing. Rows with the
-same doc_id and different texts are judged each by its own text; rows with a null
-doc_id are linked with nothing, have a null component and are kept. Sets are held as
+5. Bands that still hold more than one component are gone through again: their
+   members are dealt to blocks, and every two blocks of a band are compared within
+   one task, by size, sketch and set; only linked pairs leave it. A pair that shares
+   several bands is compared in the first of them. Bands of more than ``LARGE``
+   members are not compared so: their documents get longer sketches with longer
+   bands, in which only more similar documents meet, and go through steps 3 to 5 with
+   those; at the last level all bands are compared. No band or candidate is dropped.
+
+Null or empty texts have an empty set: they are linked with nothing. A doc_id names one
+document: rows that repeat it with another text keep their own set and class, but only
+one of the texts is compared with unequal ones. Rows with a null doc_id are linked with
+nothing, have a null component and are kept. Sets are held as
 64-bit hashes of their shingles. Input columns other than doc_id and text are not read.
 
 No group is gathered in one task: members reach a band's first one through joins of
@@ -49,12 +51,12 @@ from lapsekit.llm.common import drop_stored, stored
 
 WORDS = 5
 PERCENT = 85
-#: (registers a band, bands) of the first sketch and of those for documents in large mixed bands.
+#: (registers a band, bands) of the first sketch and of those for documents in very large mixed bands.
 LEVELS: tuple[tuple[int, int], ...] = ((6, 40), (12, 130), (20, 420))
+LARGE = 20_000  # members of a mixed band from which its documents go to the next level
 ROUNDS = 8  # rounds of dealing shingles to buckets before every shingle may fill every empty bucket
 MANTISSA = 10
-SMALL = 32  # members of a band up to which its pairs are compared at once
-BLOCK = 256
+BLOCK = 256  # members that a task compares with each other or with as many others
 ERRORS = 6.0  # standard errors of the estimate that a candidate may lie below the threshold
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,7 +70,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = h
         return h
@@ -167,15 +169,15 @@ def shapes(docs: DataFrame) -> DataFrame:
 
 
 def band_keys(sketches: DataFrame, level: int) -> DataFrame:
-    """(key, id) of every band of the column ``sketch``."""
+    """(band, key, id) of every band of the column ``sketch``."""
     rows, bands = LEVELS[level]
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(
-        F.lit(level), k, F.substring("sketch", k * (2 * rows) + 1, F.lit(2 * rows))))
-    return sketches.select("id", F.explode(keys).alias("key"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(
+        F.lit(level), k, F.substring("sketch", k * (2 * rows) + 1, F.lit(2 * rows))).alias("key")))
+    return sketches.select("id", F.explode(keys).alias("k")).select("k.band", "k.key", "id")
 
 
 def crowded(keys: DataFrame) -> DataFrame:
-    """(key, id, first, size) of the bands with two members or more."""
+    """(band, key, id, first, size) of the bands with two members or more."""
     heads = (keys.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("size"))
              .filter("size > 1"))
     return stored(keys.join(stored(heads, "near-heads"), "key"), "near-members")
@@ -287,62 +289,81 @@ class _Graph:
 def link_all(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
     """(id, component) of the representatives that are linked to another; None if there are none."""
     g = _Graph(reps, docs)
-    inside = reps
+    inside = reps.select("id", "sketch")
     for level in range(len(LEVELS)):
         members = crowded(band_keys(inside, level))
         g.link(members.select(F.col("first").alias("a"), F.col("id").alias("b")))
-        if (members := mixed(g, members)) is None:
+        left = mixed(g, members)
+        if left is None:
             break
-        for turn in range(2):  # other first members
-            order = F.struct(F.xxhash64("id", F.lit(level * 10 + turn)).alias("h"), "id", "c")
-            firsts = stored(members.groupBy("key").agg(F.min(order).alias("f")), "near-firsts")
-            star = members.join(firsts, "key").filter(F.col("c") != F.col("f.c"))
-            g.link(star.select(F.col("f.id").alias("a"), F.col("id").alias("b")))
-            if (members := mixed(g, members)) is None:
-                break
-        if members is None:
+        last = level + 1 == len(LEVELS)
+        g.link(linked_in_blocks(left if last else left.filter(F.col("size") <= LARGE), inside, docs, level))
+        if last:
             break
-        few = members.filter(F.col("size") <= SMALL).select("key", "id", "c")
-        g.link(_cross(few, few))
-        large = members.filter(F.col("size") > SMALL)
-        if level + 1 < len(LEVELS):
-            ids = stored(large.select("id").distinct(), "near-large")
-            if ids.isEmpty():
-                break
-            inside = longer(reps, docs, ids, level + 1)
-        elif (rest := mixed(g, large)) is not None:
-            _blocks(g, rest)
+        ids = stored(left.filter(F.col("size") > LARGE).select("id").distinct(), "near-large")
+        if ids.isEmpty():
+            break
+        inside = longer(docs, ids, level + 1)
     return g.labels
 
 
 def mixed(g: _Graph, members: DataFrame) -> DataFrame | None:
-    """(key, id, size, c) of the bands of three members or more that hold different components."""
-    now = stored(g.label(members.select("key", "id", "size").filter("size > 2"), "id", "c"), "near-labelled")
+    """(band, key, id, size, c) of the bands of three members or more that hold different components."""
+    now = stored(g.label(members.select("band", "key", "id", "size").filter("size > 2"), "id", "c"), "near-labelled")
     kinds = now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
     left = stored(now.join(stored(kinds, "near-mixed"), "key"), "near-left")
     drop_stored(now)
     return None if left.isEmpty() else left
 
 
-def _cross(x: DataFrame, y: DataFrame) -> DataFrame:
-    other = y.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-    return (x.select("key", F.col("id").alias("a"), F.col("c").alias("ca")).join(other, "key")
-            .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b"))
-
+def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, level: int) -> DataFrame:
+    """(a, b) of the pairs of different components within a band that are linked by their sets (of 32-bit
+    hashes, with a little slack: ``confirmed`` decides). Each member goes to one group for every block of
+    its band, and a group holds two blocks, so no group grows with the band."""
+    width = LEVELS[level][0]
 
-def _blocks(g: _Graph, rest: DataFrame) -> None:
-    """All pairs of different components of the bands left, one block against the others at a time."""
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = stored(rest.withColumn("block", F.pmod(F.xxhash64("id"), n).cast("int")), "near-blocks")
-    for k in range(int(dealt.agg(F.max("block")).first()[0]) + 1):
-        now = g.label(dealt.select("key", "id", "block"), "id", "c")
-        one = now.filter(F.col("block") == k).select("key", "id", "c")
-        other = now.filter(F.col("block") >= k).select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-        g.link(one.join(other, "key").filter((F.col("id") != F.col("b")) & (F.col("c") != F.col("cb")))
-               .select(F.col("id").alias("a"), "b"))
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        table = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(len(g), -1)
+        block, ids, c, n = (g[x].to_numpy() for x in ("block", "id", "c", "n"))
+        band = int(g["band"].iloc[0])
+        sets = [np.frombuffer(x, np.uint32) for x in g["s"]]
+        first = np.flatnonzero(block == block.min())
+        second = first if block.min() == block.max() else np.flatnonzero(block != block.min())
+        out = []
+        for i in first:
+            js = second[(c[second] != c[i]) & ((ids[second] > ids[i]) | (second is not first))]
+            js = js[100 * np.minimum(n[i], n[js]) >= PERCENT * np.maximum(n[i], n[js])]
+            if not len(js):
+                continue
+            same = table[js] == table[i]
+            bands = same.reshape(len(js), -1, width).all(axis=2)
+            js = js[(bands.argmax(axis=1) == band) & may_link(
+                np.full(len(js), n[i], float), n[js].astype(float), table[i][None], table[js])]
+            for j in js:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= (PERCENT - 0.5) * (len(sets[i]) + len(sets[j]) - both):
+                    out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
+    @F.pandas_udf("binary")
+    def small_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            yield pd.Series([np.unique((shingle_set(t) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in b], dtype=object)
 
-def longer(reps: DataFrame, docs: DataFrame, ids: DataFrame, level: int) -> DataFrame:
+    ids = stored(members.select("id").distinct(), "near-mixed-ids")
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
+    sets = stored(texts.select("id", small_set("text").alias("s")).withColumn("n", F.octet_length("s") / 4)
+                  .dropDuplicates(["id"]), "near-small-sets")
+    whole = members.join(sets, "id").join(sketches.select("id", "sketch"), "id")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = whole.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    pairs = dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    return stored(pairs.select("band", "key", "lo", "hi", "block", "id", "c", "n", "sketch", "s")
+                  .groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long").distinct(), "near-block-links")
+
+
+def longer(docs: DataFrame, ids: DataFrame, level: int) -> DataFrame:
     """(id, sketch) of the given documents with the registers of a further level."""
     rows, bands = LEVELS[level]
 
@@ -352,7 +373,7 @@ def longer(reps: DataFrame, docs: DataFrame, ids: DataFrame, level: int) -> Data
             yield pd.Series([sketch(shingle_set(t), rows * bands, level).tobytes() for t in b], dtype=object)
 
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    return stored(texts.select("id", longer_sketch("text").alias("sketch")), "near-sketches")
+    return stored(texts.select("id", longer_sketch("text").alias("sketch")).dropDuplicates(["id"]), "near-sketches")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

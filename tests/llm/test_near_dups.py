@@ -73,7 +73,7 @@ def test_brute_force(spark, small_docs):
 
 def test_large_mixed_bands(spark, monkeypatch):
     """Chains and crowds that a comparison with the first member alone does not settle."""
-    monkeypatch.setattr(N, "SMALL", 3)
+    monkeypatch.setattr(N, "LARGE", 12)
     monkeypatch.setattr(N, "BLOCK", 4)
     monkeypatch.setattr(N, "LEVELS", ((1, 60), (2, 40)))  # bands so short that unlike documents meet
     rnd = random.Random(8)
