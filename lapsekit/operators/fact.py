@@ -87,12 +87,14 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
     per_person = (persons.unionByName(packed).groupBy("unified_user_id")
                   .agg(F.bool_or("_person").alias("_in_spine"), F.collect_list("_m").alias("_ms"))
                   .filter("_in_spine"))
-    by_index = F.map_from_entries(F.transform("_ms", lambda m: F.struct(m["quarter_index"], m)))
-    dense = per_person.select(
-        "unified_user_id",
-        F.explode(F.array(*[F.lit(p.index).cast("long") for p in periods])).alias("quarter_index"),
-        by_index.alias("_by_index"))
-    r = F.try_element_at(F.col("_by_index"), F.col("quarter_index"))
+    # the row of every period, found in the person's few sparse ones, then one row each: the Generate
+    # copies one row of metrics a period and not the person's whole map
+    def row(i):
+        return F.struct(i.alias("quarter_index"), F.get(F.filter("_ms", lambda m: m["quarter_index"] == i), 0).alias("_r"))
+
+    every = F.array(*[F.lit(p.index).cast("long") for p in periods])
+    dense = per_person.select("unified_user_id", F.inline(F.transform(every, row)))
+    r = F.col("_r")
     got = lambda n, default: F.coalesce(r[n], default)
     f0 = F.lit(False)
     cpn, csh = got("is_active_coupon", f0), got("is_active_cashback", f0)

@@ -34,9 +34,9 @@ def source_profile(txns: DataFrame, identity: DataFrame, spec: ChurnSpec = DEFAU
     j = txns.join(m, txns["cashback_user_id"] == m["_m_id"], "left")
     st = F.col("status")
     upd, pur = F.col("status_updated_date"), F.col("purchase_date")
-    sparse = j.groupBy("source", period_start(pur, g).alias("_p")).agg(
+    keyed = j.withColumn("_p", period_start(pur, g))
+    counts = keyed.groupBy("source", "_p").agg(
         F.count(F.lit(1)).alias("transactions"),
-        F.count_distinct("cashback_user_id").alias("distinct_source_users"),
         F.count_if(F.col("was_duplicated_in_raw")).alias("rows_duplicated_in_raw"),
         F.count_if(F.col("has_conflicting_duplicate")).alias("rows_with_conflicting_duplicate"),
         F.count_if(F.col("_m_person").isNull()).alias("rows_with_unmapped_user"),
@@ -55,19 +55,28 @@ def source_profile(txns: DataFrame, identity: DataFrame, spec: ChurnSpec = DEFAU
         F.count_if(upd.isNotNull() & (period_start(upd, g) > period_start(pur, g)))
         .alias("decisions_landing_in_later_quarter"),
     )
-    # dense keys: per network, every period from its first to the last seen anywhere
-    last = sparse.select(F.max("_p")).scalar()
-    keys = (sparse.filter(F.col("_p").isNotNull()).groupBy("source").agg(F.min("_p").alias("_first"))
-            .select("source", F.explode(F.sequence("_first", last, F.expr(_STEP[g]))).alias("_p")))
-    k, s = keys.alias("k"), sparse.alias("s")
-    dense = k.join(s, [F.col("k.source").eqNullSafe(F.col("s.source")), F.col("k._p") == F.col("s._p")],
-                   "full_outer").select(
-        F.coalesce(F.col("k.source"), F.col("s.source")).alias("source"),
-        F.coalesce(F.col("k._p"), F.col("s._p")).alias("_p"),
-        *[F.coalesce(F.col(f"s.{c}"), F.lit(0).cast("long")).alias(c) for c in PROFILE_COUNTS],
-        *[F.col(f"s.{c}").alias(c) for c in ["gross_amount_sar", "approved_amount_sar", "pending_amount_sar",
-                                             "median_days_to_decision", "max_days_to_decision"]],
-        F.coalesce(F.col("s.decisions_landing_in_later_quarter"), F.lit(0).cast("long"))
+    # distinct users apart from the sketch of the median, which would else be kept once a user
+    users = (keyed.groupBy("source", "_p", "cashback_user_id").agg(F.count(F.lit(1)))
+             .groupBy("source", "_p").agg(F.count("cashback_user_id").alias("distinct_source_users")))
+    u, c = users.alias("u"), counts.alias("c")
+    both = c.join(u, F.col("c.source").eqNullSafe(F.col("u.source")) & F.col("c._p").eqNullSafe(F.col("u._p")))
+    sparse = both.select("c.*", "u.distinct_source_users")
+    w0 = Window.partitionBy()                      # over one row a network and period
+    sparse = sparse.withColumns({"_last": F.max("_p").over(w0), "_next": F.lead("_p").over(
+        Window.partitionBy("source", F.col("_p").isNull()).orderBy("_p"))})
+    # dense: each period is followed by empty rows up to the next one (or to the last of any feed)
+    step = F.expr(_STEP[g])
+    until = F.coalesce("_next", F.date_add("_last", 1))
+    periods = F.filter(F.sequence("_p", until, step), lambda x: x < until)
+    span = F.when(F.col("_p").isNull(), F.array(F.col("_p"))).otherwise(periods)
+    grown = sparse.select("*", F.posexplode(span).alias("_i", "_q"))
+    own = F.col("_i") == 0
+    dense = grown.select(
+        "source", F.col("_q").alias("_p"),
+        *[F.when(own, F.col(c)).otherwise(F.lit(0).cast("long")).alias(c) for c in PROFILE_COUNTS],
+        *[F.when(own, F.col(c)).alias(c) for c in ["gross_amount_sar", "approved_amount_sar", "pending_amount_sar",
+                                                   "median_days_to_decision", "max_days_to_decision"]],
+        F.when(own, F.col("decisions_landing_in_later_quarter")).otherwise(F.lit(0).cast("long"))
         .alias("decisions_landing_in_later_quarter"),
     )
     w = Window.partitionBy("source", F.col("_p").isNull()).orderBy("_p")

@@ -59,7 +59,7 @@ class Layers:
         return self.raw.identity.sparkSession
 
     def _store(self, name: str, df: DataFrame, partition_month: str | None = None,
-               cluster: list[str] | None = None, bucket_col: str | None = None) -> DataFrame:
+               cluster: list[str] | None = None, bucket_col: str | None = None, keep_month: bool = False) -> DataFrame:
         if not self.materialise:
             return df
         import os
@@ -73,16 +73,29 @@ class Layers:
         with name_lock:
             if name in self._stored:
                 return self._stored[name]
-            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col)
+            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col, keep_month)
             return self._stored[name]
 
-    def _write(self, df, path, partition_month, cluster, bucket_col):
+    def _write(self, df, path, partition_month, cluster, bucket_col, keep_month):
         from lapsekit.sources.sinks import materialise
-        bucket = None
-        if bucket_col:
-            n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            bucket = (n, bucket_col)
-        return materialise(df, path, partition_month=partition_month, cluster=cluster, bucket_by=bucket)
+        bucket = (self.buckets or self._bucket_count(), bucket_col) if bucket_col else None
+        return materialise(df, path, partition_month=partition_month, cluster=cluster, bucket_by=bucket,
+                           keep_month=keep_month)
+
+    def _bucket_count(self, rows_per_bucket: int = 2_000_000) -> int:
+        """Buckets of the stored fact from its size, which is known before it is built: persons times
+        periods. Small facts get no more buckets than there are cores to read them."""
+        from lapsekit.functions.periods import periods_of
+        n = len(periods_of(self.spec.period_start, self.spec.period_end, self.spec.grain))
+        rows = n * self.stg_identity.count()
+        cores = self.spark.sparkContext.defaultParallelism
+        return max(1, -(-rows // rows_per_bucket), min(cores, -(-rows // 50_000)))
+
+    def drop(self) -> None:
+        """Remove what this build stored."""
+        from lapsekit.sources.sinks import drop_build
+        if self.materialise and self._location is not None:
+            drop_build(self.spark, self._location)
 
     # ---- layer 1 ---------------------------------------------------------
     @cached_property
@@ -105,11 +118,22 @@ class Layers:
 
     # ---- layer 2 ---------------------------------------------------------
     @cached_property
-    def events(self) -> DataFrame:
+    def events_by_month(self) -> DataFrame:
+        """The events as stored, with the column of their month folders (lazy builds: without)."""
         from lapsekit.operators.events import unify_events
         return self._store("int_unified_activity_events",
                            unify_events(self.stg_coupons, self.stg_cashback, self.stg_identity, self.spec),
-                           partition_month="activity_date", cluster=["unified_user_id", "channel"])
+                           partition_month="activity_date", cluster=["unified_user_id", "channel"], keep_month=True)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self.events_by_month.drop("activity_month")
+
+    @cached_property
+    def period_events(self) -> DataFrame:
+        """The events of the analysis range: of a stored build only these months' folders are read."""
+        from lapsekit.sources.sinks import in_month_range
+        return in_month_range(self.events_by_month, self.spec.period_start, self.spec.period_end)
 
     # ---- layer 3 ---------------------------------------------------------
     @cached_property
@@ -118,7 +142,7 @@ class Layers:
         # stored bucketed by person: every later window / aggregate keyed by person
         # (transitions, cohorts, hazard, rolling windows, grain check) reads it co-partitioned
         return self._store("fct_user_quarter_activity",
-                           user_period_activity(self.events, self.stg_identity, self.spec),
+                           user_period_activity(self.period_events, self.stg_identity, self.spec),
                            cluster=["unified_user_id", "quarter_index"], bucket_col="unified_user_id")
 
     @cached_property
@@ -213,17 +237,19 @@ class Layers:
 
     def activity_as_of(self, as_of) -> DataFrame:
         from lapsekit.operators.asof import activity_as_of
-        return activity_as_of(self.events, as_of, self.spec)
+        from lapsekit.sources.sinks import in_month_range
+        ev = in_month_range(self.events_by_month, self.spec.period_start, min(as_of, self.spec.period_end))
+        return activity_as_of(ev, as_of, self.spec)
 
     @cached_property
     def transition_by_vintage(self) -> DataFrame:
         from lapsekit.operators.asof import transition_by_vintage
-        return transition_by_vintage(self.events, self.spec)
+        return transition_by_vintage(self.period_events, self.spec)
 
     @cached_property
     def active_base_by_vintage(self) -> DataFrame:
         from lapsekit.operators.asof import active_base_by_vintage
-        return active_base_by_vintage(self.events, self.spec)
+        return active_base_by_vintage(self.period_events, self.spec)
 
     # ---- layer 8-10 ------------------------------------------------------
     def trace(self, user: str, step: int) -> DataFrame:

@@ -43,9 +43,26 @@ def layers(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC, source: str = "f
     if not MATERIALISE:
         return Layers(inputs(), spec)
     key = (spark.sparkContext.applicationId, sf_dir, spec, source)
-    if key not in _BUILDS:
-        _BUILDS[key] = Layers(inputs(), spec, materialise=True)
-    return _BUILDS[key]
+    state = _input_state(spark, sf_dir)
+    if key not in _BUILDS or _BUILDS[key][0] != state:     # the input files changed: build anew
+        if key in _BUILDS:
+            _BUILDS[key][1].drop()
+        _BUILDS[key] = (state, Layers(inputs(), spec, materialise=True))
+    return _BUILDS[key][1]
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of the input tables' files: what a stored build was made from."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("customer", "part", "orders", "lineitem", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            top = fs.getFileStatus(path)
+            out += [(f.getPath().getName(), f.getLen(), f.getModificationTime())
+                    for f in (fs.listStatus(path) if top.isDirectory() else [top])]
+    return tuple(sorted(out))
 
 
 def use_materialised(spark: SparkSession, sf_dir: str, spec=ADAPTER_SPEC) -> Layers:
@@ -133,7 +150,7 @@ QUERIES.update({
     "e01_hazard_curve": _e(lambda X, L, s, d: X.hazard_curve(L.long)),
     "e02_revenue_backtest": _e(lambda X, L, s, d: X.revenue_backtest(L.fact, L.transitions, L.spec)),
     "e03_restatement_magnitude": _e(lambda X, L, s, d: X.restatement_magnitude(
-        active_base_by_vintage(L.events, L.spec, dense=True))),
+        active_base_by_vintage(L.period_events, L.spec, dense=True))),
     "e04_reconcile_active_base": _e(lambda X, L, s, d: X.reconcile_active_base(
         L.active_base, adapter_external_counts(_tbl(s, d, "orders")), L.spec)),
     "e05_rolling_activity": _e(lambda X, L, s, d: X.rolling_activity(L.long, 4)),
@@ -189,7 +206,7 @@ def _many(spark, sf_dir):
     """Every period at its own close + each lag, one pass over the events."""
     from lapsekit.operators.asof import activity_as_of_many, period_vintages
     L = layers(spark, sf_dir)
-    out = activity_as_of_many(L.events, period_vintages(L.spec), L.spec)
+    out = activity_as_of_many(L.period_events, period_vintages(L.spec), L.spec)
     return out.withColumn("vintage_days", F.col("vintage_days").cast("long"))
 
 

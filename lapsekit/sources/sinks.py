@@ -1,12 +1,13 @@
 """Materialisation (S5) and export.
 
 Intermediate layers are written as Parquet under the folder the session names in
-``spark.checkpoint.dir`` (a shared, cluster-visible location). A local folder is
-set only when the session has none, which happens in tests and local runs.
+``spark.checkpoint.dir`` (a shared, cluster-visible location). A cluster session that
+names none gets an error; local sessions (tests) get a temporary folder.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import uuid
@@ -14,19 +15,35 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MONTH = "activity_month"
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared scratch root of this session (``spark.checkpoint.dir``)."""
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # only reached when the session names no folder (tests, local runs)
+        check_local(sc.master)
         d = tempfile.mkdtemp(prefix="lapsekit-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
+def check_local(master: str) -> None:
+    """A machine-local folder only serves a driver whose executors run inside it."""
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+def in_month_range(df: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """The rows of the month folders from ``first`` to ``last``, without the month column: a partition
+    filter for stored tables, nothing for tables that have no such column."""
+    if MONTH not in df.columns:
+        return df
+    return df.filter(F.col(MONTH).between(F.lit(first.replace(day=1)), F.lit(last))).drop(MONTH)
+
+
 def new_location(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_dir(spark), "lapsekit", f"{name}-{uuid.uuid4().hex[:12]}")
 
@@ -34,11 +51,12 @@ def new_location(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
                 cluster: list[str] | None = None, mode: str = "overwrite",
                 dynamic: bool = False, max_records_per_file: int = 5_000_000,
-                bucket_by: tuple[int, str] | None = None) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None, keep_month: bool = False) -> DataFrame:
     """Write a model as Parquet and return a DataFrame reading it back.
 
     ``partition_month``: a DATE column; rows are written into ``activity_month``
-    folders (partition pruning on later date filters). ``cluster``: columns to
+    folders; ``keep_month`` keeps that column, and a filter on it (``in_month_range``)
+    then reads only the folders it needs. ``cluster``: columns to
     sort within each output file so Parquet min/max statistics skip row groups on
     point lookups. ``dynamic``: only the months present in ``df`` are replaced
     (incremental rebuilds). ``bucket_by=(n, column)``: the table is written in
@@ -67,17 +85,22 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_month:
         w = w.partitionBy("activity_month")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    if dynamic:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
     back = spark.read.schema(out.schema).parquet(path)     # schema given: an empty table reads back empty
-    if partition_month:
-        back = back.drop("activity_month")
-    return back.select(*df.columns)
+    return back.select(*df.columns, *([MONTH] if partition_month and keep_month else []))
+
+
+def drop_build(spark: SparkSession, location: str) -> None:
+    """Remove a stored build: its catalog entries (bucketed tables) and its files."""
+    root = location.rstrip("/")
+    for t in spark.catalog.listTables():
+        if t.name.startswith("lapsekit_"):
+            at = spark.sql(f"DESCRIBE FORMATTED {t.name}").filter("col_name = 'Location'").first()
+            if at is not None and f"{at['data_type'].rstrip('/')}/".split(":", 1)[-1].lstrip("/").startswith(
+                    f"{root}/".split(":", 1)[-1].lstrip("/")):
+                spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def export_summary(df: DataFrame, path: str, order: list[str] | None = None) -> None:
