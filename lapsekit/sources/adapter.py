@@ -151,32 +151,29 @@ def adapter_identity_scd2(customer: DataFrame, part: DataFrame, switch: "dt.date
 
 
 def adapter_network_feeds(orders: DataFrame) -> dict:
-    """Two affiliate networks with their own shapes, vocabularies and clocks (for S4):
-    'alpha' carries the urgent / high-priority orders as UTC sale timestamps and its own
-    status words; 'beta' the others with a purchase day. Together they cover every order."""
+    """Two networks with feeds of their own design, which share no column (for S4): 'harbor' has
+    the small orders (up to 150,000), with the moment of sale in UTC and amounts as numbers; 'quill' the
+    rest, with days as yyyyMMdd text and amounts in cents. Together they cover every order."""
     from lapsekit.sources.feeds import FeedSpec
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    hot = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    alpha = orders.filter(hot).select(
-        _s("T", k).alias("txn_ref"), _s("B", F.col("o_custkey")).alias("member_id"),
-        (F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))).alias("sale_ts"),
-        _s("M", k % 20).alias("shop"),
-        F.when(st == "F", " Validated").when(st == "P", "waiting").otherwise("DECLINED").alias("state"),
-        F.col("o_totalprice").alias("value"))
-    beta = orders.filter(~hot).select(
-        _s("T", k).alias("id"), _s("B", F.col("o_custkey")).alias("user_ref"),
-        F.col("o_orderdate").cast("date").alias("purchase_day"), _s("M", k % 20).alias("merchant_id"),
-        F.when(st == "F", "paid").when(st == "P", "open").otherwise("void").alias("status"),
-        F.col("o_totalprice").alias("amount_sar"))
+    k, st, price = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")
+    outcome = lambda f, p, other: F.when(st == "F", f).when(st == "P", p).otherwise(other)
+    harbor = orders.filter(price <= 150_000).select(
+        _s("T", k).alias("order_no"), _s("B", F.col("o_custkey")).alias("shopper"),
+        (F.col("o_orderdate") + F.make_interval(hours=(k % 24).cast("int"))).alias("sold_at_utc"),
+        _s("M", k % 20).alias("store_code"), outcome("Settled ", "in review", "Void").alias("outcome"), price.alias("gross"))
+    quill = orders.filter(price > 150_000).select(
+        _s(" T", k).alias("ref"), _s("B", F.col("o_custkey")).alias("card"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("day_text"), _s("M", k % 20).alias("partner"),
+        outcome("cleared", "held", "reversed").alias("result"), F.round(price * 100).cast("long").alias("cents"))
     return {
-        "alpha": (alpha, FeedSpec("Alpha Network", {"transaction_id": "txn_ref", "cashback_user_id": "member_id",
-                                                    "purchase_date": "sale_ts", "merchant_id": "shop",
-                                                    "status": "state", "amount_sar": "value"},
-                                  {"validated": "approved", "waiting": "pending", "declined": "rejected"},
-                                  timezone="Asia/Riyadh")),
-        "beta": (beta, FeedSpec("Beta Network", {"transaction_id": "id", "cashback_user_id": "user_ref",
-                                                 "purchase_date": "purchase_day"},
-                                {"paid": "approved", "open": "pending", "void": "cancelled"})),
+        "harbor": (harbor, FeedSpec("Harbor", {
+            "transaction_id": "order_no", "cashback_user_id": "shopper", "purchase_date": "sold_at_utc",
+            "merchant_id": "store_code", "status": "outcome", "amount_sar": "gross"},
+            {"settled": "approved", "in review": "pending", "void": "rejected"}, timezone="America/Lima")),
+        "quill": (quill, FeedSpec("Quill", {
+            "transaction_id": F.trim("ref"), "cashback_user_id": "card", "purchase_date": F.to_date("day_text", "yyyyMMdd"),
+            "merchant_id": "partner", "status": "result", "amount_sar": F.col("cents").cast("decimal(38,9)") / 100},
+            {"cleared": "approved", "held": "pending", "reversed": "cancelled"})),
     }
 
 
