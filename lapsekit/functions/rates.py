@@ -9,8 +9,3 @@ def rate(num, den, digits: int = 4) -> Column:
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
     return F.round(F.try_divide(num.cast("double"), den.cast("double")), digits)
-
-
-def count_where(cond: Column) -> Column:
-    """COUNTIF: NULL counts as false, empty input gives 0."""
-    return F.count_if(F.coalesce(cond, F.lit(False)))

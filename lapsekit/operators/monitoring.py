@@ -35,7 +35,7 @@ def table_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 
 
 # --- fixed values: layer of an object, by name prefix ---------------------
-LAYER_PREFIXES = [("raw_", "L0 raw"), ("dim_", "L0 dimension"), ("stg_", "L1 staging"), ("int_", "L2 unified"),
+LAYER_PREFIXES = [("raw_", "L0 raw"), ("dim_", "L4 dimension"), ("stg_", "L1 staging"), ("int_", "L2 unified"),
                   ("fct_", "L3 fact"), ("mart_", "L4 mart"), ("dq_", "Quality")]
 # ---------------------------------------------------------------------------
 
@@ -90,37 +90,62 @@ def cardinality_ledger(layers) -> DataFrame:
 
 
 def expected_row_counts(layers) -> DataFrame:
-    """The model's own arithmetic for its stored objects, computed from the inputs:
-    staging = one row per distinct business key (+ one per NULL-key row), events =
-    staged coupons + staged cashback, fact = unambiguous persons x periods,
-    checks = the size of the check catalogue."""
+    """The model's own arithmetic for every object of a build: raw = rows loaded; staging = one row
+    per business key (+ one per row without a key), read from the keys' counters; events = both
+    staged feeds; fact and marts = products of persons, periods, definitions, networks and lags;
+    checks = the size of the check catalogue. Figures that depend on the data are counted on
+    the layers with one aggregate each, none of them a distinct count over raw rows."""
     from lapsekit.functions.periods import periods_of
-    from lapsekit.functions.text import norm_code, norm_key
+    from lapsekit.operators.marts import cut_periods
     from lapsekit.operators.quality import CHECKS
-    raw, spec = layers.raw, layers.spec
-
-    def keyed(df, *cols):
-        ks = [norm_code(cols[0]) if cols[0] == "source_system" else norm_key(cols[0])] + [norm_key(c) for c in cols[1:]]
-        has = ks[0].isNotNull()
-        for k in ks[1:]:
-            has = has & k.isNotNull()
-        return df.agg(F.count_distinct(F.when(has, F.struct(*ks))) + F.count_if(~has))
-
-    n_periods = len(periods_of(spec.period_start, spec.period_end, spec.grain))
-    persons = layers.stg_identity.filter(~F.col("has_ambiguous_mapping")).select(
-        F.count_distinct("unified_user_id"))
-    rows = [("stg_identity_map", keyed(raw.identity, "source_system", "source_user_id")),
-            ("stg_coupon_events", keyed(raw.coupons, "coupon_event_id")),
-            ("stg_cashback_transactions", keyed(raw.cashback, "transaction_id")),
-            ("fct_user_quarter_activity", persons.select((F.col(persons.columns[0]) * n_periods)))]
-    parts = [df.select(F.lit(n).alias("object_name"), F.col(df.columns[0]).cast("long").alias("expected_rows"))
-             for n, df in rows]
-    ev = (layers.stg_coupons.agg(F.count(F.lit(1)).alias("a"))
-          .select(F.lit("int_unified_activity_events").alias("object_name"),
-                  (F.col("a") + layers.stg_cashback.select(F.count(F.lit(1))).scalar()).cast("long").alias("expected_rows")))
-    spark = layers.spark
-    dq = spark.range(1).select(F.lit("dq_check_results").alias("object_name"), F.lit(len(CHECKS)).cast("long").alias("expected_rows"))
-    return reduce(DataFrame.unionByName, parts + [ev, dq])
+    raw, spec, L = layers.raw, layers.spec, layers
+    ps = periods_of(spec.period_start, spec.period_end, spec.grain)
+    n_def, n_per = len(spec.definitions), len(ps)
+    steps = sum(not {p.label, x.label} & set(cut_periods(spec)) for p, x in zip(ps, ps[1:]))
+    one = F.count(F.lit(1))
+
+    def count(df: DataFrame, c=one):
+        return df.agg(c.cast("long").alias("n"))
+
+    # copies beyond the first are what staging removes: the loaded rows less the copies are the keys
+    kept = lambda staged, loaded: count(staged, F.sum(F.lit(1)) + F.lit(loaded) - F.sum("raw_row_count"))
+    n_raw = {k: count(df).first()[0] for k, df in (("identity", raw.identity), ("coupons", raw.coupons), ("cashback", raw.cashback))}
+    persons = count(L.stg_identity.filter(~F.col("has_ambiguous_mapping") & F.col("unified_user_id").isNotNull())
+                    .select("unified_user_id").distinct()).first()[0]
+    staged = {"coupons": kept(L.stg_coupons, n_raw["coupons"]).first()[0] or 0,
+              "cashback": kept(L.stg_cashback, n_raw["cashback"]).first()[0] or 0}
+    from lapsekit.functions.text import norm_code, norm_key
+    s, i = norm_code("source_system"), norm_key("source_user_id")
+    whole = s.isNotNull() & i.isNotNull()
+    idents = count(raw.identity.select(s.alias("s"), i.alias("i"), whole.alias("w"),
+                                       F.when(~whole, F.monotonically_increasing_id()).alias("u")).distinct()).first()[0]
+    decided = L.stg_cashback.filter("status_updated_date IS NOT NULL")
+    networks = count(decided.select("source").distinct()).first()[0]
+    disagree = count(L.fact.filter("is_active_on_pending_only")).first()[0]
+    first = F.min(F.trunc("purchase_date", "quarter" if spec.grain == "quarter" else spec.grain))
+    spans = L.stg_cashback.groupBy("source").agg(first.alias("a"), F.max(F.trunc("purchase_date", "quarter" if spec.grain == "quarter"
+                                                                               else spec.grain)).alias("z"),
+                                                 F.max(F.col("purchase_date").isNull()).alias("undated"))
+    months = {"quarter": 3, "month": 1}.get(spec.grain)
+    last = spans.agg(F.max("z")).first()[0]
+    length = (F.floor(F.months_between(F.lit(last), "a") / months) if months else F.floor(F.datediff(F.lit(last), "a") / 7)) + 1
+    profile = spans.agg(F.sum(F.coalesce(length, F.lit(0)) + F.col("undated").cast("long")).cast("long")).first()[0] or 0
+    suspects = count(L.cross_source_duplicates).first()[0]
+    report = 5 * n_def * n_per + 5 * n_def * steps + 7 * n_def + 5 * n_per
+    rows = {
+        "raw_identity_map": n_raw["identity"], "raw_coupon_activity": n_raw["coupons"],
+        "raw_cashback_transactions": n_raw["cashback"], "dim_quarter": n_per, "stg_identity_map": idents,
+        "stg_coupon_events": staged["coupons"], "stg_cashback_transactions": staged["cashback"],
+        "int_unified_activity_events": staged["coupons"] + staged["cashback"],
+        "fct_user_quarter_activity": persons * n_per, "mart_quarterly_active_base": n_def * n_per,
+        "mart_quarter_transitions": n_def * steps, "mart_definition_sensitivity": steps,
+        "mart_definition_disagreements": disagree, "mart_q1_cohort_users": n_def * persons,
+        "mart_q1_cohort_summary": n_def, "mart_cashback_source_profile": profile,
+        "dq_cross_source_duplicate_suspects": suspects, "mart_pending_exposure": n_per,
+        "mart_cashback_approval_maturity": networks + 1, "mart_churn_vintage_comparison": n_def * len(spec.vintage_lags),
+        "mart_report_summary": report, "dq_check_results": len(CHECKS),
+    }
+    return layers.spark.createDataFrame(sorted(rows.items()), "object_name string, expected_rows long")
 
 
 def model_audit(layers) -> DataFrame:

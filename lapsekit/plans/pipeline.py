@@ -3,7 +3,8 @@
 ``run_pipeline`` lands the raw feeds (unless ``skip_load``), writes the stored
 layers (staging and events month-partitioned, fact clustered by person) and
 every mart, then returns the written tables plus a build audit and the
-row-count monitor. ``target`` is any path the cluster shares (an isolated copy
+row-count monitor. The publish gate stands between the layers and the marts: an
+error-graded check that fails stops the build there, unless ``allow_blocked``. ``target`` is any path the cluster shares (an isolated copy
 is just another target); every table is written with overwrite, so a re-run
 is idempotent.
 """
@@ -38,7 +39,8 @@ MARTS = [
 
 
 def run_pipeline(spark: SparkSession, inputs: RawInputs | None, target: str, *, skip_load: bool = False,
-                 spec: ChurnSpec = DEFAULT_SPEC, expected: dict | None = None) -> dict[str, DataFrame]:
+                 spec: ChurnSpec = DEFAULT_SPEC, expected: dict | DataFrame | None = None,
+                 allow_blocked: bool = False) -> dict[str, DataFrame]:
     p = lambda name: os.path.join(target, name)
     if skip_load:
         raw = RawInputs(spark.read.parquet(p("raw_identity_map")), spark.read.parquet(p("raw_coupon_activity")),
@@ -55,14 +57,17 @@ def run_pipeline(spark: SparkSession, inputs: RawInputs | None, target: str, *,
         "stg_cashback_transactions": L.stg_cashback, "int_unified_activity_events": L.events,
         "fct_user_quarter_activity": L.fact,
     }
+    out["dq_check_results"] = L.dq_check_results            # stored by the layers at target/dq_check_results
+    if not allow_blocked:                                   # no mart is written from a build that fails the gate
+        publish_or_raise(L.dq_checks(with_checked_at=False))
     for name, attr in MARTS:
         out[name] = materialise(getattr(L, attr), p(name))
-    out["dq_check_results"] = L.dq_check_results            # stored by the layers at target/dq_check_results
     from lapsekit.operators.monitoring import row_count_monitor, table_audit
     audit = table_audit(spark, {n: p(n) for n in out})
     out["build_audit"] = audit
     if expected is not None:
-        exp = spark.createDataFrame(sorted(expected.items()), "object_name string, expected_rows long")
+        exp = (spark.createDataFrame(sorted(expected.items()), "object_name string, expected_rows long")
+               if isinstance(expected, dict) else expected)
         out["v_pipeline_row_counts"] = row_count_monitor(audit, exp)
     out["layers"] = L  # type: ignore[assignment]
     return out

@@ -68,11 +68,13 @@ def read_cashback(spark: SparkSession, path, keep_corrupt: bool = False) -> Data
     return _read_csv(spark, path, CASHBACK_SCHEMA, keep_corrupt)
 
 
-def read_feeds(spark: SparkSession, identity_path, coupon_path, cashback_path):
-    from lapsekit.sources.adapter import RawInputs
-    return RawInputs(read_identity_map(spark, identity_path),
-                     read_coupon_activity(spark, coupon_path),
-                     read_cashback(spark, cashback_path))
+def load_problems(feeds: dict) -> DataFrame:
+    """Check of a load: rows, and rows with a value that its declared type cannot hold, per feed
+    ({name: table read with ``keep_corrupt`` and stored}): a CSV reader that is asked for few columns
+    only looks at these, so the check reads the stored load."""
+    parts = [df.select(F.lit(n).alias("feed"), F.col(CORRUPT).isNotNull().alias("_bad")) for n, df in feeds.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("feed").agg(
+        F.count(F.lit(1)).alias("loaded_rows"), F.count_if("_bad").alias("rows_with_bad_values"))
 
 
 @dataclass(frozen=True)

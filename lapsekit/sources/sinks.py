@@ -104,6 +104,8 @@ def drop_build(spark: SparkSession, location: str) -> None:
 
 
 def export_summary(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """The tidy summary as one CSV file with a header (the result is ~100 rows)."""
+    """The tidy summary as one CSV file with a header (the result is ~100 rows). Decimals are
+    written in full (0.000000000, not 0E-9), so that any reader takes them as numbers."""
+    plain = {c: F.col(c).cast("string") for c, kind in df.dtypes if kind.startswith("decimal")}
     order = order or ["section_order", "definition_name", "period", "metric"]
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.orderBy(*order).withColumns(plain).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

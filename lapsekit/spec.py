@@ -8,7 +8,7 @@ is an argument here, so one code path serves every reporting setup.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,6 @@ class ChurnSpec:
     cohort_anchor: int = 1          # 1-based period index of the cohort
     n_silent: int = 2               # silent periods that confirm churn
     keep: str = "first"             # duplicate resolution: 'first' | 'latest'
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def primary(self) -> Definition:

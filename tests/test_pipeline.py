@@ -24,7 +24,7 @@ def built(spark):
     from lapsekit.plans.pipeline import run_pipeline
     from lapsekit.sources.adapter import csv_inputs
     target = tempfile.mkdtemp(prefix="lapsekit-build-")
-    return target, run_pipeline(spark, csv_inputs(spark, FIXTURES), target, expected=GOLDEN_EXPECTED_ROWS)
+    return target, run_pipeline(spark, csv_inputs(spark, FIXTURES), target, expected=GOLDEN_EXPECTED_ROWS, allow_blocked=True)
 
 
 def test_monitor_all_ok(built):
@@ -34,7 +34,7 @@ def test_monitor_all_ok(built):
            if r.row_count_status not in ("OK",)}
     # the one built object without an expected count is reported, not hidden
     assert bad == {"dq_cross_source_duplicate_suspects": (0, None, "NOT TRACKED")}
-    assert mon["dim_quarter"].layer == "L0 dimension"
+    assert mon["dim_quarter"].layer == "L4 dimension"
     assert mon["fct_user_quarter_activity"].size_bytes > 0
     assert mon["fct_user_quarter_activity"].hours_since_build == 0
 
@@ -44,7 +44,7 @@ def test_month_partitions_and_skip_load(spark, built):
     assert any(d.startswith("activity_month=") for d in os.listdir(os.path.join(target, "stg_coupon_events")))
     from lapsekit.plans.pipeline import run_pipeline
     before = sorted(tuple(r) for r in out["mart_quarter_transitions"].collect())
-    again = run_pipeline(spark, None, os.path.join(target), skip_load=True)   # idempotent rebuild in place
+    again = run_pipeline(spark, None, os.path.join(target), skip_load=True, allow_blocked=True)   # idempotent rebuild in place
     assert sorted(tuple(r) for r in again["mart_quarter_transitions"].collect()) == before
 
 
@@ -69,3 +69,23 @@ def test_export_and_gate(spark, built):
         assert len(fh.read().strip().splitlines()) == 105
     with pytest.raises(Exception):
         publish_or_raise(spark.read.parquet(os.path.join(target, "dq_check_results")))
+
+
+def test_gate_stops_the_build_before_the_marts(spark):
+    import dataclasses
+    from lapsekit.plans.pipeline import run_pipeline
+    from lapsekit.sources.adapter import csv_inputs
+    raw = csv_inputs(spark, FIXTURES)
+    lost = dataclasses.replace(raw, identity=raw.identity.filter("source_user_id <> 'never'").limit(5)) \
+        if dataclasses.is_dataclass(raw) else raw._replace(identity=raw.identity.limit(5))
+    target = tempfile.mkdtemp(prefix="lapsekit-blocked-")
+    with pytest.raises(Exception):
+        run_pipeline(spark, lost, target)
+    assert os.path.exists(os.path.join(target, "dq_check_results"))
+    assert not os.path.exists(os.path.join(target, "mart_quarter_transitions"))
+
+
+def test_expected_counts_follow_the_model(golden):
+    from lapsekit.operators.monitoring import expected_row_counts
+    got = {r.object_name: r.expected_rows for r in expected_row_counts(golden).collect()}
+    assert got == {**GOLDEN_EXPECTED_ROWS, "dq_cross_source_duplicate_suspects": 0}
