@@ -262,7 +262,7 @@ QUERIES["s7_pipeline_objects"] = lambda spark, sf_dir: _pipeline(spark, sf_dir)[
 # ---- the loaders and the export, over files written from the given tables ----------------
 def _as_csv(df, name: str) -> str:
     path = new_location(df.sparkSession, f"csv-{name}")
-    df.write.option("header", True).csv(path)
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return path
 
 

@@ -42,12 +42,16 @@ def adapter_identity(customer: DataFrame, part: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
     # one scan of customer: its mapped row and, for some ids, a second (ambiguous) row
     cust = customer.select(F.inline(F.filter(F.array(
-        F.when(c % 50 != 7, F.struct(F.lit("cashback").alias("source_system"),
-                                     _s("B", c).alias("source_user_id"),
+        F.when(c % 50 != 7, F.struct(F.when(c % 60 == 13, " CashBack ").otherwise("cashback").alias("source_system"),
+                                     F.when(c % 70 == 17, _s(" B", c)).otherwise(_s("B", c)).alias("source_user_id"),
                                      _s("U", c).alias("unified_user_id"))),
         F.when(c % 97 == 3, F.struct(F.lit("cashback").alias("source_system"),
                                      _s("B", c).alias("source_user_id"),
                                      _s("U", c + 1).alias("unified_user_id"))),
+        F.when(c % 211 == 5, F.struct(F.lit("cashback").alias("source_system"), _s("N", c).alias("source_user_id"),
+                                      F.lit(None).cast("string").alias("unified_user_id"))),       # no person
+        F.when(c % 199 == 9, F.struct(F.lit("loyalty").alias("source_system"), _s("L", c).alias("source_user_id"),
+                                      _s("U", c).alias("unified_user_id"))),                       # unknown system
     ), lambda x: x.isNotNull())))
     n_customers = customer.select(F.count(F.lit(1))).scalar()
     p = F.col("p_partkey")
@@ -59,8 +63,8 @@ def adapter_identity(customer: DataFrame, part: DataFrame) -> DataFrame:
 
 def adapter_coupons(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("coupon_event_id"),
+        F.concat(F.when(F.col("l_orderkey") % 150 == 21, " ").otherwise(""), F.col("l_orderkey").cast("string"),
+                 F.lit("-"), F.col("l_linenumber").cast("string")).alias("coupon_event_id"),
         _s("C", F.col("l_partkey")).alias("coupon_user_id"),
         F.col("l_shipdate").cast("date").alias("event_date"),
         _s("M", F.col("l_suppkey")).alias("merchant_id"),
@@ -71,14 +75,18 @@ def adapter_coupons(lineitem: DataFrame) -> DataFrame:
 
 def adapter_cashback(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    d = F.col("o_orderdate").cast("date")
+    ordered = F.col("o_orderdate").cast("date")
+    d = F.when(k % 1100 != 9, ordered)                                             # some rows have no date
     status = (F.when(k % 500 == 3, "validated")
+              .when((F.col("o_orderstatus") == "F") & (k % 140 == 19), " APPROVED")
               .when(F.col("o_orderstatus") == "F", "approved")
               .when(F.col("o_orderstatus") == "P", "pending")
               .when(k % 2 == 0, "rejected").otherwise("cancelled"))
-    updated = (F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("date"))
-               .when(k % 700 == 4, F.date_sub(d, 1))
-               .otherwise(F.date_add(d, (k % 90).cast("int"))))
+    open_ = F.col("o_orderstatus") == "P"
+    updated = (F.when(open_ & (k % 200 == 13), F.date_add(ordered, 3))             # pending, yet decided
+               .when(open_ | (k % 900 == 11), F.lit(None).cast("date"))            # decided, yet undated
+               .when(k % 700 == 4, F.date_sub(ordered, 1))
+               .otherwise(F.date_add(ordered, (k % 90).cast("int"))))
     amount = F.col("o_totalprice").cast("decimal(38,9)")
 
     def row(tid, source, amt):
@@ -87,7 +95,7 @@ def adapter_cashback(orders: DataFrame) -> DataFrame:
                         source.alias("source"), status.alias("status"),
                         updated.alias("status_updated_date"), amt.alias("amount_sar"))
 
-    base = row(_s("T", k), F.col("o_orderpriority"), amount)
+    base = row(F.when(k % 130 == 17, F.concat(_s(" T", k), F.lit("  "))).otherwise(_s("T", k)), F.col("o_orderpriority"), amount)
     # one scan of orders; each order yields its row plus the injected copies
     variants = F.array(
         base,
