@@ -49,6 +49,7 @@ MAX_GAP = 0  # tokens that a filled pattern may leave open; pieces without so cl
 # space is looked up. Texts with other runs of white space are first cut where that splitter cuts such runs.
 _WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
           "\u2028\u2029\u202f\u205f\u3000")
+MARKS = ".,;:!?"
 PART = re.compile(f"[{_WHITE}]+(?![^{_WHITE}])| ?[^{_WHITE}]+|[{_WHITE}]+")
 
 
@@ -66,19 +67,36 @@ class Tokens:
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
         self.memory = Memory(self._spaced)
+        self.starts = Memory(self._bare, 100_000)  # words that no space precedes
 
     def _plain(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        """Letters alone are one word of the splitter: straight to the merges."""
+        mapped = self.bytes.pre_tokenize_str(word)[0][0]
+        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+
     def _spaced(self, word: str) -> bytes:
         """The ids of a space and the word."""
-        if word.isalpha():  # letters alone are one word of the splitter: straight to the merges
-            mapped = self.bytes.pre_tokenize_str(" " + word)[0][0]
-            return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        if word.isalpha():
+            return self._letters(" " + word)
         if not word or word[0] in _WHITE or word[-1] in _WHITE:
             raise _Run
+        head, line, tail = word.partition("\n")
+        if line and tail[0] not in _WHITE and head[-1] not in _WHITE:  # a single line end is a word of its own
+            return self.memory[head] + self.starts[line] + self.starts[tail]
+        if word[-1] in MARKS and word[:-1].isalpha():  # and so is a mark behind letters
+            return self.memory[word[:-1]] + self.starts[word[-1]]
         return self._plain(" " + word)
 
+    def _bare(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._letters(word)
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return self.starts[word[:-1]] + self.starts[word[-1]]
+        return self._plain(word)
+
     def encode(self, text: str) -> bytes:
         if "  " not in text:
             first, *rest = text.split(" ")
