@@ -49,6 +49,7 @@ MAX_GAP = 0  # tokens that a filled pattern may leave open; pieces without so cl
 # space is looked up. Texts with other runs of white space are first cut where that splitter cuts such runs.
 _WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
           "\u2028\u2029\u202f\u205f\u3000")
+WORDS_KEPT = 400_000  # words in each of the two generations that a worker remembers
 MARKS = ".,;:!?"
 PART = re.compile(f"[{_WHITE}]+(?![^{_WHITE}])| ?[^{_WHITE}]+|[{_WHITE}]+")
 
@@ -66,7 +67,7 @@ class Tokens:
         self.tokenizer.encode_special_tokens = True
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
-        self.memory = Memory(self._spaced)
+        self.memory = Memory(self._spaced, WORDS_KEPT)
         self.starts = Memory(self._bare, 100_000)  # words that no space precedes
 
     def _plain(self, part: str) -> bytes:

@@ -24,12 +24,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 MARK = "▁"
-MEMORY = 400_000  # stretches in each of the two generations that a worker remembers
+MEMORY = 150_000  # stretches in each of the two generations that a worker remembers
 UNKNOWN_PENALTY = 10.0
 
 
@@ -198,23 +198,35 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(text: Column, path: str) -> Column:
-    """The ids of a text as binary (little-endian 32-bit integers)."""
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = codec(path)
-        for b in batches:
-            yield pd.Series([None if x is None else c.encode(x) for x in b], dtype=object)
+SLICE = 256  # rows that a worker holds results of at once
 
-    return run(text)
 
+def _with(df: DataFrame, column: str, into: str, kind: T.DataType, convert) -> DataFrame:
+    """``df`` with the column ``into`` (replacing one of that name): ``convert`` makes the function of a
+    worker from one value to another. Results leave in small slices, whatever the size of a batch."""
+    kept = [f for f in df.schema.fields if f.name != into or f.name == column]
+    schema = T.StructType([*[f for f in kept if f.name != into], T.StructField(into, kind)])
+    names = [f.name for f in schema.fields]
 
-def decoded(ids: Column, path: str) -> Column:
-    """The text of binary ids."""
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        c = codec(path)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = convert()
+        arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
         for b in batches:
-            yield pd.Series([None if x is None else c.decode(x) for x in b], dtype=object)
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                values = part.column(part.schema.get_field_index(column)).to_pylist()
+                made = pa.array([None if v is None else one(v) for v in values], arrow)
+                yield pa.RecordBatch.from_arrays(
+                    [made if n == into else part.column(part.schema.get_field_index(n)) for n in names], names)
+
+    return df.select(*[f.name for f in kept]).mapInArrow(run, schema)
+
+
+def encode(df: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
+    """``df`` with the ids of ``text`` as binary (little-endian 32-bit integers)."""
+    return _with(df, text, into, T.BinaryType(), lambda: codec(path).encode)
+
 
-    return run(ids)
+def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "text") -> DataFrame:
+    """``df`` with the text of binary ids."""
+    return _with(df, ids, into, T.StringType(), lambda: codec(path).decode)

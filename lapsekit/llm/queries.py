@@ -43,10 +43,9 @@ def op3_piece_codec(spark, sf_dir):
     """Every document encoded, and whether decoding gives it back."""
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = docs.withColumn("ids", piece_codec.encoded(F.col("text"), path))
-    return (ids.withColumn("back", piece_codec.decoded(F.col("ids"), path))
-            .select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
-                    F.col("back").eqNullSafe(F.col("text")).alias("round_trip")))
+    back = piece_codec.decode(piece_codec.encode(docs, path), path, into="back")
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+                       F.col("back").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
 @query

@@ -3,7 +3,6 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lapsekit.llm import piece_codec as C
 
@@ -89,11 +88,18 @@ def test_bounded_memory():
 
 
 def test_columns(spark):
-    rows = [(1, "a b"), (2, None), (3, ""), (3, ""), (None, "z " * 100_000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = df.withColumn("ids", C.encoded(F.col("text"), PATH)).withColumn("back", C.decoded(F.col("ids"), PATH))
+    rows = [(1, "a b", 1), (2, None, 2), (3, "", 3), (3, "", 3), (None, "z " * 100_000, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    out = C.decode(C.encode(df, PATH), PATH, into="back")
+    assert out.columns == ["doc_id", "text", "ids", "back"]
     got = out.collect()
     assert sorted((r["doc_id"] or 0, r["back"]) for r in got if r["text"]) == [(0, "z " * 100_000), (1, "a b")]
     assert [r["ids"] for r in got if r["doc_id"] == 2] == [None]
     assert [bytes(r["ids"]) for r in got if r["doc_id"] == 3] == [b"", b""]
     assert out.limit(0).collect() == []
+
+
+def test_many_rows_keep_their_place(spark):
+    df = spark.range(1000).selectExpr("id", "concat('doc ', id) AS text").coalesce(1)
+    got = C.decode(C.encode(df, PATH), PATH, into="back").collect()
+    assert all(r["text"] == r["back"] == f"doc {r['id']}" for r in got) and len(got) == 1000
