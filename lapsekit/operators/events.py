@@ -51,14 +51,20 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
     sizes and splits a skewed id), add period columns and scope flags.
 
     Exclusions are carried as flags, never applied: ``is_in_scope`` is what the
-    fact layer filters on. A NULL activity date is out of period (not NULL).
+    fact layer filters on. A NULL activity date is out of period (not NULL). An identity map
+    with ``valid_from`` and ``valid_before`` (``extensions.disjoint_identity``: ranges that do not
+    overlap) is read as of the activity date, so persons can change over time (E12).
     ``status_updated_date`` (cashback decision date, NULL for coupons) is carried
     for the as-of restatement only; it never dates activity."""
     ev = channel_events(coupons, cashback, spec)
     m = identity.filter(F.col("source_system").isNotNull() & F.col("source_user_id").isNotNull()).select(
         F.col("source_system").alias("_m_system"), F.col("source_user_id").alias("_m_id"),
-        "unified_user_id", F.col("has_ambiguous_mapping").alias("_m_ambiguous"))
-    j = ev.join(m, (ev["channel"] == m["_m_system"]) & (ev["source_user_id"] == m["_m_id"]), "left")
+        "unified_user_id", F.col("has_ambiguous_mapping").alias("_m_ambiguous"),
+        *[c for c in ("valid_from", "valid_before") if c in identity.columns])
+    same = (ev["channel"] == m["_m_system"]) & (ev["source_user_id"] == m["_m_id"])
+    if "valid_before" in m.columns:
+        same = same & (ev["activity_date"] >= m["valid_from"]) & (ev["activity_date"] < m["valid_before"])
+    j = ev.join(m, same, "left")
     d = F.col("activity_date")
     unmapped = F.col("unified_user_id").isNull()
     ambiguous = F.coalesce(F.col("_m_ambiguous"), F.lit(False))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapsekit.functions.periods import periods_of
+from lapsekit.functions.text import norm_key
 from lapsekit.operators.events import activity_col
 from lapsekit.operators.fact import active_col
 from lapsekit.spec import CASHBACK, COUPON, ChurnSpec, DEFAULT_SPEC
@@ -72,13 +73,16 @@ def dq_failures(layers, spec: ChurnSpec | None = None) -> DataFrame:
                             layers.events, layers.fact)
     prim, strict = spec.primary, spec.strict
 
+    def loaded(df: DataFrame, key: str):                     # rows of the raw table, not staging's own counter
+        return df.select(F.count(norm_key(key))).scalar()
+
     coupons = cp.agg(
-        F.sum(F.col("raw_row_count") - 1).alias("c_dup"),
+        (loaded(layers.raw.coupons, "coupon_event_id") - F.count("coupon_event_id")).alias("c_dup"),
         F.count_if(F.col("has_conflicting_duplicate")).alias("c_conf"),
         F.count_if(~F.coalesce(F.col("event_type").isin(*spec.eligible_event_types), F.lit(False)))
         .alias("c_type"))
     cash = cb.agg(
-        F.sum(F.col("raw_row_count") - 1).alias("b_dup"),
+        (loaded(layers.raw.cashback, "transaction_id") - F.count("transaction_id")).alias("b_dup"),
         F.count_if(F.col("has_conflicting_duplicate")).alias("b_conf"),
         F.count_if(F.col("status_class") == "unknown").alias("b_unknown"),
         F.count_if(F.col("days_to_status_decision") < 0).alias("b_before"),
@@ -91,12 +95,11 @@ def dq_failures(layers, spec: ChurnSpec | None = None) -> DataFrame:
                    | F.col("unified_user_id").isNull()).alias("identity_map_null_keys"),
         F.count_if(~F.coalesce(F.col("source_system").isin(*spec.source_systems), F.lit(False)))
         .alias("identity_map_unknown_source_system"))
-    unm = F.col("is_unmapped_user")
+    lost = (ev.filter(F.col("is_unmapped_user") & F.col("source_user_id").isNotNull())
+            .select("channel", "source_user_id").distinct()
+            .agg(F.count_if(F.col("channel") == COUPON).alias("unmapped_coupon_user_ids"),
+                 F.count_if(F.col("channel") == CASHBACK).alias("unmapped_cashback_user_ids")))
     events = ev.agg(
-        F.count_distinct(F.when((F.col("channel") == COUPON) & unm, F.col("source_user_id")))
-        .alias("unmapped_coupon_user_ids"),
-        F.count_distinct(F.when((F.col("channel") == CASHBACK) & unm, F.col("source_user_id")))
-        .alias("unmapped_cashback_user_ids"),
         F.count_if(~F.col("is_in_analysis_period")).alias("activity_outside_analysis_period"),
         F.count_if(F.col("activity_date").isNull()).alias("null_activity_date"))
     n_periods = len(periods_of(spec.period_start, spec.period_end, spec.grain))
@@ -135,6 +138,7 @@ def dq_failures(layers, spec: ChurnSpec | None = None) -> DataFrame:
                              .alias("duplicate_ids_with_conflicting_payload")),
               {"duplicate_ids_with_conflicting_payload": F.col("duplicate_ids_with_conflicting_payload")}),
         _rows(ident, {c: F.col(c) for c in ident.columns}),
+        _rows(lost, {c: F.col(c) for c in lost.columns}),
         _rows(events, {c: F.col(c) for c in events.columns}),
         _rows(fact, {c: F.col(c) for c in fact.columns}),
         _rows(grain, {"fct_grain_not_unique": F.col("fct_grain_not_unique")}),

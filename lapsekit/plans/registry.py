@@ -15,7 +15,7 @@ from lapsekit.operators.monitoring import expected_row_counts, row_count_monitor
 from lapsekit.plans.layers import Layers
 from lapsekit.plans.pipeline import run_pipeline
 from lapsekit.operators.asof import active_base_by_vintage
-from lapsekit.operators.events import channel_events
+from lapsekit.operators.events import channel_events, unify_events
 from lapsekit.operators.marts import cut_periods
 from lapsekit.operators.profile import source_profile
 from lapsekit.sources.adapter import (adapter_external_counts, adapter_identity_scd2, adapter_inputs,
@@ -165,6 +165,10 @@ QUERIES.update({
     "e10_late_arrival": _e(lambda X, L, s, d: X.late_arrival(L.stg_cashback, L.spec)),
     "e12_identity_scd2": _e(lambda X, L, s, d: X.resolve_identity_scd2(
         channel_events(L.stg_coupons, L.stg_cashback, L.spec), _scd2_map(s, d))),
+    "e12_unified_events_scd2": _e(lambda X, L, s, d: unify_events(
+        L.stg_coupons, L.stg_cashback, X.disjoint_identity(_scd2_map(s, d)), L.spec).select(
+        "channel", "source_event_id", "unified_user_id", "quarter_label", "is_unmapped_user", "has_ambiguous_mapping",
+        "is_in_scope")),
     "e12_identity_overlaps": _e(lambda X, L, s, d: X.identity_overlaps(_scd2_map(s, d))),
     "e13_financial_reconciliation": _e(lambda X, L, s, d: X.financial_reconciliation(
         L.stg_cashback, adapter_network_reports(_tbl(s, d, "orders")), L.spec)),
