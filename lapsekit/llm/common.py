@@ -8,8 +8,11 @@ import uuid
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: The white space that separates words: space and the control characters 9 to 13.
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -89,3 +92,19 @@ def frame(rows: list[tuple], names: list[str], ids: tuple[str, ...] = ()) -> pd.
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
     return pd.DataFrame({n: pd.array([None if x is None else int(x) for x in c], "Int64") if n in ids
                          else pd.Series(list(c), dtype=None if c else object) for n, c in zip(names, columns, strict=True)})
+
+
+SLICE = 256  # rows that a worker holds as Python values at once
+
+
+def map_slices(df: DataFrame, schema: str, fn, rows: int = SLICE) -> DataFrame:
+    """``mapInArrow`` by small slices: ``fn`` takes {column: values} and returns the same for ``schema``,
+    so that a worker's memory follows the slice and not the batch."""
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                out = fn(b.slice(at, rows).to_pydict())
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    return df.mapInArrow(run, schema)

@@ -39,15 +39,13 @@ aggregated per task before it is shuffled.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsekit.llm.common import drop_stored, stored
+from lapsekit.llm.common import drop_stored, map_slices, stored
 
 WORDS = 5
 PERCENT = 85
@@ -70,7 +68,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         self[word] = h
         return h
@@ -148,24 +146,18 @@ def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, percent
     return estimate >= p - ERRORS * np.sqrt(p * (1 - p) / effective)
 
 
-def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _shapes(part: dict) -> dict:
     rows, bands = LEVELS[0]
-    for b in batches:
-        n, sets, sketches = [], [], []
-        for text in b["text"]:
-            s = shingle_set(text)
-            n.append(len(s))
-            sets.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-            sketches.append(sketch(s, rows * bands).tobytes() if len(s) else None)
-        yield pd.DataFrame({"doc_id": b["doc_id"], "n": n, "set_id": sets, "sketch": sketches})
+    sets = [shingle_set(t) for t in part["text"]]
+    return {"doc_id": part["doc_id"], "n": [len(s) for s in sets],
+            "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+            "sketch": [sketch(s, rows * bands).tobytes() if len(s) else None for s in sets]}
 
 
 def shapes(docs: DataFrame) -> DataFrame:
     """(doc_id, n, set_id, sketch) of every row."""
-    # ids as decimals, so that a null does not turn its batch into floating point
-    rows = docs.select(F.col("doc_id").cast("decimal(20,0)"), "text")
-    out = rows.mapInPandas(_shapes, "doc_id decimal(20,0), n long, set_id binary, sketch binary")
-    return stored(out.withColumn("doc_id", F.col("doc_id").cast("long")), "near-shapes")
+    return stored(map_slices(docs.select("doc_id", "text"), "doc_id long, n long, set_id binary, sketch binary", _shapes),
+                  "near-shapes")
 
 
 def band_keys(sketches: DataFrame, level: int) -> DataFrame:
@@ -202,31 +194,26 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
 
     ids = likely_pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = (docs.select(F.col("doc_id").alias("id"), "text").join(stored(ids, "near-ids"), "id", "left_semi"))
-    sets = stored(texts.select("id", _set_column(F.col("text")).alias("s")), "near-sets")
-
-    @F.pandas_udf("boolean")
-    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y, strict=True):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            out.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        return pd.Series(out, dtype=bool)
+    sets = stored(map_slices(texts, "id long, s binary", lambda part: {
+        "id": part["id"], "s": [shingle_set(t).tobytes() for t in part["text"]]}), "near-sets")
 
     with_b = likely_pairs.join(sets.withColumnRenamed("id", "b").withColumnRenamed("s", "sb"), "b")
     with_both = with_b.join(sets.withColumnRenamed("id", "a").withColumnRenamed("s", "sa"), "a")
-    links = stored(with_both.filter(linked("sa", "sb")).select("a", "b").distinct(), "near-links")
+    links = stored(map_slices(with_both.select("a", "b", "sa", "sb"), "a long, b long", _linked).distinct(), "near-links")
     drop_stored(sets, likely_pairs)
     return links
 
 
-def _set_column(text: Column) -> Column:
-    @F.pandas_udf("binary")
-    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series([shingle_set(t).tobytes() for t in b], dtype=object)
-
-    return sets(text)
+def _linked(part: dict) -> dict:
+    """The pairs whose full sets reach the threshold."""
+    out: dict = {"a": [], "b": []}
+    for a, b, x, y in zip(part["a"], part["b"], part["sa"], part["sb"], strict=True):
+        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            out["a"].append(a)
+            out["b"].append(b)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame | None:
@@ -345,14 +332,13 @@ def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, l
                     out.append((ids[i], ids[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    @F.pandas_udf("binary")
-    def small_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series([np.unique((shingle_set(t) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in b], dtype=object)
+    def small_sets(part: dict) -> dict:
+        return {"id": part["id"], "s": [np.unique((shingle_set(t) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                                        for t in part["text"]]}
 
     ids = stored(members.select("id").distinct(), "near-mixed-ids")
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    sets = stored(texts.select("id", small_set("text").alias("s")).withColumn("n", F.octet_length("s") / 4)
+    sets = stored(map_slices(texts, "id long, s binary", small_sets).withColumn("n", F.octet_length("s") / 4)
                   .dropDuplicates(["id"]), "near-small-sets")
     whole = members.join(sets, "id").join(sketches.select("id", "sketch"), "id")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -367,13 +353,11 @@ def longer(docs: DataFrame, ids: DataFrame, level: int) -> DataFrame:
     """(id, sketch) of the given documents with the registers of a further level."""
     rows, bands = LEVELS[level]
 
-    @F.pandas_udf("binary")
-    def longer_sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series([sketch(shingle_set(t), rows * bands, level).tobytes() for t in b], dtype=object)
+    def sketches(part: dict) -> dict:
+        return {"id": part["id"], "sketch": [sketch(shingle_set(t), rows * bands, level).tobytes() for t in part["text"]]}
 
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    return stored(texts.select("id", longer_sketch("text").alias("sketch")).dropDuplicates(["id"]), "near-sketches")
+    return stored(map_slices(texts, "id long, sketch binary", sketches).dropDuplicates(["id"]), "near-sketches")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
