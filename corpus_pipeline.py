@@ -35,8 +35,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its secrets replaced by a mark."""
     let_workers_import(spark)
     field = secret_scan.train(docs)
-    clean = docs.withColumn("text", secret_scan.redacted_column(F.col("text"), field))
-    return clean.withColumn("n_chars", F.length("text").cast("long"))
+    return secret_scan.redact(docs, field).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,7 +97,7 @@ def frame(rows: list[tuple], names: list[str], ids: tuple[str, ...] = ()) -> pd.
 SLICE = 256  # rows that a worker holds as Python values at once
 
 
-def map_slices(df: DataFrame, schema: str, fn, rows: int = SLICE) -> DataFrame:
+def map_slices(df: DataFrame, schema: str | StructType, fn, rows: int = SLICE) -> DataFrame:
     """``mapInArrow`` by small slices: ``fn`` takes {column: values} and returns the same for ``schema``,
     so that a worker's memory follows the slice and not the batch."""
     def run(batches):
@@ -106,5 +106,5 @@ def map_slices(df: DataFrame, schema: str, fn, rows: int = SLICE) -> DataFrame:
                 out = fn(b.slice(at, rows).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     return df.mapInArrow(run, schema)

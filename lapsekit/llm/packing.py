@@ -31,11 +31,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from lapsekit.llm.common import frame, stored
+from lapsekit.llm.common import SLICE, stored
 from lapsekit.llm.piece_codec import Memory
 
 MAX_TOKENS = 2048
@@ -49,7 +52,7 @@ MAX_GAP = 0  # tokens that a filled pattern may leave open; pieces without so cl
 # space is looked up. Texts with other runs of white space are first cut where that splitter cuts such runs.
 _WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
           "\u2028\u2029\u202f\u205f\u3000")
-WORDS_KEPT = 400_000  # words in each of the two generations that a worker remembers
+WORDS_KEPT = 250_000  # words in each of the two generations that a worker remembers
 MARKS = ".,;:!?"
 PART = re.compile(f"[{_WHITE}]+(?![^{_WHITE}])| ?[^{_WHITE}]+|[{_WHITE}]+")
 
@@ -68,7 +71,7 @@ class Tokens:
         self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
         self.memory = Memory(self._spaced, WORDS_KEPT)
-        self.starts = Memory(self._bare, 100_000)  # words that no space precedes
+        self.starts = Memory(self._bare, 50_000)  # words that no space precedes
 
     def _plain(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
@@ -121,31 +124,29 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     key = docs.schema[doc_id].dataType.simpleString()
     schema = (f"doc_id {key}, piece int, start long, length long, ids_crc32 long, " + "ids binary, " * with_ids
               + "task int, place long")
-    names = [c.split()[0] for c in schema.split(", ")]
-    whole = key in ("tinyint", "smallint", "int", "bigint")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokens(tokenizer)
         seen: Counter[int] = Counter()
         task = TaskContext.get().partitionId()
-        for b in batches:
+        for part in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
             rows = []
-            for d, x in zip(b["doc_id"], b["text"], strict=True):
+            for d, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                 ids = (t.encode(x) if x else b"") + END
                 n = len(ids) // 4
                 size = n if n <= max_tokens else n % max_tokens or max_tokens
                 start = piece = 0
                 while start < n:
-                    part = ids[4 * start:4 * (start + size)]
-                    rows.append((d, piece, start, size, zlib.crc32(part), *([part] if with_ids else ()), task, seen[size]))
+                    own = ids[4 * start:4 * (start + size)]
+                    rows.append((d, piece, start, size, zlib.crc32(own), *([own] if with_ids else ()), task, seen[size]))
                     seen[size] += 1
                     start, piece, size = start + size, piece + 1, max_tokens
-            yield frame(rows, names, ("doc_id",) if whole else ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)],
+                                             schema=arrow)
 
-    # whole numbers go as decimals, so that a null does not turn its batch into floating point
-    rows = docs.select((F.col(doc_id).cast("decimal(20,0)") if whole else F.col(doc_id)).alias("doc_id"),
-                       F.col(text).alias("text"))
-    return stored(rows.mapInPandas(cut, schema), "pieces")
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return stored(rows.mapInArrow(cut, schema), "pieces")
 
 
 def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:

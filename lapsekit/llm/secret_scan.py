@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapsekit.llm.common import map_slices
+
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -345,8 +347,8 @@ def spans_column(text: Column, field: Field) -> Column:
     return scan(text)
 
 
-def redacted_column(text: Column, field: Field, mark: str = "[SECRET]") -> Column:
-    """The text with every secret (of an assignment its value) replaced by ``mark``."""
+def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret (of an assignment its value) in ``text`` replaced by ``mark``."""
     def clean(t: str | None) -> str | None:
         spans = all_spans(t, field)
         if not spans:
@@ -360,12 +362,7 @@ def redacted_column(text: Column, field: Field, mark: str = "[SECRET]") -> Colum
             at = e
         return "".join([*out, t[at:]])
 
-    @F.pandas_udf("string")
-    def redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield pd.Series([clean(t) for t in b], dtype=object)
-
-    return redact(text)
+    return map_slices(docs, docs.schema, lambda part: {**part, text: [clean(t) for t in part[text]]})
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", field: Field | None = None) -> DataFrame:

@@ -70,14 +70,13 @@ def test_viterbi_is_the_best_path(field):
 
 
 def test_scan_and_redact(spark, field):
-    from pyspark.sql import functions as F
     long = "word " * 50_000 + "password=hunter2hunter2"
     rows = [(1, "a password=hunter2x b", "s"), (1, "a password=hunter2x b", "s"), (2, None, "s"), (None, "", None), (3, long, "s")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     got = sorted(((r["doc_id"], r["spans"]) for r in S.scan(df, field=field).collect()), key=repr)
     n = len(long)
     assert got == sorted([(1, "assign:2:19"), (1, "assign:2:19"), (2, ""), (None, ""), (3, f"assign:{n - 23}:{n}")], key=repr)
-    clean = df.withColumn("text", S.redacted_column(F.col("text"), field)).collect()
+    clean = S.redact(df, field).collect()
     assert [r["text"] for r in clean if r["doc_id"] in (1, 2)] == ["a password=[SECRET] b"] * 2 + [None]
     assert S.scan(df.limit(0)).collect() == []
 
