@@ -20,6 +20,7 @@ read as a space, as the format has it).
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-MEMORY = 150_000  # stretches in each of the two generations that a worker remembers
+MEMORY = 300_000  # stretches in each of the two generations that a worker remembers
 UNKNOWN_PENALTY = 10.0
 
 
@@ -54,6 +55,7 @@ class Vocabulary:
         if min(self.byte_ids) < 0:
             raise ValueError("the vocabulary has no byte pieces to fall back to")
         self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        self.table = {p: self.pieces.get(p) for p in self.prefixes}
         self.longest = max(map(len, self.pieces))
         self.unknown = min(s for s, _ in self.pieces.values()) - UNKNOWN_PENALTY
         self.spaces_split = not any(a != MARK and b == MARK for p in self.pieces for a, b in zip(p, p[1:], strict=False))
@@ -63,7 +65,7 @@ class Vocabulary:
         pieces, prefixes, longest = self.pieces, self.prefixes, self.longest
         n = len(text)
         if n <= longest:
-            yield self._within(text)
+            yield self.within(text)
             return
         score = {0: 0.0}  # of the best path to each place in the window
         back: dict[int, tuple[int, int]] = {}  # place -> (place before, piece id; -1 for bytes)
@@ -106,26 +108,26 @@ class Vocabulary:
         if n > done:
             yield self._trace(text, back, done, n)
 
-    def _within(self, text: str) -> list[int]:
+    def within(self, text: str) -> list[int]:
         """The same search for a text that fits into one window."""
-        pieces, prefixes = self.pieces, self.prefixes
+        look = self.table.get
         n = len(text)
-        low = float("-inf")
-        score = [0.0] + [low] * n
+        score = [0.0] + [float("-inf")] * n
         back: dict[int, tuple[int, int]] = {}
         for i in range(n):
             base = score[i]
             single = False
             for k in range(i + 1, n + 1):
-                part = text[i:k]
-                if part not in prefixes:
+                hit = look(text[i:k], False)
+                if hit is None:
+                    continue  # the start of longer pieces only
+                if hit is False:
                     break
-                hit = pieces.get(part)
-                if hit is not None:
-                    single |= k == i + 1
-                    s = base + hit[0]
-                    if s > score[k]:
-                        score[k], back[k] = s, (i, hit[1])
+                if k == i + 1:
+                    single = True
+                s = base + hit[0]
+                if s > score[k]:
+                    score[k], back[k] = s, (i, hit[1])
             if not single and base + self.unknown > score[i + 1]:
                 score[i + 1], back[i + 1] = base + self.unknown, (i, -1)
         return self._trace(text, back, 0, n)
@@ -171,7 +173,9 @@ class Codec:
         self.memory = Memory(self._marked)
 
     def _search(self, stretch: str) -> bytes:
-        return np.array([i for part in self.vocabulary.viterbi(stretch) for i in part], "<u4").tobytes()
+        v = self.vocabulary
+        ids = v.within(stretch) if len(stretch) <= v.longest else [i for part in v.viterbi(stretch) for i in part]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _marked(self, word: str) -> bytes:
         return self._search(MARK + word)
