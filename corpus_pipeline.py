@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lapsekit.llm import line_dedup, near_dups, packing, quality_rules, secret_scan
 from lapsekit.llm.common import let_workers_import, stored, table
 
+NEAR_PERCENT = 80  # similarity of word shingles from which documents of the corpus are near-duplicates
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that no quality rule rejects, as they are."""
@@ -27,7 +29,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest doc_id."""
     let_workers_import(spark)
-    gone = near_dups.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    gone = near_dups.near_duplicates(docs, percent=NEAR_PERCENT).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(stored(gone, "pipeline-gone"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -2,7 +2,8 @@
 
 A document's set is its distinct shingles of five words (A-Z lower-cased; a shorter
 document's whole sequence is its one shingle). Documents are linked where
-100 * |intersection| >= 85 * |union|; the result is the connected components.
+100 * |intersection| >= percent * |union| (85 if not given, at least 80); the result is the
+connected components.
 
 1. Documents with the same set are one class, represented by its smallest doc_id.
 2. A sketch has one register a bucket: the least hash of the shingles that fall into
@@ -12,7 +13,7 @@ document's whole sequence is its one shingle). Documents are linked where
    every bucket still empty, so that two registers agree with a probability of the
    Jaccard similarity whatever the size of the sets.
 3. Runs of ``rows`` registers are hashed to band keys. With 40 bands of 6 registers a
-   pair at the threshold shares no key once in 10^8.
+   pair at 85 percent shares no key once in 10^8; below 85, shorter bands keep that rate.
 4. Members of a band are compared with the band's first one (not with each other).
    Sizes and the estimated similarity, corrected for registers that agree by chance,
    sort out candidates by six standard errors below the threshold; what is left is
@@ -49,8 +50,12 @@ from lapsekit.llm.common import drop_stored, map_slices, stored
 
 WORDS = 5
 PERCENT = 85
+Levels = tuple[tuple[int, int], ...]
 #: (registers a band, bands) of the first sketch and of those for documents in very large mixed bands.
-LEVELS: tuple[tuple[int, int], ...] = ((6, 40), (12, 130), (20, 420))
+LEVELS: Levels = ((6, 40), (12, 130), (20, 420))
+LOWEST = 80
+#: The same for thresholds from ``LOWEST`` up to below ``PERCENT``: a pair at 80 percent shares no key once in 10^8.
+LOW_LEVELS: Levels = ((5, 50), (9, 130), (14, 420))
 LARGE = 20_000  # members of a mixed band from which its documents go to the next level
 ROUNDS = 8  # rounds of dealing shingles to buckets before every shingle may fill every empty bucket
 MANTISSA = 10
@@ -59,6 +64,13 @@ ERRORS = 6.0  # standard errors of the estimate that a candidate may lie below t
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+def levels_for(percent: int) -> Levels:
+    """The bands in which pairs at the threshold meet."""
+    if not LOWEST <= percent <= 100:
+        raise ValueError(f"percent must be from {LOWEST} to 100, not {percent}")
+    return LEVELS if percent >= PERCENT else LOW_LEVELS
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -146,23 +158,23 @@ def may_link(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, percent
     return estimate >= p - ERRORS * np.sqrt(p * (1 - p) / effective)
 
 
-def _shapes(part: dict) -> dict:
-    rows, bands = LEVELS[0]
+def _shapes(part: dict, buckets: int) -> dict:
     sets = [shingle_set(t) for t in part["text"]]
     return {"doc_id": part["doc_id"], "n": [len(s) for s in sets],
             "set_id": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-            "sketch": [sketch(s, rows * bands).tobytes() if len(s) else None for s in sets]}
+            "sketch": [sketch(s, buckets).tobytes() if len(s) else None for s in sets]}
 
 
-def shapes(docs: DataFrame) -> DataFrame:
+def shapes(docs: DataFrame, levels: Levels) -> DataFrame:
     """(doc_id, n, set_id, sketch) of every row."""
-    return stored(map_slices(docs.select("doc_id", "text"), "doc_id long, n long, set_id binary, sketch binary", _shapes),
-                  "near-shapes")
+    rows, bands = levels[0]
+    return stored(map_slices(docs.select("doc_id", "text"), "doc_id long, n long, set_id binary, sketch binary",
+                             lambda part: _shapes(part, rows * bands)), "near-shapes")
 
 
-def band_keys(sketches: DataFrame, level: int) -> DataFrame:
+def band_keys(sketches: DataFrame, level: int, levels: Levels) -> DataFrame:
     """(band, key, id) of every band of the column ``sketch``."""
-    rows, bands = LEVELS[level]
+    rows, bands = levels[level]
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(
         F.lit(level), k, F.substring("sketch", k * (2 * rows) + 1, F.lit(2 * rows))).alias("key")))
     return sketches.select("id", F.explode(keys).alias("k")).select("k.band", "k.key", "id")
@@ -175,7 +187,7 @@ def crowded(keys: DataFrame) -> DataFrame:
     return stored(keys.join(stored(heads, "near-heads"), "key"), "near-members")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of distinct ids that are linked, by size, sketch and at last the full sets."""
     a = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ska"))
     b = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("skb"))
@@ -186,9 +198,9 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
             return np.frombuffer(b"".join(s), np.uint16).reshape(len(s), -1)
         if not len(na):
             return pd.Series([], dtype=bool)
-        return pd.Series(may_link(na.to_numpy(float), nb.to_numpy(float), table(ska), table(skb)))
+        return pd.Series(may_link(na.to_numpy(float), nb.to_numpy(float), table(ska), table(skb), percent))
 
-    fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     likely_pairs = stored(pairs.join(a, "a").join(b, "b").filter(fits)
                           .filter(likely("na", "nb", "ska", "skb")).select("a", "b"), "near-candidates")
 
@@ -199,18 +211,19 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
 
     with_b = likely_pairs.join(sets.withColumnRenamed("id", "b").withColumnRenamed("s", "sb"), "b")
     with_both = with_b.join(sets.withColumnRenamed("id", "a").withColumnRenamed("s", "sa"), "a")
-    links = stored(map_slices(with_both.select("a", "b", "sa", "sb"), "a long, b long", _linked).distinct(), "near-links")
+    links = stored(map_slices(with_both.select("a", "b", "sa", "sb"), "a long, b long",
+                              lambda part: _linked(part, percent)).distinct(), "near-links")
     drop_stored(sets, likely_pairs)
     return links
 
 
-def _linked(part: dict) -> dict:
+def _linked(part: dict, percent: int) -> dict:
     """The pairs whose full sets reach the threshold."""
     out: dict = {"a": [], "b": []}
     for a, b, x, y in zip(part["a"], part["b"], part["sa"], part["sb"], strict=True):
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
         both = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * both >= PERCENT * (len(x) + len(y) - both):
+        if 100 * both >= percent * (len(x) + len(y) - both):
             out["a"].append(a)
             out["b"].append(b)
     return out
@@ -245,8 +258,8 @@ def components(edges: DataFrame) -> DataFrame | None:
 class _Graph:
     """The components of the representatives found so far."""
 
-    def __init__(self, reps: DataFrame, docs: DataFrame):
-        self.reps, self.docs, self.labels = reps, docs, None
+    def __init__(self, reps: DataFrame, docs: DataFrame, percent: int):
+        self.reps, self.docs, self.percent, self.labels = reps, docs, percent, None
 
     def label(self, df: DataFrame, id_col: str, into: str) -> DataFrame:
         """``df`` with the component of ``id_col``."""
@@ -261,7 +274,7 @@ class _Graph:
                        .filter("a <> b").distinct(), "near-pairs")
         if pairs.isEmpty():
             return
-        links = confirmed(pairs, self.reps, self.docs)
+        links = confirmed(pairs, self.reps, self.docs, self.percent)
         ends = self.label(self.label(links, "a", "ca"), "b", "cb")
         new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         if new is None:
@@ -273,24 +286,24 @@ class _Graph:
         self.labels = stored(new, "near-labels")
 
 
-def link_all(reps: DataFrame, docs: DataFrame) -> DataFrame | None:
+def link_all(reps: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the representatives that are linked to another; None if there are none."""
-    g = _Graph(reps, docs)
+    g, levels = _Graph(reps, docs, percent), levels_for(percent)
     inside = reps.select("id", "sketch")
-    for level in range(len(LEVELS)):
-        members = crowded(band_keys(inside, level))
+    for level in range(len(levels)):
+        members = crowded(band_keys(inside, level, levels))
         g.link(members.select(F.col("first").alias("a"), F.col("id").alias("b")))
         left = mixed(g, members)
         if left is None:
             break
-        last = level + 1 == len(LEVELS)
-        g.link(linked_in_blocks(left if last else left.filter(F.col("size") <= LARGE), inside, docs, level))
+        last = level + 1 == len(levels)
+        g.link(linked_in_blocks(left if last else left.filter(F.col("size") <= LARGE), inside, docs, levels[level][0], percent))
         if last:
             break
         ids = stored(left.filter(F.col("size") > LARGE).select("id").distinct(), "near-large")
         if ids.isEmpty():
             break
-        inside = longer(docs, ids, level + 1)
+        inside = longer(docs, ids, level + 1, levels)
     return g.labels
 
 
@@ -303,12 +316,10 @@ def mixed(g: _Graph, members: DataFrame) -> DataFrame | None:
     return None if left.isEmpty() else left
 
 
-def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, level: int) -> DataFrame:
+def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(a, b) of the pairs of different components within a band that are linked by their sets (of 32-bit
     hashes, with a little slack: ``confirmed`` decides). Each member goes to one group for every block of
-    its band, and a group holds two blocks, so no group grows with the band."""
-    width = LEVELS[level][0]
-
+    its band, and a group holds two blocks, so no group grows with the band. ``width`` is that of a band."""
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         table = np.frombuffer(b"".join(g["sketch"]), np.uint16).reshape(len(g), -1)
         block, ids, c, n = (g[x].to_numpy() for x in ("block", "id", "c", "n"))
@@ -319,16 +330,16 @@ def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, l
         out = []
         for i in first:
             js = second[(c[second] != c[i]) & ((ids[second] > ids[i]) | (second is not first))]
-            js = js[100 * np.minimum(n[i], n[js]) >= PERCENT * np.maximum(n[i], n[js])]
+            js = js[100 * np.minimum(n[i], n[js]) >= percent * np.maximum(n[i], n[js])]
             if not len(js):
                 continue
             same = table[js] == table[i]
             bands = same.reshape(len(js), -1, width).all(axis=2)
             js = js[(bands.argmax(axis=1) == band) & may_link(
-                np.full(len(js), n[i], float), n[js].astype(float), table[i][None], table[js])]
+                np.full(len(js), n[i], float), n[js].astype(float), table[i][None], table[js], percent)]
             for j in js:
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * both >= (PERCENT - 0.5) * (len(sets[i]) + len(sets[j]) - both):
+                if 100 * both >= (percent - 0.5) * (len(sets[i]) + len(sets[j]) - both):
                     out.append((ids[i], ids[j]))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
@@ -349,9 +360,9 @@ def linked_in_blocks(members: DataFrame, sketches: DataFrame, docs: DataFrame, l
                   .groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long").distinct(), "near-block-links")
 
 
-def longer(docs: DataFrame, ids: DataFrame, level: int) -> DataFrame:
+def longer(docs: DataFrame, ids: DataFrame, level: int, levels: Levels) -> DataFrame:
     """(id, sketch) of the given documents with the registers of a further level."""
-    rows, bands = LEVELS[level]
+    rows, bands = levels[level]
 
     def sketches(part: dict) -> dict:
         return {"id": part["id"], "sketch": [sketch(shingle_set(t), rows * bands, level).tobytes() for t in part["text"]]}
@@ -360,15 +371,15 @@ def longer(docs: DataFrame, ids: DataFrame, level: int) -> DataFrame:
     return stored(map_slices(texts, "id long, sketch binary", sketches).dropDuplicates(["id"]), "near-sketches")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the component's smallest doc_id) of every row."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shape = shapes(docs)
+    shape = shapes(docs, levels_for(percent))
     usable = shape.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     classes = stored(usable.groupBy("set_id").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"),
                                                   F.first("n").alias("n"), F.first("sketch").alias("sketch")),
                      "near-classes")
-    found = link_all(classes.select("id", "n", "sketch"), docs)
+    found = link_all(classes.select("id", "n", "sketch"), docs, percent)
     component = classes.select("set_id", "id", "last")
     if found is not None:
         component = component.join(found, "id", "left")

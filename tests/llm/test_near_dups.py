@@ -123,3 +123,59 @@ def test_register_layout():
     r = N.registers(np.array([2**63, 2**62, 3 * 2**62, 2**40, 0], np.uint64))
     assert [x >> 10 for x in r.tolist()] == [0, 1, 0, 23, 48]
     assert r[2] & 1023 == 512 and r[0] & 1023 == 0
+
+
+def linked_from(docs, percent):
+    """Components of the documents' sets by comparing all pairs."""
+    sets, up = {d: word_set(t) for d, t in docs.items()}, {d: d for d in docs}
+    for a in sorted(docs):
+        for b in sorted(docs):
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * max(1, len(sets[a] | sets[b])):
+                low, high = sorted((up[a], up[b]))
+                up = {d: low if x == high else x for d, x in up.items()}
+    return up
+
+
+def at_eighty(rnd, groups):
+    """Pairs of 300 words that differ in six spread words (81.6 percent), and others on either side of 80."""
+    docs = {}
+    for k in range(groups):
+        words = text(rnd, 300).split()
+        docs[2 * k] = " ".join(words)
+        for j in range(4 + k % 5):
+            words[20 + 30 * j] = f"c{k}x{j}"
+        docs[2 * k + 1] = " ".join(words)
+    return docs
+
+
+@pytest.mark.parametrize("large", [N.LARGE, 4])
+def test_lower_threshold(spark, monkeypatch, large):
+    monkeypatch.setattr(N, "LARGE", large)  # 4: the longer sketches, too
+    monkeypatch.setattr(N, "BLOCK", 4)
+    rnd = random.Random(21)
+    docs, n = at_eighty(rnd, 30), 1000
+    words = text(rnd, 300).split()
+    for k in range(24):  # a chain, each ten words further
+        docs[n := n + 1] = " ".join((words + words)[k * 10:k * 10 + 150])
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for percent in (80, 85):
+        got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(df, percent=percent).collect()}
+        assert got == linked_from(docs, percent)
+    with pytest.raises(ValueError):
+        N.near_duplicates(df, percent=79)
+
+
+def test_bands_reach_the_threshold():
+    for percent in (80, 85):
+        for rows, bands in N.levels_for(percent):
+            assert (1 - (percent / 100) ** rows) ** bands < 1e-7
+
+
+def test_stage_takes_eighty(spark):
+    import corpus_pipeline
+    docs = at_eighty(random.Random(5), 20)
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs.items()],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    want = {d for d, c in linked_from(docs, 80).items() if c == d}
+    assert want != {d for d, c in linked_from(docs, 85).items() if c == d}
+    assert {r["doc_id"] for r in corpus_pipeline.near(spark, df, "").collect()} == want
