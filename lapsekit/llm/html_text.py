@@ -4,10 +4,12 @@ The standard library's HTMLParser is fed once; its events build a list of lines
 text between two block-level tags), each with the tags it held and the path of open
 containers. The text-to-tag ratio of each line (characters per tag) is smoothed with
 a Gaussian over neighbouring lines, and a two-means threshold on the smoothed ratios
-splits the lines into content and the rest. The content region is the container that
-holds most of the content lines' text (the innermost that still has nine tenths of
-it); its lines are returned in page order, short ones included, less those under
-menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
+splits the lines into content and the rest. The content region starts from the innermost
+container that has nine tenths of the content lines' text, and is the main or article
+element around it; where there is none, the innermost container of all content lines,
+and further out as long as that adds no lines of links. Its lines are returned in page
+order, short ones included, less those under menus, headers, footers, sidebars, notices,
+adverts, forms and reader comments.
 
 Character references are decoded, white space inside a line becomes one space, lines
 are trimmed and joined by an empty line. Null or empty html, or a page without text,
@@ -54,13 +56,17 @@ class Events(HTMLParser):
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, container
         self.path: tuple[int, ...] = ()
-        self.bad, self.n, self.tags, self.parts, self.inside = 0, 0, 0, [], 0
+        self.bad, self.n, self.tags, self.parts = 0, 0, 0, []
+        self.names: dict[int, str] = {}  # tag of each container
+        self.linked: list[bool] = []  # of each line, whether most of its text is in links
+        self.anchors, self.in_links = 0, 0
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             self.lines.append((text, self.tags, self.path, self.bad > 0))
-        self.parts, self.tags = [], 0
+            self.linked.append(2 * self.in_links > len(text))
+        self.parts, self.tags, self.in_links = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -88,13 +94,16 @@ class Events(HTMLParser):
         container = tag in CONTAINERS
         self.stack.append((tag, bad, container))
         self.bad += bad
+        self.anchors += tag == "a"
         if container:
             self.n += 1
             self.path += (self.n,)
+            self.names[self.n] = tag
 
     def _pop(self) -> None:
-        _, bad, container = self.stack.pop()
+        tag, bad, container = self.stack.pop()
         self.bad -= bad
+        self.anchors -= tag == "a"
         if container:
             self.path = self.path[:-1]
 
@@ -123,6 +132,8 @@ class Events(HTMLParser):
 
     def handle_data(self, data):
         self.parts.append(data)
+        if self.anchors:
+            self.in_links += len(data.strip())
 
 
 def smoothed_ratios(lines: list[tuple[str, int, tuple[int, ...], bool]], sigma: float = SIGMA) -> np.ndarray:
@@ -149,6 +160,31 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def region(page: Events, lines: list[tuple[str, int, tuple[int, ...], bool]], content: list[int]) -> int | None:
+    """The container whose open lines are the article; None for the whole page."""
+    weight: dict[int, int] = {}
+    for k in content:
+        for c in lines[k][2]:
+            weight[c] = weight.get(c, 0) + len(lines[k][0])
+    total = sum(len(lines[k][0]) for k in content)
+    inner = max((c for c, w in weight.items() if w >= REGION_SHARE * total), default=None)  # innermost: opened last
+    if inner is None:
+        return None
+    path = next(x[2] for x in lines if inner in x[2])
+    path = path[:path.index(inner) + 1]
+    for tag in ("main", "article"):
+        around = next((c for c in path if page.names[c] == tag), None)
+        if around is not None:
+            return around
+    found = None
+    for c in reversed(path):
+        if found is not None and weight[found] == total and any(
+                page.linked[k] for k, x in enumerate(lines) if not x[3] and c in x[2] and found not in x[2]):
+            break
+        found = c
+    return found if weight[found] == total else None
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -163,13 +199,8 @@ def main_text(html: str | None) -> str:
     r = smoothed_ratios(lines)
     cut = threshold(r[open_lines])
     content = [k for k in open_lines if r[k] >= cut]
-    weight: dict[int, int] = {}
-    for k in content:
-        for c in lines[k][2]:
-            weight[c] = weight.get(c, 0) + len(lines[k][0])
-    total = sum(len(lines[k][0]) for k in content)
-    region = max((c for c, w in weight.items() if w >= REGION_SHARE * total), default=None)  # innermost: opened last
-    return "\n\n".join(x[0] for x in lines if not x[3] and (region is None or region in x[2]))
+    whole = region(p, lines, content)
+    return "\n\n".join(x[0] for x in lines if not x[3] and (whole is None or whole in x[2]))
 
 
 def text_column(html: Column) -> Column:

@@ -50,3 +50,22 @@ def test_smoothing_and_threshold():
     r = H.smoothed_ratios(lines)
     assert r[2] > r[1] > r[0]
     assert 5 < H.threshold(np.array([5.0, 6.0, 100.0, 110.0])) < 100
+
+
+LONG = "A paragraph of the article that is long enough to be content by its ratio of text to tags. " * 3
+
+
+def test_whole_article():
+    body = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    menu = "<div><a href=a>Home</a> <a href=b>News</a></div>"
+    words = " ".join(LONG.split())
+    for page, first in (
+            (f"{menu}<article><h1>Title</h1><p>Standfirst.</p>{body}</article>", ["Title", "Standfirst."]),
+            (f"{menu}<main><h1>Title</h1><article>{body}</article></main>", ["Title"]),
+            (f"{menu}<div><h1>Title</h1>{body}</div>", ["Title"])):
+        assert H.main_text(f"<html><body>{page}</body></html>").split("\n\n") == [*first, words, words]
+    for inner in ("section", "blockquote"):
+        page = f"<article><{inner}>{f'<p>{LONG}</p>' * 14}</{inner}><section><p>{LONG}</p></section></article>"
+        assert H.main_text(f"<body>{menu}{page}</body>").split("\n\n") == [words] * 15
+    page = f"<div><section>{f'<p>{LONG}</p>' * 14}</section><section><p>{LONG}</p></section></div>"
+    assert H.main_text(f"<body>{menu}{page}</body>").split("\n\n") == [words] * 15
