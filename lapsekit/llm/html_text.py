@@ -11,6 +11,11 @@ and further out as long as that adds no lines of links. Its lines are returned i
 order, short ones included, less those under menus, headers, footers, sidebars, notices,
 adverts, forms and reader comments.
 
+Words of class, id and role mark such parts, but not a wrapper of the whole page: where
+every main and article element is inside marked ones, those around the main (or the
+article of most text) count as unmarked, and in a page without them those that hold most
+of the text of high ratio.
+
 Character references are decoded, white space inside a line becomes one space, lines
 are trimmed and joined by an empty line. Null or empty html, or a page without text,
 gives the empty string. Broken markup (unclosed tags, cut references) is read as far
@@ -44,6 +49,8 @@ BOILERPLATE = re.compile(
     r"nav\w*|menu\w*|breadcrumbs?|side-?bar|aside|widget|related|recommend\w*|share|sharing|social|footer|masthead|"
     r"comments?|commentlist|disqus|replies|respond|newsletter|subscribe\w*|signup|login|search|pagination|pager|"
     r"copyright|legal|disclaimer|toolbar|complementary|contentinfo|skip-?link)(?:$|[\s_-])", re.I)
+#: Words that speak of a part elsewhere, as has-sidebar does; what follows them marks nothing.
+COMPOUND = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]+[\w-]*", re.I)
 SPACE = re.compile(r"\s+")
 SIGMA, REGION_SHARE = 1.0, 0.9
 
@@ -54,7 +61,11 @@ class Events(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, boilerplate, container
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, never text, container, marked
+        self.marked: tuple[int, ...] = ()  # the open elements marked by class, id or role
+        self.marks: list[tuple[int, ...]] = []  # of each line
+        self.articles: dict[int, tuple[int, ...]] = {}  # the marked elements around each article and main
+        self.n_marked = 0
         self.path: tuple[int, ...] = ()
         self.bad, self.n, self.tags, self.parts = 0, 0, 0, []
         self.names: dict[int, str] = {}  # tag of each container
@@ -66,6 +77,7 @@ class Events(HTMLParser):
         if text:
             self.lines.append((text, self.tags, self.path, self.bad > 0))
             self.linked.append(2 * self.in_links > len(text))
+            self.marks.append(self.marked)
         self.parts, self.tags, self.in_links = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -84,25 +96,33 @@ class Events(HTMLParser):
         words = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true")
                      or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
-        bad = tag in NOT_TEXT or hidden or bool(words and tag not in ("html", "body", "article", "main")
-                                                and BOILERPLATE.search(words))
-        if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.stack):
+        bad = tag in NOT_TEXT or hidden
+        marked = bool(words and tag not in ("html", "body", "article", "main")
+                      and BOILERPLATE.search(COMPOUND.sub(" ", words)))
+        if tag == "header" and not any(x[0] in ("article", "main") for x in self.stack):
             bad = True  # the page's header; an article's own header holds its headline
-        self._open(tag, bad)
+        self._open(tag, bad, marked)
 
-    def _open(self, tag: str, bad: bool) -> None:
+    def _open(self, tag: str, bad: bool, marked: bool) -> None:
         container = tag in CONTAINERS
-        self.stack.append((tag, bad, container))
+        self.stack.append((tag, bad, container, marked))
         self.bad += bad
+        if marked:
+            self.n_marked += 1
+            self.marked += (self.n_marked,)
         self.anchors += tag == "a"
         if container:
             self.n += 1
             self.path += (self.n,)
             self.names[self.n] = tag
+            if tag in ("article", "main"):
+                self.articles[self.n] = self.marked
 
     def _pop(self) -> None:
-        tag, bad, container = self.stack.pop()
+        tag, bad, container, marked = self.stack.pop()
         self.bad -= bad
+        if marked:
+            self.marked = self.marked[:-1]
         self.anchors -= tag == "a"
         if container:
             self.path = self.path[:-1]
@@ -125,7 +145,7 @@ class Events(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-        if any(t == tag for t, _, _ in self.stack):
+        if any(x[0] == tag for x in self.stack):
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -160,6 +180,37 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def settled(page: Events) -> list[tuple[str, int, tuple[int, ...], bool]]:
+    """The lines, boilerplate also under marked elements that are no wrapper of the whole page."""
+    lines = page.lines
+    if not page.n_marked:
+        return lines
+    size = dict.fromkeys(page.articles, 0)
+    for text, _, path, bad in lines:
+        if not bad:
+            for c in path:
+                if c in size:
+                    size[c] += len(text)
+    around = [c for c in size if size[c]]
+    wrappers: set[int] = set()
+    if around:
+        if all(page.articles[c] for c in around):
+            wrappers = set(page.articles[max(around, key=lambda c: (page.names[c] == "main", size[c]))])
+    elif any(not x[3] for x in lines):
+        r = smoothed_ratios(lines)
+        open_lines = [k for k, x in enumerate(lines) if not x[3]]
+        cut = threshold(r[open_lines])
+        held: dict[int, int] = {}
+        high = [k for k in open_lines if r[k] >= cut]
+        for k in high:
+            for m in page.marks[k]:
+                held[m] = held.get(m, 0) + len(lines[k][0])
+        total = sum(len(lines[k][0]) for k in high)
+        wrappers = {m for m, n in held.items() if 2 * n > total}
+    return [(text, tags, path, bad or not wrappers.issuperset(m))
+            for (text, tags, path, bad), m in zip(lines, page.marks, strict=True)]
+
+
 def region(page: Events, lines: list[tuple[str, int, tuple[int, ...], bool]], content: list[int]) -> int | None:
     """The container whose open lines are the article; None for the whole page."""
     weight: dict[int, int] = {}
@@ -192,7 +243,7 @@ def main_text(html: str | None) -> str:
     p.feed(html)
     p.close()
     p.flush()
-    lines = p.lines
+    lines = settled(p)
     open_lines = [k for k, x in enumerate(lines) if not x[3]]
     if not open_lines:
         return ""

@@ -69,3 +69,16 @@ def test_whole_article():
         assert H.main_text(f"<body>{menu}{page}</body>").split("\n\n") == [words] * 15
     page = f"<div><section>{f'<p>{LONG}</p>' * 14}</section><section><p>{LONG}</p></section></div>"
     assert H.main_text(f"<body>{menu}{page}</body>").split("\n\n") == [words] * 15
+
+
+def test_wrappers_with_boilerplate_words():
+    words = " ".join(LONG.split())
+    article = f"<article><h1>Title</h1><p>{LONG}</p><div class='ad'>Buy</div><p>{LONG}</p></article>"
+    comments = f"<section id=comments><article><p>{LONG}</p></article></section><div class=sidebar><p>Side</p></div>"
+    for wrapper in ("layout no-sidebar", "content has-sidebar", "post with-comments", "page-with-banner", "layout sidebar", "search"):
+        page = f"<body><div class='{wrapper}'>{article}</div>{comments}</body>"
+        assert H.main_text(page).split("\n\n") == ["Title", words, words], wrapper
+        page = f"<body><div id='{wrapper}'>{article.replace('article>', 'div>')}</div><div class=sidebar><p>Side</p></div></body>"
+        assert H.main_text(page).split("\n\n") == ["Title", words, words], wrapper
+    page = f"<body><article><p>{LONG}</p></article><div class=comments>{f'<p>{LONG}</p>' * 9}</div></body>"
+    assert H.main_text(page) == words
