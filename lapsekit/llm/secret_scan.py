@@ -1,18 +1,17 @@
 """Secrets in texts: base patterns, and a linear-chain conditional random field that adds spans.
 
-Base patterns give the kinds assign, access and hex. The field works on stretches of
-tokens around every token of interest (eight characters or more with a digit, or 32
-or more): a token can only be part of a secret if such a token is, so plain prose is
-passed by. Its features are the token's shape (character classes, length, share of
-digits, changes of class), the words and marks beside it (credential words,
-assignment signs, quotes), and of the file how much of it looks like code. Tags are
-begin, inside and outside; training maximises the likelihood by gradient steps over
-forward-backward expectations, decoding is by Viterbi.
+Base patterns give the kinds assign, access and hex. The field tags every token of every
+line. Its features are the token's shape (character classes, length, share of digits,
+changes of class), the words and marks beside it (credential words, assignment signs,
+quotes) and whether space parts it from them, and of the file how much of it looks like
+code. Tags are begin, inside and outside; training maximises the likelihood by gradient
+steps over forward-backward expectations, decoding is by Viterbi, many lines side by side.
 
 The field is fitted on the driver, on a bounded set: ``MADE_ROWS`` made-up lines (with
 a fixed seed) and at most ``SAMPLE_STRETCHES`` stretches from about ``SAMPLE_ROWS``
 random documents, labelled by the base patterns, in parts of at most ``LONGEST``
-tokens. All documents are scanned whole, whatever the length of a stretch.
+tokens (those with a base span or an interesting token, and some of the others). All
+documents are scanned whole, whatever the length of a line.
 
 Spans are kind:start:end in code points, end exclusive, by start, then kind. Those of
 the field (kind crf) that touch a base span are left out: base spans stay as they are.
@@ -56,7 +55,6 @@ def base_spans(text: str) -> list[Span]:
 # ---- stretches of tokens and their features ----------------------------------
 TOKEN = re.compile(r"[\w+/-]+|[^\w\s]")
 DIGIT, LONG = re.compile(r"[0-9]"), re.compile(r"[\w+/-]{32,}")
-BEFORE, AFTER = 64, 48  # characters of the line that a stretch takes in on either side
 CREDENTIAL = frozenset("""password passwd pwd pass secret token key apikey api_key api auth authorization bearer
 credential credentials access private client_secret signature sig login""".split())
 
@@ -66,7 +64,7 @@ def _in_token(ch: str) -> bool:
 
 
 def interesting(text: str) -> list[tuple[int, int]]:
-    """Places of the tokens of interest."""
+    """Places of the tokens of eight characters or more with a digit, or of 32 or more. The scan does not ask for them."""
     found, end, n = [], 0, len(text)
     for m in DIGIT.finditer(text):
         if m.start() < end:
@@ -86,24 +84,15 @@ def interesting(text: str) -> list[tuple[int, int]]:
 
 
 def stretches(text: str) -> Iterator[list[tuple[str, int, int]]]:
-    """Runs of (token, start, end) around the tokens of interest; runs that touch are one."""
-    regions: list[list[int]] = []
-    for s, e in interesting(text):
-        lo = max(s - BEFORE, text.rfind("\n", 0, s) + 1)
-        line_end = text.find("\n", e)
-        hi = min(e + AFTER, line_end if line_end >= 0 else len(text))
-        if regions and lo <= regions[-1][1]:
-            regions[-1][1] = max(hi, regions[-1][1])
-        else:
-            regions.append([lo, hi])
-    for lo, hi in regions:
-        while 0 < lo < hi and _in_token(text[lo]) and _in_token(text[lo - 1]):
-            lo += 1  # not in the middle of a token
-        while hi < len(text) and _in_token(text[hi]) and _in_token(text[hi - 1]):
-            hi += 1
-        run = [(m[0], m.start(), m.end()) for m in TOKEN.finditer(text, lo, hi)]
-        if run:
+    """Every line's (token, start, end)."""
+    run: list[tuple[str, int, int]] = []
+    for m in TOKEN.finditer(text):
+        if run and "\n" in text[run[-1][2]:m.start()]:
             yield run
+            run = []
+        run.append((m[0], m.start(), m.end()))
+    if run:
+        yield run
 
 
 def shape(token: str) -> list[str]:
@@ -125,19 +114,49 @@ def file_kind(text: str) -> str:
     return "f=" + ("prose" if share < 0.005 else "mixed" if share < 0.02 else "code")
 
 
+KINDS_OF_FILE = ("f=prose", "f=mixed", "f=code")
+GAP = "01<"  # before a token: none, space, start of the line; behind it, the last is its end
+
+
+def own(token: str, kind: str) -> list[str]:
+    """Features of a token by itself."""
+    w, shapes = token.lower(), shape(token)
+    return [*shapes, kind, f"{kind}{shapes[2]}", f"w={w if w in CREDENTIAL or len(w) < 3 else '.'}"]
+
+
+def behind(token: str) -> str:
+    """The feature of the token after this one."""
+    w = token.lower()
+    return f"-1={w if len(w) < 3 or w in CREDENTIAL else shape(token)[2]}"
+
+
+def ahead(token: str) -> str:
+    """The feature of the token before this one."""
+    return f"+1={token.lower() if len(token.lower()) < 3 else '.'}"
+
+
+def beside(big: str, near: bool, sign: bool, gap: int) -> list[str]:
+    """Features of a token's surroundings, with its kind and size."""
+    near, sign = ("yes" if near else "no"), ("yes" if sign else "no")
+    return [f"near={near}", f"sign={sign}", f"near={near}{sign}{big}", f"g={GAP[gap]}{near}{sign}",
+            f"gk={GAP[gap]}{big}"]
+
+
+def is_credential(token: str) -> bool:
+    w = token.lower()
+    return w in CREDENTIAL or any(c in w for c in ASSIGN_WORDS)
+
+
 def features(run: list[tuple[str, int, int]], kind: str) -> list[list[str]]:
-    words = [t[0].lower() for t in run]
-    shapes = [shape(t[0]) for t in run]
     out = []
-    for i, w in enumerate(words):
-        back = words[max(0, i - 4):i]
-        near = "yes" if any(b in CREDENTIAL or any(c in b for c in ASSIGN_WORDS) for b in back) else "no"
-        sign = "yes" if any(b in "=:" for b in back[-3:]) else "no"
-        big = next(x for x in shapes[i] if x.startswith("kn="))
-        out.append([*shapes[i], kind, f"near={near}", f"sign={sign}", f"near={near}{sign}{big}",
-                    f"-1={words[i - 1] if i and (len(words[i - 1]) < 3 or words[i - 1] in CREDENTIAL) else shapes[i - 1][2] if i else '<'}",
-                    f"+1={words[i + 1] if i + 1 < len(words) and len(words[i + 1]) < 3 else '.' if i + 1 < len(words) else '>'}",
-                    f"{kind}{big}", f"w={w if w in CREDENTIAL or len(w) < 3 else '.'}"])
+    last = len(run) - 1
+    for i, (token, start, end) in enumerate(run):
+        before = 2 if not i else int(run[i - 1][2] < start)
+        after = 2 if i == last else int(end < run[i + 1][1])
+        near = any(is_credential(t) for t, _, _ in run[max(0, i - 4):i])
+        sign = any(t in "=:" for t, _, _ in run[max(0, i - 3):i])
+        out.append([*own(token, kind), *beside(shape(token)[2], near, sign, before), f"gg={GAP[before]}{GAP[after]}",
+                    behind(run[i - 1][0]) if i else "-1=<", ahead(run[i + 1][0]) if i < last else "+1=>"])
     return out
 
 
@@ -151,10 +170,16 @@ class Field:
 
     def __init__(self, names: dict[str, int], weights: np.ndarray, steps: np.ndarray):
         self.names, self.weights, self.steps = names, weights, steps
+        self._tokens: _Tokens | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_tokens": None}
+
+    def weight(self, feats: list[str]) -> np.ndarray:
+        return self.weights[[k for x in feats if (k := self.names.get(x)) is not None]].sum(axis=0)
 
     def emissions(self, feats: list[list[str]]) -> np.ndarray:
-        get = self.names.get
-        return np.array([self.weights[[k for x in f if (k := get(x)) is not None]].sum(axis=0) for f in feats])
+        return np.array([self.weight(f) for f in feats])
 
     def decode(self, feats: list[list[str]]) -> list[int]:
         """The best tags (Viterbi); inside only after begin or inside."""
@@ -171,6 +196,129 @@ class Field:
             tags.append(int(b[tags[-1]]))
         return tags[::-1]
 
+    def tag(self, texts: list[str]) -> list[tuple[list[tuple[int, int]], np.ndarray]]:
+        """(start, end) and tag of every token of each text: the emissions of ``features`` from tables of the
+        distinct tokens, and the best path of every line."""
+        if self._tokens is None or len(self._tokens) > MOST_TOKENS or len(self._tokens.known) > MOST_TOKENS // 10:
+            self._tokens = _Tokens(self)
+        known = self._tokens
+        spans, ids, lines, kinds = [], [], [], []
+        n_lines = 0
+        for t in texts:
+            spans.append([m.span() for m in TOKEN.finditer(t)])
+            ids.append(np.fromiter(map(known.__getitem__, TOKEN.findall(t)), np.int64, len(spans[-1])))
+            ends = np.fromiter((m.start() for m in NEWLINE.finditer(t)), np.int64)
+            at = np.array(spans[-1], np.int64).reshape(-1, 2)[:, 0]
+            lines.append(np.searchsorted(ends, at) + n_lines)
+            n_lines += len(ends) + 1
+            kinds.append(np.full(len(at), KINDS_OF_FILE.index(file_kind(t))))
+        total = sum(map(len, ids))
+        if not total:
+            return [(x, np.empty(0, np.int8)) for x in spans]
+        tok, line, kind = np.concatenate(ids), np.concatenate(lines), np.concatenate(kinds)
+        start, end = np.concatenate([np.array(x, np.int64).reshape(-1, 2) for x in spans]).T
+        joined = line[1:] == line[:-1]
+        before, after = np.full(total, 2), np.full(total, 2)
+        before[1:][joined] = after[:-1][joined] = (end[:-1] < start[1:])[joined]
+
+        def lately(flag: np.ndarray, reach: int) -> np.ndarray:
+            got = np.zeros(total, bool)
+            for k in range(1, min(reach, total - 1) + 1):
+                got[k:] |= flag[:-k] & (line[k:] == line[:-k])
+            return got
+
+        local, behind_, ahead_, big, credential, marks = (known.column(k) for k in range(6))
+        near, sign = lately(credential[tok], 4), lately(marks[tok], 3)
+        e = local.reshape(-1, 3).take(tok * len(KINDS_OF_FILE) + kind, axis=0)
+        e += np.array(known.beside).reshape(-1, 3).take(((big[tok] * 2 + near) * 2 + sign) * 3 + before, axis=0)
+        e += known.gaps.reshape(-1, 3).take(before * 3 + after, axis=0)
+        end_row = len(behind_)  # the edges of lines stand behind the tokens' rows
+        side = np.full(total, end_row)
+        side[1:] = np.where(joined, tok[:-1], end_row)
+        e += np.vstack([behind_, known.edges[:1]]).take(side, axis=0)
+        side[-1] = end_row
+        side[:-1] = np.where(joined, tok[1:], end_row)
+        e += np.vstack([ahead_, known.edges[1:]]).take(side, axis=0)
+        tags = self._paths(e, np.flatnonzero(np.concatenate([[True], ~joined])))
+        return list(zip(spans, np.split(tags, np.cumsum([len(x) for x in ids])[:-1]), strict=True))
+
+    def _paths(self, e: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The best tags of all lines, which begin at ``starts``."""
+        lengths = np.diff(np.append(starts, len(e)))
+        order = np.argsort(-lengths, kind="stable")
+        starts, lengths = starts[order], lengths[order]
+        live = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")  # lines longer than k
+        back, tags = np.zeros(e.shape, np.int8), np.zeros(len(e), np.int8)
+        score = e[starts].copy()
+        score[:, INSIDE] = NEVER
+        for k in range(1, lengths[0]):
+            n = live[k]
+            at = starts[:n] + k
+            s0, s1, s2 = (score[:n, a, None] + self.steps[a] for a in range(3))
+            best = np.maximum(s0, s1)
+            back[at] = np.where(s2 > best, 2, s1 > s0)
+            score[:n] = np.maximum(best, s2) + e[at]
+        now = score.argmax(axis=1)
+        tags[starts + lengths - 1] = now
+        for k in range(lengths[0] - 1, 0, -1):
+            n = live[k]
+            now[:n] = back[starts[:n] + k, now[:n]]
+            tags[starts[:n] + k - 1] = now[:n]
+        return tags
+
+
+MOST_TOKENS = 300_000  # distinct tokens that a worker keeps
+NEWLINE = re.compile("\n")
+HEXED = re.compile(r"[0-9a-fA-F]{8,}")
+CLASSES = {k: "U" if chr(k).isupper() else "l" if chr(k).islower() else "d" if chr(k).isdigit() else "s" for k in range(128)}
+
+
+def signature(token: str) -> tuple:
+    """What the features of a token depend on, made without the features."""
+    w = token.lower()
+    special = w if len(w) < 3 or w in CREDENTIAL else is_credential(token)
+    if not token.isascii():
+        return special, *shape(token)
+    head = token[:256]
+    return special, head.translate(CLASSES), min(len(token), 257), HEXED.fullmatch(head) is not None
+
+
+class _Tokens(dict):
+    """Rows of tokens in tables of weights under a field, one row a signature."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.known: dict[tuple, int] = {}
+        self.rows: list[tuple] = []
+        self.bigs: dict[str, int] = {}
+        self.tables: dict[int, np.ndarray] = {}
+        self.gaps = np.array([[field.weight([f"gg={a}{b}"]) for b in GAP] for a in GAP])
+        self.edges = (field.weight(["-1=<"]), field.weight(["+1=>"]))
+        self.beside: list[np.ndarray] = []
+
+    def __missing__(self, token: str) -> int:
+        key = signature(token)
+        row = self.known.get(key)
+        if row is None:
+            row = self.known[key] = len(self.rows)
+            self.rows.append(self._row(token))
+        self[token] = row
+        return row
+
+    def _row(self, token: str) -> tuple:
+        big, weight = shape(token)[2], self.field.weight
+        if big not in self.bigs:
+            self.bigs[big] = len(self.bigs)
+            self.beside.append(np.array([[[weight(beside(big, bool(a), bool(b), g)) for g in range(3)]
+                                          for b in range(2)] for a in range(2)]))
+        return (np.array([weight(own(token, k)) for k in KINDS_OF_FILE]), weight([behind(token)]),
+                weight([ahead(token)]), self.bigs[big], is_credential(token), token in "=:")
+
+    def column(self, k: int) -> np.ndarray:
+        if len(self.tables.get(k, ())) < len(self.rows):
+            self.tables[k] = np.array([r[k] for r in self.rows])
+        return self.tables[k]
+
 
 def fit(runs: list[list[list[str]]], tags: list[list[int]], rounds: int = 80, rate: float = 0.15,
         ridge: float = 1e-3) -> Field:
@@ -244,7 +392,7 @@ def made_line(rnd: random.Random) -> tuple[str, list[tuple[int, int]]]:
         lambda: pick(ALNUM, 20, 48) + pick("0123456789", 1, 2), lambda: pick("0123456789abcdef", 16, 64),
         lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 16),
         lambda: rnd.choice(["ghp_", "sk-", "xoxb-", "glpat-", "pk_live_", "AIza"]) + pick(ALNUM, 20, 40) + "7",
-        lambda: pick(ALNUM + "+/", 32, 60) + "9"])()
+        lambda: pick(ALNUM + "+/", 32, 60) + "9", lambda: pick(ALNUM[:52], 16, 40)])()
     if rnd.random() < 0.5:  # no secret: other things with digits
         other = rnd.choice([
             lambda: f"{word()}.{rnd.randint(1, 99)}@{word()}{rnd.randint(1, 9)}.example.com",
@@ -254,13 +402,19 @@ def made_line(rnd: random.Random) -> tuple[str, list[tuple[int, int]]]:
             lambda: f"20{rnd.randint(10, 30)}-{rnd.randint(10, 12)}-{rnd.randint(10, 28)}T10:00:00",
             lambda: f"https://{word()}.example.com/{word()}/{rnd.randint(1000, 99999999)}",
             lambda: f"{word()}{rnd.randint(1, 99999)}{word()}", lambda: pick("abcdefghijklmnopqrstuvwxyz", 32, 45),
-            lambda: f"v{rnd.randint(1, 9)}.{rnd.randint(0, 20)}.{rnd.randint(0, 99)}-beta{rnd.randint(1, 9)}"])()
+            lambda: f"v{rnd.randint(1, 9)}.{rnd.randint(0, 20)}.{rnd.randint(0, 99)}-beta{rnd.randint(1, 9)}",
+            lambda: "".join(word().capitalize() for _ in range(rnd.randint(1, 4))),
+            lambda: f"{word()}, {word()}! ({word()}) #{rnd.randint(1, 99)} & {word()}",
+            lambda: f"{rnd.choice(sorted(CREDENTIAL))}{rnd.choice([': ', ' = ', ' '])}{word()}"])()
         return f"{prose()} {other} {prose()}", []
     lead = rnd.choice([
         lambda: f"{rnd.choice(['password', 'secret', 'token', 'api_key', 'apikey', 'key', 'pwd', 'auth'])}"
                 f"{rnd.choice(['=', ': ', ' = ', ':'])}{rnd.choice(['', chr(34), chr(39)])}",
         lambda: "Authorization: Bearer ", lambda: f"{prose()} ", lambda: f"export {word().upper()}_KEY=",
         lambda: f"{word()}: "])()
+    if rnd.random() < 0.15:  # punctuated, behind a credential word
+        secret = rnd.choice(ALNUM) + pick(ALNUM + "$!#%&*@^~?_", 9, 24) + rnd.choice(ALNUM)
+        lead = f"{rnd.choice(['pwd', 'pass', 'key', 'auth', 'login', 'password'])}{rnd.choice(['=', ': ', ' = ', ':'])}"
     text = f"{prose()} {lead}"
     tail = lead[-1] if lead[-1] in "\"'" else ""
     return f"{text}{secret}{tail} {prose()}", [(len(text), len(text) + len(secret))]
@@ -295,8 +449,11 @@ def train(docs: DataFrame | None = None, text: str = "text", seed: int = 11) ->
                 out = []
                 for t in b["t"]:
                     spans = [secret_part(t, s) for s in base_spans(t)]
-                    for run in (x[k:k + LONGEST] for x in stretches(t) for k in range(0, len(x), LONGEST)):
+                    places = spans + interesting(t)
+                    for i, run in enumerate(x[k:k + LONGEST] for x in stretches(t) for k in range(0, len(x), LONGEST)):
                         lo, hi = run[0][1], run[-1][2]
+                        if i % 16 and not any(lo <= a and b <= hi for a, b in places):
+                            continue
                         out.append((t[lo:hi], [x - lo for s in spans if lo <= s[0] and s[1] <= hi for x in s], file_kind(t)))
                 yield pd.DataFrame(out, columns=["t", "spans", "kind"])
 
@@ -309,48 +466,69 @@ def train(docs: DataFrame | None = None, text: str = "text", seed: int = 11) ->
     return fit([p[0] for p in pairs], [p[1] for p in pairs])
 
 
-def field_spans(text: str, field: Field) -> list[Span]:
-    """The spans that the field finds, each with a token of interest."""
-    kind, out = None, []
-    for run in stretches(text):
-        kind = kind or file_kind(text)
-        tags = field.decode(features(run, kind))
-        i = 0
-        while i < len(run):
-            if tags[i] == BEGIN:
+GROUP_CHARS = 3_000_000  # of texts tagged at once
+
+
+def groups(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts in order, in runs of bounded length."""
+    group: list[str] = []
+    chars = 0
+    for t in texts:
+        if group and chars + len(t or "") > GROUP_CHARS:
+            yield group
+            group, chars = [], 0
+        group.append(t or "")
+        chars += len(t or "")
+    if group:
+        yield group
+
+
+def spans_of_all(texts: list[str | None], field: Field) -> Iterator[list[Span]]:
+    """The spans that the field finds in each text."""
+    for group in groups(texts):
+        for places, tags in field.tag(group):
+            out: list[Span] = []
+            for i in np.flatnonzero(tags == BEGIN).tolist():
                 k = i + 1
-                while k < len(run) and tags[k] == INSIDE:
+                while k < len(tags) and tags[k] == INSIDE:
                     k += 1
-                if any(len(t) >= 8 and DIGIT.search(t) or len(t) >= 32 for t, _, _ in run[i:k]):
-                    out.append(("crf", run[i][1], run[k - 1][2]))
-                i = k
-            else:
-                i += 1
-    return out
+                out.append(("crf", places[i][0], places[k - 1][1]))
+            yield out
 
 
-def all_spans(text: str | None, field: Field) -> list[Span]:
+def field_spans(text: str, field: Field) -> list[Span]:
+    """The spans that the field finds."""
+    return next(spans_of_all([text], field))
+
+
+def with_base(text: str | None, found: list[Span]) -> list[Span]:
+    """The base spans, and those of the field that touch none."""
     if not text:
         return []
     base = base_spans(text)
-    added = [s for s in field_spans(text, field) if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
+    added = [s for s in found if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
     return sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def all_spans(text: str | None, field: Field) -> list[Span]:
+    return with_base(text, field_spans(text or "", field))
+
+
 def spans_column(text: Column, field: Field) -> Column:
     """All spans of a text as kind:start:end, joined by commas."""
     @F.pandas_udf("string")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
-            yield pd.Series([",".join(f"{k}:{s}:{e}" for k, s, e in all_spans(t, field)) for t in b], dtype=object)
+            yield pd.Series([",".join(f"{k}:{s}:{e}" for k, s, e in with_base(t, found))
+                             for t, found in zip(b, spans_of_all(b.tolist(), field), strict=True)], dtype=object)
 
     return scan(text)
 
 
 def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret (of an assignment its value) in ``text`` replaced by ``mark``."""
-    def clean(t: str | None) -> str | None:
-        spans = all_spans(t, field)
+    def clean(t: str | None, found: list[Span]) -> str | None:
+        spans = with_base(t, found)
         if not spans:
             return t
         out, at = [], 0
@@ -362,7 +540,8 @@ def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECR
             at = e
         return "".join([*out, t[at:]])
 
-    return map_slices(docs, docs.schema, lambda part: {**part, text: [clean(t) for t in part[text]]})
+    return map_slices(docs, docs.schema, lambda part: {
+        **part, text: [clean(t, x) for t, x in zip(part[text], spans_of_all(part[text], field), strict=True)]})
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", field: Field | None = None) -> DataFrame:
