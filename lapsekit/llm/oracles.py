@@ -108,3 +108,36 @@ FROM (SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text,
       FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id) t
 JOIN d ON d.doc_id = t.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
+
+ORACLES["op12_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words]
+                        ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) END AS grams
+    FROM w
+), n AS (
+    SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, hash(list_sort(grams)) AS h FROM s
+), reps AS (
+    SELECT min(doc_id) AS doc_id, h, n_shingles FROM n WHERE n_shingles > 0 GROUP BY h, n_shingles
+), g AS (
+    SELECT doc_id, hash(unnest(grams)) AS gram FROM s WHERE doc_id IN (SELECT doc_id FROM reps)
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+    SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+    WHERE 100 * k >= 90 * (x.n_shingles + y.n_shingles - k)
+), edge AS (
+    SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+    SELECT doc_id AS id, doc_id AS far FROM reps
+    UNION
+    SELECT r.id, e.b FROM reach r JOIN edge e ON e.a = r.far
+), component AS (
+    SELECT id, min(far) AS component_id FROM reach GROUP BY id
+)
+SELECT n.doc_id, n.n_shingles, coalesce(c.component_id, n.doc_id) AS component_id
+FROM n LEFT JOIN reps r ON r.h = n.h AND r.n_shingles = n.n_shingles LEFT JOIN component c ON c.id = r.doc_id
+"""

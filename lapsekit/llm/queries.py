@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsekit.llm import edit_fingerprints, html_text, line_dedup, near_dups, packing, piece_codec, quality_rules, secret_scan, url_filters, warc
+from lapsekit.llm import (edit_fingerprints, html_text, line_dedup, near_dups, ngram_join, packing, piece_codec, quality_rules,
+                          secret_scan, spelling, url_filters, warc, whitening)
 from lapsekit.llm.common import let_workers_import, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +102,23 @@ def op10_html_text(spark, sf_dir):
     """The main text of every page."""
     return (html_text.extract(table(spark, sf_dir, "pages"))
             .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """The first four whitened components of every usable embedding."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), vec_id="vec_id", vector="embedding", keep=4)
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_ngram_join(spark, sf_dir):
+    """Components of all documents under the Jaccard join of three-word shingles at 90 percent."""
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    """Every frequent word of the documents with its form and root."""
+    return (spelling.group_variants(table(spark, sf_dir, "documents"))
+            .select("word", "form", "root", "n", "n_near", "form_n"))
