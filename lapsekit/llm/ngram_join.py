@@ -14,9 +14,9 @@ exact: every pair that may link meets in a tile.
    hash range is dealt into D + 1 parts. A linked pair must agree in at least one whole part,
    so a tile is the classes of a band that agree in a part, which, at about nine shingles a
    part, hardly any others do.
-4. A class has a bitmap, one bit a shingle hash (folded to the narrower width of a pair). Bits
-   that differ are shingles that differ, so their count bounds the overlap from above; pairs whose
-   bound lies below the threshold end there.
+4. Classes that share a tile get their sets and a bitmap, one bit a shingle hash (folded to the
+   narrower width of a pair). Bits that differ are shingles that differ, so their count bounds the
+   overlap from above; pairs whose bound lies below the threshold end there.
 5. Those left are decided by the exact intersection of their sorted arrays.
 6. Tiles are first compared with their first member only, and links are contracted to
    components. Tiles of three members or more that still hold several components are dealt to
@@ -54,6 +54,7 @@ BITS = 8  # bits of a bitmap for a shingle, to the next power of two
 NARROW, WIDE = 64, 1 << 17  # bits of the smallest and the largest bitmap
 BLOCK = 256  # members of a tile that are compared with each other or with as many others at once
 ROUNDS = ((0, 1), (1, 8), (8, 64))  # of 64 shares of the tiles
+SLOTS = 1 << 20  # hash values that are broadcast at most to leave rows out of a shuffle
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,8 +127,7 @@ def _shapes(part: dict, percent: int) -> dict:
     sets = [shingle_set(t, WORDS) for t in part["text"]]
     return {"rid": part["rid"], "doc_id": part["doc_id"], "row_key": part["row_key"], "n": [len(s) for s in sets],
             "set_id": [_set_id(s) for s in sets],
-            "tiles": [tile_keys(s, percent).view(np.int64) if len(s) else None for s in sets],
-            "bits": [bitmap(s).tobytes() if len(s) else None for s in sets]}
+            "tiles": [tile_keys(s, percent).view(np.int64) if len(s) else None for s in sets]}
 
 
 def _set_id(s: np.ndarray) -> bytes | None:
@@ -135,17 +135,40 @@ def _set_id(s: np.ndarray) -> bytes | None:
 
 
 def shapes(docs: DataFrame, percent: int) -> DataFrame:
-    """(rid, doc_id, row_key, n, set_id, tiles, bits) of every row; rid is unique, as written."""
+    """(rid, doc_id, row_key, n, set_id, tiles) of every row; rid is unique, as written."""
     numbered = docs.withColumn("rid", F.monotonically_increasing_id())
-    return stored(map_slices(numbered, "rid long, doc_id long, row_key long, n long, set_id binary, tiles array<long>, "
-                             "bits binary", lambda part: _shapes(part, percent)), "join-shapes")
+    return stored(map_slices(numbered, "rid long, doc_id long, row_key long, n long, set_id binary, tiles array<long>",
+                             lambda part: _shapes(part, percent)), "join-shapes")
+
+
+def sharing(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose ``column`` may be one of ``keys`` (of the same name): those with the hash slot of one. At most
+    ``SLOTS`` slots are broadcast, whatever the number of keys; an exact join follows, with less to shuffle."""
+    slot = F.pmod(F.xxhash64(column), F.lit(SLOTS))
+    return df.withColumn("slot", slot).join(F.broadcast(keys.select(slot.alias("slot")).distinct()), "slot", "left_semi").drop("slot")
+
+
+def sets_in_tiles(classes: DataFrame, ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rid, n, bits, s) of the classes with one of ``ids``, from the text of one of their rows."""
+    def own(part: dict) -> dict:
+        out: dict = {"rid": [], "n": [], "bits": [], "s": []}
+        for rid, text, set_id in zip(part["rid"], part["text"], part["set_id"], strict=True):
+            s = shingle_set(text, WORDS)
+            if _set_id(s) == set_id:  # row_key is a hash: another text may have it
+                for name, value in (("rid", rid), ("n", len(s)), ("bits", bitmap(s).tobytes()), ("s", s.tobytes())):
+                    out[name].append(value)
+        return out
+
+    wanted = stored(classes.join(ids, "rid", "left_semi"), "join-ids")
+    texts = sharing(docs.select("row_key", "text"), "row_key", wanted).join(wanted, "row_key")
+    return stored(map_slices(texts, "rid long, n long, bits binary, s binary", own).dropDuplicates(["rid"]), "join-sets")
 
 
 class _Graph:
-    """The components of the classes found so far."""
+    """The components of the classes found so far; ``sets`` has those that share a tile."""
 
-    def __init__(self, classes: DataFrame, docs: DataFrame, percent: int):
-        self.classes, self.docs, self.percent, self.labels = classes, docs, percent, None
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent, self.labels = sets, percent, None
 
     def label(self, df: DataFrame, id_col: str, into: str) -> DataFrame:
         """``df`` with the component of ``id_col``."""
@@ -185,7 +208,7 @@ class _Graph:
                     out["b"].append(b)
             return out
 
-        ends = {c: self.classes.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}"))
+        ends = {c: self.sets.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}"))
                 for c in "ab"}
         fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
         return map_slices(pairs.join(ends["a"], "a").join(ends["b"], "b").filter(fits), "a long, b long", passing)
@@ -204,25 +227,13 @@ class _Graph:
                     out["b"].append(b)
             return out
 
-        def own_sets(part: dict) -> dict:
-            sets = [shingle_set(t, WORDS) for t in part["text"]]
-            same = [_set_id(s) == i for s, i in zip(sets, part["set_id"], strict=True)]
-            return {"rid": [r for r, ok in zip(part["rid"], same) if ok],
-                    "s": [s.tobytes() for s, ok in zip(sets, same) if ok]}
-
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-        wanted = stored(self.classes.select("rid", "row_key", "set_id").join(ids, "rid", "left_semi"), "join-ids")
-        texts = self.docs.select("row_key", "text").join(wanted, "row_key")
-        sets = stored(map_slices(texts, "rid long, s binary", own_sets).dropDuplicates(["rid"]), "join-sets")
-        with_b = pairs.join(sets.select(F.col("rid").alias("b"), F.col("s").alias("sb")), "b")
-        with_both = with_b.join(sets.select(F.col("rid").alias("a"), F.col("s").alias("sa")), "a")
-        links = stored(map_slices(with_both.select("a", "b", "sa", "sb"), "a long, b long", linked), "join-links")
-        drop_stored(sets, wanted)
-        return links
+        ends = {c: self.sets.select(F.col("rid").alias(c), F.col("s").alias(f"s{c}")) for c in "ab"}
+        both = pairs.join(ends["b"], "b").join(ends["a"], "a").select("a", "b", "sa", "sb")
+        return stored(map_slices(both, "a long, b long", linked), "join-links")
 
 
 # ---- 6. tiles ------------------------------------------------------------------------------
-def pairs_in_blocks(tiles: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def pairs_in_blocks(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs of different components that meet in one of the tiles (key, rid, size, c) and pass
     the bitmap bound. Each member goes to one comparison for every block of its tile, and a comparison
     holds two blocks, so none grows with the tile."""
@@ -243,7 +254,7 @@ def pairs_in_blocks(tiles: DataFrame, classes: DataFrame, percent: int) -> DataF
             yield done()
 
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = tiles.join(classes.select("rid", "n", "bits"), "rid").withColumn(
+    dealt = tiles.join(sets.select("rid", "n", "bits"), "rid").withColumn(
         "block", F.pmod(F.xxhash64("rid"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = stored(dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
@@ -270,15 +281,21 @@ def _passing(held: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
                 yield int(rid[i]), int(rid[j])
 
 
-def link_all(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
-    """(id, component) of the classes that link to another; None if there are none."""
-    g = _Graph(classes, docs, percent)
-    inside = classes.select("rid", F.explode("tiles").alias("key"))
+def link_all(classes: DataFrame, tiles: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+    """(id, component) of the classes (rid, row_key, set_id), with their tiles (rid, tiles), that link to another;
+    None if there are none."""
+    inside = tiles.select("rid", F.explode("tiles").alias("key"))
     heads = stored(inside.groupBy("key").agg(F.min("rid").alias("first"), F.max("rid").alias("last"),
                                              F.count("*").alias("size")).filter("size > 1"), "join-heads")
-    members = stored(inside.join(heads.filter("size > 2").select("key", "first", "size"), "key"), "join-members")
-    g.link(heads.filter("size = 2").select(F.col("first").alias("a"), F.col("last").alias("b"))
-           .unionByName(members.select(F.col("first").alias("a"), F.col("rid").alias("b"))), bounded=False)
+    crowded = heads.filter("size > 2").select("key", "first", "size")
+    members = stored(sharing(inside, "key", crowded).join(crowded, "key"), "join-members")
+    pairs = heads.filter("size = 2").select(F.col("first").alias("a"), F.col("last").alias("b")).unionByName(
+        members.select(F.col("first").alias("a"), F.col("rid").alias("b")))
+    pairs = stored(pairs.filter("a <> b").distinct(), "join-first-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    sets = sets_in_tiles(classes, ids, docs)
+    g = _Graph(sets, percent)
+    g.link(pairs, bounded=False)
     for low, high in ROUNDS:
         now = stored(g.label(members.select("key", "rid", "size"), "rid", "c"), "join-labelled")
         mixed = (now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.first("size").alias("size"),
@@ -288,7 +305,7 @@ def link_all(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame | N
         chosen = stored(once.filter((share >= low) & (share < high)).select("key"), "join-mixed")
         if not chosen.isEmpty():
             tiles = stored(now.join(chosen, "key"), "join-left")
-            g.link(pairs_in_blocks(tiles, classes, percent), bounded=True)
+            g.link(pairs_in_blocks(tiles, sets, percent), bounded=True)
         drop_stored(now)
     return g.labels
 
@@ -301,9 +318,9 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shape = shapes(docs, percent)
     sets = stored(shape.filter("n > 0").groupBy("set_id").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least"),
                                                               F.count("*").alias("copies")), "join-sets")
-    classes = stored(shape.select("rid", "row_key", "n", "set_id", "tiles", "bits")
-                     .join(sets.select("rid"), "rid", "left_semi"), "join-classes")
-    found = link_all(classes, docs, percent)
+    classes = stored(shape.select("rid", "row_key", "set_id", "tiles").join(sets.select("rid"), "rid", "left_semi"),
+                     "join-classes")
+    found = link_all(classes.select("rid", "row_key", "set_id"), classes.select("rid", "tiles"), docs, percent)
     if found is None:
         named = sets.filter("copies > 1").select("set_id", F.col("least").alias("component_id"))
     else:
