@@ -4,10 +4,9 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-FIXTURES = os.path.join(ROOT, "tests", "fixtures")
-SF_SMALL = "/root/testdata/sf0.001"
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from support import FIXTURES  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,7 +29,3 @@ def golden(spark):
     from lapsekit.sources.adapter import csv_inputs
     return Layers(csv_inputs(spark, FIXTURES))
 
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 
 
 def test_row_counts(golden):

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from conftest import FIXTURES
+from support import FIXTURES
 
 # --- fixed values: row counts of the three-feed extract, per built object --------
 GOLDEN_EXPECTED_ROWS = {

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 @pytest.mark.parametrize("name", ["m06_user_period_activity", "m09_transitions", "m12_cohort_users",
