@@ -70,7 +70,14 @@ def cohort_summary(users: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFram
         count(coh & ~nxt & ~any_later, settled).alias("confirmed_churn_users"),
         count(coh & ~nxt & any_later, settled).alias(f"reactivated_in_{r}_users"),
     )
-    return agg.select(
+    return cohort_rates(agg, spec)
+
+
+def cohort_rates(counts: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """The counts of M13 with their rates."""
+    a, n = spec.cohort_anchor, spec.n_silent
+    r = f"q{a + 2}" if n == 2 else "later"
+    return counts.select(
         "definition_name", f"q{a}_cohort_users", f"retained_in_q{a + 1}", f"lapsed_in_q{a + 1}",
         "confirmed_churn_users",
         rate("confirmed_churn_users", f"q{a}_cohort_users").alias("confirmed_churn_rate_of_cohort"),

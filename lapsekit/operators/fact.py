@@ -50,16 +50,20 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
     bucketed write by person has one writer per bucket. No join, no cross join,
     no distinct.
     """
-    periods = periods_of(spec.period_start, spec.period_end, spec.grain)
-    first = periods[0].start
-    prim, strict = spec.primary, spec.strict
+    return dense_fact(sparse_activity(events, spec), identity, spec)
+
+
+def sparse_activity(events: DataFrame, spec: ChurnSpec = DEFAULT_SPEC, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (``by``, person, period index) with in-scope events. Rows of the same person and period
+    are partial states: :func:`merge_sparse` adds them up."""
+    first = periods_of(spec.period_start, spec.period_end, spec.grain)[0].start
     ev = (events.filter(F.col("is_in_scope"))
-          .select("unified_user_id",
+          .select(*by, "unified_user_id",
                   period_index("activity_date", first, spec.grain).alias("quarter_index"),
-                  "channel", "source_feed", "event_or_status", "amount_sar", "activity_date",
+                  *[c for c in ("channel",) if c not in by], "source_feed", "event_or_status", "amount_sar", "activity_date",
                   *[activity_col(d) for d in spec.definitions]))
     ch, st = F.col("channel"), F.col("event_or_status")
-    counts_p = F.col(activity_col(prim))
+    counts_p = F.col(activity_col(spec.primary))
     is_coupon, is_cash = ch == COUPON, ch == CASHBACK
     dec0 = F.lit(0).cast("decimal(38,9)")
     metrics = {
@@ -68,8 +72,7 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
         "cashback_approved_transactions": F.count_if(is_cash & (st == APPROVED)),
         "cashback_pending_transactions": F.count_if(is_cash & (st == PENDING)),
         "cashback_excluded_transactions": F.count_if(is_cash & st.isin(*EXCLUDED_STATUSES)),
-        "distinct_affiliate_sources": F.size(F.collect_set(F.when(is_cash & counts_p, F.col("source_feed"))))
-        .cast("long"),
+        "affiliate_sources": F.array_sort(F.collect_set(F.when(is_cash & counts_p, F.col("source_feed")))),
         "approved_amount_sar": F.sum(F.when(is_cash & (st == APPROVED), F.col("amount_sar")).otherwise(dec0)),
         "pending_amount_sar": F.sum(F.when(is_cash & (st == PENDING), F.col("amount_sar")).otherwise(dec0)),
         **{active_col(d): F.bool_or(activity_col(d)) for d in spec.definitions},
@@ -78,7 +81,37 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
         "first_activity_date": F.min(F.when(counts_p, F.col("activity_date"))),
         "last_activity_date": F.max(F.when(counts_p, F.col("activity_date"))),
     }
-    sparse = ev.groupBy("unified_user_id", "quarter_index").agg(*[c.alias(n) for n, c in metrics.items()])
+    return ev.groupBy(*by, "unified_user_id", "quarter_index").agg(*[c.alias(n) for n, c in metrics.items()])
+
+
+def merge_sparse(partial: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """Partial rows of :func:`sparse_activity` as one row per (person, period index)."""
+    kinds = dict(partial.dtypes)
+
+    def merged(name: str):
+        if name == "affiliate_sources":     # bounded: the networks of one person and period
+            return F.array_sort(F.array_distinct(F.flatten(F.collect_list(name))))
+        if kinds[name] == "boolean":
+            return F.bool_or(name)
+        if kinds[name] == "date":
+            return F.min(name) if name.startswith("first") else F.max(name)
+        return F.sum(name).cast(kinds[name])
+    keys = ["unified_user_id", "quarter_index"]
+    out = [c for c in partial.columns if c in SPARSE_METRICS or c.startswith("is_active_")]
+    return partial.groupBy(*keys).agg(*[merged(c).alias(c) for c in out])
+
+
+SPARSE_METRICS = ("eligible_coupon_events", "cashback_transactions_total", "cashback_approved_transactions",
+                  "cashback_pending_transactions", "cashback_excluded_transactions", "affiliate_sources",
+                  "approved_amount_sar", "pending_amount_sar", "first_activity_date", "last_activity_date")
+
+
+def dense_fact(sparse: DataFrame, identity: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """The persons of the identity map at every period, from the sparse rows (one per person and period)."""
+    periods = periods_of(spec.period_start, spec.period_end, spec.grain)
+    prim, strict = spec.primary, spec.strict
+    dec0 = F.lit(0).cast("decimal(38,9)")
+    metrics = [c for c in sparse.columns if c not in ("unified_user_id", "quarter_index")]
     packed = sparse.select("unified_user_id", F.lit(False).alias("_person"),
                            F.struct("quarter_index", *metrics).alias("_m"))
     persons = (identity.filter(~F.col("has_ambiguous_mapping") & F.col("unified_user_id").isNotNull())
@@ -105,7 +138,8 @@ def user_period_activity(events: DataFrame, identity: DataFrame, spec: ChurnSpec
         at([p.end for p in periods]).alias("quarter_end_date"), "quarter_index",
         *[got(n, F.lit(0).cast("long")).alias(n) for n in
           ["eligible_coupon_events", "cashback_transactions_total", "cashback_approved_transactions",
-           "cashback_pending_transactions", "cashback_excluded_transactions", "distinct_affiliate_sources"]],
+           "cashback_pending_transactions", "cashback_excluded_transactions"]],
+        F.when(r.isNull(), 0).otherwise(F.size(r["affiliate_sources"])).cast("long").alias("distinct_affiliate_sources"),
         got("approved_amount_sar", dec0).alias("approved_amount_sar"),
         got("pending_amount_sar", dec0).alias("pending_amount_sar"),
         *[got(active_col(d), f0).alias(active_col(d)) for d in spec.definitions],

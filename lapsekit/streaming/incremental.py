@@ -1,44 +1,44 @@
 """Incremental staging on activity month, driven by Structured Streaming.
 
 New raw rows of a feed arrive as files in a landing folder. Each micro-batch
-(``foreachBatch``) is appended to a raw store partitioned by ``_batch`` (the stream's
+(``foreachBatch``) is written to a raw table partitioned by ``_batch`` (the stream's
 id and the epoch: two streams into one store never meet in a folder) and
-``activity_month``. Writing a batch again after a retry replaces exactly its own
+``activity_month``. A batch written again after a retry replaces exactly its own
 folders, so a replayed epoch is not double counted. Then only the months that the
 batch touches are re-staged:
 
 * touched keys  = the business keys in the batch (a late status update of an
   old transaction is a new raw row with an old key); rows without a key are
   never merged with others and so touch only their own month,
-* affected months = the batch's own months (read from the folders it was
-  written to) plus every month in which a raw row of a touched key lives (a
-  semi-join of the raw rows with the touched keys). With ``reprocess_months`` --
-  the longest time a decision takes -- only raw months from that long before the
-  batch's first month on are searched, so that a batch costs as much as the window
-  and not as the history; without it all are,
+* affected months = the batch's own months plus every month in which a raw row of a
+  touched key lives (a semi-join of the raw rows with the touched keys). With
+  ``reprocess_months`` -- the longest time a decision takes -- only raw months from that
+  long before the batch's first month on are searched, so that a batch costs as much as
+  the window and not as the history; without it all are,
 * re-stage = the staging operator over the affected months' raw rows of touched
-  keys and of no key (partition pruning reads only those folders); staged rows of
-  other keys stay as they are, for their copies may lie in other months. The months
-  are written with dynamic partition overwrite, set on the write itself; an affected
-  month left with no staged row is cleared.
+  keys and of no key (only those folders are read); staged rows of other keys stay as they
+  are, for their copies may lie in other months.
+
+All writes of a batch are one transaction of a :class:`~lapsekit.sources.versions.VersionedStore`:
+they go to new folders, and one manifest makes them visible together. A driver that is lost at any
+moment leaves the state before the batch, and the retry starts from there.
 
 All copies of a touched key are inside the affected months (with a window: of keys
-whose copies are no further apart), so the result equals a full rebuild. The staged
-store is the month-partitioned table every later layer reads.
+whose copies are no further apart), so the result equals a full rebuild.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapsekit.functions.text import norm_key
 from lapsekit.sources.feeds import CASHBACK_SCHEMA, COUPON_SCHEMA
+from lapsekit.sources.versions import Snapshot, Transaction, VersionedStore, partition_values
 from lapsekit.spec import ChurnSpec, DEFAULT_SPEC
 
 FEEDS = {
@@ -48,181 +48,151 @@ FEEDS = {
 }
 MONTH = "activity_month"
 BATCH = "_batch"
+COMPACTED = "compacted"
+IDENTITY, EVENTS = "stg_identity_map", "int_unified_activity_events"
 
 
 class IncrementalStaging:
     def __init__(self, spark: SparkSession, root: str, feed: str = "cashback", spec: ChurnSpec = DEFAULT_SPEC,
-                 reprocess_months: int | None = None):
-        self.spark, self.root, self.feed, self.spec = spark, root, feed, spec
+                 reprocess_months: int | None = None, store: VersionedStore | None = None):
+        self.spark, self.feed, self.spec = spark, feed, spec
         self.schema, self.key, self.date = FEEDS[feed]
-        self.raw_path = os.path.join(root, f"raw_{feed}")
-        self.stg_path = os.path.join(root, f"stg_{feed}")
+        self.store = store or VersionedStore(spark, root)
+        self.raw_table, self.stg_table = f"raw_{feed}", f"stg_{feed}"
         self.reprocess_months = reprocess_months
+        month = T.StructField(MONTH, T.DateType())
+        self.raw_schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.StringType()), month])
+        self.stg_schema = T.StructType([*self._stage(spark.createDataFrame([], self.schema)).schema.fields, month])
 
     def _stage(self, raw: DataFrame) -> DataFrame:
         from lapsekit.operators.staging import stage_cashback, stage_coupons
         return (stage_cashback if self.feed == "cashback" else stage_coupons)(raw, self.spec)
 
-    def raw(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.StringType()),
-                               T.StructField(MONTH, T.DateType())])
-        if not path_exists(self.spark, self.raw_path):          # nothing landed yet
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.raw_path)
-
-    def staged(self) -> DataFrame:
-        if not path_exists(self.spark, self.stg_path):
-            return self._stage(self.spark.createDataFrame([], self.schema))
-        return self.spark.read.parquet(self.stg_path).drop(MONTH)
-
-    def _fs_list(self, path: str) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    def raw(self, snapshot: Snapshot | None = None, where=None) -> DataFrame:
+        return self.store.read(self.raw_table, self.raw_schema, (BATCH, MONTH), snapshot, where)
 
-    def _months_of(self, batch: str) -> set:
-        out = set()
-        for name in self._fs_list(os.path.join(self.raw_path, f"{BATCH}={batch}")):
-            if name.startswith(MONTH + "="):
-                v = name.split("=", 1)[1]
-                out.add(None if v == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(v))
-        return out
+    def staged(self, snapshot: Snapshot | None = None, months: list | None = None) -> DataFrame:
+        where = None if months is None else of_months(months)
+        return self.store.read(self.stg_table, self.stg_schema, (MONTH,), snapshot, where).drop(MONTH)
 
     def _key(self):
         return norm_key(F.col(self.key))
 
-    def _touched_keys(self, batch: DataFrame, name: str) -> DataFrame:
-        """The batch's keys and, where it was landed before, those of the earlier attempt; written out,
-        since that attempt's rows are about to go."""
-        keys = batch.select(self._key().alias("_k"))
-        if self._months_of(name):
-            keys = keys.union(self.raw().filter(F.col(BATCH) == name).select(self._key()))
-        path = os.path.join(self.root, f"touched_{self.feed}", name)
-        keys.filter("_k IS NOT NULL").distinct().write.mode("overwrite").parquet(path)
-        return self.spark.read.schema("_k string").parquet(path)
-
-    def _months_with(self, keys: DataFrame, own: list) -> set:
+    def _months_with(self, tx: Transaction, keys: DataFrame, own: set) -> set:
         """Months of raw rows that have one of the keys (within the window, where there is one)."""
-        raw = self.raw().filter(F.col(self.key).isNotNull())
+        since = None
         if self.reprocess_months is not None and (dated := [m for m in own if m is not None]):
-            since = F.add_months(F.lit(min(dated)), -self.reprocess_months)
-            raw = raw.filter((F.col(MONTH) >= since) | F.col(MONTH).isNull())
-        touched = raw.select(MONTH, self._key().alias("_k")).join(keys, "_k", "left_semi")
+            since = months_before(min(dated), self.reprocess_months)
+        raw = self.raw(tx.snapshot, lambda p: since is None or month_of(p) is None or month_of(p) >= since)
+        touched = raw.filter(F.col(self.key).isNotNull()).select(MONTH, self._key().alias("_k")).join(keys, "_k", "left_semi")
         return {r[0] for r in touched.select(MONTH).distinct().collect()}      # bounded by the calendar
 
-    def apply(self, batch: DataFrame, epoch_id: int, stream: str = "direct") -> list:
+    def apply(self, batch: DataFrame, epoch_id: int, stream: str = "direct", tx: Transaction | None = None) -> list:
         """Land one batch and re-stage the months it touches; returns those months. A batch is
-        known by (``stream``, ``epoch_id``): the same pair again replaces the earlier rows."""
-        cols = self.schema.fieldNames()
-        name = f"{stream}-{int(epoch_id)}"
-        before = self._months_of(name)          # of the same batch before a retry: its rows go
-        keys = self._touched_keys(batch, name)
+        known by (``stream``, ``epoch_id``): the same pair again replaces the earlier rows. Rows landed
+        and staged become visible together; with ``tx``, when that transaction commits."""
+        if tx is None:
+            with self.store.transaction() as tx:
+                return self.apply(batch, epoch_id, stream, tx)
+        cols, name = self.schema.fieldNames(), f"{stream}-{int(epoch_id)}"
+        same = lambda p: p[BATCH] == name
+        before = {month_of(partition_values(p)) for p in tx.snapshot.partitions(self.raw_table, same)}
+        keys = batch.select(self._key().alias("_k"))
+        if before:                              # of the same batch before a retry: its rows go
+            keys = keys.union(self.raw(tx.snapshot, same).select(self._key()))
+        keys = tx.scratch(keys.filter("_k IS NOT NULL").distinct())
         b = batch.select(*cols).withColumn(BATCH, F.lit(name)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        if before:
-            clear_folder(self.spark, os.path.join(self.raw_path, f"{BATCH}={name}"))
-        overwrite_partitions(b.hint("rebalance", MONTH), self.raw_path, [BATCH, MONTH])
-        own = before | self._months_of(name)
-        months = sorted(own | self._months_with(keys, list(own)), key=lambda m: (m is not None, m))
+        written = tx.write(b.hint("rebalance", MONTH), self.raw_table, (BATCH, MONTH), same)
+        own = before | {month_of(partition_values(p)) for p in written}
+        months = sorted(own | self._months_with(tx, keys, own), key=lambda m: (m is not None, m))
         if not months:
             return []
-        raw = in_months(self.raw(), months).withColumn("_k", self._key())
+        raw = self.raw(tx.snapshot, of_months(months)).withColumn("_k", self._key())
         rows = raw.join(keys, "_k", "left_semi").unionByName(raw.filter("_k IS NULL")).select(*cols)
-        staged = self._stage(rows).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
-        if path_exists(self.spark, self.stg_path):              # rows of other keys stay as they are
-            kept = in_months(self.spark.read.parquet(self.stg_path), months).filter(F.col(self.key).isNotNull())
-            staged = staged.unionByName(kept.join(keys, kept[self.key] == keys["_k"], "left_anti"))
-        replace_months(staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key), self.stg_path, months)
+        staged = self._stage(rows)
+        kept = self.staged(tx.snapshot, months).filter(F.col(self.key).isNotNull())   # rows of other keys stay as they are
+        staged = staged.unionByName(kept.join(keys, kept[self.key] == keys["_k"], "left_anti"))
+        staged = staged.withColumn(MONTH, F.trunc(F.col(self.date), "month"))
+        tx.write(staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key), self.stg_table, (MONTH,), of_months(months))
         return months
 
+    def compact_raw(self) -> None:
+        """Merge the raw rows of all batches but the newest of each stream (the only one that a stream can send
+        again) into one batch, so that the number of folders follows the calendar and not the batches."""
+        with self.store.transaction() as tx:
+            newest: dict[str, int] = {}
+            names = {partition_values(p)[BATCH] for p in tx.snapshot.partitions(self.raw_table)}
+            for stream, epoch in (n.rsplit("-", 1) for n in names if n != COMPACTED):
+                newest[stream] = max(int(epoch), newest.get(stream, 0))
+            old = names - {f"{s}-{e}" for s, e in newest.items()}
+            if len(old) > 1:
+                rows = self.raw(tx.snapshot, lambda p: p[BATCH] in old).withColumn(BATCH, F.lit(COMPACTED))
+                tx.write(rows.hint("rebalance", MONTH), self.raw_table, (BATCH, MONTH), lambda p: p[BATCH] in old)
+
     def full_rebuild(self) -> DataFrame:
         return self._stage(self.raw().select(*self.schema.fieldNames()))
 
 
-def in_months(df: DataFrame, months: list) -> DataFrame:
-    """The rows of the given month folders (None: the folder of rows without a date)."""
-    known = [m for m in months if m is not None]
-    cond = F.col(MONTH).isin(*known) if known else F.lit(False)
-    return df.filter(cond | F.col(MONTH).isNull() if None in months else cond)
-
-
-def overwrite_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
-    """Replace the partitions present in ``df`` and no others. The mode is set on this write: a
-    batch of a stream runs in a session of its own, and other writers keep their settings."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-
-
-def replace_months(df: DataFrame, table: str, months: list, parts: tuple[str, ...] = (), folder: str = "") -> None:
-    """Write ``df`` over its month partitions and clear those of ``months`` that it has no row for.
-    The months written come with the write itself, so that ``df`` is computed once."""
-    seen = Observation()
-    df = df.observe(seen, F.collect_set(F.coalesce(F.col(MONTH).cast("string"), F.lit("none"))).alias("months"))
-    overwrite_partitions(df, table, [*parts, MONTH])
-    written = set(seen.get["months"] or ())
-    for m in months:
-        if (m.isoformat() if m is not None else "none") not in written:
-            clear_partition(df.sparkSession, os.path.join(table, folder), m)
+def month_of(partition: dict) -> dt.date | None:
+    value = partition[MONTH]
+    return None if value is None else dt.date.fromisoformat(value)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check on the cluster's file system (not the driver's local disk)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def of_months(months):
+    """Whether a partition is that of one of the months (None: of rows without a date)."""
+    known = set(months)
+    return lambda p: month_of(p) in known
 
 
-def clear_partition(spark: SparkSession, table_path: str, month) -> None:
-    """Remove one month folder of a month-partitioned table (a month left with no rows)."""
-    name = f"{MONTH}={month.isoformat()}" if month is not None else f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
-    clear_folder(spark, os.path.join(table_path, name))
-
-
-def clear_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)
+def months_before(month: dt.date, n: int) -> dt.date:
+    at = month.year * 12 + month.month - 1 - n
+    return dt.date(at // 12, at % 12 + 1, 1)
 
 
 class IncrementalEvents:
     """The unified event stream kept incrementally: both feeds are staged by
     :class:`IncrementalStaging`, the events are stored partitioned by (channel,
     month), and after each batch only the batch's channel and months are rebuilt
-    (identity resolution of those months' staged rows, dynamic partition
-    overwrite). The identity map is an input of the build: the store remembers its
-    fingerprint, and opening it with another map is refused until :meth:`rebuild`
-    has resolved all events anew."""
+    (identity resolution of those months' staged rows). Raw, staged and event rows of a batch, and
+    the marts of an :class:`~lapsekit.streaming.marts.IncrementalMarts`, become visible in one commit.
+    The identity map is an input of the build: the store remembers it, and opening the store with
+    another map is refused until all events have been resolved anew (``accept_new_identity``)."""
 
     def __init__(self, spark: SparkSession, root: str, identity_raw: DataFrame, spec: ChurnSpec = DEFAULT_SPEC,
-                 reprocess_months: int | None = None, accept_new_identity: bool = False):
+                 reprocess_months: int | None = None, accept_new_identity: bool = False, marts: bool = False):
         from lapsekit.operators.staging import stage_identity
-        from lapsekit.sources.sinks import materialise
         self.spark, self.spec = spark, spec
-        self.coupons = IncrementalStaging(spark, root, "coupon", spec, reprocess_months)
-        self.cashback = IncrementalStaging(spark, root, "cashback", spec, reprocess_months)
-        self.events_path = os.path.join(root, "int_unified_activity_events")
-        staged, path = stage_identity(identity_raw, spec), os.path.join(root, "stg_identity_map")
-        if path_exists(spark, path):
-            stored = spark.read.schema(staged.schema).parquet(path)
-            if fingerprint(stored) != fingerprint(staged):
-                if not accept_new_identity:
-                    raise ValueError("the identity map differs from the one the stored events were resolved with; "
-                                     "open the store with accept_new_identity=True to resolve them anew")
-                self.identity = materialise(staged, path, cluster=["source_system", "source_user_id"])
-                self.rebuild()
+        self.store = VersionedStore(spark, root)
+        self.coupons = IncrementalStaging(spark, root, "coupon", spec, reprocess_months, self.store)
+        self.cashback = IncrementalStaging(spark, root, "cashback", spec, reprocess_months, self.store)
+        staged = stage_identity(identity_raw, spec)
+        self.events_schema = self._resolve("coupon", self.coupons.staged(Snapshot()), self.spark.createDataFrame([], staged.schema)).schema
+        self.marts = None
+        if marts:
+            from lapsekit.streaming.marts import IncrementalMarts
+            self.marts = IncrementalMarts(self)
+        with self.store.transaction() as tx:
+            known = tx.snapshot.partitions(IDENTITY)
+            stored = self.store.read(IDENTITY, staged.schema, (), tx.snapshot)
+            if known and fingerprint(stored) == fingerprint(staged):
+                self.identity = stored
                 return
-            self.identity = stored
-        else:
+            if known and not accept_new_identity:
+                raise ValueError("the identity map differs from the one the stored events were resolved with; "
+                                 "open the store with accept_new_identity=True to resolve them anew")
             # staged once and stored: every batch resolves its months against the same map
-            self.identity = materialise(staged, path, cluster=["source_system", "source_user_id"])
-
-    def _resolve(self, feed: str, staged: DataFrame) -> DataFrame:
+            tx.write(staged.sortWithinPartitions("source_system", "source_user_id"), IDENTITY, (), lambda p: True)
+            self.identity = self.store.read(IDENTITY, staged.schema, (), tx.snapshot)
+            if known:
+                self._rebuild(tx)
+            if self.marts is not None:
+                self.marts.rebuild(tx)
+
+    def _resolve(self, feed: str, staged: DataFrame, identity: DataFrame | None = None) -> DataFrame:
         from lapsekit.operators.events import unify_events
-        empty = {f: i._stage(self.spark.createDataFrame([], i.schema)) for f, i in (("coupon", self.coupons), ("cashback", self.cashback))}
-        parts = {**empty, feed: staged}
-        return unify_events(parts["coupon"], parts["cashback"], self.identity, self.spec) \
+        parts = {"coupon": self.coupons.staged(Snapshot()), "cashback": self.cashback.staged(Snapshot()), feed: staged}
+        identity = self.identity if identity is None else identity
+        return unify_events(parts["coupon"], parts["cashback"], identity, self.spec) \
             .withColumn(MONTH, F.trunc("activity_date", "month"))
 
     def apply(self, feed: str, batch: DataFrame, epoch_id: int, stream: str = "direct") -> list:
@@ -230,28 +200,28 @@ class IncrementalEvents:
         (channel, month) for the months it touched; the other channel's events
         are not read or rewritten."""
         inc = self.coupons if feed == "coupon" else self.cashback
-        months = inc.apply(batch, epoch_id, stream)
-        if not months:
-            return months
-        staged = (in_months(self.spark.read.parquet(inc.stg_path), months).drop(MONTH)
-                  if path_exists(self.spark, inc.stg_path) else inc.staged())
-        ev = self._resolve(feed, staged).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "unified_user_id")
-        replace_months(ev, self.events_path, months, ("channel",), f"channel={feed}")
+        with self.store.transaction() as tx:
+            months = inc.apply(batch, epoch_id, stream, tx)
+            if months:
+                self._write_events(tx, feed, inc.staged(tx.snapshot, months), of_months(months))
+                if self.marts is not None:
+                    self.marts.update(tx, feed, months)
         return months
 
-    def rebuild(self) -> None:
+    def _write_events(self, tx: Transaction, feed: str, staged: DataFrame, months) -> None:
+        ev = self._resolve(feed, staged).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "unified_user_id")
+        tx.write(ev, EVENTS, ("channel", MONTH), lambda p: p["channel"] == feed and months(p))
+
+    def _rebuild(self, tx: Transaction) -> None:
         """Resolve all staged events anew (after a change of the identity map)."""
         for feed, inc in (("coupon", self.coupons), ("cashback", self.cashback)):
-            if path_exists(self.spark, inc.stg_path):
-                overwrite_partitions(self._resolve(feed, inc.staged()).hint("rebalance", MONTH),
-                                     self.events_path, ["channel", MONTH])
+            self._write_events(tx, feed, inc.staged(tx.snapshot), lambda p: True)
+
+    def events_of(self, snapshot: Snapshot | None = None, where=None) -> DataFrame:
+        return self.store.read(EVENTS, self.events_schema, ("channel", MONTH), snapshot, where).drop(MONTH)
 
     def events(self) -> DataFrame:
-        empty = self._resolve("coupon", self.coupons._stage(self.spark.createDataFrame([], self.coupons.schema)))
-        cols = [c for c in empty.columns if c != MONTH]
-        if not path_exists(self.spark, self.events_path):
-            return empty.select(*cols)
-        return self.spark.read.schema(empty.schema).parquet(self.events_path).select(*cols)
+        return self.events_of()
 
     def full_rebuild(self) -> DataFrame:
         from lapsekit.operators.events import unify_events
