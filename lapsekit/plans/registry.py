@@ -18,8 +18,8 @@ from lapsekit.operators.asof import active_base_by_vintage
 from lapsekit.operators.events import channel_events, unify_events
 from lapsekit.operators.marts import cut_periods
 from lapsekit.operators.profile import source_profile
-from lapsekit.sources.adapter import (adapter_external_counts, adapter_identity_scd2, adapter_inputs,
-                                      adapter_network_reports)
+from lapsekit.sources.adapter import (adapter_external_counts, adapter_identity_bitemporal, adapter_identity_scd2,
+                                      adapter_inputs, adapter_network_reports)
 from lapsekit.sources.feeds import load_problems, read_cashback, read_coupon_activity, read_identity_map
 from lapsekit.sources.sinks import export_summary, materialise, new_location
 from lapsekit.streaming.incremental import IncrementalEvents, start_incremental_stream
@@ -330,3 +330,47 @@ def _bitmap(spark, sf_dir):
 
 
 QUERIES["m09b_transitions_bitmap"] = _bitmap
+
+
+# ---- maturity with open rows, identity on two time axes, the model in SQL ------------------
+_DATES = [_dt.date(1995, 6, 30), _dt.date(1996, 6, 30), _dt.date(1997, 6, 30)]
+_ENTERED = _dt.date(1996, 8, 1)
+
+
+def _survival(name, *args):
+    def run(spark, sf_dir):
+        from lapsekit.operators import survival
+        L = layers(spark, sf_dir)
+        return getattr(survival, name)(L.stg_cashback, *args, *([L.spec] if name == "censored_maturity" else []))
+    return run
+
+
+def _bitemporal(name, *dates):
+    def run(spark, sf_dir):
+        from lapsekit.operators import bitemporal
+        L = layers(spark, sf_dir)
+        ids = adapter_identity_bitemporal(_tbl(spark, sf_dir, "customer"), _tbl(spark, sf_dir, "part"), _ENTERED)
+        return getattr(bitemporal, name)(L.stg_coupons, L.stg_cashback, ids, *dates, L.spec)
+    return run
+
+
+def _sql(text):
+    def run(spark, sf_dir):
+        from lapsekit.functions.sql import register as register_functions
+        register_functions(layers(spark, sf_dir))
+        return spark.sql(text)
+    return run
+
+
+QUERIES.update({
+    "m19_censored_maturity": _survival("censored_maturity", _dt.date(1996, 12, 31)),
+    "e14_approvals_backtest": _survival("approvals_backtest", _DATES),
+    "e12_activity_as_known": _bitemporal("activity_as_known", _dt.date(1996, 9, 30), _dt.date(1996, 7, 15)),
+    "e12_identity_restatement": _bitemporal("identity_restatement", _dt.date(1996, 12, 31), _dt.date(1996, 7, 15), _dt.date(1996, 12, 31)),
+    "m20_activity_as_of_sql": _sql("SELECT * FROM activity_as_of(DATE '1996-09-30')"),
+    "f1_f2_periods_sql": _sql("""
+        SELECT period_label(activity_date) AS quarter_label, period_start(activity_date) AS quarter_start_date,
+               period_end(activity_date) AS quarter_end_date, status_as_of(event_or_status, status_updated_date, DATE '1996-09-30') AS status,
+               count(*) AS events
+        FROM churn_events WHERE in_analysis_period(activity_date) AND channel = 'cashback' GROUP BY ALL"""),
+})

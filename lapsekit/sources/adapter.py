@@ -158,6 +158,29 @@ def adapter_identity_scd2(customer: DataFrame, part: DataFrame, switch: "dt.date
     return cust.unionByName(parts)
 
 
+def adapter_identity_bitemporal(customer: DataFrame, part: DataFrame, entered: "dt.date") -> DataFrame:
+    """A map on two time axes: some ids are merged into another person on ``entered``, with effect from the start
+    (history is restated); others move from that day on; one in 150 is entered only then."""
+    c, none, day = F.col("c_custkey"), F.lit(None).cast("date"), F.lit(entered)
+    merged, moved, late = c % 31 == 4, c % 37 == 6, c % 150 == 8
+
+    def row(person, valid_from, valid_to, known_from, known_to):
+        return F.struct(F.lit("cashback").alias("source_system"), _s("B", c).alias("source_user_id"), _s("U", person).alias("unified_user_id"),
+                        valid_from.alias("valid_from"), valid_to.alias("valid_to"), known_from.alias("known_from"), known_to.alias("known_to"))
+
+    yesterday = F.date_sub(day, 1)
+    cust = customer.select(F.inline(F.filter(F.array(
+        F.when(~merged & ~moved & ~late, row(c, none, none, none, none)),
+        F.when(merged, row(c, none, none, none, yesterday)), F.when(merged, row(c + 1, none, none, day, none)),
+        F.when(moved & ~merged, row(c, none, none, none, yesterday)),
+        F.when(moved & ~merged, row(c, none, yesterday, day, none)), F.when(moved & ~merged, row(c + 1, day, none, day, none)),
+        F.when(late & ~merged & ~moved, row(c, none, none, day, none))), lambda x: x.isNotNull())))
+    parts = part.select(F.lit("coupon").alias("source_system"), _s("C", F.col("p_partkey")).alias("source_user_id"),
+                        _s("U", F.col("p_partkey")).alias("unified_user_id"), none.alias("valid_from"), none.alias("valid_to"),
+                        none.alias("known_from"), none.alias("known_to"))
+    return cust.unionByName(parts)
+
+
 def adapter_network_feeds(orders: DataFrame) -> dict:
     """Two networks with feeds of their own design, which share no column (for S4): 'harbor' has
     the small orders (up to 150,000), with the moment of sale in UTC and amounts as numbers; 'quill' the

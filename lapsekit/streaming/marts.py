@@ -45,6 +45,7 @@ class IncrementalMarts:
         partial = sparse_activity(empty.withColumn(MONTH, F.trunc("activity_date", "month")), self.spec, ("channel", MONTH))
         self.partial_schema = partial.schema
         person = merge_sparse(partial, self.spec).withColumn(BUCKET, F.lit(0))
+        self._schemas: dict[str, T.StructType] = {}
         self.person_schema = T.StructType([T.StructField(f.name, f.dataType) for f in person.schema.fields])
 
     # ---- reading ---------------------------------------------------------------------------
@@ -57,8 +58,9 @@ class IncrementalMarts:
         return dense_fact(self.sparse(), self.model.identity, self.spec)
 
     def _counts(self, name: str, snapshot: Snapshot | None = None) -> DataFrame:
-        return self.store.read(f"counts_{name}", self._of(name, dense_fact(self.sparse(Snapshot()), self._no_persons(), self.spec)).schema,
-                               (), snapshot)
+        if name not in self._schemas:
+            self._schemas[name] = self._of(name, dense_fact(self.sparse(Snapshot()), self._no_persons(), self.spec)).schema
+        return self.store.read(f"counts_{name}", self._schemas[name], (), snapshot)
 
     def active_base(self) -> DataFrame:
         return self._counts("active_base")
