@@ -39,7 +39,7 @@ figcaption figure footer form frame h1 h2 h3 h4 h5 h6 header hgroup hr html ifra
 section summary table tbody td tfoot th thead title tr ul""".split()) - {"br"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that never hold article text.
-NOT_TEXT = frozenset("""head script style noscript template svg canvas iframe object nav footer aside form button select
+NOT_TEXT = frozenset("""head script style noscript template svg canvas iframe object nav footer aside button select
 option textarea label menu dialog title""".split())
 #: Containers in which the region is looked for.
 CONTAINERS = frozenset("article body div main section td blockquote html".split())
@@ -51,6 +51,8 @@ BOILERPLATE = re.compile(
     r"copyright|legal|disclaimer|toolbar|complementary|contentinfo|skip-?link)(?:$|[\s_-])", re.I)
 #: Words that speak of a part elsewhere, as has-sidebar does; what follows them marks nothing.
 COMPOUND = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]+[\w-]*", re.I)
+#: Marks of reader comments, which can be longer than the article.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
 SPACE = re.compile(r"\s+")
 SIGMA, REGION_SHARE = 1.0, 0.9
 
@@ -66,6 +68,7 @@ class Events(HTMLParser):
         self.marks: list[tuple[int, ...]] = []  # of each line
         self.articles: dict[int, tuple[int, ...]] = {}  # the marked elements around each article and main
         self.n_marked = 0
+        self.comments: set[int] = set()  # the marked elements that hold reader comments
         self.path: tuple[int, ...] = ()
         self.bad, self.n, self.tags, self.parts = 0, 0, 0, []
         self.names: dict[int, str] = {}  # tag of each container
@@ -97,11 +100,14 @@ class Events(HTMLParser):
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true")
                      or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
         bad = tag in NOT_TEXT or hidden
-        marked = bool(words and tag not in ("html", "body", "article", "main")
-                      and BOILERPLATE.search(COMPOUND.sub(" ", words)))
+        words = COMPOUND.sub(" ", words)
+        # a form holds controls, or the whole page (as some frameworks have it): its text decides, as with marked words
+        marked = tag == "form" or bool(words and tag not in ("html", "body", "article", "main") and BOILERPLATE.search(words))
         if tag == "header" and not any(x[0] in ("article", "main") for x in self.stack):
             bad = True  # the page's header; an article's own header holds its headline
         self._open(tag, bad, marked)
+        if marked and COMMENTS.search(words):
+            self.comments.add(self.n_marked)
 
     def _open(self, tag: str, bad: bool, marked: bool) -> None:
         container = tag in CONTAINERS
@@ -196,6 +202,15 @@ def settled(page: Events) -> list[tuple[str, int, tuple[int, ...], bool]]:
     if around:
         if all(page.articles[c] for c in around):
             wrappers = set(page.articles[max(around, key=lambda c: (page.names[c] == "main", size[c]))])
+        # a marked block that is most of an article (a text on legal or related matters) is the article
+        for c in around:
+            held: dict[int, int] = {}
+            for (text, _, path, bad), marks in zip(lines, page.marks, strict=True):
+                if not bad and c in path:
+                    for m in marks[len(page.articles[c]):]:
+                        held[m] = held.get(m, 0) + len(text)
+            if not page.comments.intersection(page.articles[c]):
+                wrappers |= {m for m, n in held.items() if 2 * n > size[c] and m not in page.comments}
     elif any(not x[3] for x in lines):
         r = smoothed_ratios(lines)
         open_lines = [k for k, x in enumerate(lines) if not x[3]]

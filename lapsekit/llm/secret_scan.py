@@ -502,11 +502,21 @@ def field_spans(text: str, field: Field) -> list[Span]:
 
 
 def with_base(text: str | None, found: list[Span]) -> list[Span]:
-    """The base spans, and those of the field that touch none."""
+    """The base spans, and what those of the field cover beside them: of a span that reaches beyond base spans, the
+    stretches outside that hold a letter or digit."""
     if not text:
         return []
     base = base_spans(text)
-    added = [s for s in found if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
+    added: list[Span] = []
+    for kind, start, end in found:
+        at = start
+        for _, b, e in sorted((b for b in base if b[1] < end and b[2] > start), key=lambda b: b[1]):
+            if b > at:
+                added.append((kind, at, b))
+            at = max(at, e)
+        if at < end:
+            added.append((kind, at, end))
+    added = [s for s in added if any(c.isalnum() for c in text[s[1]:s[2]])]
     return sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -535,7 +545,7 @@ def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECR
         for s, e in sorted(secret_part(t, x) for x in spans):
             if e <= at:
                 continue
-            if s >= at:
+            if s > at or not out:  # what goes on where the last one ended is part of it
                 out += [t[at:s], mark]
             at = e
         return "".join([*out, t[at:]])

@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline
 from lapsekit.llm import packing, secret_scan
 from test_line_dedup import plain as dedup_plain
-from test_near_dups import plain as near_plain
+from test_near_dups import linked_from
 from test_quality_rules import plain as quality_plain
 
 SF = "/root/testdata/sf0.001"
@@ -48,8 +48,21 @@ def test_line_dedup(stages):
 
 def test_one_document_of_each_group(stages):
     before = texts(stages["line_dedup"])
-    kept = near_plain(before)
-    assert texts(stages["near_dups"]) == {d: t for d, t in before.items() if kept[d][2]}
+    component = linked_from(before, corpus_pipeline.NEAR_PERCENT)
+    assert texts(stages["near_dups"]) == {d: t for d, t in before.items() if component[d] == d}
+
+
+def test_near_stage_goes_by_rows(spark):
+    a, b = (" ".join(f"{k}{i}" for i in range(200)) for k in "ab")
+    a2, b2 = a + " tail", b + " tail"
+    rows = [(1, a), (2, a2), (2, b), (3, b2), (4, "short one"), (None, "short one"), (5, None), (5, None), (6, ""),
+            (None, "no id here"), (None, "no id here")]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near(spark, df, "")
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == sorted(
+        [(1, a), (2, b), (4, "short one"), (5, ""), (5, ""), (6, ""), (0, "no id here")])
 
 
 def test_secrets_are_gone_and_nothing_else(stages):

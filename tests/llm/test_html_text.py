@@ -82,3 +82,32 @@ def test_wrappers_with_boilerplate_words():
         assert H.main_text(page).split("\n\n") == ["Title", words, words], wrapper
     page = f"<body><article><p>{LONG}</p></article><div class=comments>{f'<p>{LONG}</p>' * 9}</div></body>"
     assert H.main_text(page) == words
+
+
+SENTENCES = [f"Sentence number {i} of the article says something of a usual length about the matter." for i in range(30)]
+
+
+def test_a_form_around_the_whole_page_is_no_form_to_fill_in():
+    body = "".join(f"<p>{s}</p>" for s in SENTENCES)
+    want = "\n\n".join(["T", *SENTENCES])
+    for inside in (f"<article><h1>T</h1>{body}</article>", f"<main><h1>T</h1>{body}</main>"):
+        page = f"<body><nav>Menu</nav><form id='aspnetForm' action='x'>{inside}<select><option>A</option></select></form><footer>F</footer></body>"
+        assert H.main_text(page) == want
+    assert H.main_text(f"<article><h1>T</h1>{body}<form><p>Leave your mail here</p><input></form></article>") == want
+
+
+def test_a_marked_block_that_is_the_article_stays():
+    body = "".join(f"<p>{s}</p>" for s in SENTENCES)
+    for word in ("legal", "notice", "related", "overlay", "widget", "share"):
+        assert H.main_text(f"<article><h1>T</h1><div class='{word}'>{body}</div><p>The end.</p></article>") == \
+            "\n\n".join(["T", *SENTENCES, "The end."])
+        assert H.main_text(f"<article><h1>T</h1>{body}<div class='{word}'><p>Other things to read.</p></div></article>") == \
+            "\n\n".join(["T", *SENTENCES])
+
+
+def test_comments_go_however_long_they_are():
+    article = "".join(f"<p>{s}</p>" for s in SENTENCES[:5])
+    comments = "".join(f"<p>Reader: {s} {s}</p>" for s in SENTENCES)
+    for mark in ("class='comments'", "id='disqus'", "class='user-replies'"):
+        assert H.main_text(f"<article><h1>T</h1>{article}<section {mark}>{comments}</section></article>") == \
+            "\n\n".join(["T", *SENTENCES[:5]])

@@ -102,3 +102,18 @@ def test_every_token_is_tagged_as_by_the_features(field):
         runs = list(S.stretches(t))
         assert places == [x[1:] for run in runs for x in run]
         assert tags.tolist() == [k for run in runs for k in field.decode(S.features(run, S.file_kind(t)))]
+
+
+def test_no_secret_is_left_in_part(field):
+    t = "password=Xk9abcdef$9!q_Tz#4w"
+    assert S.with_base(t, [("crf", 9, len(t))]) == [("assign", 0, 18), ("crf", 18, len(t))]
+    assert S.with_base("x token: abcdef12 y", [("crf", 0, 19)]) == [("crf", 0, 2), ("assign", 2, 17), ("crf", 17, 19)]
+    assert S.with_base(t, [("crf", 9, 18), ("crf", 2, 5)]) == [("assign", 0, 18)]
+
+
+def test_redaction_takes_the_union(spark, field, monkeypatch):
+    t = "password=Xk9abcdef$9!q_Tz#4w"
+    monkeypatch.setattr(S, "spans_of_all", lambda texts, f: [[("crf", 9, len(t))] for _ in texts])
+    got = S.with_base(t, S.spans_of_all([t], field)[0])
+    at = sorted(S.secret_part(t, x) for x in got)
+    assert at[0][0] == 9 and at[-1][1] == len(t) and at[0][1] == at[1][0]
