@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
 result as Parquet in the shared folder and reads it as the next one's documents.
+
+Null and empty texts fail the quality rules and go. Rows may repeat an id: every stage works
+on rows, and columns beside those of ``documents`` are carried along (``__near_row`` is taken).
+An empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 from lapsekit.llm import line_dedup, near_dups, packing, quality_rules, secret_scan
 from lapsekit.llm.common import let_workers_import, stored, table
 
+ROW = "__near_row"
 NEAR_PERCENT = 80  # similarity of word shingles from which documents of the corpus are near-duplicates
 
 
@@ -27,10 +32,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id."""
+    """One document of each group of near-duplicates: that of the smallest doc_id. Every row is a document of
+    its own: rows that repeat an id go by their own texts, of fully equal rows one stays, and rows with a null id
+    come after all others of their group. Texts without words are in no group and stay."""
     let_workers_import(spark)
-    gone = near_dups.near_duplicates(docs, percent=NEAR_PERCENT).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(stored(gone, "pipeline-gone"), "doc_id", "left_anti").select(*docs.columns)
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    found = near_dups.near_duplicates(rows.select(ROW, "text"), doc_id=ROW, percent=NEAR_PERCENT)
+    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW]
+    stays = groups.groupBy("component_id").agg(first.alias(ROW), F.count("*").alias("n")).filter("n > 1")
+    gone = groups.join(stored(stays.select("component_id", F.col(ROW).alias("stays")), "pipeline-stays"), "component_id")
+    gone = stored(gone.filter(F.col(ROW) != F.col("stays")).select(ROW), "pipeline-gone")
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
