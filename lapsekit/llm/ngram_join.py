@@ -161,7 +161,8 @@ def sets_in_tiles(classes: DataFrame, ids: DataFrame, docs: DataFrame) -> DataFr
 
     wanted = stored(classes.join(ids, "rid", "left_semi"), "join-ids")
     texts = sharing(docs.select("row_key", "text"), "row_key", wanted).join(wanted, "row_key")
-    return stored(map_slices(texts, "rid long, n long, bits binary, s binary", own).dropDuplicates(["rid"]), "join-sets")
+    texts = texts.dropDuplicates(["row_key", "rid", "text"])  # repeated rows; partitioned by row_key already
+    return stored(map_slices(texts, "rid long, n long, bits binary, s binary", own), "join-sets")
 
 
 class _Graph:
@@ -227,7 +228,7 @@ class _Graph:
                     out["b"].append(b)
             return out
 
-        ends = {c: self.sets.select(F.col("rid").alias(c), F.col("s").alias(f"s{c}")) for c in "ab"}
+        ends = {c: sharing(self.sets.select(F.col("rid").alias(c), F.col("s").alias(f"s{c}")), c, pairs) for c in "ab"}
         both = pairs.join(ends["b"], "b").join(ends["a"], "a").select("a", "b", "sa", "sb")
         return stored(map_slices(both, "a long, b long", linked), "join-links")
 
@@ -254,7 +255,7 @@ def pairs_in_blocks(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFram
             yield done()
 
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = tiles.join(sets.select("rid", "n", "bits"), "rid").withColumn(
+    dealt = tiles.join(sharing(sets.select("rid", "n", "bits"), "rid", tiles), "rid").withColumn(
         "block", F.pmod(F.xxhash64("rid"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = stored(dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
