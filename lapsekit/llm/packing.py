@@ -2,12 +2,15 @@
 
 Only the histogram of piece lengths (at most ``MAX_TOKENS`` entries, whatever the
 corpus) reaches the driver. There, patterns of a few lengths that fill a sequence
-are enumerated over length classes, non-negative least squares fits how often each
+are enumerated over length classes (the shortest pieces are in none: they fill gaps best), non-negative least squares fits how often each
 should repeat so that the classes are used up, the counts are rounded down, and
-filled with the real lengths, the last slot of each pattern by best fit. What is left
-(the residual, by rounding or for want of a partner) is packed by best-fit
-decreasing, into the gaps of the patterns first. All steps work on (length, count)
-pairs, so their cost depends on the number of lengths and not on the corpus.
+filled with the real lengths so that they fill the sequence exactly, or, where no such
+lengths are left, but for a small gap. What is left (the residual, by rounding or for
+want of a partner) is packed by best-fit decreasing, into the gaps of the patterns
+first. Where that misses the lower bound, smaller shares of the fitted repeats are
+tried too, down to none, so a plan never has more sequences than best fit alone. All steps
+work on (length, count) pairs, so their cost depends on the number of lengths and not
+on the corpus.
 
 The plan is a list of groups of equal sequences, each a tuple of lengths and a
 repeat count. Every piece has a rank among the pieces of its length (its task's
@@ -24,6 +27,8 @@ one by one; an empty table gives no sequence.
 from __future__ import annotations
 
 import re
+import string
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -45,7 +50,9 @@ MAX_TOKENS = 2048
 END = b"\x00\x00\x00\x00"  # the id 0 after each document
 CLASSES = 64  # length classes of the patterns
 PATTERN_DOCS = 4
-MAX_GAP = 0  # tokens that a filled pattern may leave open; pieces without so close a fit go to the residual
+LEAST_CLASS = 4  # patterns have no smaller class: the shortest pieces fill what the others leave
+MAX_GAP = 32  # tokens that a filled pattern may leave open, for the residual; pieces without so close a fit go there
+SHARES = (1.0, 0.8, 0.5, 0.0)  # of the fitted repeats; the rest is residual
 
 # A plain space that stands between two characters that are not white space always starts a new word of the
 # vocabulary's own splitter, and the word takes the space along. So texts are split there, and a word with its
@@ -53,7 +60,7 @@ MAX_GAP = 0  # tokens that a filled pattern may leave open; pieces without so cl
 _WHITE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
           "\u2028\u2029\u202f\u205f\u3000")
 WORDS_KEPT = 250_000  # words in each of the two generations that a worker remembers
-MARKS = ".,;:!?"
+MARKS = string.punctuation.replace("'", "")  # an apostrophe may begin a word of the splitter with letters behind it
 PART = re.compile(f"[{_WHITE}]+(?![^{_WHITE}])| ?[^{_WHITE}]+|[{_WHITE}]+")
 
 
@@ -61,25 +68,35 @@ class _Run(Exception):
     """A space beside other white space."""
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level vocabulary's letter for each byte: itself where it prints, else the next one from 256 on."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b if b in prints else 256 + others.index(b)) for b in range(256)}
+
+
+LETTERS = _byte_letters()
+
+
 class Tokens:
     """Ids of a text as little-endian 32-bit integers, with a bounded memory of words."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = self.tokenizer.model
         self.memory = Memory(self._spaced, WORDS_KEPT)
         self.starts = Memory(self._bare, 50_000)  # words that no space precedes
 
     def _plain(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _letters(self, word: str) -> bytes:
         """Letters alone are one word of the splitter: straight to the merges."""
-        mapped = self.bytes.pre_tokenize_str(word)[0][0]
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        ids = [t.id for t in self.model.tokenize(word.encode("utf-8").decode("latin-1").translate(LETTERS))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _spaced(self, word: str) -> bytes:
         """The ids of a space and the word."""
@@ -90,15 +107,15 @@ class Tokens:
         head, line, tail = word.partition("\n")
         if line and tail[0] not in _WHITE and head[-1] not in _WHITE:  # a single line end is a word of its own
             return self.memory[head] + self.starts[line] + self.starts[tail]
-        if word[-1] in MARKS and word[:-1].isalpha():  # and so is a mark behind letters
-            return self.memory[word[:-1]] + self.starts[word[-1]]
+        if (head := word.rstrip(MARKS)).isalpha():  # and so are marks behind letters
+            return self.memory[head] + self.starts[word[len(head):]]
         return self._plain(" " + word)
 
     def _bare(self, word: str) -> bytes:
         if word.isalpha():
             return self._letters(word)
-        if word[-1] in MARKS and word[:-1].isalpha():
-            return self.starts[word[:-1]] + self.starts[word[-1]]
+        if (head := word.rstrip(MARKS)).isalpha():
+            return self.starts[head] + self.starts[word[len(head):]]
         return self._plain(word)
 
     def encode(self, text: str) -> bytes:
@@ -189,68 +206,115 @@ def class_patterns(classes: int = CLASSES, most: int = PATTERN_DOCS) -> list[tup
     return list(grow(classes, classes, most))
 
 
-class _Stock:
-    """Counts by length, with the largest present length up to a bound."""
-
-    def __init__(self, counts: dict[int, int]):
-        self.counts = {k: v for k, v in counts.items() if v > 0}
+class _Filler:
+    """Takes real lengths from the counts for patterns of classes."""
+
+    def __init__(self, counts: np.ndarray, max_tokens: int, classes: int):
+        self.counts, self.max_tokens, self.unit = counts, max_tokens, max_tokens / classes
+
+    def of(self, c: int) -> np.ndarray:
+        """The lengths of a class that are left, the most frequent first."""
+        low, high = (round((c + d) * self.unit) for d in (-0.5, 0.5))
+        k = np.arange(max(1, low + 1), min(high, self.max_tokens - 1) + 1)
+        k = k[self.counts[k] > 0]
+        return k[np.argsort(-self.counts[k], kind="stable")]
+
+    def lengths(self, pattern: tuple[int, ...], gap: int) -> tuple[int, ...]:
+        """Lengths for the pattern that leave at most ``gap`` tokens open; empty if there are none. The last
+        slot takes what the others leave, the others stay in their classes."""
+        if len(pattern) == 1:
+            return next(((int(k),) for k in self.of(pattern[0]) if self.max_tokens - gap <= k <= self.max_tokens), ())
+        fixed: list[int] = []
+        for c in pattern[:-3]:
+            if not len(left := self.of(c)):
+                return ()
+            fixed.append(int(left[0]))
+            self.counts[fixed[-1]] -= 1
+        try:
+            turns = [[int(k)] for k in self.of(pattern[-3])] if len(pattern) > 2 else [[]]
+            for turn in turns:
+                for k in turn:
+                    self.counts[k] -= 1
+                x = self.of(pattern[-2])
+                room = self.max_tokens - sum(fixed) - sum(turn)
+                for g in range(gap + 1):
+                    y = room - g - x
+                    ok = y > 0
+                    has = np.where(ok, np.minimum(self.counts[x], self.counts[np.where(ok, y, 0)] - (x == y)), 0)
+                    if len(has) and has.max() > 0:
+                        j = int(has.argmax())
+                        found = (*fixed, *turn, int(x[j]), int(y[j]))
+                        break
+                else:
+                    found = ()
+                for k in turn:
+                    self.counts[k] += 1
+                if found:
+                    return found
+            return ()
+        finally:
+            for k in fixed:
+                self.counts[k] += 1
+
+    def fill(self, pattern: tuple[int, ...], n: int, gap: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Groups of ``n`` repeats, or of as many as the lengths allow."""
+        while n > 0 and (lengths := self.lengths(pattern, gap)):
+            used = Counter(lengths)
+            m = int(min(n, *(self.counts[k] // u for k, u in used.items())))
+            for k, u in used.items():
+                self.counts[k] -= m * u
+            n -= m
+            yield lengths, m
 
-    def best(self, low: int, high: int) -> int:
-        return max((k for k in self.counts if low < k <= high), default=0)
 
-    def take(self, length: int, n: int) -> None:
-        self.counts[length] -= n
-        if not self.counts[length]:
-            del self.counts[length]
+def fit_repeats(counts: np.ndarray, patterns: list[tuple[int, ...]], classes: int) -> np.ndarray:
+    """How often each pattern should repeat (not rounded), for the counts by length."""
+    per_class = np.zeros(classes + 1)
+    unit = (len(counts) - 1) / classes
+    np.add.at(per_class, np.ceil(np.arange(len(counts)) / unit - 0.5).astype(int).clip(0), counts)
+    a = np.zeros((classes, len(patterns)))
+    for j, p in enumerate(patterns):
+        for c in p:
+            a[c - 1, j] += 1
+    present = np.array([all(per_class[c] for c in p) for p in patterns])
+    out = np.zeros(len(patterns))
+    if present.any():
+        out[present] = nnls(a[:, present], per_class[1:])
+    return out
 
 
 def plan_patterns(histogram: dict[int, int], max_tokens: int = MAX_TOKENS, classes: int = CLASSES,
                   most: int = PATTERN_DOCS) -> list[tuple[tuple[int, ...], int]]:
-    """Groups (lengths, repeat count) that use every piece of the histogram exactly once."""
-    stock = _Stock({k: v for k, v in histogram.items() if k < max_tokens})
-    groups = [((max_tokens,), histogram[max_tokens])] if histogram.get(max_tokens) else []
-    unit = max_tokens / classes
-    of = {k: min(classes, int(np.ceil(k / unit))) for k in stock.counts}
-    if stock.counts:
-        patterns = class_patterns(classes, most)
-        a = np.zeros((classes, len(patterns)))
-        for j, p in enumerate(patterns):
-            for c in p:
-                a[c - 1, j] += 1
-        b = np.zeros(classes)
-        for k, v in stock.counts.items():
-            b[of[k] - 1] += v
-        present = np.array([all(b[c - 1] for c in p) for p in patterns])
-        counts = np.zeros(len(patterns), int)
-        if present.any():
-            counts[present] = np.floor(nnls(a[:, present], b)).astype(int)
-        for j in np.argsort([-max(p) for p in patterns], kind="stable"):
-            n = int(counts[j])
-            while n > 0:
-                lengths: list[int] = []
-                used: Counter[int] = Counter()
-                for slot, c in enumerate(patterns[j]):
-                    room = max_tokens - sum(lengths)
-                    low, high = (c - 1) * unit, c * unit
-                    if slot == len(patterns[j]) - 1:
-                        high = room  # the last slot takes the best fit
-                    k = max((x for x, v in stock.counts.items()
-                             if low < x <= min(high, room) and v > used[x]), default=0)
-                    if not k:
-                        break
-                    lengths.append(k)
-                    used[k] += 1
-                if len(lengths) < len(patterns[j]):
-                    break  # a class ran dry: what is left goes to the residual
-                if max_tokens - sum(lengths) > MAX_GAP:
-                    break  # no close fit is left in these classes
-                m = min(n, *(stock.counts[k] // u for k, u in used.items()))
-                for k, u in used.items():
-                    stock.take(k, m * u)
-                groups.append((tuple(lengths), m))
-                n -= m
-    return groups[:1 if histogram.get(max_tokens) else 0] + _best_fit(
-        stock.counts, groups[1 if histogram.get(max_tokens) else 0:], max_tokens)
+    """Groups (lengths, repeat count) that use every piece of the histogram exactly once. Of ``SHARES`` of the
+    fitted repeats the plan with the fewest sequences is taken (the first of these)."""
+    whole = [((max_tokens,), histogram[max_tokens])] if histogram.get(max_tokens) else []
+    counts = np.zeros(max_tokens + 1, np.int64)
+    for k, v in histogram.items():
+        if k < max_tokens:
+            counts[k] = v
+    if not counts.any():
+        return whole
+    least = -(-int(counts @ np.arange(max_tokens + 1)) // max_tokens)
+    patterns = [p for p in class_patterns(classes, most) if min(p) >= LEAST_CLASS]
+    repeats = fit_repeats(counts, patterns, classes)
+    order = np.argsort([-max(p) for p in patterns], kind="stable")
+    best: list[tuple[tuple[int, ...], int]] = []
+    fewest = None
+    for share in SHARES:
+        filler, groups = _Filler(counts.copy(), max_tokens, classes), []
+        open_ = np.floor(repeats * share).astype(np.int64)
+        for gap in (0, MAX_GAP):  # exact fits of all patterns first
+            for j in order[open_[order] > 0]:
+                for lengths, m in filler.fill(patterns[j], int(open_[j]), gap):
+                    groups.append((lengths, m))
+                    open_[j] -= m
+        plan = _best_fit({int(k): int(filler.counts[k]) for k in np.flatnonzero(filler.counts)}, groups, max_tokens)
+        n = sum(m for _, m in plan)
+        if fewest is None or n < fewest:
+            best, fewest = plan, n
+        if fewest == least:
+            break
+    return whole + best
 
 
 def _best_fit(left: dict[int, int], groups: list[tuple[tuple[int, ...], int]],
@@ -316,7 +380,8 @@ def assign(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
         return pd.DataFrame({"sequence_id": t["sequence"][k] + rank.to_numpy(np.int64) - t["rank"][k],
                              "offset": t["offset"][k]})
 
-    ranked = pieces.join(counts.select("length", "task", before.alias("before")), ["length", "task"])
+    ranks = counts.select("length", "task", before.alias("before"))  # grows with the tasks, so it is not broadcast
+    ranked = pieces.join(ranks.hint("shuffle_hash"), ["length", "task"])
     found = ranked.withColumn("__at", find(F.col("length"), F.col("before") + F.col("place")))
     kept = [c for c in pieces.columns if c not in ("task", "place")]
     return found.select(*kept, "__at.sequence_id", "__at.offset")

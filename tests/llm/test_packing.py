@@ -20,7 +20,7 @@ def plain():
 
 
 ODD = ["a  b\n\n\n c'd  \n", " 's", "a 's x're y \x1c z　 w\n ", "<|endoftext|> x", "", " ", "\n", "  ", "a ", " a", "a b  c",
-       "x \n y", "x\n \ny", "it's 12 3a b4 ñandú é", "💩 💩💩", "a\tb \tc\t d", "end\n"]
+       "x \n y", "x\n \ny", "w### x%%%'s y.'s z_'re q'*** ab.cd ef.. gh.'", "##a b##", "it's 12 3a b4 ñandú é", "💩 💩💩", "a\tb \tc\t d", "end\n"]
 
 
 def test_ids_equal_the_tokenizer(plain, small_docs):
@@ -32,7 +32,7 @@ def test_ids_equal_the_tokenizer(plain, small_docs):
 def test_random_white_space(plain):
     t, rnd = P.tokens(PATH), random.Random(3)
     for _ in range(600):
-        x = "".join(rnd.choice(["a", "bc", " ", " ", "\n", "\t", "'s", "1", ".", " ", "é", "\x1c"]) for _ in range(rnd.randint(0, 12)))
+        x = "".join(rnd.choice(["a", "bc", " ", " ", "\n", "\t", "'s", "1", ".", "#", "'", "ß", " ", "é", "\x1c"]) for _ in range(rnd.randint(0, 12)))
         assert np.frombuffer(t.encode(x), "<u4").tolist() == plain(x), repr(x)
 
 
@@ -101,6 +101,35 @@ def test_no_worse_than_best_fit():
     assert count <= 1.002 * -(-sum(k * v for k, v in h.items()) // 2048) + 1
 
 
+@pytest.fixture(scope="module")
+def lengths(spark):
+    """The histogram of the pieces of a whole table."""
+    rows = P.pieces(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), PATH).groupBy("length").count().collect()
+    return {r["length"]: r["count"] for r in rows}
+
+
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_patterns_take_most_pieces_and_beat_best_fit(lengths, times):
+    h = {k: v * times for k, v in lengths.items()}
+    least = -(-sum(k * v for k, v in h.items()) // P.MAX_TOKENS)
+    count = sum(n for _, n in P.plan_patterns(h))
+    plain_count = sum(n for _, n in P._best_fit(h, [], P.MAX_TOKENS))
+    assert least <= count <= plain_count
+    counts = np.zeros(P.MAX_TOKENS + 1, np.int64)
+    for k, v in h.items():
+        counts[k] = v if k < P.MAX_TOKENS else 0
+    patterns = [p for p in P.class_patterns() if min(p) >= P.LEAST_CLASS]
+    fitted = np.floor(P.fit_repeats(counts, patterns, P.CLASSES))
+    assert sum(n * len(p) for n, p in zip(fitted, patterns)) > 0.6 * counts.sum()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_never_more_sequences_than_best_fit(seed):
+    rnd = random.Random(seed)
+    h = Counter(min(2048, int(rnd.lognormvariate(4 + seed, 1)) + 1) for _ in range(5_000))
+    assert sum(n for _, n in P.plan_patterns(dict(h))) <= sum(n for _, n in P._best_fit(dict(h), [], P.MAX_TOKENS))
+
+
 def test_nnls():
     rng = np.random.default_rng(1)
     a = rng.random((20, 40))
