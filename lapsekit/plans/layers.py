@@ -116,6 +116,11 @@ class Layers:
         return self._store("stg_cashback_transactions", stage_cashback(self.raw.cashback, self.spec),
                            partition_month="purchase_date", cluster=["cashback_user_id", "source"])
 
+    @cached_property
+    def feed_sketches(self) -> DataFrame:
+        from lapsekit.operators.sketches import feed_sketches
+        return self._store("feed_sketches", feed_sketches(self.stg_cashback))
+
     # ---- layer 2 ---------------------------------------------------------
     @cached_property
     def events_by_month(self) -> DataFrame:

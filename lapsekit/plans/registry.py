@@ -374,3 +374,22 @@ QUERIES.update({
                count(*) AS events
         FROM churn_events WHERE in_analysis_period(activity_date) AND channel = 'cashback' GROUP BY ALL"""),
 })
+
+
+# ---- stored sketches: any range of months without reading transactions -----------------------
+_RANGES = [(_dt.date(1996, a, 1), _dt.date(1996, b, 1)) for a, b in ((1, 3), (2, 4), (3, 8), (1, 12), (12, 12))]
+_RANGES += [(_dt.date(1995, 11, 1), _dt.date(1996, 2, 1)), (_dt.date(1992, 1, 1), _dt.date(1999, 12, 1))]
+
+
+def _sketches(name: str, *args):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from lapsekit.operators import sketches
+        L = layers(spark, sf_dir)
+        return getattr(sketches, name)(L.feed_sketches, L.stg_cashback, *args)
+    return run
+
+
+QUERIES.update({
+    "m14_users_over_ranges": _sketches("users_check", _RANGES),
+    "m19_decision_quantiles": _sketches("quantiles_check"),
+})
