@@ -1,8 +1,8 @@
 """Main text of HTML pages, from streaming parser events and text-to-tag ratios.
 
 The standard library's HTMLParser is fed once; its events build a list of lines (the
-text between two block-level tags), each with the tags it held and the path of open
-containers. The text-to-tag ratio of each line (characters per tag) is smoothed with
+text between two block-level tags), each with the tags it held and the innermost open
+container. The text-to-tag ratio of each line (characters per tag) is smoothed with
 a Gaussian over neighbouring lines, and a two-means threshold on the smoothed ratios
 splits the lines into content and the rest. The content region starts from the innermost
 container that has nine tenths of the content lines' text, and is the main or article
@@ -26,6 +26,7 @@ so repeated rows and extra columns need no care.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -57,20 +58,51 @@ SPACE = re.compile(r"\s+")
 SIGMA, REGION_SHARE = 1.0, 0.9
 
 
+#: text, tags, innermost container, boilerplate
+Line = tuple[str, int, int, bool]
+
+
+def totals(parent: list[int], own: dict[int, int]) -> list[int]:
+    """The sum of ``own`` over each element and all inside it (an element comes after the one around it)."""
+    out = [own.get(c, 0) for c in range(len(parent))]
+    for c in range(len(parent) - 1, 0, -1):
+        out[parent[c]] += out[c]
+    return out
+
+
+def chain(parent: list[int], c: int) -> list[int]:
+    """The element and those around it, innermost first."""
+    out = []
+    while c:
+        out.append(c)
+        c = parent[c]
+    return out
+
+
+def added(to: dict[int, int], key: int, n: int) -> None:
+    to[key] = to.get(key, 0) + n
+
+
 class Events(HTMLParser):
-    """Collects (text, tags, containers, boilerplate) for every line of the page."""
+    """Collects a ``Line`` for every line of the page. Containers and marked elements are numbered from 1 in the
+    order in which they open, each with the number of the one around it (0: none), so that memory follows the
+    page's length however deep it nests."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[Line] = []
         self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, never text, container, marked
-        self.marked: tuple[int, ...] = ()  # the open elements marked by class, id or role
-        self.marks: list[tuple[int, ...]] = []  # of each line
-        self.articles: dict[int, tuple[int, ...]] = {}  # the marked elements around each article and main
-        self.n_marked = 0
+        self.open: Counter[str] = Counter()  # tags of the stack
+        self.marked_in: list[int] = [0]  # of each element marked by class, id or role, the marked one around it
+        self.mark = 0  # the innermost open one
+        self.marks: list[int] = []  # of each line
+        self.articles: dict[int, int] = {}  # the innermost marked element around each article and main
+        self.article_in: dict[int, int] = {}  # the article or main around each of them
+        self.article, self.mark_article = 0, [0]  # the innermost open one; that around each marked element
         self.comments: set[int] = set()  # the marked elements that hold reader comments
-        self.path: tuple[int, ...] = ()
-        self.bad, self.n, self.tags, self.parts = 0, 0, 0, []
+        self.inside: list[int] = [0]  # of each container, the one around it
+        self.container = 0  # the innermost open one
+        self.bad, self.tags, self.parts = 0, 0, []
         self.names: dict[int, str] = {}  # tag of each container
         self.linked: list[bool] = []  # of each line, whether most of its text is in links
         self.anchors, self.in_links = 0, 0
@@ -78,9 +110,9 @@ class Events(HTMLParser):
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            self.lines.append((text, self.tags, self.path, self.bad > 0))
+            self.lines.append((text, self.tags, self.container, self.bad > 0))
             self.linked.append(2 * self.in_links > len(text))
-            self.marks.append(self.marked)
+            self.marks.append(self.mark)
         self.parts, self.tags, self.in_links = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -103,37 +135,46 @@ class Events(HTMLParser):
         words = COMPOUND.sub(" ", words)
         # a form holds controls, or the whole page (as some frameworks have it): its text decides, as with marked words
         marked = tag == "form" or bool(words and tag not in ("html", "body", "article", "main") and BOILERPLATE.search(words))
-        if tag == "header" and not any(x[0] in ("article", "main") for x in self.stack):
+        if tag == "header" and not self.article:
             bad = True  # the page's header; an article's own header holds its headline
         self._open(tag, bad, marked)
         if marked and COMMENTS.search(words):
-            self.comments.add(self.n_marked)
+            self.comments.add(len(self.marked_in) - 1)
 
     def _open(self, tag: str, bad: bool, marked: bool) -> None:
         container = tag in CONTAINERS
         self.stack.append((tag, bad, container, marked))
+        self.open[tag] += 1
         self.bad += bad
         if marked:
-            self.n_marked += 1
-            self.marked += (self.n_marked,)
+            self.marked_in.append(self.mark)
+            self.mark_article.append(self.article)
+            self.mark = len(self.marked_in) - 1
         self.anchors += tag == "a"
         if container:
-            self.n += 1
-            self.path += (self.n,)
-            self.names[self.n] = tag
+            self.inside.append(self.container)
+            self.container = len(self.inside) - 1
+            self.names[self.container] = tag
             if tag in ("article", "main"):
-                self.articles[self.n] = self.marked
+                self.articles[self.container] = self.mark
+                self.article_in[self.container] = self.article
+                self.article = self.container
 
     def _pop(self) -> None:
         tag, bad, container, marked = self.stack.pop()
+        self.open[tag] -= 1
         self.bad -= bad
         if marked:
-            self.marked = self.marked[:-1]
+            self.mark = self.marked_in[self.mark]
         self.anchors -= tag == "a"
         if container:
-            self.path = self.path[:-1]
+            if self.container == self.article:
+                self.article = self.article_in[self.article]
+            self.container = self.inside[self.container]
 
     def _close(self, tag: str, stop: frozenset[str]) -> None:
+        if not self.open[tag]:
+            return
         for i in reversed(range(len(self.stack))):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
@@ -151,7 +192,7 @@ class Events(HTMLParser):
         self.tags += 1
         if tag in BLOCKS:
             self.flush()
-        if any(x[0] == tag for x in self.stack):
+        if self.open[tag]:
             while self.stack[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -162,7 +203,7 @@ class Events(HTMLParser):
             self.in_links += len(data.strip())
 
 
-def smoothed_ratios(lines: list[tuple[str, int, tuple[int, ...], bool]], sigma: float = SIGMA) -> np.ndarray:
+def smoothed_ratios(lines: list[Line], sigma: float = SIGMA) -> np.ndarray:
     """Characters per tag of each line, smoothed with a Gaussian of ``sigma`` lines."""
     ratio = np.array([0.0 if bad else len(text) / max(tags, 1) for text, tags, _, bad in lines])
     reach = int(np.ceil(3 * sigma))
@@ -186,69 +227,84 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def settled(page: Events) -> list[tuple[str, int, tuple[int, ...], bool]]:
+def settled(page: Events) -> list[Line]:
     """The lines, boilerplate also under marked elements that are no wrapper of the whole page."""
-    lines = page.lines
-    if not page.n_marked:
+    lines, marked_in = page.lines, page.marked_in
+    if len(marked_in) == 1:
         return lines
-    size = dict.fromkeys(page.articles, 0)
-    for text, _, path, bad in lines:
+    by_container: dict[int, int] = {}
+    by_mark: dict[int, int] = {}
+    for (text, _, container, bad), m in zip(lines, page.marks, strict=True):
         if not bad:
-            for c in path:
-                if c in size:
-                    size[c] += len(text)
-    around = [c for c in size if size[c]]
+            added(by_container, container, len(text))
+            added(by_mark, m, len(text))
+    size = totals(page.inside, by_container)
+    around = [c for c in page.articles if size[c]]
     wrappers: set[int] = set()
     if around:
         if all(page.articles[c] for c in around):
-            wrappers = set(page.articles[max(around, key=lambda c: (page.names[c] == "main", size[c]))])
-        # a marked block that is most of an article (a text on legal or related matters) is the article
-        for c in around:
-            held: dict[int, int] = {}
-            for (text, _, path, bad), marks in zip(lines, page.marks, strict=True):
-                if not bad and c in path:
-                    for m in marks[len(page.articles[c]):]:
-                        held[m] = held.get(m, 0) + len(text)
-            if not page.comments.intersection(page.articles[c]):
-                wrappers |= {m for m, n in held.items() if 2 * n > size[c] and m not in page.comments}
+            wrappers = set(chain(marked_in, page.articles[max(around, key=lambda c: (page.names[c] == "main", size[c]))]))
+        # a marked block that is most of an article (a text on legal or related matters) is the article; the
+        # smallest article around it that is no reader comment itself is asked
+        commented = [False] * len(marked_in)
+        for m in range(1, len(marked_in)):
+            commented[m] = m in page.comments or commented[marked_in[m]]
+        asked = {0: 0}
+        for c, outer in page.article_in.items():
+            asked[c] = asked[outer] if commented[page.articles[c]] else c
+        held = totals(marked_in, by_mark)
+        wrappers |= {m for m in range(1, len(marked_in)) if m not in page.comments
+                     and (c := asked[page.mark_article[m]]) and 2 * held[m] > size[c]}
     elif any(not x[3] for x in lines):
         r = smoothed_ratios(lines)
         open_lines = [k for k, x in enumerate(lines) if not x[3]]
         cut = threshold(r[open_lines])
-        held: dict[int, int] = {}
-        high = [k for k in open_lines if r[k] >= cut]
-        for k in high:
-            for m in page.marks[k]:
-                held[m] = held.get(m, 0) + len(lines[k][0])
-        total = sum(len(lines[k][0]) for k in high)
-        wrappers = {m for m, n in held.items() if 2 * n > total}
-    return [(text, tags, path, bad or not wrappers.issuperset(m))
-            for (text, tags, path, bad), m in zip(lines, page.marks, strict=True)]
-
-
-def region(page: Events, lines: list[tuple[str, int, tuple[int, ...], bool]], content: list[int]) -> int | None:
+        high: dict[int, int] = {}
+        for k in open_lines:
+            if r[k] >= cut:
+                added(high, page.marks[k], len(lines[k][0]))
+        held = totals(marked_in, high)
+        wrappers = {m for m in range(1, len(marked_in)) if 2 * held[m] > held[0]}
+    cleared = [True] * len(marked_in)
+    for m in range(1, len(marked_in)):
+        cleared[m] = m in wrappers and cleared[marked_in[m]]
+    return [(text, tags, container, bad or not cleared[m])
+            for (text, tags, container, bad), m in zip(lines, page.marks, strict=True)]
+
+
+def region(page: Events, lines: list[Line], content: list[int]) -> int | None:
     """The container whose open lines are the article; None for the whole page."""
-    weight: dict[int, int] = {}
+    own: dict[int, int] = {}
     for k in content:
-        for c in lines[k][2]:
-            weight[c] = weight.get(c, 0) + len(lines[k][0])
-    total = sum(len(lines[k][0]) for k in content)
-    inner = max((c for c, w in weight.items() if w >= REGION_SHARE * total), default=None)  # innermost: opened last
-    if inner is None:
+        added(own, lines[k][2], len(lines[k][0]))
+    weight = totals(page.inside, own)
+    inner = max((c for c in range(1, len(weight)) if weight[c] and weight[c] >= REGION_SHARE * weight[0]), default=0)
+    if not inner:  # innermost: opened last
         return None
-    path = next(x[2] for x in lines if inner in x[2])
-    path = path[:path.index(inner) + 1]
+    path = chain(page.inside, inner)
     for tag in ("main", "article"):
-        around = next((c for c in path if page.names[c] == tag), None)
+        around = next((c for c in reversed(path) if page.names[c] == tag), None)
         if around is not None:
             return around
+    links: dict[int, int] = {}
+    for k, x in enumerate(lines):
+        if not x[3] and page.linked[k]:
+            added(links, x[2], 1)
+    linked = totals(page.inside, links)
     found = None
-    for c in reversed(path):
-        if found is not None and weight[found] == total and any(
-                page.linked[k] for k, x in enumerate(lines) if not x[3] and c in x[2] and found not in x[2]):
+    for c in path:
+        if found is not None and weight[found] == weight[0] and linked[c] > linked[found]:
             break
         found = c
-    return found if weight[found] == total else None
+    return found if weight[found] == weight[0] else None
+
+
+def within(parent: list[int], whole: int) -> list[bool]:
+    """Of each element, whether it is ``whole`` or inside it."""
+    out = [False] * len(parent)
+    for c in range(1, len(parent)):
+        out[c] = c == whole or out[parent[c]]
+    return out
 
 
 def main_text(html: str | None) -> str:
@@ -266,7 +322,8 @@ def main_text(html: str | None) -> str:
     cut = threshold(r[open_lines])
     content = [k for k in open_lines if r[k] >= cut]
     whole = region(p, lines, content)
-    return "\n\n".join(x[0] for x in lines if not x[3] and (whole is None or whole in x[2]))
+    kept = None if whole is None else within(p.inside, whole)
+    return "\n\n".join(x[0] for x in lines if not x[3] and (kept is None or kept[x[2]]))
 
 
 def text_column(html: Column) -> Column:

@@ -1,6 +1,9 @@
 import re
+import tracemalloc
 from html import unescape
 
+import pytest
+
 from lapsekit.llm import html_text as H
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p><p>x</p>";</script></head><body>
@@ -111,3 +114,12 @@ def test_comments_go_however_long_they_are():
     for mark in ("class='comments'", "id='disqus'", "class='user-replies'"):
         assert H.main_text(f"<article><h1>T</h1>{article}<section {mark}>{comments}</section></article>") == \
             "\n\n".join(["T", *SENTENCES[:5]])
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<article>", "<form>", "<div class='ad'>", "<p><span>", "<div>x</b>"])
+def test_very_deep_pages(unit):
+    tracemalloc.start()
+    text = H.main_text(unit * 20_000 + "plain words of the page " * 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text.endswith("plain words of the page") and peak < 60e6
