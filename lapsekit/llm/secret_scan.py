@@ -439,30 +439,40 @@ def secret_part(text: str, span: Span) -> tuple[int, int]:
     return span[1], span[2]
 
 
+def sampled(docs: DataFrame, text: str = "text", seed: int = 11) -> list:
+    """At most ``SAMPLE_STRETCHES`` stretches (t, spans, kind) of about ``SAMPLE_ROWS`` texts. They are chosen by hashes
+    of texts and stretches, so the sample does not depend on the partitioning; copies of a text count once."""
+    total = docs.count()
+    if not total:
+        return []
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for t in b["t"]:
+                spans = [secret_part(t, s) for s in base_spans(t)]
+                places = spans + interesting(t)
+                for i, run in enumerate(x[k:k + LONGEST] for x in stretches(t) for k in range(0, len(x), LONGEST)):
+                    lo, hi = run[0][1], run[-1][2]
+                    if i % 16 and not any(lo <= a and b <= hi for a, b in places):
+                        continue
+                    out.append((t[lo:hi], [x - lo for s in spans if lo <= s[0] and s[1] <= hi for x in s], file_kind(t)))
+            yield pd.DataFrame(out, columns=["t", "spans", "kind"])
+
+    share = F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLE_ROWS / total) * (1 << 30)))
+    texts = docs.select(F.col(text).alias("t")).filter("t is not null").filter(share).distinct()
+    found = texts.mapInPandas(parts, "t string, spans array<int>, kind string")
+    return found.orderBy(F.xxhash64("t", "kind"), "t", "kind", "spans").limit(SAMPLE_STRETCHES).collect()
+
+
 def train(docs: DataFrame | None = None, text: str = "text", seed: int = 11) -> Field:
     """The field, fitted on made-up lines and a bounded sample of ``docs``."""
     rnd = random.Random(seed)
     pairs = [p for _ in range(MADE_ROWS) for p in labelled(*made_line(rnd))]
-    if docs is not None and (total := docs.count()):
-        def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                out = []
-                for t in b["t"]:
-                    spans = [secret_part(t, s) for s in base_spans(t)]
-                    places = spans + interesting(t)
-                    for i, run in enumerate(x[k:k + LONGEST] for x in stretches(t) for k in range(0, len(x), LONGEST)):
-                        lo, hi = run[0][1], run[-1][2]
-                        if i % 16 and not any(lo <= a and b <= hi for a, b in places):
-                            continue
-                        out.append((t[lo:hi], [x - lo for s in spans if lo <= s[0] and s[1] <= hi for x in s], file_kind(t)))
-                yield pd.DataFrame(out, columns=["t", "spans", "kind"])
-
-        sample = docs.select(F.col(text).alias("t")).filter("t is not null").sample(False, min(1.0, SAMPLE_ROWS / total), seed)
-        got = sample.mapInPandas(parts, "t string, spans array<int>, kind string").limit(SAMPLE_STRETCHES).collect()
-        for r in got:
-            spans = list(zip(r["spans"][::2], r["spans"][1::2], strict=True))
-            pairs += [([[r["kind"] if x.startswith("f=") else x for x in f] for f in feats], tags)
-                      for feats, tags in labelled(r["t"], spans)]
+    for r in sampled(docs, text, seed) if docs is not None else []:
+        spans = list(zip(r["spans"][::2], r["spans"][1::2], strict=True))
+        pairs += [([[r["kind"] if x.startswith("f=") else x for x in f] for f in feats], tags)
+                  for feats, tags in labelled(r["t"], spans)]
     return fit([p[0] for p in pairs], [p[1] for p in pairs])
 
 

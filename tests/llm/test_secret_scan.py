@@ -117,3 +117,12 @@ def test_redaction_takes_the_union(spark, field, monkeypatch):
     got = S.with_base(t, S.spans_of_all([t], field)[0])
     at = sorted(S.secret_part(t, x) for x in got)
     assert at[0][0] == 9 and at[-1][1] == len(t) and at[0][1] == at[1][0]
+
+
+def test_sample_does_not_follow_the_partitioning(spark, small_docs, monkeypatch):
+    monkeypatch.setattr(S, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(S, "SAMPLE_STRETCHES", 50)
+    df = spark.createDataFrame([(t,) for t in small_docs[1].values()] + [(None,), ("",)], "text string")
+    one = S.sampled(df.repartition(1))
+    assert len(one) == 50 and one == S.sampled(df.repartition(7)) == S.sampled(df.union(df.limit(0)).repartition(3))
+    assert S.sampled(df.limit(0)) == []
