@@ -183,11 +183,14 @@ class _Graph:
         pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                        .filter("a <> b").distinct(), "join-pairs")
         if not bounded:
-            pairs = stored(self._bounded(pairs), "join-pairs")
+            all_pairs, pairs = pairs, stored(self._bounded(pairs), "join-pairs")
+            drop_stored(all_pairs)
         if pairs.isEmpty():
             return
-        ends = self.label(self.label(self._linked(pairs), "a", "ca"), "b", "cb")
+        links = self._linked(pairs)
+        ends = self.label(self.label(links, "a", "ca"), "b", "cb")
         new = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        drop_stored(links, pairs)
         if new is None:
             return
         if self.labels is not None:
@@ -261,8 +264,10 @@ def pairs_in_blocks(tiles: DataFrame, sets: DataFrame, percent: int) -> DataFram
     dealt = stored(dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
                                 "rid", "c", "n", "bits"), "join-blocks")
     tasks = max(dealt.sparkSession.sparkContext.defaultParallelism, -(-dealt.count() // 5_000))
-    return (dealt.repartition(tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-            .mapInArrow(compare, "a long, b long"))
+    found = stored(dealt.repartition(tasks, "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+                   .mapInArrow(compare, "a long, b long"), "join-found")
+    drop_stored(dealt)
+    return found
 
 
 def _passing(held: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
@@ -295,8 +300,10 @@ def link_all(classes: DataFrame, tiles: DataFrame, docs: DataFrame, percent: int
     pairs = stored(pairs.filter("a <> b").distinct(), "join-first-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
     sets = sets_in_tiles(classes, ids, docs)
+    drop_stored(classes, heads)  # the tiles are read from the same files
     g = _Graph(sets, percent)
     g.link(pairs, bounded=False)
+    drop_stored(pairs)
     for low, high in ROUNDS:
         now = stored(g.label(members.select("key", "rid", "size"), "rid", "c"), "join-labelled")
         mixed = (now.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.first("size").alias("size"),
@@ -305,9 +312,12 @@ def link_all(classes: DataFrame, tiles: DataFrame, docs: DataFrame, percent: int
         share = F.pmod(F.xxhash64("key"), F.lit(ROUNDS[-1][1]))
         chosen = stored(once.filter((share >= low) & (share < high)).select("key"), "join-mixed")
         if not chosen.isEmpty():
-            tiles = stored(now.join(chosen, "key"), "join-left")
-            g.link(pairs_in_blocks(tiles, sets, percent), bounded=True)
-        drop_stored(now)
+            left = stored(now.join(chosen, "key"), "join-left")
+            found = pairs_in_blocks(left, sets, percent)
+            g.link(found, bounded=True)
+            drop_stored(left, found)
+        drop_stored(now, chosen)
+    drop_stored(members, sets)
     return g.labels
 
 
@@ -321,6 +331,8 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                                               F.count("*").alias("copies")), "join-sets")
     classes = stored(shape.select("rid", "row_key", "set_id", "tiles").join(sets.select("rid"), "rid", "left_semi"),
                      "join-classes")
+    rows = stored(shape.select("doc_id", "n", "set_id"), "join-rows")
+    drop_stored(shape)
     found = link_all(classes.select("rid", "row_key", "set_id"), classes.select("rid", "tiles"), docs, percent)
     if found is None:
         named = sets.filter("copies > 1").select("set_id", F.col("least").alias("component_id"))
@@ -331,6 +343,6 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  .select("set_id", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component_id"))
                          .alias("component_id")))
     named = stored(named.withColumn("named", F.lit(True)), "join-components")
-    return (shape.select("doc_id", "n", "set_id").join(named, "set_id", "left")
+    return (rows.join(named, "set_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
