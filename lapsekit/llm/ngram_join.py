@@ -54,7 +54,8 @@ BITS = 8  # bits of a bitmap for a shingle, to the next power of two
 NARROW, WIDE = 64, 1 << 17  # bits of the smallest and the largest bitmap
 BLOCK = 256  # members of a tile that are compared with each other or with as many others at once
 ROUNDS = ((0, 1), (1, 8), (8, 64))  # of 64 shares of the tiles
-SLOTS = 1 << 20  # hash values that are broadcast at most to leave rows out of a shuffle
+SLOTS = 1 << 26  # hash slots, one bit each (8 MB), that are broadcast to leave rows out of a shuffle
+CHUNK = 1 << 15  # bits of one bitmap as Spark builds it
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -142,10 +143,15 @@ def shapes(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def sharing(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """The rows whose ``column`` may be one of ``keys`` (of the same name): those with the hash slot of one. At most
-    ``SLOTS`` slots are broadcast, whatever the number of keys; an exact join follows, with less to shuffle."""
+    """The rows whose ``column`` may be one of ``keys`` (of the same name): those with the hash slot of one. A bit for
+    each of ``SLOTS`` slots is broadcast, whatever the number of keys; an exact join follows, with less to shuffle."""
     slot = F.pmod(F.xxhash64(column), F.lit(SLOTS))
-    return df.withColumn("slot", slot).join(F.broadcast(keys.select(slot.alias("slot")).distinct()), "slot", "left_semi").drop("slot")
+    chunk, place = F.shiftright(slot, 15).cast("int"), slot.bitwiseAND(CHUNK - 1)
+    taken = keys.select(chunk.alias("chunk"), place.alias("place")).groupBy("chunk").agg(
+        F.bitmap_construct_agg("place").alias("taken"))
+    byte = F.conv(F.hex(F.substring("taken", F.shiftright("place", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (df.withColumns({"chunk": chunk, "place": place}).join(F.broadcast(taken), "chunk")
+            .filter(F.getbit(byte, F.col("place").bitwiseAND(7).cast("int")) == 1).drop("chunk", "place", "taken"))
 
 
 def sets_in_tiles(classes: DataFrame, ids: DataFrame, docs: DataFrame) -> DataFrame:
