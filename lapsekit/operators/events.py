@@ -56,6 +56,13 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
     overlap) is read as of the activity date, so persons can change over time (E12).
     ``status_updated_date`` (cashback decision date, NULL for coupons) is carried
     for the as-of restatement only; it never dates activity."""
+    return with_period_columns(resolve_events(coupons, cashback, identity, spec), spec)
+
+
+def resolve_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
+                   spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """The rows of :func:`unify_events` before the columns that follow from others of the row: what a
+    store shuffles to its folders."""
     ev = channel_events(coupons, cashback, spec)
     m = identity.filter(F.col("source_system").isNotNull() & F.col("source_user_id").isNotNull()).select(
         F.col("source_system").alias("_m_system"), F.col("source_user_id").alias("_m_id"),
@@ -65,21 +72,26 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
     if "valid_before" in m.columns:
         same = same & (ev["activity_date"] >= m["valid_from"]) & (ev["activity_date"] < m["valid_before"])
     j = ev.join(m, same, "left")
+    return j.select(
+        "channel", "source_feed", "source_event_id", "source_user_id", "unified_user_id", "activity_date",
+        "merchant_id", "event_or_status", "amount_sar", *[activity_col(x) for x in spec.definitions],
+        "was_duplicated_in_raw", "has_conflicting_duplicate",
+        F.coalesce(F.col("_m_ambiguous"), F.lit(False)).alias("has_ambiguous_mapping"), "status_updated_date")
+
+
+def with_period_columns(resolved: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
+    """Period columns and scope flags of resolved rows; columns of a store beside them stay, at the end."""
     d = F.col("activity_date")
     unmapped = F.col("unified_user_id").isNull()
-    ambiguous = F.coalesce(F.col("_m_ambiguous"), F.lit(False))
     inp = in_period(d, spec)
-    return j.select(
+    out = resolved.withColumns({
+        "quarter_start_date": period_start(d, spec.grain), "quarter_label": period_label(d, spec.grain),
+        "is_unmapped_user": unmapped, "is_in_analysis_period": inp,
+        "is_in_scope": ~unmapped & ~F.col("has_ambiguous_mapping") & inp})
+    columns = [
         "channel", "source_feed", "source_event_id", "source_user_id", "unified_user_id",
-        "activity_date",
-        period_start(d, spec.grain).alias("quarter_start_date"),
-        period_label(d, spec.grain).alias("quarter_label"),
-        "merchant_id", "event_or_status", "amount_sar",
+        "activity_date", "quarter_start_date", "quarter_label", "merchant_id", "event_or_status", "amount_sar",
         *[activity_col(x) for x in spec.definitions],
-        "was_duplicated_in_raw", "has_conflicting_duplicate",
-        unmapped.alias("is_unmapped_user"),
-        ambiguous.alias("has_ambiguous_mapping"),
-        inp.alias("is_in_analysis_period"),
-        (~unmapped & ~ambiguous & inp).alias("is_in_scope"),
-        "status_updated_date",
-    )
+        "was_duplicated_in_raw", "has_conflicting_duplicate", "is_unmapped_user", "has_ambiguous_mapping",
+        "is_in_analysis_period", "is_in_scope", "status_updated_date"]
+    return out.select(*columns, *[c for c in resolved.columns if c not in columns])

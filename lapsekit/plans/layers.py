@@ -59,9 +59,10 @@ class Layers:
         return self.raw.identity.sparkSession
 
     def _store(self, name: str, df: DataFrame, partition_month: str | None = None,
-               cluster: list[str] | None = None, bucket_col: str | None = None, keep_month: bool = False) -> DataFrame:
+               cluster: list[str] | None = None, bucket_col: str | None = None, keep_month: bool = False,
+               derive=None) -> DataFrame:
         if not self.materialise:
-            return df
+            return df if derive is None else derive(df)
         import os
         import threading
         from lapsekit.sources.sinks import new_location
@@ -73,14 +74,14 @@ class Layers:
         with name_lock:
             if name in self._stored:
                 return self._stored[name]
-            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col, keep_month)
+            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col, keep_month, derive)
             return self._stored[name]
 
-    def _write(self, df, path, partition_month, cluster, bucket_col, keep_month):
+    def _write(self, df, path, partition_month, cluster, bucket_col, keep_month, derive):
         from lapsekit.sources.sinks import materialise
         bucket = (self.buckets or self._bucket_count(), bucket_col) if bucket_col else None
         return materialise(df, path, partition_month=partition_month, cluster=cluster, bucket_by=bucket,
-                           keep_month=keep_month)
+                           keep_month=keep_month, derive=derive)
 
     def _bucket_count(self, rows_per_bucket: int = 2_000_000) -> int:
         """Buckets of the stored fact from its size, which is known before it is built: persons times
@@ -125,10 +126,11 @@ class Layers:
     @cached_property
     def events_by_month(self) -> DataFrame:
         """The events as stored, with the column of their month folders (lazy builds: without)."""
-        from lapsekit.operators.events import unify_events
+        from lapsekit.operators.events import resolve_events, with_period_columns
         return self._store("int_unified_activity_events",
-                           unify_events(self.stg_coupons, self.stg_cashback, self.stg_identity, self.spec),
-                           partition_month="activity_date", cluster=["unified_user_id", "channel"], keep_month=True)
+                           resolve_events(self.stg_coupons, self.stg_cashback, self.stg_identity, self.spec),
+                           partition_month="activity_date", cluster=["unified_user_id", "channel"], keep_month=True,
+                           derive=lambda rows: with_period_columns(rows, self.spec))
 
     @cached_property
     def events(self) -> DataFrame:

@@ -9,13 +9,51 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 import tempfile
+import threading
 import uuid
+import weakref
+from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONTH = "activity_month"
+# bytes that a task of a stored build takes in, at most: staging rows need 7 times as much when they are sorted
+# and event rows, which repeat much, 12 times
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
+_BOUNDED: "weakref.WeakKeyDictionary[SparkSession, list]" = weakref.WeakKeyDictionary()
+_BOUNDED_LOCK = threading.Lock()
+
+
+def _bytes(size: str) -> int:
+    n, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", size.strip().lower()).groups()
+    return int(n) << 10 * " kmgtp".index(unit or " ")
+
+
+@contextmanager
+def bounded_tasks(spark: SparkSession):
+    """Within it, tasks of this session's queries take in no more than ``TASK_BYTES`` (smaller settings of the
+    session stay), so that what a task sorts fits its memory however large the input; the settings
+    are put back when the last of several threads leaves."""
+    with _BOUNDED_LOCK:
+        state = _BOUNDED.setdefault(spark, [0, {}])
+        if not state[0]:
+            for key, most in TASK_BYTES.items():
+                state[1][key] = spark.conf.get(key, None)
+                if _bytes(state[1][key] or spark.conf.get(key)) > most:
+                    spark.conf.set(key, str(most))
+        state[0] += 1
+    try:
+        yield
+    finally:
+        with _BOUNDED_LOCK:
+            state[0] -= 1
+            if not state[0]:
+                for key, was in state[1].items():
+                    spark.conf.unset(key) if was is None else spark.conf.set(key, was)
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -51,7 +89,8 @@ def new_location(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
                 cluster: list[str] | None = None, mode: str = "overwrite",
                 dynamic: bool = False, max_records_per_file: int = 5_000_000,
-                bucket_by: tuple[int, str] | None = None, keep_month: bool = False) -> DataFrame:
+                bucket_by: tuple[int, str] | None = None, keep_month: bool = False,
+                derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Write a model as Parquet and return a DataFrame reading it back.
 
     ``partition_month``: a DATE column; rows are written into ``activity_month``
@@ -62,16 +101,25 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
     (incremental rebuilds). ``bucket_by=(n, column)``: the table is written in
     ``n`` buckets by ``column`` (an external table at ``path``, registered in the
     session catalog), so later aggregates and windows keyed by that column read
-    it already partitioned and need no shuffle.
+    it already partitioned and need no shuffle. ``derive``: from the rows as shuffled to those as
+    written (columns that follow from others of the row need not go through the shuffle).
     """
     spark = df.sparkSession
+    with bounded_tasks(spark):
+        return _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_records_per_file, bucket_by,
+                            keep_month, derive or (lambda rows: rows))
+
+
+def _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_records_per_file, bucket_by, keep_month,
+                 derive) -> DataFrame:
+    columns = derive(df).columns
     if bucket_by is not None:
         n, col = bucket_by
         name = "lapsekit_" + "".join(ch if ch.isalnum() else "_" for ch in os.path.basename(path)) + \
             "_" + uuid.uuid4().hex[:10]
-        (df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+        (derive(df).write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
          .bucketBy(n, col).sortBy(*(cluster or [col])).option("path", path).saveAsTable(name))
-        return spark.table(name).select(*df.columns)
+        return spark.table(name).select(*columns)
     out = df
     if partition_month:
         out = out.withColumn("activity_month", F.trunc(F.col(partition_month), "month"))
@@ -82,12 +130,13 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
         out = out.sortWithinPartitions("activity_month", *(cluster or []))
     elif cluster:
         out = out.sortWithinPartitions(*cluster)
+    out = derive(out)
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if partition_month:
         w = w.partitionBy("activity_month")
     w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
     back = spark.read.schema(out.schema).parquet(path)     # schema given: an empty table reads back empty
-    return back.select(*df.columns, *([MONTH] if partition_month and keep_month else []))
+    return back.select(*columns, *([MONTH] if partition_month and keep_month else []))
 
 
 def drop_build(spark: SparkSession, location: str) -> None:
