@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 MONTH = "activity_month"
 # bytes that a task of a stored build takes in, at most: staging rows need 7 times as much when they are sorted
 # and event rows, which repeat much, 12 times
-TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 32 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
 _BOUNDED: "weakref.WeakKeyDictionary[SparkSession, list]" = weakref.WeakKeyDictionary()
 _BOUNDED_LOCK = threading.Lock()
 
