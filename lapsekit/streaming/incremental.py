@@ -78,12 +78,9 @@ class IncrementalStaging:
     def _key(self):
         return norm_key(F.col(self.key))
 
-    def _months_with(self, tx: Transaction, keys: DataFrame, own: set) -> set:
-        """Months of raw rows that have one of the keys (within the window, where there is one)."""
-        since = None
-        if self.reprocess_months is not None and (dated := [m for m in own if m is not None]):
-            since = months_before(min(dated), self.reprocess_months)
-        raw = self.raw(tx.snapshot, lambda p: since is None or month_of(p) is None or month_of(p) >= since)
+    def _months_with(self, tx: Transaction, keys: DataFrame, others) -> set:
+        """Months of the raw rows of other batches (``others``: the partitions searched) that have one of the keys."""
+        raw = self.raw(tx.snapshot, others)
         touched = raw.filter(F.col(self.key).isNotNull()).select(MONTH, self._key().alias("_k")).join(keys, "_k", "left_semi")
         return {r[0] for r in touched.select(MONTH).distinct().collect()}      # bounded by the calendar
 
@@ -100,18 +97,33 @@ class IncrementalStaging:
         keys = batch.select(self._key().alias("_k"))
         if before:                              # of the same batch before a retry: its rows go
             keys = keys.union(self.raw(tx.snapshot, same).select(self._key()))
-        keys = tx.scratch(keys.filter("_k IS NOT NULL").distinct())
+        keys = keys.filter("_k IS NOT NULL").distinct()
         b = batch.select(*cols).withColumn(BATCH, F.lit(name)).withColumn(MONTH, F.trunc(F.col(self.date), "month"))
+        if before:
+            keys = tx.scratch(keys)             # read before the batch is written again
         written = tx.write(b.hint("rebalance", MONTH), self.raw_table, (BATCH, MONTH), same)
         own = before | {month_of(partition_values(p)) for p in written}
-        months = sorted(own | self._months_with(tx, keys, own), key=lambda m: (m is not None, m))
+        since = None                            # the window reaches back from the batch's first month
+        if self.reprocess_months is not None and (dated := [m for m in own if m is not None]):
+            since = months_before(min(dated), self.reprocess_months)
+        in_window = lambda p: since is None or month_of(p) is None or month_of(p) >= since
+        others = lambda p: not same(p) and in_window(p)
+        months = own
+        if tx.snapshot.partitions(self.raw_table, others):      # the batch's own rows need no search: all are touched
+            keys = keys if before else tx.scratch(keys)
+            months = own | self._months_with(tx, keys, others)
+        months = sorted(months, key=lambda m: (m is not None, m))
         if not months:
             return []
-        raw = self.raw(tx.snapshot, of_months(months)).withColumn("_k", self._key())
-        rows = raw.join(keys, "_k", "left_semi").unionByName(raw.filter("_k IS NULL")).select(*cols)
+        rows, inside = self.raw(tx.snapshot, same).select(*cols), of_months(months)
+        mixed = lambda p: not same(p) and inside(p)
+        if tx.snapshot.partitions(self.raw_table, mixed):       # rows of other batches: of touched keys, and those of no key
+            raw = self.raw(tx.snapshot, mixed).withColumn("_k", self._key())
+            rows = rows.unionByName(raw.join(keys, "_k", "left_semi").unionByName(raw.filter("_k IS NULL")).select(*cols))
         staged = self._stage(rows)
-        kept = self.staged(tx.snapshot, months).filter(F.col(self.key).isNotNull())   # rows of other keys stay as they are
-        staged = staged.unionByName(kept.join(keys, kept[self.key] == keys["_k"], "left_anti"))
+        if tx.snapshot.partitions(self.stg_table, inside):      # rows of other keys stay as they are
+            kept = self.staged(tx.snapshot, months).filter(F.col(self.key).isNotNull())
+            staged = staged.unionByName(kept.join(keys, kept[self.key] == keys["_k"], "left_anti"))
         staged = staged.withColumn(MONTH, F.trunc(F.col(self.date), "month"))
         tx.write(staged.hint("rebalance", MONTH).sortWithinPartitions(MONTH, self.key), self.stg_table, (MONTH,), of_months(months))
         return months
@@ -189,11 +201,12 @@ class IncrementalEvents:
                 self.marts.rebuild(tx)
 
     def _resolve(self, feed: str, staged: DataFrame, identity: DataFrame | None = None) -> DataFrame:
-        from lapsekit.operators.events import unify_events
+        from lapsekit.operators.events import resolve_events, with_period_columns
         parts = {"coupon": self.coupons.staged(Snapshot()), "cashback": self.cashback.staged(Snapshot()), feed: staged}
         identity = self.identity if identity is None else identity
-        return unify_events(parts["coupon"], parts["cashback"], identity, self.spec) \
-            .withColumn(MONTH, F.trunc("activity_date", "month"))
+        ev = resolve_events(parts["coupon"], parts["cashback"], identity, self.spec).withColumn(MONTH, F.trunc("activity_date", "month"))
+        # columns that follow from others of the row are made after the shuffle to the month folders
+        return with_period_columns(ev.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "unified_user_id"), self.spec)
 
     def apply(self, feed: str, batch: DataFrame, epoch_id: int, stream: str = "direct") -> list:
         """Stage the batch, then rebuild only this feed's event partitions
@@ -209,8 +222,7 @@ class IncrementalEvents:
         return months
 
     def _write_events(self, tx: Transaction, feed: str, staged: DataFrame, months) -> None:
-        ev = self._resolve(feed, staged).hint("rebalance", MONTH).sortWithinPartitions(MONTH, "unified_user_id")
-        tx.write(ev, EVENTS, ("channel", MONTH), lambda p: p["channel"] == feed and months(p))
+        tx.write(self._resolve(feed, staged), EVENTS, ("channel", MONTH), lambda p: p["channel"] == feed and months(p))
 
     def _rebuild(self, tx: Transaction) -> None:
         """Resolve all staged events anew (after a change of the identity map)."""

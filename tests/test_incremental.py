@@ -198,3 +198,31 @@ def test_changed_identity_map_is_refused(spark):
     new = IncrementalEvents(spark, root, two, accept_new_identity=True)
     assert {r.unified_user_id for r in new.events().filter("source_event_id = 'T1'").collect()} == {"U2"}
     assert _same(new.events(), new.full_rebuild())
+
+
+def test_own_rows_of_a_batch_are_not_searched(spark, monkeypatch):
+    """Rows of a batch are touched by definition: only those of other batches within the window are joined with its keys."""
+    inc = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-inc-"), "cashback", reprocess_months=2)
+    searched, search = [], IncrementalStaging._months_with
+    monkeypatch.setattr(IncrementalStaging, "_months_with", lambda *a: searched.append(1) or search(*a))
+    row = lambda k, d, st="pending": (k, "B1", d, "M", "N", st, None, Decimal(5))
+    batches = [[row("T1", D(2025, 1, 10)), row("T1", D(2025, 1, 10), "approved"), row(None, D(2025, 1, 11)), row("  ", D(2025, 1, 12))],
+               [row("T2", D(2025, 6, 10)), row(None, D(2025, 6, 11))],                       # nothing within its window
+               [row("T2", D(2025, 7, 1), "approved"), row("T3", D(2025, 6, 3)), row(None, D(2025, 6, 11))]]
+    for i, rows in enumerate(batches):
+        inc.apply(spark.createDataFrame(rows, CASHBACK_SCHEMA), i)
+        assert len(searched) == (i == 2)
+        assert _same(inc.staged(), inc.full_rebuild())
+    inc.apply(spark.createDataFrame(batches[2][1:], CASHBACK_SCHEMA), 2)      # the retry lacks a row: it goes again
+    assert _same(inc.staged(), inc.full_rebuild())
+    assert inc.staged().filter("transaction_id = 'T2'").collect()[0].raw_row_count == 1
+    assert inc.staged().filter("transaction_id IS NULL").count() == 3         # blanks are a key, trimmed to ''
+
+
+def test_a_first_batch_sent_again_with_fewer_rows(spark):
+    inc = IncrementalStaging(spark, tempfile.mkdtemp(prefix="lapsekit-inc-"), "cashback")
+    rows = [("T1", "B1", D(2025, 1, 10), "M", "N", "pending", None, Decimal(5)),
+            ("T2", "B1", D(2025, 3, 10), "M", "N", "pending", None, Decimal(5))]
+    inc.apply(spark.createDataFrame(rows, CASHBACK_SCHEMA), 0)
+    inc.apply(spark.createDataFrame(rows[:1], CASHBACK_SCHEMA), 0)
+    assert _same(inc.staged(), inc.full_rebuild()) and inc.staged().count() == 1
