@@ -9,6 +9,9 @@ from lapsekit.functions.periods import period_label, period_start
 from lapsekit.spec import CASHBACK, COUPON, COUPON_FEED_NAME, ChurnSpec, DEFAULT_SPEC
 
 
+PERSON = ("unified_user_id", "has_ambiguous_mapping")
+
+
 def activity_col(d) -> str:
     return f"counts_as_activity_{d.name}"
 
@@ -17,8 +20,9 @@ def channel_events(coupons: DataFrame, cashback: DataFrame, spec: ChurnSpec = DE
     """Both staged channels as rows of one grammar (before identity resolution).
 
     Coupons are dated by event_date, cashback by purchase_date; the decision date
-    never dates activity."""
+    never dates activity. A person that both feeds carry (:func:`with_person`) stays."""
     dec = "decimal(38,9)"
+    person = [x for x in PERSON if x in coupons.columns and x in cashback.columns]
     c = coupons.select(
         F.lit(COUPON).alias("channel"), F.lit(COUPON_FEED_NAME).alias("source_feed"),
         F.col("coupon_event_id").alias("source_event_id"),
@@ -27,7 +31,7 @@ def channel_events(coupons: DataFrame, cashback: DataFrame, spec: ChurnSpec = DE
         F.col("event_type").alias("event_or_status"), F.lit(None).cast(dec).alias("amount_sar"),
         *[F.col("is_eligible_event").alias(activity_col(d)) for d in spec.definitions],
         "was_duplicated_in_raw", "has_conflicting_duplicate",
-        F.lit(None).cast("date").alias("status_updated_date"))
+        F.lit(None).cast("date").alias("status_updated_date"), *person)
     b = cashback.select(
         F.lit(CASHBACK).alias("channel"), F.col("source").alias("source_feed"),
         F.col("transaction_id").alias("source_event_id"),
@@ -36,10 +40,20 @@ def channel_events(coupons: DataFrame, cashback: DataFrame, spec: ChurnSpec = DE
         F.col("status").alias("event_or_status"), F.col("amount_sar").cast(dec).alias("amount_sar"),
         *[F.coalesce(F.col("status").isin(*d.cashback_statuses), F.lit(False)).alias(activity_col(d))
           for d in spec.definitions],
-        "was_duplicated_in_raw", "has_conflicting_duplicate", "status_updated_date")
+        "was_duplicated_in_raw", "has_conflicting_duplicate", "status_updated_date", *person)
     return c.unionByName(b)
 
 
+def with_person(staged: DataFrame, identity: DataFrame, system: str, user: str) -> DataFrame:
+    """Staged rows of a channel with the person that the identity map names for their ``user`` id (NULL:
+    none), and whether it names several. :func:`resolve_events` joins such rows no more."""
+    m = identity.filter((F.col("source_system") == system) & F.col("source_user_id").isNotNull()).select(
+        F.col("source_user_id").alias("_m_id"), "unified_user_id", F.col("has_ambiguous_mapping").alias("_m_ambiguous"))
+    j = staged.join(m, staged[user] == m["_m_id"], "left")
+    return j.select(*[staged[c] for c in staged.columns], "unified_user_id",
+                    F.coalesce("_m_ambiguous", F.lit(False)).alias("has_ambiguous_mapping"))
+
+
 def in_period(c, spec: ChurnSpec):
     return F.coalesce(c.between(F.lit(spec.period_start), F.lit(spec.period_end)), F.lit(False))
 
@@ -62,8 +76,14 @@ def unify_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
 def resolve_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
                    spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:
     """The rows of :func:`unify_events` before the columns that follow from others of the row: what a
-    store shuffles to its folders."""
+    store shuffles to its folders. Feeds that carry the person are not joined with the map again."""
     ev = channel_events(coupons, cashback, spec)
+    columns = [
+        "channel", "source_feed", "source_event_id", "source_user_id", "unified_user_id", "activity_date",
+        "merchant_id", "event_or_status", "amount_sar", *[activity_col(x) for x in spec.definitions],
+        "was_duplicated_in_raw", "has_conflicting_duplicate", "has_ambiguous_mapping", "status_updated_date"]
+    if set(PERSON) <= set(ev.columns):
+        return ev.select(*columns)
     m = identity.filter(F.col("source_system").isNotNull() & F.col("source_user_id").isNotNull()).select(
         F.col("source_system").alias("_m_system"), F.col("source_user_id").alias("_m_id"),
         "unified_user_id", F.col("has_ambiguous_mapping").alias("_m_ambiguous"),
@@ -72,11 +92,7 @@ def resolve_events(coupons: DataFrame, cashback: DataFrame, identity: DataFrame,
     if "valid_before" in m.columns:
         same = same & (ev["activity_date"] >= m["valid_from"]) & (ev["activity_date"] < m["valid_before"])
     j = ev.join(m, same, "left")
-    return j.select(
-        "channel", "source_feed", "source_event_id", "source_user_id", "unified_user_id", "activity_date",
-        "merchant_id", "event_or_status", "amount_sar", *[activity_col(x) for x in spec.definitions],
-        "was_duplicated_in_raw", "has_conflicting_duplicate",
-        F.coalesce(F.col("_m_ambiguous"), F.lit(False)).alias("has_ambiguous_mapping"), "status_updated_date")
+    return j.withColumn("has_ambiguous_mapping", F.coalesce(F.col("_m_ambiguous"), F.lit(False))).select(*columns)
 
 
 def with_period_columns(resolved: DataFrame, spec: ChurnSpec = DEFAULT_SPEC) -> DataFrame:

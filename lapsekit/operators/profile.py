@@ -26,12 +26,16 @@ def source_profile(txns: DataFrame, identity: DataFrame, spec: ChurnSpec = DEFAU
     The series is dense: each network runs from its first period to the last
     period seen in any feed, and a silent period is a row with zero counts, so
     the prior-period comparison never skips a gap. Rows with no purchase date keep
-    their own (NULL period) row outside the series.
+    their own (NULL period) row outside the series. Transactions that carry their person
+    (``events.with_person``) are not joined with the map.
     """
     g = spec.grain
-    m = (identity.filter(F.col("source_system") == CASHBACK)
-         .select(F.col("source_user_id").alias("_m_id"), F.col("unified_user_id").alias("_m_person")))
-    j = txns.join(m, txns["cashback_user_id"] == m["_m_id"], "left")
+    if "unified_user_id" in txns.columns:
+        j = txns.withColumnRenamed("unified_user_id", "_m_person")
+    else:
+        m = (identity.filter(F.col("source_system") == CASHBACK)
+             .select(F.col("source_user_id").alias("_m_id"), F.col("unified_user_id").alias("_m_person")))
+        j = txns.join(m, txns["cashback_user_id"] == m["_m_id"], "left")
     st = F.col("status")
     upd, pur = F.col("status_updated_date"), F.col("purchase_date")
     keyed = j.withColumn("_p", period_start(pur, g))

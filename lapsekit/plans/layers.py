@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from lapsekit.sources.adapter import RawInputs
-from lapsekit.spec import ChurnSpec, DEFAULT_SPEC
+from lapsekit.spec import CASHBACK, COUPON, ChurnSpec, DEFAULT_SPEC
 
 
 class Layers:
@@ -60,7 +60,7 @@ class Layers:
 
     def _store(self, name: str, df: DataFrame, partition_month: str | None = None,
                cluster: list[str] | None = None, bucket_col: str | None = None, keep_month: bool = False,
-               derive=None) -> DataFrame:
+               derive=None, from_months: bool = False) -> DataFrame:
         if not self.materialise:
             return df if derive is None else derive(df)
         import os
@@ -74,14 +74,14 @@ class Layers:
         with name_lock:
             if name in self._stored:
                 return self._stored[name]
-            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col, keep_month, derive)
+            self._stored[name] = self._write(df, os.path.join(loc, name), partition_month, cluster, bucket_col, keep_month, derive, from_months)
             return self._stored[name]
 
-    def _write(self, df, path, partition_month, cluster, bucket_col, keep_month, derive):
+    def _write(self, df, path, partition_month, cluster, bucket_col, keep_month, derive, from_months):
         from lapsekit.sources.sinks import materialise
         bucket = (self.buckets or self._bucket_count(), bucket_col) if bucket_col else None
         return materialise(df, path, partition_month=partition_month, cluster=cluster, bucket_by=bucket,
-                           keep_month=keep_month, derive=derive)
+                           keep_month=keep_month, derive=derive, from_months=from_months)
 
     def _bucket_count(self, rows_per_bucket: int = 2_000_000) -> int:
         """Buckets of the stored fact from its size, which is known before it is built: persons times
@@ -105,17 +105,34 @@ class Layers:
         return self._store("stg_identity_map", stage_identity(self.raw.identity, self.spec),
                            cluster=["source_system", "source_user_id"])
 
+    def _with_person(self, staged: DataFrame, system: str, user: str) -> DataFrame:
+        """Stored feeds carry the person of each row: their rows are joined with the identity map before
+        they go to their month folders, so neither join nor shuffle of the events follows. Lazy ones do not."""
+        from lapsekit.operators.events import with_person
+        return with_person(staged, self.stg_identity, system, user) if self.materialise else staged
+
     @cached_property
-    def stg_coupons(self) -> DataFrame:
+    def person_coupons(self) -> DataFrame:
         from lapsekit.operators.staging import stage_coupons
-        return self._store("stg_coupon_events", stage_coupons(self.raw.coupons, self.spec),
-                           partition_month="event_date", cluster=["coupon_user_id"])
+        staged = self._with_person(stage_coupons(self.raw.coupons, self.spec), COUPON, "coupon_user_id")
+        return self._store("stg_coupon_events", staged, partition_month="event_date", cluster=["coupon_user_id"])
 
     @cached_property
-    def stg_cashback(self) -> DataFrame:
+    def person_cashback(self) -> DataFrame:
         from lapsekit.operators.staging import stage_cashback
-        return self._store("stg_cashback_transactions", stage_cashback(self.raw.cashback, self.spec),
-                           partition_month="purchase_date", cluster=["cashback_user_id", "source"])
+        staged = self._with_person(stage_cashback(self.raw.cashback, self.spec), CASHBACK, "cashback_user_id")
+        return self._store("stg_cashback_transactions", staged, partition_month="purchase_date",
+                           cluster=["cashback_user_id", "source"])
+
+    @cached_property
+    def stg_coupons(self) -> DataFrame:
+        from lapsekit.operators.events import PERSON
+        return self.person_coupons.drop(*PERSON)
+
+    @cached_property
+    def stg_cashback(self) -> DataFrame:
+        from lapsekit.operators.events import PERSON
+        return self.person_cashback.drop(*PERSON)
 
     @cached_property
     def feed_sketches(self) -> DataFrame:
@@ -128,8 +145,9 @@ class Layers:
         """The events as stored, with the column of their month folders (lazy builds: without)."""
         from lapsekit.operators.events import resolve_events, with_period_columns
         return self._store("int_unified_activity_events",
-                           resolve_events(self.stg_coupons, self.stg_cashback, self.stg_identity, self.spec),
+                           resolve_events(self.person_coupons, self.person_cashback, self.stg_identity, self.spec),
                            partition_month="activity_date", cluster=["unified_user_id", "channel"], keep_month=True,
+                           from_months=True,
                            derive=lambda rows: with_period_columns(rows, self.spec))
 
     @cached_property
@@ -197,7 +215,7 @@ class Layers:
     @cached_property
     def source_profile(self) -> DataFrame:
         from lapsekit.operators.profile import source_profile
-        return source_profile(self.stg_cashback, self.stg_identity, self.spec)
+        return source_profile(self.person_cashback, self.stg_identity, self.spec)
 
     @cached_property
     def cross_source_duplicates(self) -> DataFrame:

@@ -90,7 +90,7 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
                 cluster: list[str] | None = None, mode: str = "overwrite",
                 dynamic: bool = False, max_records_per_file: int = 5_000_000,
                 bucket_by: tuple[int, str] | None = None, keep_month: bool = False,
-                derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                derive: Callable[[DataFrame], DataFrame] | None = None, from_months: bool = False) -> DataFrame:
     """Write a model as Parquet and return a DataFrame reading it back.
 
     ``partition_month``: a DATE column; rows are written into ``activity_month``
@@ -103,15 +103,17 @@ def materialise(df: DataFrame, path: str, *, partition_month: str | None = None,
     session catalog), so later aggregates and windows keyed by that column read
     it already partitioned and need no shuffle. ``derive``: from the rows as shuffled to those as
     written (columns that follow from others of the row need not go through the shuffle).
+    ``from_months``: ``df`` is read from folders of the same months, so a task's rows are of few months
+    already and are not shuffled again.
     """
     spark = df.sparkSession
     with bounded_tasks(spark):
         return _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_records_per_file, bucket_by,
-                            keep_month, derive or (lambda rows: rows))
+                            keep_month, derive or (lambda rows: rows), from_months)
 
 
 def _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_records_per_file, bucket_by, keep_month,
-                 derive) -> DataFrame:
+                 derive, from_months) -> DataFrame:
     columns = derive(df).columns
     if bucket_by is not None:
         n, col = bucket_by
@@ -126,7 +128,8 @@ def _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_r
         # REBALANCE on the month: AQE groups each month into few tasks (few files per
         # folder) and splits a month that holds a large share of the rows over several
         # tasks (no hot writer), without a sampling pass over the data
-        out = out.hint("rebalance", "activity_month")
+        if not from_months:
+            out = out.hint("rebalance", "activity_month")
         out = out.sortWithinPartitions("activity_month", *(cluster or []))
     elif cluster:
         out = out.sortWithinPartitions(*cluster)
