@@ -20,14 +20,13 @@ def table_audit(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     last write time, read from the files' own metadata (``_metadata``)."""
     parts = []
     for name, path in tables.items():
-        # only the files' metadata is read; the schema is given so an empty table audits as 0 rows
+        # only the files' metadata is read; the schema is given so an empty table audits as 0 rows. A file's
+        # size is counted at its first row, so rows need not be grouped by file
         df = spark.read.schema("_audit_unused int").parquet(path).select(
-            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
-        per_file = df.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.max("file_size").alias("b"),
-                                               F.max("file_modification_time").alias("t"))
-        parts.append(per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
-                                  F.coalesce(F.sum("b"), F.lit(0)).cast("long").alias("size_bytes"),
-                                  F.max("t").alias("last_built_at"))
+            "_metadata.row_index", "_metadata.file_size", "_metadata.file_modification_time")
+        size = F.sum(F.when(F.col("row_index") == 0, F.col("file_size")))
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(size, F.lit(0)).alias("size_bytes"),
+                            F.max("file_modification_time").alias("last_built_at"))
                      .select(F.lit(name).alias("object_name"), "row_count", "size_bytes", "last_built_at"))
     if not parts:
         return spark.createDataFrame([], AUDIT_SCHEMA)
