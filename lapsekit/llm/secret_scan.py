@@ -24,6 +24,8 @@ import random
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -197,34 +199,33 @@ class Field:
         return tags[::-1]
 
     def tag(self, texts: list[str]) -> list[tuple[list[tuple[int, int]], np.ndarray]]:
-        """(start, end) and tag of every token of each text: the emissions of ``features`` from tables of the
+        """(start, end) and tag of every token of each text."""
+        return [(list(zip(start.tolist(), end.tolist(), strict=True)), tags) for start, end, tags in self.tagged(texts)]
+
+    def tagged(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Starts, ends and tags of the tokens of each text: the emissions of ``features`` from tables of the
         distinct tokens, and the best path of every line."""
         if self._tokens is None or len(self._tokens) > MOST_TOKENS or len(self._tokens.known) > MOST_TOKENS // 10:
             self._tokens = _Tokens(self)
         known = self._tokens
-        spans, ids, lines, kinds = [], [], [], []
-        n_lines = 0
-        for t in texts:
-            spans.append([m.span() for m in TOKEN.finditer(t)])
-            ids.append(np.fromiter(map(known.__getitem__, TOKEN.findall(t)), np.int64, len(spans[-1])))
-            ends = np.fromiter((m.start() for m in NEWLINE.finditer(t)), np.int64)
-            at = np.array(spans[-1], np.int64).reshape(-1, 2)[:, 0]
-            lines.append(np.searchsorted(ends, at) + n_lines)
-            n_lines += len(ends) + 1
-            kinds.append(np.full(len(at), KINDS_OF_FILE.index(file_kind(t))))
-        total = sum(map(len, ids))
+        start, end, line = token_places("\n".join(texts))  # no token and no line goes over a line feed
+        total = len(start)
         if not total:
-            return [(x, np.empty(0, np.int8)) for x in spans]
-        tok, line, kind = np.concatenate(ids), np.concatenate(lines), np.concatenate(kinds)
-        start, end = np.concatenate([np.array(x, np.int64).reshape(-1, 2) for x in spans]).T
+            none = np.empty(0, np.int64)
+            return [(none, none, np.empty(0, np.int8)) for _ in texts]
+        tok = np.fromiter(map(known.__getitem__, chain.from_iterable(map(TOKEN.findall, texts))), np.int64, total)
+        at = np.cumsum([0] + [len(t) + 1 for t in texts])  # where each text starts
+        first = np.searchsorted(start, at)
+        kind = np.repeat([KINDS_OF_FILE.index(file_kind(t)) for t in texts], np.diff(first))
         joined = line[1:] == line[:-1]
         before, after = np.full(total, 2), np.full(total, 2)
         before[1:][joined] = after[:-1][joined] = (end[:-1] < start[1:])[joined]
 
         def lately(flag: np.ndarray, reach: int) -> np.ndarray:
-            got = np.zeros(total, bool)
-            for k in range(1, min(reach, total - 1) + 1):
-                got[k:] |= flag[:-k] & (line[k:] == line[:-k])
+            got, on = np.zeros(total, bool), np.flatnonzero(flag)
+            for k in range(1, reach + 1):
+                on = on[on < total - k]
+                got[on[line[on] == line[on + k]] + k] = True
             return got
 
         local, behind_, ahead_, big, credential, marks = (known.column(k) for k in range(6))
@@ -240,7 +241,8 @@ class Field:
         side[:-1] = np.where(joined, tok[1:], end_row)
         e += np.vstack([ahead_, known.edges[1:]]).take(side, axis=0)
         tags = self._paths(e, np.flatnonzero(np.concatenate([[True], ~joined])))
-        return list(zip(spans, np.split(tags, np.cumsum([len(x) for x in ids])[:-1]), strict=True))
+        return [(start[a:b] - t, end[a:b] - t, tags[a:b])
+                for a, b, t in zip(first[:-1].tolist(), first[1:].tolist(), at[:-1].tolist(), strict=True)]
 
     def _paths(self, e: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The best tags of all lines, which begin at ``starts``."""
@@ -251,38 +253,107 @@ class Field:
         back, tags = np.zeros(e.shape, np.int8), np.zeros(len(e), np.int8)
         score = e[starts].copy()
         score[:, INSIDE] = NEVER
-        for k in range(1, lengths[0]):
-            n = live[k]
+        k = 1
+        while k < lengths[0] and (n := live[k]) > FEW_LINES:
             at = starts[:n] + k
             s0, s1, s2 = (score[:n, a, None] + self.steps[a] for a in range(3))
             best = np.maximum(s0, s1)
             back[at] = np.where(s2 > best, 2, s1 > s0)
             score[:n] = np.maximum(best, s2) + e[at]
+            k += 1
         now = score.argmax(axis=1)
-        tags[starts + lengths - 1] = now
-        for k in range(lengths[0] - 1, 0, -1):
+        for i in range(live[k] if k < lengths[0] else 0):  # the longest lines' ends, line by line
+            rest = slice(starts[i] + k, starts[i] + lengths[i])
+            now[i], tags[rest] = self._rest(score[i].tolist(), e[rest])
+        tags[starts + np.minimum(lengths, k) - 1] = now
+        for k in range(k - 1, 0, -1):
             n = live[k]
             now[:n] = back[starts[:n] + k, now[:n]]
             tags[starts[:n] + k - 1] = now[:n]
         return tags
 
-
+    def _rest(self, score: list[float], e: np.ndarray) -> tuple[int, np.ndarray]:
+        """How a line goes on from ``score``: the tag before ``e`` and those in it. The same sums as for many lines."""
+        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = self.steps.tolist()
+        x, y, z = score
+        back = bytearray()
+        for at in range(0, len(e), SLICE):
+            for o, b, i in e[at:at + SLICE].tolist():
+                p, q, r = x + oo, y + bo, z + io
+                f = q > p
+                best = q if f else p
+                if r > best:
+                    f, best = 2, r
+                p, q, r = x + ob, y + bb, z + ib
+                g = q > p
+                begin = q if g else p
+                if r > begin:
+                    g, begin = 2, r
+                p, q, r = x + oi, y + bi, z + ii
+                h = q > p
+                inside = q if h else p
+                if r > inside:
+                    h, inside = 2, r
+                back.append(f + 4 * g + 16 * h)
+                x, y, z = best + o, begin + b, inside + i
+        now = OUT if x >= y and x >= z else BEGIN if y >= z else INSIDE
+        tags = bytearray(len(back))
+        for k in range(len(back) - 1, -1, -1):
+            tags[k] = now
+            now = back[k] >> 2 * now & 3
+        return now, np.frombuffer(tags, np.int8)
+
+
+FEW_LINES = 24  # so many lines and fewer are decoded one by one
+SLICE = 4096  # tokens that are Python values at once
 MOST_TOKENS = 300_000  # distinct tokens that a worker keeps
-NEWLINE = re.compile("\n")
 HEXED = re.compile(r"[0-9a-fA-F]{8,}")
-CLASSES = {k: "U" if chr(k).isupper() else "l" if chr(k).islower() else "d" if chr(k).isdigit() else "s" for k in range(128)}
+ANY_WORD = re.compile("|".join(ASSIGN_WORDS))
+
+
+class _Classes(dict):
+    """Class of a character as ``shape`` has it, by code point."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = out = "U" if c.isupper() else "l" if c.islower() else "d" if c.isdigit() else "s"
+        return out
+
+
+CLASSES = _Classes()
 
 
 def signature(token: str) -> tuple:
     """What the features of a token depend on, made without the features."""
     w = token.lower()
-    special = w if len(w) < 3 or w in CREDENTIAL else is_credential(token)
-    if not token.isascii():
-        return special, *shape(token)
+    special = w if len(w) < 3 or w in CREDENTIAL else ANY_WORD.search(w) is not None
     head = token[:256]
     return special, head.translate(CLASSES), min(len(token), 257), HEXED.fullmatch(head) is not None
 
 
+@cache
+def code_points() -> np.ndarray:
+    """Of every code point: 0 space, 1 part of a long token, 2 a token by itself (as ``TOKEN`` has them)."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.full(len(every), 2, np.int8)
+    for kind, part in ((0, r"\s+"), (1, r"[\w+/-]+")):
+        for m in re.finditer(part, every):
+            out[m.start():m.end()] = kind
+    return out
+
+
+def token_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and line (a number) of every token."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = code_points()[codes]
+    there, inner = kind != 0, (kind[1:] == 1) & (kind[:-1] == 1)  # inner: the token goes on
+    starts, ends = there.copy(), there
+    starts[1:] &= ~inner
+    ends[:-1] &= ~inner
+    start = np.flatnonzero(starts)
+    return start, np.flatnonzero(ends) + 1, np.searchsorted(np.flatnonzero(codes == 10), start)
+
+
 class _Tokens(dict):
     """Rows of tokens in tables of weights under a field, one row a signature."""
 
@@ -315,8 +386,10 @@ class _Tokens(dict):
                 weight([ahead(token)]), self.bigs[big], is_credential(token), token in "=:")
 
     def column(self, k: int) -> np.ndarray:
-        if len(self.tables.get(k, ())) < len(self.rows):
-            self.tables[k] = np.array([r[k] for r in self.rows])
+        have = self.tables.get(k)
+        if have is None or len(have) < len(self.rows):
+            new = np.array([r[k] for r in self.rows[0 if have is None else len(have):]])
+            self.tables[k] = new if have is None else np.concatenate([have, new])
         return self.tables[k]
 
 
@@ -496,13 +569,13 @@ def groups(texts: list[str | None]) -> Iterator[list[str]]:
 def spans_of_all(texts: list[str | None], field: Field) -> Iterator[list[Span]]:
     """The spans that the field finds in each text."""
     for group in groups(texts):
-        for places, tags in field.tag(group):
+        for start, end, tags in field.tagged(group):
             out: list[Span] = []
             for i in np.flatnonzero(tags == BEGIN).tolist():
                 k = i + 1
                 while k < len(tags) and tags[k] == INSIDE:
                     k += 1
-                out.append(("crf", places[i][0], places[k - 1][1]))
+                out.append(("crf", int(start[i]), int(end[k - 1])))
             yield out
 
 

@@ -126,3 +126,36 @@ def test_sample_does_not_follow_the_partitioning(spark, small_docs, monkeypatch)
     one = S.sampled(df.repartition(1))
     assert len(one) == 50 and one == S.sampled(df.repartition(7)) == S.sampled(df.union(df.limit(0)).repartition(3))
     assert S.sampled(df.limit(0)) == []
+
+
+ODD = "aZ9_+/-=:\"' \t\n\r\x0b\x1c\x85  éÀßıİǅ٣²Ⅷ漢字😀́.,{}();<>#"
+
+
+def test_places_of_tokens_are_those_of_the_pattern():
+    rnd = random.Random(4)
+    for n in [0, 1, *range(2, 200, 7)]:
+        t = "".join(rnd.choice(ODD) for _ in range(n))
+        start, end, line = S.token_places(t)
+        assert list(zip(start.tolist(), end.tolist())) == [m.span() for m in S.TOKEN.finditer(t)]
+        assert line.tolist() == [t.count("\n", 0, a) for a in start.tolist()]
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 10_000])
+def test_lines_are_decoded_alike_one_by_one_and_together(field, monkeypatch, few):
+    rnd = random.Random(6)
+    texts = ["\n".join(" ".join(S.made_line(rnd)[0] for _ in range(rnd.randint(1, 9))) for _ in range(rnd.randint(0, 4))) for _ in range(12)]
+    texts += ["", "".join(rnd.choice(ODD) for _ in range(3000)), S.made_line(rnd)[0] * 400]
+    monkeypatch.setattr(S, "FEW_LINES", few)
+    monkeypatch.setattr(S, "SLICE", 64)
+    for t, (start, end, tags) in zip(texts, field.tagged(texts), strict=True):
+        runs = list(S.stretches(t))
+        assert list(zip(start.tolist(), end.tolist())) == [x[1:] for run in runs for x in run]
+        assert tags.tolist() == [k for run in runs for k in field.decode(S.features(run, S.file_kind(t)))]
+
+
+def test_signatures_tell_apart_what_the_features_tell_apart():
+    rnd, seen = random.Random(8), {}
+    for _ in range(4000):
+        token = "".join(rnd.choice("aAzf09_é À漢٣ßİ+/-" if rnd.random() < 0.9 else "0123456789abcdef") for _ in range(rnd.choice([1, 2, 3, 8, 9, 40, 300])))
+        feats = [S.own(token, k) for k in S.KINDS_OF_FILE], S.behind(token), S.ahead(token), S.is_credential(token)
+        assert seen.setdefault(S.signature(token), feats) == feats
