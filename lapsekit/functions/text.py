@@ -13,9 +13,12 @@ WHITESPACE = ("\t\n\u000b\f\r \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u
 
 def trim_ws(c) -> Column:
     """Strip leading/trailing whitespace of any kind (``btrim`` with a character
-    set: a codegen'd scan of the ends, no regular expression per row)."""
+    set: a codegen'd scan of the ends, no regular expression per row). ``btrim`` looks every
+    end up in the set, so values whose ends are visible ASCII, nearly all, are told by two comparisons an end."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.btrim(c, F.lit(WHITESPACE))
+    last = c.substr(F.lit(-1), F.lit(1))
+    odd = (c < "!") | (c >= "\x7f") | (last < "!") | (last >= "\x7f")
+    return F.when(odd, F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def norm_key(c) -> Column:

@@ -43,10 +43,7 @@ class Layers:
             self._location = new_location(self.spark, "build")
         first = ["stg_identity", "stg_coupons", "stg_cashback"]
         if parallel:
-            from concurrent.futures import ThreadPoolExecutor
-            with ThreadPoolExecutor(max_workers=len(first)) as pool:
-                for f in [pool.submit(getattr, self, n) for n in first]:
-                    f.result()
+            self._together(*first)
         else:
             for n in first:
                 getattr(self, n)
@@ -54,6 +51,15 @@ class Layers:
             getattr(self, n)
         return self
 
+    def _together(self, *names: str) -> None:
+        """Layers that do not depend on each other, stored by concurrent jobs: one's tasks fill the cores that
+        the last tasks of the other's stages leave idle."""
+        if self.materialise:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=len(names)) as pool:
+                for f in [pool.submit(getattr, self, n) for n in names]:
+                    f.result()
+
     @property
     def spark(self) -> SparkSession:
         return self.raw.identity.sparkSession
@@ -144,6 +150,7 @@ class Layers:
     def events_by_month(self) -> DataFrame:
         """The events as stored, with the column of their month folders (lazy builds: without)."""
         from lapsekit.operators.events import resolve_events, with_period_columns
+        self._together("person_coupons", "person_cashback")
         return self._store("int_unified_activity_events",
                            resolve_events(self.person_coupons, self.person_cashback, self.stg_identity, self.spec),
                            partition_month="activity_date", cluster=["unified_user_id", "channel"], keep_month=True,

@@ -24,6 +24,10 @@ MONTH = "activity_month"
 # bytes that a task of a stored build takes in, at most: staging rows need 7 times as much when they are sorted
 # and event rows, which repeat much, 12 times
 TASK_BYTES = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20}
+# ids of rows and users, of which a file holds nearly as many as rows: no Parquet dictionary is tried for them
+# (the files are no larger and are written faster; minima and maxima of row groups stay)
+ID_COLUMNS = ("coupon_event_id", "coupon_user_id", "transaction_id", "cashback_user_id", "source_event_id", "source_user_id",
+              "unified_user_id")
 _BOUNDED: "weakref.WeakKeyDictionary[SparkSession, list]" = weakref.WeakKeyDictionary()
 _BOUNDED_LOCK = threading.Lock()
 
@@ -135,6 +139,9 @@ def _materialise(spark, df, path, partition_month, cluster, mode, dynamic, max_r
         out = out.sortWithinPartitions(*cluster)
     out = derive(out)
     w = out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    for c in ID_COLUMNS:
+        if c in out.columns:
+            w = w.option(f"parquet.enable.dictionary#{c}", "false")
     if partition_month:
         w = w.partitionBy("activity_month")
     w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
