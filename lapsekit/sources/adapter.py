@@ -88,23 +88,19 @@ def adapter_cashback(orders: DataFrame) -> DataFrame:
                .when(k % 700 == 4, F.date_sub(ordered, 1))
                .otherwise(F.date_add(ordered, (k % 90).cast("int"))))
     amount = F.col("o_totalprice").cast("decimal(38,9)")
-
-    def row(tid, source, amt):
-        return F.struct(tid.alias("transaction_id"), _s("B", F.col("o_custkey")).alias("cashback_user_id"),
-                        d.alias("purchase_date"), _s("M", k % 20).alias("merchant_id"),
-                        source.alias("source"), status.alias("status"),
-                        updated.alias("status_updated_date"), amt.alias("amount_sar"))
-
-    base = row(F.when(k % 130 == 17, F.concat(_s(" T", k), F.lit("  "))).otherwise(_s("T", k)), F.col("o_orderpriority"), amount)
-    # one scan of orders; each order yields its row plus the injected copies
-    variants = F.array(
-        base,
-        F.when(k % 100 == 0, base),                                               # replay
-        F.when(k % 250 == 1, row(_s("T", k), F.col("o_orderpriority"),
-                                 (amount + 1).cast("decimal(38,9)"))),             # conflict
-        F.when(k % 300 == 2, row(_s("X", k), F.lit("9-OTHER"), amount)),           # cross-network copy
-    )
-    return orders.select(F.inline(F.filter(variants, lambda x: x.isNotNull())))
+    # one scan of orders; each order yields its row plus the injected copies, by number: the values are made once
+    # for each row that comes out, in generated code, and not for arrays of whole rows
+    base, replay, conflict, cross = range(4)
+    copies = F.array(F.lit(base), F.when(k % 100 == 0, replay), F.when(k % 250 == 1, conflict), F.when(k % 300 == 2, cross))
+    c = F.col("_copy")
+    tid = (F.when(c == cross, _s("X", k)).when(c == conflict, _s("T", k))
+           .when(k % 130 == 17, F.concat(_s(" T", k), F.lit("  "))).otherwise(_s("T", k)))
+    return orders.select("*", F.explode(copies).alias("_copy")).filter(c.isNotNull()).select(
+        tid.alias("transaction_id"), _s("B", F.col("o_custkey")).alias("cashback_user_id"),
+        d.alias("purchase_date"), _s("M", k % 20).alias("merchant_id"),
+        F.when(c == cross, "9-OTHER").otherwise(F.col("o_orderpriority")).alias("source"), status.alias("status"),
+        updated.alias("status_updated_date"),
+        F.when(c == conflict, (amount + 1).cast("decimal(38,9)")).otherwise(amount).alias("amount_sar"))
 
 
 def adapter_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:

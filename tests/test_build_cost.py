@@ -67,3 +67,18 @@ def test_feeds_are_stored_by_concurrent_jobs(golden, monkeypatch):
     assert stored.fact.exceptAll(golden.fact).isEmpty() and golden.fact.exceptAll(stored.fact).isEmpty()
     assert len(seen) == 2
     stored.drop()
+
+
+def test_copies_of_orders_are_made_in_generated_code(spark):
+    from lapsekit.sources.adapter import adapter_cashback
+    orders = spark.range(1, 4000).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "substring('FPO', cast(id % 3 AS int) + 1, 1) AS o_orderstatus",
+        "cast(id AS double) + 0.5 AS o_totalprice", "timestamp'2025-03-07 10:00:00' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    feed = adapter_cashback(orders)
+    assert "lambda" not in feed._jdf.queryExecution().executedPlan().toString()      # evaluated row by row, not compiled
+    keys = range(1, 4000)
+    want = ([(f" T{k}  " if k % 130 == 17 else f"T{k}", "1-URGENT", k + 0.5) for k in keys for _ in range(2 if k % 100 == 0 else 1)]
+            + [(f"T{k}", "1-URGENT", k + 1.5) for k in keys if k % 250 == 1] + [(f"X{k}", "9-OTHER", k + 0.5) for k in keys if k % 300 == 2])
+    got = [(r[0], r[1], float(r[2])) for r in feed.select("transaction_id", "source", "amount_sar").collect()]
+    assert sorted(got) == sorted(want)
+    assert len(feed.columns) == 8
